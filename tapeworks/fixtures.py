@@ -106,7 +106,7 @@ def _line_fields(b: DataFrame):
     return f, is_t
 
 
-def csv_lines(events: DataFrame) -> DataFrame:
+def csv_lines(events: DataFrame, with_day: bool = False) -> DataFrame:
     """CSV feed lines (column ``value``) for every base tick, with bad and
     unusual lines selected by ``event_id % 50`` (see ``CSV_BAD``/``CSV_ODD``)."""
     b = base_ticks(events)
@@ -135,7 +135,12 @@ def csv_lines(events: DataFrame) -> DataFrame:
         F.concat_ws(",", *head, f["ask_pr"]))
     line = (F.when(c == 0, short).when(c == 1, F.lit(""))
             .when(c == 2, F.concat_ws(",", d, f["file_tm"])).otherwise(full))
-    return b.select(line.alias("value"))
+    return b.select(line.alias("value"), *_day(with_day))
+
+
+def _day(with_day: bool) -> list[Column]:
+    """The tick's day as ``feed_date``, for writing lines into dated folders."""
+    return [F.col("trade_dt").alias("feed_date")] if with_day else []
 
 
 def _kv(key: str, value: Column, quoted: bool) -> Column:
@@ -143,7 +148,7 @@ def _kv(key: str, value: Column, quoted: bool) -> Column:
     return F.concat(F.lit(f'"{key}":'), v)
 
 
-def json_lines(events: DataFrame) -> DataFrame:
+def json_lines(events: DataFrame, with_day: bool = False) -> DataFrame:
     """JSON feed lines for every base tick, with bad and unusual lines selected
     by ``event_id % 50`` (see ``JSON_BAD``/``JSON_ODD``)."""
     b = base_ticks(events)
@@ -182,7 +187,8 @@ def json_lines(events: DataFrame) -> DataFrame:
     line = (F.when(c == 0, F.expr("substring(__body, 1, length(__body) - 1)"))
             .when(c == 1, F.lit("[1,2]")).when(c == 2, F.lit(""))
             .when(c == 17, F.lit('"hello"')).otherwise(F.col("__body")))
-    return b.select(body.alias("__body"), "event_id").select(line.alias("value"))
+    return (b.select(body.alias("__body"), "event_id", "trade_dt")
+             .select(line.alias("value"), *_day(with_day)))
 
 
 def run_log(orders: DataFrame) -> DataFrame:
