@@ -11,13 +11,18 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
-# Leading/trailing whitespace, Unicode-aware (Python's str.strip semantics).
-_WS = r"(?U)^\s+|\s+$"
+# --- fixed values -----------------------------------------------------------
+# Characters stripped from both ends of a value: every character Python's
+# str.isspace() accepts (the source trimmed with str.strip()).
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+              "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+              "\u2028\u2029\u202f\u205f\u3000")
 _ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 _INT = r"^[+-]?\d+$"
 _DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 # ISO date-time: date, optional 'T' or space, hh:mm, optional :ss and fraction.
 _ISO_DATETIME = r"^\d{4}-\d{2}-\d{2}([T ]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$"
+_ISO_PREFIX = r"^\d{4}-\d{2}-\d{2}"
 
 # Lenient date-time forms accepted besides ISO 8601 (Spark datetime patterns).
 TIMESTAMP_FORMATS = (
@@ -34,8 +39,9 @@ TIMESTAMP_FORMATS = (
 
 
 def strip_ws(c: Column) -> Column:
-    """Trim all leading and trailing whitespace (Spark's ``trim`` only drops spaces)."""
-    return F.regexp_replace(c, _WS, "")
+    """Trim all leading and trailing whitespace (Spark's one-argument ``trim``
+    only drops spaces). A character-set trim, no regular expression."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def strict_date(text: Column) -> Column:
@@ -51,9 +57,11 @@ def lenient_timestamp(text: Column, formats=TIMESTAMP_FORMATS) -> Column:
     job runs).
     """
     t = strip_ws(text)
-    iso = F.when(t.rlike(_ISO_DATETIME), t.try_cast(T.TimestampNTZType()))
+    # Fast path: an ISO date prefix and a successful cast. The full ISO pattern
+    # is checked only on that path, to refuse forms the cast is lenient about.
+    iso = F.when(t.rlike(_ISO_PREFIX) & t.rlike(_ISO_DATETIME), t.try_cast(T.TimestampNTZType()))
     others = [F.try_to_timestamp(t, F.lit(fmt)).cast(T.TimestampNTZType()) for fmt in formats]
-    return F.coalesce(iso, *others)
+    return F.coalesce(iso, F.when(~t.rlike(_ISO_PREFIX), F.coalesce(*others)))
 
 
 def strict_int(text: Column) -> Column:
