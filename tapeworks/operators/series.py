@@ -102,7 +102,7 @@ def _order_struct(cols: Sequence[str]) -> Column:
 
 def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time: str,
                values: Mapping[str, str], tie: Sequence[str] = (), bucket=None,
-               probe_time: str | None = None) -> DataFrame:
+               probe_time: str | None = None, distinct_probes: bool = False) -> DataFrame:
     """As-of lookup: add, to each probe row, the last non-NULL value of each
     event column in ``values`` (``{out_name: event_col}``) among events of the
     same ``keys`` with ``time <= probe time`` (inclusive).
@@ -115,6 +115,10 @@ def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time:
     the work. ``bucket=``: the window runs per (series, time bucket); a carry
     table with one row per (series, bucket) brings in the last value from
     earlier buckets. The carry table grows with the number of buckets, not rows.
+
+    ``distinct_probes``: identical probe rows come out once. The duplicates are
+    dropped after the window, where rows are already hash-partitioned by the
+    series (and bucket), so it costs no extra shuffle of the probe table.
     """
     keys = list(keys)
     tie = list(tie)
@@ -145,6 +149,8 @@ def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time:
     found = u.select(*part, _T, _SIDE, *probe_cols,
                      *[F.last(priv[o], ignorenulls=True).over(w).alias(o) for o in names]
                      ).where(F.col(_SIDE) == 1)
+    if distinct_probes:
+        found = found.dropDuplicates()
 
     if bucket is not None:
         carry = _bucket_carry(ev, pr, keys, tie, [priv[o] for o in names])

@@ -101,14 +101,14 @@ def quote_analytics(staged: DataFrame, day=None, window="30 minutes",
     trades = trades_of(staged)
     if latest_only:
         trades = keep_latest(trades, S.EVENT_KEY, S.VERSION_COL)
-    quotes = quotes_of(staged, d).dropDuplicates()
+    quotes = quotes_of(staged, d)
 
     with_avg = trailing_mean(trades, "trade_pr", "event_tm", S.SERIES_KEY, width=window,
                              out="mov_avg_trade_pr", bucket=mean_bucket)
     found = last_known(quotes, with_avg, S.SERIES_KEY, "event_tm",
                        {"prior_trade_pr": "trade_pr",
                         "prior_mov_avg_trade_pr": "mov_avg_trade_pr"},
-                       tie=TIE, bucket=asof_bucket)
+                       tie=TIE, bucket=asof_bucket, distinct_probes=True)
 
     keys = ["trade_dt", *S.SERIES_KEY]
     if keep_untraded:
