@@ -190,6 +190,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quote_analytics": q_analytics(),
     "quote_analytics_unbucketed": q_analytics(asof_bucket=None, mean_bucket=None),
     "quote_analytics_left": q_analytics(keep_untraded=True),
+    "quote_analytics_latest": q_analytics(latest_only=True),
+    "analytics_all_days": lambda s, d: R.analytics_all_days(_ticks(s, d)),
+    "eod_trades_tie_break": lambda s, d: R.eod_trades(_ticks(s, d), tie_break=["trade_pr"]),
     "price_movement": lambda s, d: R.price_movement(_ticks(s, d)),
     "report_head": lambda s, d: R.report_head(R.quote_analytics(_ticks(s, d), sort=False)),
     "run_log_latest": q_run_log_latest,

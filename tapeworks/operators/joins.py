@@ -21,7 +21,9 @@ def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "
     """
     if broadcast_max_rows is None:
         return big.join(small, on=list(on), how=how)
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    if small.count() <= broadcast_max_rows:
-        return big.join(F.broadcast(small), on=list(on), how=how)
+    cached = small.persist(StorageLevel.MEMORY_AND_DISK)
+    if cached.count() <= broadcast_max_rows:
+        return big.join(F.broadcast(cached), on=list(on), how=how)
+    # Too large to broadcast: release the cache, shuffle-join the plan.
+    cached.unpersist()
     return big.join(small, on=list(on), how=how)

@@ -277,6 +277,18 @@ def queries() -> dict[str, str]:
           " qa.prior_mov_avg_trade_pr, dc.close_trade_pr AS prior_close_trade_pr FROM qa"
           " ASOF LEFT JOIN dclose dc ON qa.symbol = dc.symbol AND qa.exchange = dc.exchange"
           " AND qa.trade_dt > dc.trade_dt")
+    latest_trades = (",\ntrades_l AS (SELECT * FROM trades QUALIFY arrival_tm = max(arrival_tm) OVER"
+                     " (PARTITION BY trade_dt, symbol, exchange, event_tm, event_seq_nb))")
+    q["quote_analytics_latest"] = (_with(TICKS, latest_trades, MEAN.replace("FROM trades", "FROM trades_l"))
+        + f" SELECT {ANALYTICS} FROM qa JOIN pclose pc"
+          " ON qa.trade_dt = pc.trade_dt AND qa.symbol = pc.symbol AND qa.exchange = pc.exchange")
+    q["analytics_all_days"] = (_with(TICKS, MEAN)
+        + " SELECT qa.symbol, qa.exchange, qa.event_tm, qa.prior_trade_pr, qa.prior_mov_avg_trade_pr,"
+          " pc.prior_close_trade_pr FROM qa JOIN pclose pc"
+          " ON qa.trade_dt = pc.trade_dt AND qa.symbol = pc.symbol AND qa.exchange = pc.exchange")
+    q["eod_trades_tie_break"] = (_with(TICKS) + f" SELECT {TRADE_COLS} FROM trades QUALIFY row_number() OVER"
+        " (PARTITION BY trade_dt, symbol, exchange, event_tm, event_seq_nb"
+        " ORDER BY arrival_tm DESC, trade_pr DESC) = 1")
     q["price_movement"] = (_with(TICKS, MEAN) + f" SELECT {ANALYTICS}, qa.bid_pr, qa.ask_pr,"
         " qa.bid_pr - pc.prior_close_trade_pr AS bid_pr_move, qa.ask_pr - pc.prior_close_trade_pr AS ask_pr_move"
         " FROM qa JOIN pclose pc"

@@ -10,7 +10,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.ingest import empty_common, parse_lines
-from ..sources.lines import FORMATS, INPUT_LAYOUT, input_glob, processing_days, read_lines
+from ..sources.lines import (FORMATS, INPUT_LAYOUT, input_glob, processing_days, read_lines,
+                             split_by_format)
 from ..sources.parquet import read_staged, write_dated, write_staged
 from ..sources.runlog import append_status
 from . import reports
@@ -35,6 +36,12 @@ def stage_lines(spark: SparkSession, paths_by_format: dict[str, Sequence[str]],
     return out
 
 
+def stage_paths(spark: SparkSession, paths: Sequence[str], **kw) -> DataFrame:
+    """S3: stage files whose format is known from their extension or folder;
+    other paths are skipped with a warning."""
+    return stage_lines(spark, split_by_format(paths), **kw)
+
+
 def ingest(spark: SparkSession, input_root: str, staged_path: str, day, prior_day=None,
            layout: str = INPUT_LAYOUT, missing_prior_ok: bool = False,
            strict_json_types: bool = True) -> DataFrame:
