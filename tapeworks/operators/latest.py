@@ -1,4 +1,4 @@
-"""Latest version per key (A1, W7, F3)."""
+"""Latest version per key (A1, W7, F3, F4)."""
 
 from __future__ import annotations
 
@@ -10,24 +10,48 @@ from .. import schema as S
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str] = S.EVENT_KEY,
-                version: str = S.VERSION_COL, tie_break: Sequence[str] | None = None) -> DataFrame:
+                version: str = S.VERSION_COL, tie_break: Sequence[str] | None = None,
+                method: str = "aggregate") -> DataFrame:
     """Keep the rows whose ``version`` equals the maximum for their ``keys``.
 
     Default: every row tied on the maximum is kept (the source behaviour: exact
-    re-deliveries all survive). With ``tie_break`` (columns ordered descending
-    after ``version``) exactly one row per key survives, chosen
-    deterministically.
-
-    Plan: one hash exchange on ``keys`` and a window over the key; the key
-    includes the event time and sequence number, so even a hot symbol spreads
-    over many partitions. Rows with a NULL key form their own group.
+    re-deliveries all survive). With ``tie_break`` exactly one row per key
+    survives: the greatest by ``version``, then ``tie_break``, then the other
+    columns, so the choice is deterministic. NULL keys group together.
+
+    ``method="aggregate"`` (default, skew-safe): the maximum per key comes from
+    a partially aggregated ``groupBy`` (a hot key ships one row per map task),
+    and rows are matched to it with an equi-join on the key, which adaptive
+    execution broadcasts when small or splits when one key is hot.
+    ``method="window"``: one hash exchange on the key and a window, the
+    cheapest plan when no key holds a large share of the rows.
     """
+    keys = list(keys)
+    if method == "window":
+        return _by_window(df, keys, version, tie_break)
+    if method != "aggregate":
+        raise ValueError(f"unknown method {method!r}")
+    if tie_break is not None:
+        rest = [c for c in df.columns if c not in keys and c != version and c not in tie_break]
+        best = F.max(F.struct(*[F.col(c) for c in [version, *tie_break, *rest]])).alias("__best")
+        return (df.groupBy(*keys).agg(best)
+                  .select(*keys, *[F.col(f"__best.{c}").alias(c) for c in [version, *tie_break, *rest]])
+                  .select(*df.columns))
+    latest = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(
+        F.max(version).alias("__max_version"))
+    cond = [df[k].eqNullSafe(latest[f"__k{i}"]) for i, k in enumerate(keys)]
+    joined = df.join(latest, cond, "inner")
+    return joined.where(F.col(version) == F.col("__max_version")).select(*[df[c] for c in df.columns])
+
+
+def _by_window(df: DataFrame, keys: list[str], version: str, tie_break) -> DataFrame:
     w = Window.partitionBy(*keys)
     if tie_break is None:
         return (df.withColumn("__max_version", F.max(version).over(w))
                   .where(F.col(version) == F.col("__max_version"))
                   .drop("__max_version"))
-    order = [F.col(version).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in tie_break]
+    rest = [c for c in df.columns if c not in keys and c != version and c not in tie_break]
+    order = [F.col(c).desc_nulls_last() for c in [version, *tie_break, *rest]]
     return (df.withColumn("__rank", F.row_number().over(w.orderBy(*order)))
               .where(F.col("__rank") == 1)
               .drop("__rank"))

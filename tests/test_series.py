@@ -138,3 +138,17 @@ def test_keep_latest_ignores_partitioning(spark):
     a = sorted(tuple(r) for r in keep_latest(df, ["key"], "arrival").collect())
     b = sorted(tuple(r) for r in keep_latest(df.repartition(5).orderBy(F.rand(1)), ["key"], "arrival").collect())
     assert a == b
+
+
+@pytest.mark.parametrize("tie_break", [None, ["v"]])
+def test_keep_latest_methods_agree(spark, tie_break):
+    import random
+    rnd = random.Random(7)
+    rows = [(rnd.randint(0, 5) if rnd.random() > 0.05 else None, T0 + dt.timedelta(minutes=rnd.randint(0, 3)),
+             float(rnd.randint(0, 4))) for _ in range(400)]
+    # One hot key holding a third of the rows.
+    rows += [(99, T0 + dt.timedelta(minutes=rnd.randint(0, 3)), float(rnd.randint(0, 4))) for _ in range(200)]
+    df = spark.createDataFrame(rows, "key int, arrival timestamp_ntz, v double")
+    a = sorted(map(tuple, keep_latest(df, ["key"], "arrival", tie_break, method="window").collect()), key=str)
+    b = sorted(map(tuple, keep_latest(df, ["key"], "arrival", tie_break, method="aggregate").collect()), key=str)
+    assert a == b
