@@ -179,6 +179,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trailing_mean_bucketed": q_trailing_mean("30 minutes"),
     "trailing_mean_events": q_trailing_mean_events(None),
     "trailing_mean_events_bucketed": q_trailing_mean_events("2 hours"),
+    "trailing_mean_events_fine": q_trailing_mean_events("5 minutes"),
     "trades_union_quotes": q_trades_union_quotes,
     "last_trade_asof": q_last_trade_asof(None),
     "last_trade_asof_bucketed": q_last_trade_asof("1 hour"),

@@ -70,11 +70,15 @@ def trailing_mean(df: DataFrame, value: str, time: str, keys: Sequence[str],
     ``time`` lies in ``[time - width, time]`` (RANGE frame: rows at the same
     time all count). NULL values are skipped; no value -> NULL.
 
-    ``bucket`` (>= ``width``): split each series into buckets of that width;
+    ``bucket`` >= ``width``: split each series into buckets of that width;
     rows in the last ``width`` of a bucket are copied into the next bucket as
     ghosts so every frame is complete inside one bucket. Costs at most one copy
     per row (width/bucket of them on average); the largest task holds two
     buckets of one series instead of the whole series.
+
+    ``bucket`` < ``width`` (decimals): prefix sums with a carry table, see
+    ``_prefix_mean``; more shuffles, but no task holds more than one bucket of
+    one series, whatever the window width.
     """
     width_us = interval_micros(width)
     keys = list(keys)
@@ -83,7 +87,9 @@ def trailing_mean(df: DataFrame, value: str, time: str, keys: Sequence[str],
         return with_t.select("*", _range_mean(with_t, value, keys, width_us, out, method)).drop(_T)
     bucket_us = interval_micros(bucket)
     if bucket_us < width_us:
-        raise ValueError("bucket must be at least as wide as the window")
+        if method != "prefix" or _mean_type(df.schema[value].dataType) is None:
+            raise ValueError("a bucket narrower than the window needs method='prefix' on a decimal")
+        return _prefix_mean(with_t, value, keys, width_us, bucket_us, out)
     b = time_bucket(F.col(_T), bucket_us)
     # One pass: each row is emitted in its own bucket, and again (as a ghost)
     # in the next bucket when it lies within ``width`` of that bucket's start.
@@ -96,6 +102,61 @@ def trailing_mean(df: DataFrame, value: str, time: str, keys: Sequence[str],
     return res.where(~F.col("__ghost")).drop(_T, _B, "__ghost")
 
 
+def _prefix_mean(df: DataFrame, value: str, keys: list[str], width_us: int, bucket_us: int,
+                 out: str) -> DataFrame:
+    """Trailing mean with buckets of any width (narrower than the window too).
+
+    mean(t) = (P(t) - P(t - width - 1us)) / (N(t) - N(t - width - 1us)), where
+    P(x) and N(x) are the sum and count of values at times <= x in the series.
+    A prefix splits into the sum inside x's bucket (a growing window frame
+    evaluated at a probe row placed at x) plus the totals of all earlier
+    buckets (a carry table, one row per series and bucket). Probes are made
+    once per distinct (series, time) and recombined by a grouped sum, then
+    joined back to the rows. Every task holds one bucket of one series, or one
+    (series, time) tie group, however hot the series is.
+    """
+    sum_t, avg_t = _mean_type(df.schema[value].dataType)
+    kcols = [F.col(k) for k in keys]
+    vals = df.select(*kcols, F.col(_T), F.col(value).alias("__v")).where(F.col("__v").isNotNull())
+    points = df.select(*kcols, F.col(_T).alias("__t0")).distinct()
+    probes = points.select(*kcols, "__t0", F.explode(F.array(
+        F.struct(F.lit(1).alias("sign"), F.col("__t0").alias("x")),
+        F.struct(F.lit(-1).alias("sign"), (F.col("__t0") - F.lit(width_us + 1)).alias("x")))).alias("__p"))
+    probes = probes.select(*kcols, "__t0", F.col("__p.sign").alias("__sign"), F.col("__p.x").alias(_T))
+    u = (vals.withColumn(_SIDE, F.lit(0))
+         .unionByName(probes.withColumn(_SIDE, F.lit(1)), allowMissingColumns=True)
+         .withColumn(_B, time_bucket(F.col(_T), bucket_us)))
+    w = Window.partitionBy(*keys, _B).orderBy(_T).rangeBetween(Window.unboundedPreceding, 0)
+    inner = (u.select(*kcols, _B, _SIDE, "__t0", "__sign",
+                      F.sum("__v").over(w).alias("__s"), F.count("__v").over(w).alias("__n"))
+              .where(F.col(_SIDE) == 1))
+    # Carry: totals of all earlier buckets. Probe buckets sort before value
+    # buckets with the same start, so their running total excludes their own.
+    totals = vals.withColumn(_B, time_bucket(F.col(_T), bucket_us)).groupBy(*keys, _B).agg(
+        F.sum("__v").alias("__s"), F.count("__v").alias("__n"))
+    pb = inner.select(*kcols, _B).distinct()
+    cw = (Window.partitionBy(*keys).orderBy(_B, _SIDE)
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    carry = (totals.withColumn(_SIDE, F.lit(1))
+             .unionByName(pb.withColumn(_SIDE, F.lit(0)), allowMissingColumns=True)
+             .select(*kcols, _B, _SIDE, F.sum("__s").over(cw).alias("__cs"),
+                     F.sum("__n").over(cw).alias("__cn"))
+             .where(F.col(_SIDE) == 0).drop(_SIDE))
+    prefix = inner.join(carry, on=keys + [_B], how="left").select(
+        *kcols, "__t0", "__sign",
+        (F.coalesce("__s", F.lit(0)) + F.coalesce("__cs", F.lit(0))).alias("__P"),
+        (F.coalesce("__n", F.lit(0)) + F.coalesce("__cn", F.lit(0))).alias("__N"))
+    per_time = prefix.groupBy(*keys, "__t0").agg(
+        F.sum(F.col("__P") * F.col("__sign")).alias("__ws"),
+        F.sum(F.col("__N") * F.col("__sign")).alias("__wn"))
+    mean = (F.col("__ws").cast(sum_t) / F.col("__wn").cast(T.DecimalType(20, 0))).cast(avg_t)
+    per_time = per_time.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                               "__t0", F.when(F.col("__wn") > 0, mean).alias(out))
+    cond = [df[k].eqNullSafe(per_time[f"__k{i}"]) for i, k in enumerate(keys)]
+    cond.append(df[_T] == per_time["__t0"])
+    return df.join(per_time, cond, "left").select(*[df[c] for c in df.columns if c != _T], out)
+
+
 def _order_struct(cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in cols])
 

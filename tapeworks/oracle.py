@@ -247,6 +247,7 @@ def queries() -> dict[str, str]:
     q["trailing_mean_events"] = (f"SELECT event_id, event_type, ts, CAST(value AS DECIMAL(10,2)) AS px, "
                                  f"{ev_mean} AS mean_px FROM events")
     q["trailing_mean_events_bucketed"] = q["trailing_mean_events"]
+    q["trailing_mean_events_fine"] = q["trailing_mean_events"]
     q["trades_union_quotes"] = (_with(TICKS, MEAN)
         + f" SELECT {COMMON}, CAST({_cents_mean('symbol, exchange', 'event_tm', 'trade_pr')} AS DECIMAL(10,2))"
           " AS mov_avg_trade_pr FROM ticks WHERE partition = 'T'"

@@ -81,7 +81,7 @@ def _prior_close_any_day(trades: DataFrame, quotes: DataFrame) -> DataFrame:
 
 def quote_analytics(staged: DataFrame, day=None, window="30 minutes",
                     latest_only: bool = False, keep_untraded: bool = False,
-                    asof_bucket="1 hour", mean_bucket="30 minutes",
+                    asof_bucket="1 second", mean_bucket="1 minute",
                     with_movement: bool = False, sort: bool = True,
                     broadcast_max_rows: int | None = 1_000_000) -> DataFrame:
     """For each distinct quote: the last trade price at or before it, the
@@ -94,7 +94,10 @@ def quote_analytics(staged: DataFrame, day=None, window="30 minutes",
     * The as-of runs across days: the first quotes of a day see the previous
       day's last trade.
     * ``asof_bucket`` / ``mean_bucket``: time buckets that split each series
-      for the windows (skew); ``None`` windows whole series.
+      for the windows, so a hot symbol spreads over many tasks; ``None``
+      windows whole series (cheapest when no symbol is hot). A mean bucket
+      narrower than ``window`` uses the prefix-sum form, a wider one the ghost
+      form.
     * ``with_movement`` adds bid/ask and their difference to the prior close.
     """
     d = _day(day)

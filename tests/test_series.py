@@ -44,7 +44,8 @@ def _mean_brute(rows, width):
 
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("bucket,method", [(None, "prefix"), (None, "sliding"),
-                                           ("30 minutes", "prefix"), ("2 hours", "prefix")])
+                                           ("30 minutes", "prefix"), ("2 hours", "prefix"),
+                                           ("7 minutes", "prefix"), ("1 second", "prefix")])
 def test_trailing_mean_matches_brute_force(spark, seed, bucket, method):
     rows = _events(300, seed)
     got = trailing_mean(_df(spark, rows), "px", "t", ["k"], "30 minutes", out="m",
@@ -59,9 +60,10 @@ def test_trailing_mean_type_matches_avg(spark):
     assert df.schema["mov_avg"].dataType.simpleString() == "decimal(14,6)"
 
 
-def test_trailing_mean_rejects_narrow_bucket(spark):
+def test_trailing_mean_narrow_bucket_needs_decimal_prefix(spark):
     with pytest.raises(ValueError):
-        trailing_mean(_df(spark, _events(5, 1)), "px", "t", ["k"], "30 minutes", bucket="10 minutes")
+        trailing_mean(_df(spark, _events(5, 1)), "px", "t", ["k"], "30 minutes", bucket="10 minutes",
+                      method="sliding")
 
 
 def _asof_brute(probes, events):
