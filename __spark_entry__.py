@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapeworks import fixtures as fx
@@ -34,7 +35,9 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _ticks(spark, sf_dir):
-    return fx.ticks(_t(spark, sf_dir, "events"))
+    """The staged-shaped ticks, kept for the reports that read them several
+    times (M1: the source cached its staged table the same way)."""
+    return fx.ticks(_t(spark, sf_dir, "events")).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _staged_cols(df: DataFrame) -> DataFrame:

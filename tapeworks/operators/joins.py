@@ -4,26 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's optimizer estimate of ``df``'s size. Without cost-based
+    statistics a filter, projection, window or aggregate never estimates more
+    than its input, so for plans built from scans this is an upper bound."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
 
 def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
-               broadcast_max_rows: int | None = 1_000_000) -> DataFrame:
+               broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Join ``big`` with ``small`` on ``on``.
 
-    ``small`` is persisted (memory, spilling to disk; lost blocks are rebuilt
-    from lineage) and counted. At or under ``broadcast_max_rows`` it is
-    broadcast, so ``big`` is not shuffled; above it the join is a plain
-    shuffle join planned by Spark (AQE may still pick a broadcast at run time
-    from the real shuffle sizes). ``broadcast_max_rows=None`` skips the check
-    and leaves the choice to Spark.
+    ``small`` is broadcast (``big`` is not shuffled) when its estimated size
+    is at most ``broadcast_max_bytes``. Otherwise the join is planned as a
+    shuffle join, and adaptive execution may still turn it into a broadcast
+    from the measured size of ``small`` at run time. ``None`` leaves the choice
+    to Spark entirely. No job runs to decide.
     """
-    if broadcast_max_rows is None:
-        return big.join(small, on=list(on), how=how)
-    cached = small.persist(StorageLevel.MEMORY_AND_DISK)
-    if cached.count() <= broadcast_max_rows:
-        return big.join(F.broadcast(cached), on=list(on), how=how)
-    # Too large to broadcast: release the cache, shuffle-join the plan.
-    cached.unpersist()
+    if broadcast_max_bytes is not None and estimated_bytes(small) <= broadcast_max_bytes:
+        return big.join(F.broadcast(small), on=list(on), how=how)
     return big.join(small, on=list(on), how=how)

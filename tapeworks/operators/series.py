@@ -111,14 +111,17 @@ def _prefix_mean(df: DataFrame, value: str, keys: list[str], width_us: int, buck
     A prefix splits into the sum inside x's bucket (a growing window frame
     evaluated at a probe row placed at x) plus the totals of all earlier
     buckets (a carry table, one row per series and bucket). Probes are made
-    once per distinct (series, time) and recombined by a grouped sum, then
+    two per row and recombined per (series, time) by a grouped aggregate, then
     joined back to the rows. Every task holds one bucket of one series, or one
     (series, time) tie group, however hot the series is.
     """
     sum_t, avg_t = _mean_type(df.schema[value].dataType)
     kcols = [F.col(k) for k in keys]
     vals = df.select(*kcols, F.col(_T), F.col(value).alias("__v")).where(F.col("__v").isNotNull())
-    points = df.select(*kcols, F.col(_T).alias("__t0")).distinct()
+    # Two probes per row; rows with the same (series, time) give identical
+    # probes, so they are recombined with max below instead of de-duplicated
+    # here (that would cost a shuffle).
+    points = df.select(*kcols, F.col(_T).alias("__t0"))
     probes = points.select(*kcols, "__t0", F.explode(F.array(
         F.struct(F.lit(1).alias("sign"), F.col("__t0").alias("x")),
         F.struct(F.lit(-1).alias("sign"), (F.col("__t0") - F.lit(width_us + 1)).alias("x")))).alias("__p"))
@@ -130,25 +133,25 @@ def _prefix_mean(df: DataFrame, value: str, keys: list[str], width_us: int, buck
     inner = (u.select(*kcols, _B, _SIDE, "__t0", "__sign",
                       F.sum("__v").over(w).alias("__s"), F.count("__v").over(w).alias("__n"))
               .where(F.col(_SIDE) == 1))
-    # Carry: totals of all earlier buckets. Probe buckets sort before value
-    # buckets with the same start, so their running total excludes their own.
-    totals = vals.withColumn(_B, time_bucket(F.col(_T), bucket_us)).groupBy(*keys, _B).agg(
-        F.sum("__v").alias("__s"), F.count("__v").alias("__n"))
-    pb = inner.select(*kcols, _B).distinct()
+    # Carry: totals of all earlier buckets, from one partial aggregate over
+    # value rows (side 1) and probe rows (side 0, contributing nothing). A
+    # probe bucket sorts before the value bucket with the same start, so its
+    # running total holds earlier buckets only.
+    per_bucket = (u.withColumn(_SIDE, 1 - F.col(_SIDE))
+                  .groupBy(*keys, _B, _SIDE).agg(F.sum("__v").alias("__s"), F.count("__v").alias("__n")))
     cw = (Window.partitionBy(*keys).orderBy(_B, _SIDE)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carry = (totals.withColumn(_SIDE, F.lit(1))
-             .unionByName(pb.withColumn(_SIDE, F.lit(0)), allowMissingColumns=True)
-             .select(*kcols, _B, _SIDE, F.sum("__s").over(cw).alias("__cs"),
-                     F.sum("__n").over(cw).alias("__cn"))
+    carry = (per_bucket.select(*kcols, _B, _SIDE, F.sum("__s").over(cw).alias("__cs"),
+                               F.sum("__n").over(cw).alias("__cn"))
              .where(F.col(_SIDE) == 0).drop(_SIDE))
     prefix = inner.join(carry, on=keys + [_B], how="left").select(
         *kcols, "__t0", "__sign",
         (F.coalesce("__s", F.lit(0)) + F.coalesce("__cs", F.lit(0))).alias("__P"),
         (F.coalesce("__n", F.lit(0)) + F.coalesce("__cn", F.lit(0))).alias("__N"))
+    hi, lo = F.col("__sign") == 1, F.col("__sign") == -1
     per_time = prefix.groupBy(*keys, "__t0").agg(
-        F.sum(F.col("__P") * F.col("__sign")).alias("__ws"),
-        F.sum(F.col("__N") * F.col("__sign")).alias("__wn"))
+        (F.max(F.when(hi, F.col("__P"))) - F.max(F.when(lo, F.col("__P")))).alias("__ws"),
+        (F.max(F.when(hi, F.col("__N"))) - F.max(F.when(lo, F.col("__N")))).alias("__wn"))
     mean = (F.col("__ws").cast(sum_t) / F.col("__wn").cast(T.DecimalType(20, 0))).cast(avg_t)
     per_time = per_time.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
                                "__t0", F.when(F.col("__wn") > 0, mean).alias(out))
@@ -228,12 +231,12 @@ def _bucket_carry(ev: DataFrame, pr: DataFrame, keys: list[str], tie: list[str],
     over all *earlier* buckets. Built from a per-bucket partial aggregate, so
     its size is (series x buckets), whatever the row count."""
     order_cols = [_T] + tie
-    per_bucket = ev.groupBy(*keys, _B).agg(*[
+    # One partial aggregate over event rows (side 1) and probe buckets (side 0).
+    both = (ev.select(*keys, _B, *order_cols, *vals, F.lit(1).alias(_SIDE))
+            .unionByName(pr.select(*keys, _B, F.lit(0).alias(_SIDE)), allowMissingColumns=True))
+    u = both.groupBy(*keys, _B, _SIDE).agg(*[
         F.max_by(F.col(v), F.when(F.col(v).isNotNull(), _order_struct(order_cols + [v]))).alias(v)
         for v in vals])
-    probe_buckets = pr.select(*keys, _B).distinct()
-    u = (per_bucket.withColumn(_SIDE, F.lit(1))
-         .unionByName(probe_buckets.withColumn(_SIDE, F.lit(0)), allowMissingColumns=True))
     # A probe bucket sorts before the event bucket with the same start, so its
     # frame holds strictly earlier buckets only.
     w = (Window.partitionBy(*keys).orderBy(_B, _SIDE)

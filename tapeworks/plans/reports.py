@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
-from ..operators.joins import join_small
+from ..operators.joins import DEFAULT_BROADCAST_BYTES, join_small
 from ..operators.latest import keep_latest
 from ..operators.series import last_known, period_close, prior_period, trailing_mean
+from ..session import shared_dir
 
 TIE = ("event_seq_nb", "arrival_tm")
 
@@ -83,7 +84,7 @@ def quote_analytics(staged: DataFrame, day=None, window="30 minutes",
                     latest_only: bool = False, keep_untraded: bool = False,
                     asof_bucket="1 second", mean_bucket="1 minute",
                     with_movement: bool = False, sort: bool = True,
-                    broadcast_max_rows: int | None = 1_000_000) -> DataFrame:
+                    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """For each distinct quote: the last trade price at or before it, the
     trailing ``window`` mean price at that trade, and the previous traded day's
     close. Quotes on a day without trades are dropped unless ``keep_untraded``.
@@ -108,6 +109,12 @@ def quote_analytics(staged: DataFrame, day=None, window="30 minutes",
 
     with_avg = trailing_mean(trades, "trade_pr", "event_tm", S.SERIES_KEY, width=window,
                              out="mov_avg_trade_pr", bucket=mean_bucket)
+    if asof_bucket is not None:
+        # The bucketed as-of reads the trades twice (window and carry table):
+        # compute them once, into the shared checkpoint folder (lineage cut, and
+        # the copy survives the loss of an executor).
+        shared_dir(staged.sparkSession)
+        with_avg = with_avg.checkpoint(eager=True)
     found = last_known(quotes, with_avg, S.SERIES_KEY, "event_tm",
                        {"prior_trade_pr": "trade_pr",
                         "prior_mov_avg_trade_pr": "mov_avg_trade_pr"},
@@ -116,12 +123,12 @@ def quote_analytics(staged: DataFrame, day=None, window="30 minutes",
     keys = ["trade_dt", *S.SERIES_KEY]
     if keep_untraded:
         close = _prior_close_any_day(trades, quotes)
-        out = join_small(found, close, keys, "left", broadcast_max_rows)
+        out = join_small(found, close, keys, "left", broadcast_max_bytes)
     else:
         close = prior_close(trades)
         if d is not None:
             close = close.where(F.col("trade_dt") == F.lit(d))
-        out = join_small(found, close, keys, "inner", broadcast_max_rows)
+        out = join_small(found, close, keys, "inner", broadcast_max_bytes)
 
     cols = [F.col("trade_dt"), F.col("symbol"), F.col("exchange"), F.col("event_tm"),
             F.col("prior_trade_pr"),

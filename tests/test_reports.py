@@ -60,7 +60,7 @@ def test_quote_analytics_semantics(spark, tape):
 
 @pytest.mark.parametrize("kw", [dict(asof_bucket=None, mean_bucket=None),
                                 dict(asof_bucket="1 minute", mean_bucket="1 hour"),
-                                dict(broadcast_max_rows=0), dict(broadcast_max_rows=None)])
+                                dict(broadcast_max_bytes=0), dict(broadcast_max_bytes=None)])
 def test_quote_analytics_forms_agree(spark, tape, kw):
     base = sorted(tuple(r) for r in R.quote_analytics(tape, None).collect())
     assert sorted(tuple(r) for r in R.quote_analytics(tape, None, **kw).collect()) == base
@@ -110,7 +110,21 @@ def test_bad_processing_date(spark, tape):
         R.quote_analytics(tape, "2020-8-6")
 
 
-def test_plan_shape(spark, tape):
-    plan = R.quote_analytics(tape, D2)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+def test_plan_shape(spark, tape, tmp_path):
+    from tapeworks.operators.joins import estimated_bytes
+    from tapeworks.sources.parquet import read_staged, write_staged
+    write_staged(tape, str(tmp_path / "staged"))
+    staged = read_staged(spark, str(tmp_path / "staged"))
+    assert estimated_bytes(R.prior_close(R.trades_of(staged))) < 64 * 1024 * 1024
+    plan = R.quote_analytics(staged, D2)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan  # the size-checked prior-close table
+    assert "PartitionFilters: [isnotnull(partition" in plan
     assert "Python" not in plan
+
+
+def test_unknown_size_is_not_broadcast(spark, tape):
+    from tapeworks.operators.joins import join_small
+    small = R.prior_close(R.trades_of(tape.repartition(2)))
+    plan = join_small(R.quotes_of(tape), small, ["trade_dt", "symbol", "exchange"],
+                      broadcast_max_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan.lower()
