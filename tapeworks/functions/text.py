@@ -56,12 +56,16 @@ def lenient_timestamp(text: Column, formats=TIMESTAMP_FORMATS) -> Column:
     A time without a date is rejected (it would otherwise depend on the day the
     job runs).
     """
-    t = strip_ws(text)
-    # Fast path: an ISO date prefix and a successful cast. The full ISO pattern
-    # is checked only on that path, to refuse forms the cast is lenient about.
-    iso = F.when(t.rlike(_ISO_PREFIX) & t.rlike(_ISO_DATETIME), t.try_cast(T.TimestampNTZType()))
+    return _timestamp(strip_ws(text), formats)
+
+
+def _timestamp(t: Column, formats) -> Column:
+    # ISO 8601 first (its full pattern refuses forms the cast is lenient
+    # about); text that does not start with an ISO date tries ``formats``.
+    iso_start = t.rlike(_ISO_PREFIX)
+    iso = F.when(t.rlike(_ISO_DATETIME), t.try_cast(T.TimestampNTZType()))
     others = [F.try_to_timestamp(t, F.lit(fmt)).cast(T.TimestampNTZType()) for fmt in formats]
-    return F.coalesce(iso, F.when(~t.rlike(_ISO_PREFIX), F.coalesce(*others)))
+    return F.when(iso_start, iso).otherwise(F.coalesce(*others))
 
 
 def strict_int(text: Column) -> Column:
@@ -76,17 +80,23 @@ def strict_decimal(text: Column, dtype: T.DecimalType = T.DecimalType(10, 2)) ->
     return F.when(t.rlike(_DECIMAL), t.try_cast(dtype))
 
 
-def convert_text(text: Column, dtype: T.DataType) -> Column:
-    """Dispatch on the target type: the CSV path, where every value is text."""
+def convert_text(text: Column, dtype: T.DataType, stripped: bool = False) -> Column:
+    """Dispatch on the target type: the CSV path, where every value is text.
+
+    ``stripped=True`` when ``text`` is already trimmed (the parsers trim in a
+    projection of its own, so the trim is not repeated inside every branch).
+    """
+    strip = (lambda c: c) if stripped else strip_ws
+    t = strip(text)
     if isinstance(dtype, T.DateType):
-        return strict_date(text)
+        return F.when(t.rlike(_ISO_DATE), t.try_cast(T.DateType()))
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        ts = lenient_timestamp(text)
+        ts = _timestamp(t, TIMESTAMP_FORMATS)
         return ts if isinstance(dtype, T.TimestampNTZType) else ts.cast(dtype)
     if isinstance(dtype, T.IntegerType):
-        return strict_int(text)
+        return F.when(t.rlike(_INT), t.try_cast(T.IntegerType()))
     if isinstance(dtype, T.DecimalType):
-        return strict_decimal(text, dtype)
+        return F.when(t.rlike(_DECIMAL), t.try_cast(dtype))
     if isinstance(dtype, T.StringType):
-        return strip_ws(text)
+        return t
     raise TypeError(f"unsupported target type {dtype}")

@@ -122,6 +122,8 @@ def parse_csv(lines: DataFrame, line_col: str = "value",
                             .when(is_t, _field(parts, t_pos.get(f.name))))
     step3 = step2.select("__line", "__kind", (is_q | is_t).alias("__known"),
                          *[r.alias(f"__r_{k}") for k, r in raw.items()])
+    step3 = step3.select("__line", "__kind", "__known",
+                         *[strip_ws(F.col(f"__r_{k}")).alias(f"__r_{k}") for k in raw])
     out = []
     for f in schema.fields:
         if f.name in ("partition", "line"):
@@ -130,32 +132,34 @@ def parse_csv(lines: DataFrame, line_col: str = "value",
             out += [F.col("__kind").alias("__c_rec_type"), F.lit(True).alias("__ok_rec_type")]
         elif f.name in raw:
             r = F.col(f"__r_{f.name}")
-            out += _checked(f.name, r.isNotNull(), convert_text(r, f.dataType), f.nullable)
+            out += _checked(f.name, r.isNotNull(), convert_text(r, f.dataType, stripped=True),
+                            f.nullable)
         else:
             out += [F.lit(None).alias(f"__c_{f.name}"), F.lit(f.nullable).alias(f"__ok_{f.name}")]
     step4 = step3.select("__line", "__kind", "__known", *out)
     return _conform(step4, "__line", schema)
 
 
-def _json_value(v: Column, dtype: T.DataType, strict: bool) -> Column:
-    """Convert one VARIANT value to ``dtype`` under the JSON type rules."""
-    t = json_type(v)
-    as_text = F.try_variant_get(v, "$", "string")
-    is_str = t == "STRING"
-    if isinstance(dtype, T.StringType):
-        return F.when(is_str, strip_ws(as_text))
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.when(is_str, convert_text(as_text, dtype))
+_INTEGRAL = ("TINYINT", "SMALLINT", "INT", "BIGINT")
+
+
+def _json_value(name: str, dtype: T.DataType, strict: bool) -> Column:
+    """Convert one JSON value to ``dtype`` under the JSON type rules, from the
+    columns ``__j_<name>`` (VARIANT), ``__t_<name>`` (its type name) and
+    ``__x_<name>`` (its trimmed text when it is a JSON string)."""
+    v, t, text = F.col(f"__j_{name}"), F.col(f"__t_{name}"), F.col(f"__x_{name}")
+    if isinstance(dtype, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return convert_text(text, dtype, stripped=True)  # NULL unless a JSON string
     if isinstance(dtype, T.IntegerType):
-        integral = t.isin("TINYINT", "SMALLINT", "INT", "BIGINT", "BOOLEAN")
+        integral = t.isin(*_INTEGRAL, "BOOLEAN")
         return (F.when(integral, F.try_variant_get(v, "$", "int"))
-                 .when(is_str, convert_text(as_text, dtype)))
+                 .otherwise(convert_text(text, dtype, stripped=True)))
     if isinstance(dtype, T.DecimalType):
         fractional = t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT")
         if not strict:
-            fractional = fractional | t.isin("TINYINT", "SMALLINT", "INT", "BIGINT")
+            fractional = fractional | t.isin(*_INTEGRAL)
         return (F.when(fractional, F.try_variant_get(v, "$", dtype.simpleString()))
-                 .when(is_str, convert_text(as_text, dtype)))
+                 .otherwise(convert_text(text, dtype, stripped=True)))
     raise TypeError(f"unsupported target type {dtype}")
 
 
@@ -173,19 +177,27 @@ def parse_json(lines: DataFrame, line_col: str = "value", strict_json_types: boo
     step2 = step1.select("__line", json_field(obj, "event_type").alias("__kind_v"),
                          *[json_field(obj, *_SOURCE_KEYS[f.name]).alias(f"__j_{f.name}")
                            for f in data])
+    # Type name of each value, and its text when it is a JSON string.
+    step3 = step2.select("__line", "__kind_v", *[F.col(f"__j_{f.name}") for f in data],
+                         *[json_type(F.col(f"__j_{f.name}")).alias(f"__t_{f.name}") for f in data])
     kind_v = F.col("__kind_v")
     kind = F.when(json_type(kind_v) == "STRING", F.try_variant_get(kind_v, "$", "string"))
+    step4 = step3.select(
+        "__line", kind.alias("__kind"),
+        *[F.col(f"__j_{f.name}") for f in data], *[F.col(f"__t_{f.name}") for f in data],
+        *[strip_ws(F.when(F.col(f"__t_{f.name}") == "STRING",
+                          F.try_variant_get(F.col(f"__j_{f.name}"), "$", "string"))).alias(f"__x_{f.name}")
+          for f in data])
     out = [F.col("__kind").alias("__c_rec_type"), F.lit(True).alias("__ok_rec_type")]
     for f in data:
-        v = F.col(f"__j_{f.name}")
-        extra = None if strict_json_types else (json_type(v) == "VOID")
-        out += _checked(f.name, v.isNotNull(), _json_value(v, f.dataType, strict_json_types),
+        present = F.col(f"__j_{f.name}").isNotNull()
+        extra = None if strict_json_types else (F.col(f"__t_{f.name}") == "VOID")
+        out += _checked(f.name, present, _json_value(f.name, f.dataType, strict_json_types),
                         f.nullable, extra)
-    step3 = step2.select("__line", kind.alias("__kind"), *[F.col(f"__j_{f.name}") for f in data])
-    step3 = step3.select("__line", "__kind",
+    step5 = step4.select("__line", "__kind",
                          F.coalesce(F.col("__kind").isin(S.QUOTE, S.TRADE), F.lit(False)).alias("__known"),
                          *out)
-    return _conform(step3, "__line", schema)
+    return _conform(step5, "__line", schema)
 
 
 def parse_lines(lines: DataFrame, fmt: str, line_col: str = "value", **kw) -> DataFrame:
