@@ -52,12 +52,19 @@ def _bad(df: DataFrame) -> DataFrame:
     return df.where(F.col("partition") == S.BAD)
 
 
+def _feed(spark, sf_dir, build, spread: bool = True, **kw) -> DataFrame:
+    """Feed lines from ``events``; ``spread`` deals them over the session's
+    cores like a multi-file feed (queries that first write the feed to files
+    read it back as many splits anyway)."""
+    n = spark.sparkContext.defaultParallelism if spread else None
+    return build(_t(spark, sf_dir, "events"), partitions=n, **kw)
+
+
 def _write_feed(spark, sf_dir) -> str:
     """Write CSV and JSON feed lines under <root>/<fmt>/feed_date=<day>/batch=0/."""
-    ev = _t(spark, sf_dir, "events")
     root = scratch_path(spark, "feed")
     for fmt, build in (("csv", fx.csv_lines), ("json", fx.json_lines)):
-        (build(ev, with_day=True).withColumn("batch", F.lit(0))
+        (_feed(spark, sf_dir, build, spread=False, with_day=True).withColumn("batch", F.lit(0))
            .write.partitionBy("feed_date", "batch").text(f"{root}/{fmt}"))
     return root
 
@@ -74,8 +81,8 @@ def q_stage_multi_source(spark, sf_dir):
 
 
 def _staged_from_lines(spark, sf_dir) -> DataFrame:
-    ev = _t(spark, sf_dir, "events")
-    return parse_csv(fx.csv_lines(ev)).unionByName(parse_json(fx.json_lines(ev)))
+    return parse_csv(_feed(spark, sf_dir, fx.csv_lines, spread=False)).unionByName(
+        parse_json(_feed(spark, sf_dir, fx.json_lines, spread=False)))
 
 
 def q_stage_roundtrip(spark, sf_dir):
@@ -163,10 +170,10 @@ def q_run_log_latest(spark, sf_dir):
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_line_count": q_text_line_count,
-    "stage_csv_valid": lambda s, d: _valid(parse_csv(fx.csv_lines(_t(s, d, "events")))),
-    "stage_csv_quarantine": lambda s, d: _bad(parse_csv(fx.csv_lines(_t(s, d, "events")))),
-    "stage_json_valid": lambda s, d: _valid(parse_json(fx.json_lines(_t(s, d, "events")))),
-    "stage_json_quarantine": lambda s, d: _bad(parse_json(fx.json_lines(_t(s, d, "events")))),
+    "stage_csv_valid": lambda s, d: _valid(parse_csv(_feed(s, d, fx.csv_lines))),
+    "stage_csv_quarantine": lambda s, d: _bad(parse_csv(_feed(s, d, fx.csv_lines))),
+    "stage_json_valid": lambda s, d: _valid(parse_json(_feed(s, d, fx.json_lines))),
+    "stage_json_quarantine": lambda s, d: _bad(parse_json(_feed(s, d, fx.json_lines))),
     "stage_multi_source": q_stage_multi_source,
     "stage_roundtrip": q_stage_roundtrip,
     "trades_only": lambda s, d: R.trades_of(_ticks(s, d)),
@@ -193,6 +200,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prior_close": lambda s, d: R.prior_close(R.trades_of(_ticks(s, d))),
     "quote_analytics": q_analytics(),
     "quote_analytics_unbucketed": q_analytics(asof_bucket=None, mean_bucket=None),
+    "quote_analytics_bucketed": q_analytics(asof_bucket="1 second", mean_bucket="1 minute"),
+    "quote_analytics_ghost": q_analytics(asof_bucket="1 hour", mean_bucket="30 minutes"),
     "quote_analytics_left": q_analytics(keep_untraded=True),
     "quote_analytics_latest": q_analytics(latest_only=True),
     "analytics_all_days": lambda s, d: R.analytics_all_days(_ticks(s, d)),

@@ -106,7 +106,14 @@ def _line_fields(b: DataFrame):
     return f, is_t
 
 
-def csv_lines(events: DataFrame, with_day: bool = False) -> DataFrame:
+def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """A real feed arrives as many files, each its own input split; the
+    driver's ``events`` table is a single split. ``partitions`` spreads the
+    generated lines round-robin so the parse runs in parallel as it would."""
+    return df.repartition(partitions) if partitions else df
+
+
+def csv_lines(events: DataFrame, with_day: bool = False, partitions: int | None = None) -> DataFrame:
     """CSV feed lines (column ``value``) for every base tick, with bad and
     unusual lines selected by ``event_id % 50`` (see ``CSV_BAD``/``CSV_ODD``)."""
     b = base_ticks(events)
@@ -135,7 +142,7 @@ def csv_lines(events: DataFrame, with_day: bool = False) -> DataFrame:
         F.concat_ws(",", *head, f["ask_pr"]))
     line = (F.when(c == 0, short).when(c == 1, F.lit(""))
             .when(c == 2, F.concat_ws(",", d, f["file_tm"])).otherwise(full))
-    return b.select(line.alias("value"), *_day(with_day))
+    return _spread(b.select(line.alias("value"), *_day(with_day)), partitions)
 
 
 def _day(with_day: bool) -> list[Column]:
@@ -148,7 +155,7 @@ def _kv(key: str, value: Column, quoted: bool) -> Column:
     return F.concat(F.lit(f'"{key}":'), v)
 
 
-def json_lines(events: DataFrame, with_day: bool = False) -> DataFrame:
+def json_lines(events: DataFrame, with_day: bool = False, partitions: int | None = None) -> DataFrame:
     """JSON feed lines for every base tick, with bad and unusual lines selected
     by ``event_id % 50`` (see ``JSON_BAD``/``JSON_ODD``)."""
     b = base_ticks(events)
@@ -187,8 +194,8 @@ def json_lines(events: DataFrame, with_day: bool = False) -> DataFrame:
     line = (F.when(c == 0, F.expr("substring(__body, 1, length(__body) - 1)"))
             .when(c == 1, F.lit("[1,2]")).when(c == 2, F.lit(""))
             .when(c == 17, F.lit('"hello"')).otherwise(F.col("__body")))
-    return (b.select(body.alias("__body"), "event_id", "trade_dt")
-             .select(line.alias("value"), *_day(with_day)))
+    return _spread(b.select(body.alias("__body"), "event_id", "trade_dt")
+                   .select(line.alias("value"), *_day(with_day)), partitions)
 
 
 def run_log(orders: DataFrame) -> DataFrame:

@@ -273,6 +273,8 @@ def queries() -> dict[str, str]:
                 " ON qa.trade_dt = pc.trade_dt AND qa.symbol = pc.symbol AND qa.exchange = pc.exchange")
     q["quote_analytics"] = flagship
     q["quote_analytics_unbucketed"] = flagship
+    q["quote_analytics_bucketed"] = flagship
+    q["quote_analytics_ghost"] = flagship
     q["quote_analytics_left"] = (_with(TICKS, MEAN)
         + " SELECT qa.trade_dt, qa.symbol, qa.exchange, qa.event_tm, qa.prior_trade_pr,"
           " qa.prior_mov_avg_trade_pr, dc.close_trade_pr AS prior_close_trade_pr FROM qa"

@@ -80,9 +80,21 @@ def _prior_close_any_day(trades: DataFrame, quotes: DataFrame) -> DataFrame:
     return found.drop("__day_tm")
 
 
+HOT_SERIES_ROWS = 5_000_000
+HOT_BUCKETS = {"asof": "1 second", "mean": "1 minute"}
+
+
+def largest_series(df: DataFrame, keys=S.SERIES_KEY) -> int:
+    """Row count of the largest series: one partially aggregated count per
+    key, and a single number back to the driver."""
+    top = df.groupBy(*keys).count().agg(F.max("count").alias("n")).first()
+    return int(top["n"] or 0) if top else 0
+
+
 def quote_analytics(staged: DataFrame, day=None, window="30 minutes",
                     latest_only: bool = False, keep_untraded: bool = False,
-                    asof_bucket="1 second", mean_bucket="1 minute",
+                    asof_bucket="auto", mean_bucket="auto",
+                    hot_series_rows: int = HOT_SERIES_ROWS,
                     with_movement: bool = False, sort: bool = True,
                     broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """For each distinct quote: the last trade price at or before it, the
@@ -98,10 +110,17 @@ def quote_analytics(staged: DataFrame, day=None, window="30 minutes",
       for the windows, so a hot symbol spreads over many tasks; ``None``
       windows whole series (cheapest when no symbol is hot). A mean bucket
       narrower than ``window`` uses the prefix-sum form, a wider one the ghost
-      form.
+      form. ``"auto"`` counts the rows of the largest series first and
+      buckets (1 second / 1 minute) only when it exceeds ``hot_series_rows``.
+      Every choice gives the same result.
     * ``with_movement`` adds bid/ask and their difference to the prior close.
     """
     d = _day(day)
+    if "auto" in (asof_bucket, mean_bucket):
+        ticks = staged.where(F.col("partition").isin(S.TRADE, S.QUOTE))
+        hot = largest_series(ticks) > hot_series_rows
+        asof_bucket = (HOT_BUCKETS["asof"] if hot else None) if asof_bucket == "auto" else asof_bucket
+        mean_bucket = (HOT_BUCKETS["mean"] if hot else None) if mean_bucket == "auto" else mean_bucket
     trades = trades_of(staged)
     if latest_only:
         trades = keep_latest(trades, S.EVENT_KEY, S.VERSION_COL)

@@ -59,6 +59,8 @@ def test_quote_analytics_semantics(spark, tape):
 
 
 @pytest.mark.parametrize("kw", [dict(asof_bucket=None, mean_bucket=None),
+                                dict(hot_series_rows=0),
+                                dict(asof_bucket="1 second", mean_bucket="1 minute"),
                                 dict(asof_bucket="1 minute", mean_bucket="1 hour"),
                                 dict(broadcast_max_bytes=0), dict(broadcast_max_bytes=None)])
 def test_quote_analytics_forms_agree(spark, tape, kw):
