@@ -44,39 +44,40 @@ def strip_ws(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-def strict_date(text: Column) -> Column:
+def _trimmed(text: Column, stripped: bool) -> Column:
+    return text if stripped else strip_ws(text)
+
+
+def strict_date(text: Column, stripped: bool = False) -> Column:
     """``yyyy-mm-dd`` only, after trimming; anything else -> NULL."""
-    t = strip_ws(text)
+    t = _trimmed(text, stripped)
     return F.when(t.rlike(_ISO_DATE), t.try_cast(T.DateType()))
 
 
-def lenient_timestamp(text: Column, formats=TIMESTAMP_FORMATS) -> Column:
-    """Date-time text -> TIMESTAMP_NTZ: ISO 8601 first, then ``formats``.
+def lenient_timestamp(text: Column, formats=TIMESTAMP_FORMATS, stripped: bool = False) -> Column:
+    """Date-time text -> TIMESTAMP_NTZ: ISO 8601 first; text that does not
+    start with an ISO date tries ``formats``.
 
     A time without a date is rejected (it would otherwise depend on the day the
     job runs).
     """
-    return _timestamp(strip_ws(text), formats)
-
-
-def _timestamp(t: Column, formats) -> Column:
-    # ISO 8601 first (its full pattern refuses forms the cast is lenient
-    # about); text that does not start with an ISO date tries ``formats``.
-    iso_start = t.rlike(_ISO_PREFIX)
+    t = _trimmed(text, stripped)
+    # The full ISO pattern refuses forms the cast is lenient about.
     iso = F.when(t.rlike(_ISO_DATETIME), t.try_cast(T.TimestampNTZType()))
     others = [F.try_to_timestamp(t, F.lit(fmt)).cast(T.TimestampNTZType()) for fmt in formats]
-    return F.when(iso_start, iso).otherwise(F.coalesce(*others))
+    return F.when(t.rlike(_ISO_PREFIX), iso).otherwise(F.coalesce(*others))
 
 
-def strict_int(text: Column) -> Column:
+def strict_int(text: Column, stripped: bool = False) -> Column:
     """Optional sign and digits only; out of 32-bit range -> NULL."""
-    t = strip_ws(text)
+    t = _trimmed(text, stripped)
     return F.when(t.rlike(_INT), t.try_cast(T.IntegerType()))
 
 
-def strict_decimal(text: Column, dtype: T.DecimalType = T.DecimalType(10, 2)) -> Column:
+def strict_decimal(text: Column, dtype: T.DecimalType = T.DecimalType(10, 2),
+                   stripped: bool = False) -> Column:
     """Plain decimal number, rounded half-up to the scale; out of range -> NULL."""
-    t = strip_ws(text)
+    t = _trimmed(text, stripped)
     return F.when(t.rlike(_DECIMAL), t.try_cast(dtype))
 
 
@@ -86,17 +87,15 @@ def convert_text(text: Column, dtype: T.DataType, stripped: bool = False) -> Col
     ``stripped=True`` when ``text`` is already trimmed (the parsers trim in a
     projection of its own, so the trim is not repeated inside every branch).
     """
-    strip = (lambda c: c) if stripped else strip_ws
-    t = strip(text)
     if isinstance(dtype, T.DateType):
-        return F.when(t.rlike(_ISO_DATE), t.try_cast(T.DateType()))
+        return strict_date(text, stripped)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        ts = _timestamp(t, TIMESTAMP_FORMATS)
+        ts = lenient_timestamp(text, stripped=stripped)
         return ts if isinstance(dtype, T.TimestampNTZType) else ts.cast(dtype)
     if isinstance(dtype, T.IntegerType):
-        return F.when(t.rlike(_INT), t.try_cast(T.IntegerType()))
+        return strict_int(text, stripped)
     if isinstance(dtype, T.DecimalType):
-        return F.when(t.rlike(_DECIMAL), t.try_cast(dtype))
+        return strict_decimal(text, dtype, stripped)
     if isinstance(dtype, T.StringType):
-        return t
+        return _trimmed(text, stripped)
     raise TypeError(f"unsupported target type {dtype}")

@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel

@@ -9,7 +9,6 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql import types as T
 
 from .. import schema as S
 from ..operators.joins import DEFAULT_BROADCAST_BYTES, join_small

@@ -5,7 +5,6 @@ import datetime as dt
 import random
 from decimal import Decimal
 
-from tapeworks import schema as S
 from tapeworks.operators.ingest import parse_csv
 
 BAD = object()

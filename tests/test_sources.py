@@ -4,7 +4,6 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from tapeworks.plans import jobs
 from tapeworks.sources import lines as L
