@@ -64,7 +64,9 @@ def _write_feed(spark, sf_dir) -> str:
     """Write CSV and JSON feed lines under <root>/<fmt>/feed_date=<day>/batch=0/."""
     root = scratch_path(spark, "feed")
     for fmt, build in (("csv", fx.csv_lines), ("json", fx.json_lines)):
-        (_feed(spark, sf_dir, build, spread=False, with_day=True).withColumn("batch", F.lit(0))
+        # One task per day writes that day's folder: parallel, one file per day.
+        (_feed(spark, sf_dir, build, spread=False, with_day=True).repartition("feed_date")
+           .withColumn("batch", F.lit(0))
            .write.partitionBy("feed_date", "batch").text(f"{root}/{fmt}"))
     return root
 
