@@ -166,7 +166,8 @@ def _order_struct(cols: Sequence[str]) -> Column:
 
 def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time: str,
                values: Mapping[str, str], tie: Sequence[str] = (), bucket=None,
-               probe_time: str | None = None, distinct_probes: bool = False) -> DataFrame:
+               probe_time: str | None = None, distinct_probes: bool = False,
+               means: Mapping[str, tuple[str, object]] | None = None) -> DataFrame:
     """As-of lookup: add, to each probe row, the last non-NULL value of each
     event column in ``values`` (``{out_name: event_col}``) among events of the
     same ``keys`` with ``time <= probe time`` (inclusive).
@@ -183,14 +184,25 @@ def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time:
     ``distinct_probes``: identical probe rows come out once. The duplicates are
     dropped after the window, where rows are already hash-partitioned by the
     series (and bucket), so it costs no extra shuffle of the probe table.
+
+    ``means`` (unbucketed only): ``{out_name: (event_col, width)}``, the last
+    known *trailing mean* of an event column, i.e. ``trailing_mean`` evaluated
+    at each event and then looked up as of each probe. It is computed on the
+    same union and partitioning as the lookup, so the events are shuffled once
+    for both.
     """
     keys = list(keys)
     tie = list(tie)
     probe_time = probe_time or time
+    means = dict(means or {})
+    if means and bucket is not None:
+        raise ValueError("means= is for the unbucketed lookup; use trailing_mean(bucket=) first")
     names = list(values)
     priv = {o: f"__v{i}" for i, o in enumerate(names)}
+    mean_src = {o: f"__m{i}" for i, o in enumerate(means)}
     ev = events.select(*keys, F.col(time).alias(_T + "ts"), *tie,
-                       *[F.col(values[o]).alias(priv[o]) for o in names])
+                       *[F.col(values[o]).alias(priv[o]) for o in names],
+                       *[F.col(means[o][0]).alias(mean_src[o]) for o in means])
     ev = ev.withColumn(_T, epoch_micros(ev, _T + "ts")).drop(_T + "ts")
     pr = probes.withColumn(_T, epoch_micros(probes, probe_time))
     part = list(keys)
@@ -203,16 +215,23 @@ def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time:
     # Probe columns ride along on probe rows only; the union is by name.
     probe_cols = [c for c in pr.columns if c not in part and c != _T]
     ev_side = ev.select(*part, _T, *[F.col(c).alias(f"__tie{i}") for i, c in enumerate(tie)],
-                        *[priv[o] for o in names], F.lit(0).alias(_SIDE))
+                        *[priv[o] for o in names], *mean_src.values(), F.lit(0).alias(_SIDE))
     pr_side = pr.select(*part, _T, F.lit(1).alias(_SIDE),
                         *[F.col(c) for c in probe_cols])
     u = ev_side.unionByName(pr_side, allowMissingColumns=True)
+    for o, (_, width) in means.items():
+        # Probe rows carry no value, so the frames sum event values only.
+        u = u.select("*", _range_mean(u, mean_src[o], part, interval_micros(width), f"__mean_{o}",
+                                      "prefix"))
+        u = u.withColumn(f"__mean_{o}", F.when(F.col(_SIDE) == 0, F.col(f"__mean_{o}")))
     order = [_T, _SIDE] + [f"__tie{i}" for i in range(len(tie))] + [priv[o] for o in names]
     w = (Window.partitionBy(*part).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     found = u.select(*part, _T, _SIDE, *probe_cols,
-                     *[F.last(priv[o], ignorenulls=True).over(w).alias(o) for o in names]
+                     *[F.last(priv[o], ignorenulls=True).over(w).alias(o) for o in names],
+                     *[F.last(f"__mean_{o}", ignorenulls=True).over(w).alias(o) for o in means]
                      ).where(F.col(_SIDE) == 1)
+    names = names + list(means)
     if distinct_probes:
         found = found.dropDuplicates()
 

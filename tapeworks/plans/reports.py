@@ -125,18 +125,25 @@ def quote_analytics(staged: DataFrame, day=None, window="30 minutes",
         trades = keep_latest(trades, S.EVENT_KEY, S.VERSION_COL)
     quotes = quotes_of(staged, d)
 
-    with_avg = trailing_mean(trades, "trade_pr", "event_tm", S.SERIES_KEY, width=window,
-                             out="mov_avg_trade_pr", bucket=mean_bucket)
-    if asof_bucket is not None:
-        # The bucketed as-of reads the trades twice (window and carry table):
-        # compute them once, into the shared checkpoint folder (lineage cut, and
-        # the copy survives the loss of an executor).
-        shared_dir(staged.sparkSession)
-        with_avg = with_avg.checkpoint(eager=True)
-    found = last_known(quotes, with_avg, S.SERIES_KEY, "event_tm",
-                       {"prior_trade_pr": "trade_pr",
-                        "prior_mov_avg_trade_pr": "mov_avg_trade_pr"},
-                       tie=TIE, bucket=asof_bucket, distinct_probes=True)
+    if asof_bucket is None and mean_bucket is None:
+        # One shuffle of trades and quotes together: the trailing mean and the
+        # as-of lookup share the union's partitioning.
+        found = last_known(quotes, trades, S.SERIES_KEY, "event_tm", {"prior_trade_pr": "trade_pr"},
+                           tie=TIE, distinct_probes=True,
+                           means={"prior_mov_avg_trade_pr": ("trade_pr", window)})
+    else:
+        with_avg = trailing_mean(trades, "trade_pr", "event_tm", S.SERIES_KEY, width=window,
+                                 out="mov_avg_trade_pr", bucket=mean_bucket)
+        if asof_bucket is not None:
+            # The bucketed as-of reads the trades twice (window and carry
+            # table): compute them once, into the shared checkpoint folder
+            # (lineage cut; the copy survives the loss of an executor).
+            shared_dir(staged.sparkSession)
+            with_avg = with_avg.checkpoint(eager=True)
+        found = last_known(quotes, with_avg, S.SERIES_KEY, "event_tm",
+                           {"prior_trade_pr": "trade_pr",
+                            "prior_mov_avg_trade_pr": "mov_avg_trade_pr"},
+                           tie=TIE, bucket=asof_bucket, distinct_probes=True)
 
     keys = ["trade_dt", *S.SERIES_KEY]
     if keep_untraded:

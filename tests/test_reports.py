@@ -130,3 +130,17 @@ def test_unknown_size_is_not_broadcast(spark, tape):
     plan = join_small(R.quotes_of(tape), small, ["trade_dt", "symbol", "exchange"],
                       broadcast_max_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" not in plan.lower()
+
+
+def test_trade_without_price_all_forms(spark, tape):  # E27
+    extra = spark.createDataFrame([row("T", D1, tm(D1, 16, 25), 4, None)], S.COMMON_SCHEMA)
+    t2 = tape.unionByName(extra)
+    forms = [dict(asof_bucket=None, mean_bucket=None), dict(asof_bucket="1 second", mean_bucket="1 minute"),
+             dict(asof_bucket="1 hour", mean_bucket="30 minutes")]
+    outs = [sorted(map(tuple, R.quote_analytics(t2, D2, **kw).collect())) for kw in forms]
+    assert outs[0] == outs[1] == outs[2]
+    first = R.quote_analytics(t2, D2).collect()[0]
+    assert first.prior_close_trade_pr is None            # the day's last trade has no price
+    assert first.prior_trade_pr == Decimal("21.00")      # the as-of skips it
+    # The mean is still taken at the price-less trade: 20, 21 in 15:55..16:25.
+    assert first.prior_mov_avg_trade_pr == Decimal("20.50")

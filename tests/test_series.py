@@ -154,3 +154,15 @@ def test_keep_latest_methods_agree(spark, tie_break):
     a = sorted(map(tuple, keep_latest(df, ["key"], "arrival", tie_break, method="window").collect()), key=str)
     b = sorted(map(tuple, keep_latest(df, ["key"], "arrival", tie_break, method="aggregate").collect()), key=str)
     assert a == b
+
+
+def test_last_known_means_equals_mean_then_lookup(spark):
+    events = _events(300, 11)
+    probes = [(i + 1000, k, t + dt.timedelta(minutes=1), None) for i, k, t, _ in _events(150, 12)]
+    ev, pr = _df(spark, events), _df(spark, probes).drop("px")
+    fused = last_known(pr, ev, ["k"], "t", {"last_px": "px"}, tie=["id"],
+                       means={"last_mean": ("px", "30 minutes")})
+    with_mean = trailing_mean(ev, "px", "t", ["k"], "30 minutes", out="m")
+    twostep = last_known(pr, with_mean, ["k"], "t", {"last_px": "px", "last_mean": "m"}, tie=["id"])
+    key = lambda r: (r.id, r.last_px, r.last_mean)
+    assert sorted(map(key, fused.collect())) == sorted(map(key, twostep.collect()))
