@@ -63,7 +63,7 @@ def _conform(df: DataFrame, line: str, schema: T.StructType = S.COMMON_SCHEMA) -
         else:
             v = F.col(f"__c_{f.name}").cast(f.dataType)
             cols.append(F.when(valid, v)
-                        .otherwise(F.lit(S.sentinel_for(f.dataType)).cast(f.dataType))
+                        .otherwise(S.sentinel_column(f.dataType))
                         .alias(f.name))
     # The one-row generator is an optimizer boundary: a later filter on these
     # columns (``partition = 'T'``) stays above it instead of being pushed

@@ -80,6 +80,16 @@ RUN_LOG_SCHEMA = T.StructType([
 ])
 
 
+def sentinel_column(dtype: T.DataType):
+    """The quarantine value as a typed literal column. Timestamps are built
+    from text so no session time zone is applied to them."""
+    from pyspark.sql import functions as F
+    v = sentinel_for(dtype)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.lit(v.isoformat(sep=" ")).cast(dtype)
+    return F.lit(v).cast(dtype)
+
+
 def sentinel_for(dtype: T.DataType):
     """Quarantine value for a column of ``dtype``."""
     if isinstance(dtype, T.DateType):

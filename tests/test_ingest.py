@@ -184,3 +184,17 @@ def test_filter_on_partition_is_not_expanded(spark, lines):
     df = parse_csv(lines(Q, T, "")).where("partition = 'T'")
     assert len(df._jdf.queryExecution().optimizedPlan().toString()) < 200_000
     assert df.count() == 1
+
+
+def test_results_do_not_depend_on_session_zone(spark, lines):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            good = one(parse_csv(lines(_fields(Q, 4, "Aug 6 2020 10:22"))))
+            assert good["event_tm"] == dt.datetime(2020, 8, 6, 10, 22)
+            assert good["arrival_tm"] == dt.datetime(2020, 8, 6, 9, 30)
+            bad = one(parse_json(lines("{}")))
+            assert bad["event_tm"] == dt.datetime(2000, 1, 1) and bad["trade_dt"] == dt.date(2000, 1, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
