@@ -194,6 +194,8 @@ def test_results_do_not_depend_on_session_zone(spark, lines):
             good = one(parse_csv(lines(_fields(Q, 4, "Aug 6 2020 10:22"))))
             assert good["event_tm"] == dt.datetime(2020, 8, 6, 10, 22)
             assert good["arrival_tm"] == dt.datetime(2020, 8, 6, 9, 30)
+            gap = one(parse_csv(lines(_fields(Q, 4, "Mar 8 2020 02:30"))))  # DST gap in New York
+            assert gap["event_tm"] == dt.datetime(2020, 3, 8, 2, 30)
             bad = one(parse_json(lines("{}")))
             assert bad["event_tm"] == dt.datetime(2000, 1, 1) and bad["trade_dt"] == dt.date(2000, 1, 1)
     finally:
