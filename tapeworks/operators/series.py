@@ -250,12 +250,15 @@ def _bucket_carry(ev: DataFrame, pr: DataFrame, keys: list[str], tie: list[str],
     over all *earlier* buckets. Built from a per-bucket partial aggregate, so
     its size is (series x buckets), whatever the row count."""
     order_cols = [_T] + tie
-    # One partial aggregate over event rows (side 1) and probe buckets (side 0).
-    both = (ev.select(*keys, _B, *order_cols, *vals, F.lit(1).alias(_SIDE))
-            .unionByName(pr.select(*keys, _B, F.lit(0).alias(_SIDE)), allowMissingColumns=True))
-    u = both.groupBy(*keys, _B, _SIDE).agg(*[
+    # Events: last value per bucket (a struct-ordered max_by: sort-based partial
+    # aggregate, over the event rows only). Probes: the buckets they fall in (a
+    # hash distinct, so the probe table is never sorted for this).
+    per_bucket = ev.groupBy(*keys, _B).agg(*[
         F.max_by(F.col(v), F.when(F.col(v).isNotNull(), _order_struct(order_cols + [v]))).alias(v)
         for v in vals])
+    probe_buckets = pr.select(*keys, _B).distinct()
+    u = (per_bucket.withColumn(_SIDE, F.lit(1))
+         .unionByName(probe_buckets.withColumn(_SIDE, F.lit(0)), allowMissingColumns=True))
     # A probe bucket sorts before the event bucket with the same start, so its
     # frame holds strictly earlier buckets only.
     w = (Window.partitionBy(*keys).orderBy(_B, _SIDE)
