@@ -144,3 +144,12 @@ def test_trade_without_price_all_forms(spark, tape):  # E27
     assert first.prior_trade_pr == Decimal("21.00")      # the as-of skips it
     # The mean is still taken at the price-less trade: 20, 21 in 15:55..16:25.
     assert first.prior_mov_avg_trade_pr == Decimal("20.50")
+
+
+def test_input_order_does_not_matter(spark, tape):
+    from pyspark.sql import functions as F
+    shuffled = tape.repartition(5).orderBy(F.rand(3))
+    for kw in (dict(asof_bucket=None, mean_bucket=None), dict(asof_bucket="1 second", mean_bucket="1 minute")):
+        a = sorted(map(tuple, R.quote_analytics(tape, **kw).collect()))
+        b = sorted(map(tuple, R.quote_analytics(shuffled, **kw).collect()))
+        assert a == b
