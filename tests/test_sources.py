@@ -105,3 +105,12 @@ def test_run_reports_end_to_end(spark, feed, tmp_path):
     qa = P.read_dated(spark, paths[2]).collect()
     assert len(qa) == 1 and float(qa[0].prior_trade_pr) == 80.15
     assert float(qa[0].prior_close_trade_pr) == 78.93
+
+
+def test_stage_paths_by_extension(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(Q + "\n")
+    (tmp_path / "b.json").write_text(JT + "\n")
+    (tmp_path / "c.parquet").write_text("not read\n")
+    paths = [str(tmp_path / n) for n in ("a.csv", "b.json", "c.parquet")]
+    got = sorted(r.partition for r in jobs.stage_paths(spark, paths).collect())
+    assert got == ["Q", "T"]
