@@ -38,14 +38,11 @@ def write_dated(report: DataFrame, path: str, day_col: str = "trade_dt") -> None
     """K2/K3: write a report partitioned by ``report_date`` (= ``day_col``),
     replacing only the days present in ``report`` (dynamic partition
     overwrite); other days already in ``path`` stay."""
-    spark = report.sparkSession
     out = report.withColumn(REPORT_DATE, F.col(day_col))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out.write.partitionBy(REPORT_DATE).mode("overwrite").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    # A write option, not a session setting: other jobs on the session keep
+    # their own overwrite mode.
+    (out.write.partitionBy(REPORT_DATE).mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
 def read_dated(spark: SparkSession, path: str, day=None) -> DataFrame:
