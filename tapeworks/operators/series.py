@@ -180,6 +180,9 @@ def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time:
     the work. ``bucket=``: the window runs per (series, time bucket); a carry
     table with one row per (series, bucket) brings in the last value from
     earlier buckets. The carry table grows with the number of buckets, not rows.
+    The bucketed form reads ``events`` twice (window and carry table); when
+    ``events`` is costly to compute, materialize it first (``checkpoint()`` or a
+    written table), as ``quote_analytics`` does.
 
     ``distinct_probes``: identical probe rows come out once. The duplicates are
     dropped after the window, where rows are already hash-partitioned by the
