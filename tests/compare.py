@@ -61,3 +61,14 @@ def run(spark, sf_dir, names=None, verbose=True):
                   f"{dt:.1f}s" + ("" if sorted(cols) == sorted(ocols) else f" cols {cols} vs {ocols}"),
                   flush=True)
     return results
+
+
+if __name__ == "__main__":
+    import os
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    from tapeworks.session import local_session
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    res = run(local_session(8), sf, sys.argv[2:] or None)
+    bad = [k for k, v in res.items() if v[0] is not True]
+    print(f"{len(res) - len(bad)}/{len(res)} match" + (f"; mismatches: {bad}" if bad else ""))
+    sys.exit(1 if bad else 0)
