@@ -71,7 +71,12 @@ def base_ticks(events: DataFrame) -> DataFrame:
 
 
 def ticks(events: DataFrame) -> DataFrame:
-    """Staged-shaped ticks with re-deliveries and exact duplicates."""
+    """Staged-shaped ticks with re-deliveries and exact duplicates.
+
+    Every base tick is kept; the residue rules only choose which ticks get an
+    *extra* copy (a later re-delivery, or an identical duplicate), so the
+    result is the whole table plus copies.
+    """
     b = base_ticks(events)
     bump = F.lit(0.5).cast(S.PRICE)
     again = b.where(F.col("event_id") % REDELIVER_EVERY == 0).select(
