@@ -62,15 +62,16 @@ def lenient_timestamp(text: Column, formats=TIMESTAMP_FORMATS, stripped: bool =
     job runs).
     """
     t = _trimmed(text, stripped)
-    # The full ISO pattern refuses forms the cast is lenient about.
-    iso = F.when(t.rlike(_ISO_DATETIME), t.try_cast(T.TimestampNTZType()))
     # Other forms are read as UTC instants (explicit offset) and turned into
     # wall-clock time by arithmetic, so no session zone (or DST gap) applies.
     utc = F.concat(t, F.lit(" +0000"))
     others = [F.try_to_timestamp(utc, F.lit(fmt + " xx")) for fmt in formats]
     wall = F.timestamp_add("MICROSECOND", F.unix_micros(F.coalesce(*others)),
                            F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType()))
-    return F.when(t.rlike(_ISO_PREFIX), iso).otherwise(wall)
+    # Full ISO text: one regex on the common path. ISO-looking text that fails
+    # the full pattern is refused; anything else tries the other formats.
+    return (F.when(t.rlike(_ISO_DATETIME), t.try_cast(T.TimestampNTZType()))
+             .when(~t.rlike(_ISO_PREFIX), wall))
 
 
 def strict_int(text: Column, stripped: bool = False) -> Column:
