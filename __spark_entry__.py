@@ -27,6 +27,13 @@ from tapeworks.sources.lines import line_count
 from tapeworks.sources.parquet import read_dated, read_staged, write_dated, write_staged
 from tapeworks.sources.runlog import latest_status
 
+try:  # the training-data operators are an optional subpackage
+    import tapeworks.llm.queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("tapeworks.llm", "tapeworks.llm.queries"):
+        raise
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -220,9 +227,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **(llm.queries() if llm else {})}
 
 
 def oracle_sql() -> dict[str, str]:
     sql = oracle.queries()
-    return {k: sql[k] for k in _QUERIES if k in sql}
+    return {**{k: sql[k] for k in _QUERIES if k in sql}, **(llm.oracle_sql() if llm else {})}

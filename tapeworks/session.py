@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,20 +29,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a private one created.
+    A session that names none gets a folder in its warehouse, the one other
+    location that every executor reaches; never a machine-local temporary one.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        if not conf:
-            conf = tempfile.mkdtemp(prefix="tapeworks-ckpt-")
-        sc.setCheckpointDir(conf)
+        sc.setCheckpointDir(conf or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch")
         d = sc.getCheckpointDir()
     return d.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder, for tables a job writes and reads
-    back."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    back. It is deleted when the driver's file system closes, with the session."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path

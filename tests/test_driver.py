@@ -14,10 +14,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(E._QUERIES) <= set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E._QUERIES))
 def test_query_matches_oracle(spark, name):
     from compare import run
     res = run(spark, "/root/testdata/sf0.001", [name], verbose=False)[name]
