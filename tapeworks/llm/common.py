@@ -26,7 +26,16 @@ def keep_table(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.scratch_path = path
+    return kept
+
+
+def drop_table(kept: DataFrame) -> None:
+    """Free the files of a :func:`keep_table` that no later job reads."""
+    sc = kept.sparkSession.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(kept.scratch_path)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fold_of(id_col: str, folds: int) -> Column:
@@ -49,17 +58,22 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Memo(dict):
-    """``make(key)`` remembered; forgets all beyond ``limit`` keys, so a worker's
-    memory stays bounded whatever the vocabulary."""
+    """``make(key)`` remembered. Holds ``limit`` keys at most besides the ``limit``
+    before them, so a worker's memory is bounded whatever the vocabulary and
+    keys in use are not forgotten."""
 
-    def __init__(self, make: Callable, limit: int = 200_000):
+    def __init__(self, make: Callable, limit: int = 150_000):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 

@@ -10,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapeworks.llm import chat, exact_dedup, packing, url_rules
+from tapeworks.llm import (chat, decontam, exact_dedup, langid, lattice_lm, ngram_join, packing,
+                           toxicity, url_rules, warc)
+from tapeworks.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +28,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def q_ngram_jaccard(spark, sf_dir):
+    return ngram_join.link(table(spark, sf_dir, "documents"))
+
+
 def q_exact_dedup(spark, sf_dir):
     return exact_dedup.decide(table(spark, sf_dir, "documents"))
 
@@ -55,11 +61,56 @@ def q_url_filter(spark, sf_dir):
     return url_rules.judge(table(spark, sf_dir, "pages"), LISTED)
 
 
+def q_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs, toxicity.fit(docs, labels))
+
+
+def q_lattice_lm(spark, sf_dir):
+    return lattice_lm.score(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def q_decontamination(spark, sf_dir):
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def q_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(langid.document_rows(docs), langid.fit(docs)).withColumnRenamed("id", "doc_id")
+
+
+def q_language_id_pages(spark, sf_dir):
+    """All four kinds of evidence: pages declare a language and have an address."""
+    model = langid.fit(table(spark, sf_dir, "documents"))
+    rows = langid.page_rows(table(spark, sf_dir, "pages"))
+    return langid.identify(rows, model).withColumnRenamed("id", "page_id")
+
+
+def q_warc(spark, sf_dir):
+    root = scratch_path(spark, "warc")
+    manifest = warc.write(table(spark, sf_dir, "pages"), root)
+    return warc.read(manifest, root).drop("url", "payload")
+
+
+def q_pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "pipeline": q_pipeline,
+        "op1_language_id": q_language_id,
+        "language_id_pages": q_language_id_pages,
+        "op2_ngram_jaccard": q_ngram_jaccard,
         "op3_exact_dedup": q_exact_dedup,
         "op4_best_fit_packing": q_best_fit_packing,
+        "op5_toxicity": q_toxicity,
+        "op6_lattice_lm": q_lattice_lm,
         "op7_chat_format": q_chat_format,
+        "op8_warc": q_warc,
+        "op9_decontamination": q_decontamination,
         "op10_url_filter": q_url_filter,
     }
 
@@ -93,5 +144,20 @@ FROM e GROUP BY conv_id
 """
 
 
+#: Base32 of a SHA-1 in hex: five hex digits are four base32 digits.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, {1 + 5 * g}, 5))::INT >> {s}) & 31), 1)"
+    for g in range(8) for s in (15, 10, 5, 0))
+
+_WARC = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload,
+                  sha1(coalesce(html, '')) AS h FROM pages)
+SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = min(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> min(page_id) OVER w THEN min(page_id) OVER w END AS refers_to
+FROM p WINDOW w AS (PARTITION BY h)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": _EXACT_DEDUP, "op7_chat_format": _CHAT_FORMAT}
+    return {"op3_exact_dedup": _EXACT_DEDUP, "op7_chat_format": _CHAT_FORMAT, "op8_warc": _WARC}
