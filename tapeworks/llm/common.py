@@ -13,10 +13,10 @@ from tapeworks.session import scratch_path
 BATCH_ROWS = 256
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Arrow batches of few rows, so that a worker's memory is bounded by a few
     hundred texts and not by ten thousand."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def keep_table(df: DataFrame, name: str) -> DataFrame:

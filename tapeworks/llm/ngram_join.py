@@ -16,15 +16,17 @@ A document is the set of its distinct 5-word shingles. Two documents link when
    nonempty groups for that adds its |A| - ceil(0.8 |A|) + 1 smallest shingle
    hashes, the prefix that serves the same end. Nothing is lost, and no group
    or bucket is capped.
-4. A star of each bucket is verified first: every member against the smallest.
-   Most copies are united by that without listing pairs.
-5. What is left are buckets that hold several components. Their members are
-   put in leaves of the tree, (component, size step, part), each with the
-   largest count in each of ``DIMS`` coordinates and its least size. Two leaves
-   of a bucket and of different components are opened only if the summed
-   coordinate minima of their corners reach 4/9 of their least sizes together;
-   then the same bound is tried for two points, and only survivors are
-   verified by intersecting their shingle sets.
+4. Leaves. Every set that shares a bucket with another is put in one leaf, with
+   sets of its most popular bucket and of about its size; large groups are
+   split into leaves of about LEAF_SHINGLES shingles together. A leaf has a
+   corner, the largest count in each of ``DIMS`` coordinates, and its least and
+   largest size.
+5. Two leaves that share a bucket are opened only if the summed coordinate
+   minima of their corners reach 4/9 of their least sizes together (an overlap
+   that 0.8 needs). Inside a leaf, and between two opened ones, the same bound
+   is tried for all points of a block at once, and survivors that are not
+   connected yet are verified by intersecting their shingle sets. A block emits
+   edges that connect what it found, never its pairs.
 
 Defined cases: a document with one to four words has its whole word sequence as
 its only shingle; NULL or empty texts have none and link with nothing; texts of
@@ -49,9 +51,9 @@ from tapeworks.llm.components import components
 
 WORDS, PERCENT = 5, 80
 #: Coordinates of the points that the tree's bounds use.
-DIMS = 48
-#: Points of a leaf, about.
-LEAF = 32
+DIMS = 64
+#: Shingles of a leaf's sets together, about.
+LEAF_SHINGLES = 32_768
 
 #: Hot keys named of each of HOT parts of the keys, and the rows that make one hot.
 HOT, HOT_ROWS = 32, 1000
@@ -152,25 +154,102 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(sign, "doc_id long, n_shingles long, node long, keys array<long>")
 
 
-def points(docs: DataFrame) -> DataFrame:
-    """(node, n, sh, vec): the shingles themselves and DIMS group counts."""
-    small_batches(docs.sparkSession)
+def counts_of(sh: np.ndarray) -> np.ndarray:
+    """The set as a point: shingles in each of DIMS groups."""
+    return np.bincount((_mix(sh ^ _M2) % np.uint64(DIMS)).astype(np.int64), minlength=DIMS)
+
+
+def _root(parent: dict, x: int) -> int:
+    while parent.setdefault(x, x) != x:
+        parent[x] = parent[parent[x]]
+        x = parent[x]
+    return x
+
+
+class Leaf:
+    """Points of a leaf: names, sizes, shingle sets, count vectors."""
+
+    def __init__(self, nodes: np.ndarray, sizes: np.ndarray, flat: np.ndarray):
+        self.nodes, self.sizes = nodes, sizes
+        self.sets = np.split(flat, np.cumsum(sizes)[:-1])
+        self.counts = np.array([counts_of(s) for s in self.sets])
+
+    @classmethod
+    def of(cls, row: dict) -> Leaf:
+        return cls(*(np.frombuffer(row[c], k) for c, k in
+                     (("nodes", np.int64), ("sizes", np.int64), ("flat", np.uint64))))
+
+    def row(self) -> dict:
+        return {"nodes": self.nodes.tobytes(), "sizes": self.sizes.tobytes(),
+                "flat": np.concatenate(self.sets).tobytes(),
+                "corner": self.counts.max(axis=0), "least": self.sizes.min(), "most": self.sizes.max()}
+
+
+def links_between(a: Leaf, b: Leaf, parent: dict) -> list[tuple[int, int]]:
+    """Links that connect what ``parent`` (a union-find forest) doesn't yet."""
+    found = []
+    for i, (node, n) in enumerate(zip(a.nodes.tolist(), a.sizes.tolist())):
+        bound = np.minimum(b.counts, a.counts[i]).sum(axis=1)
+        near = ((9 * bound >= 4 * (b.sizes + n))
+                & (100 * np.minimum(b.sizes, n) >= PERCENT * np.maximum(b.sizes, n)))
+        if a is b:
+            near[:i + 1] = False
+        for j in np.flatnonzero(near):
+            x, y = _root(parent, node), _root(parent, int(b.nodes[j]))
+            if x == y:
+                continue
+            both = len(np.intersect1d(a.sets[i], b.sets[j], assume_unique=True))
+            if 100 * both >= PERCENT * (n + int(b.sizes[j]) - both):
+                parent[x] = y
+                found.append((node, int(b.nodes[j])))
+    return found
+
+
+_LEAF = ("leaf long, nodes binary, sizes binary, flat binary, corner array<int>, least long, most long, "
+         "links array<struct<u:long,v:long>>")
+
+
+def leaves(texts: DataFrame) -> DataFrame:
+    """One row per leaf of rows (leaf, node, text), with the links inside it."""
+    small_batches(texts.sparkSession)
 
     def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
-        for (texts,) in columns_of(batches, "text"):
+        for leaf, nodes, texts in columns_of(batches, "leaf", "node", "text"):
             sets = [shingles(words_of(t), hashes) for t in texts]
-            vecs = [np.bincount((_mix(s ^ _M2) % np.uint64(DIMS)).astype(np.int64), minlength=DIMS)
-                    for s in sets]
-            flat = np.concatenate(vecs).astype(np.int32) if vecs else np.zeros(0, np.int32)
-            offsets = np.arange(0, len(flat) + 1, DIMS, dtype=np.int32)
+            # An id on rows of several texts brings sets that are not in play.
+            own = [i for i, s in enumerate(sets) if node_of(s) == nodes[i]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([node_of(s) for s in sets], pa.int64()),
-                 pa.array([len(s) for s in sets], pa.int64()), _lists(sets),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                ["node", "n", "sh", "vec"])
+                [pa.array([leaf[i] for i in own], pa.int64()),
+                 pa.array([nodes[i] for i in own], pa.int64()),
+                 pa.array([sets[i].tobytes() for i in own], pa.binary())], ["leaf", "node", "sh"])
+
+    def gather(key, rows):
+        import pandas as pd
+
+        rows = rows.drop_duplicates("node").sort_values("node")
+        sets = [np.frombuffer(x, np.uint64) for x in rows["sh"]]
+        leaf = Leaf(rows["node"].to_numpy(np.int64), np.array([len(x) for x in sets], np.int64),
+                    np.concatenate(sets))
+        links = [{"u": u, "v": v} for u, v in links_between(leaf, leaf, {})]
+        return pd.DataFrame([{"leaf": key[0], **leaf.row(), "links": links}])
+
+    return (texts.select("leaf", "node", "text").mapInArrow(point, "leaf long, node long, sh binary")
+            .groupBy("leaf").applyInPandas(gather, _LEAF))
+
+
+def links_of_pairs(pairs: DataFrame) -> DataFrame:
+    """Links (u, v) between the leaves a and b of each row."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [link for row in b.to_pylist()
+                     for link in links_between(Leaf.of(row["a"]), Leaf.of(row["b"]), {})]
+            u, v = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())],
+                                             ["u", "v"])
 
-    return docs.mapInArrow(point, "node long, n long, sh array<long>, vec array<int>")
+    return pairs.mapInArrow(read, "u long, v long")
 
 
 def _minima(a: str, b: str) -> Column:
@@ -178,60 +257,39 @@ def _minima(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
 
 
-def _may_link(a_vec: str, b_vec: str, a_n: str, b_n: str) -> Column:
-    """J >= 0.8 needs an overlap of 4/9 of both sizes."""
-    return 9 * _minima(a_vec, b_vec) >= 4 * (F.col(a_n) + F.col(b_n))
-
-
-def _verified(pairs: DataFrame, pts: DataFrame) -> DataFrame:
-    """Pairs (u, v) that link: first by the bound over vectors, then by sets."""
-    a = pts.select(F.col("node").alias("u"), F.col("n").alias("un"), F.col("vec").alias("uvec"))
-    b = pts.select(F.col("node").alias("v"), F.col("n").alias("vn"), F.col("vec").alias("vvec"))
-    near = (pairs.join(a, "u").join(b, "v")
-            .where((100 * F.least("un", "vn") >= PERCENT * F.greatest("un", "vn"))
-                   & _may_link("uvec", "vvec", "un", "vn")).select("u", "v"))
-    near = keep_table(near, "near")
-    a = pts.select(F.col("node").alias("u"), F.col("n").alias("un"), F.col("sh").alias("ush"))
-    b = pts.select(F.col("node").alias("v"), F.col("n").alias("vn"), F.col("sh").alias("vsh"))
-    both = F.size(F.array_intersect("ush", "vsh"))
-    return (near.join(a, "u").join(b, "v").withColumn("both", both)
-            .where(100 * F.col("both") >= PERCENT * (F.col("un") + F.col("vn") - F.col("both")))
-            .select("u", "v"))
-
-
-def _cross_pairs(buckets: DataFrame, label: DataFrame, pts: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket and pass the leaves' bound."""
-    own = (buckets.select("key", "node").join(label, "node", "left")
-           .select("key", "node", F.coalesce("component", "node").alias("comp")))
-    mixed = (own.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where(F.col("lo") < F.col("hi")).select("key"))
-    own = keep_table(own.join(mixed, "key", "left_semi"), "mixed")
-    members = own.select("node", "comp").distinct()
-    sizes = members.groupBy("comp").agg(F.count(F.lit(1)).alias("many"))
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("many") / F.lit(LEAF)))
-    placed = (members.join(sizes, "comp").join(pts.select("node", "n", "vec"), "node")
-              .select("node", "comp", "n", "vec",
-                      F.floor(F.log(1.1, "n")).alias("step"), part.alias("part")))
-    placed = keep_table(placed.withColumn("leaf", F.xxhash64("comp", "step", "part")), "placed")
-    corners = placed.groupBy("leaf").agg(
-        F.min("n").alias("n"), *[F.max(F.col("vec")[i]).alias(f"c{i}") for i in range(DIMS)])
-    corners = keep_table(corners.select(
-        "leaf", "n", F.array(*[f"c{i}" for i in range(DIMS)]).alias("vec")), "leaves")
-    at = (own.join(placed.select("node", "leaf"), "node").select("key", "comp", "leaf").distinct())
-    left = at.select("key", F.col("comp").alias("ac"), F.col("leaf").alias("al"))
-    right = at.select("key", F.col("comp").alias("bc"), F.col("leaf").alias("bl"))
-    leaves = left.join(right, "key").where(F.col("ac") < F.col("bc")).select("al", "bl").distinct()
-    a = corners.select(F.col("leaf").alias("al"), F.col("n").alias("an"), F.col("vec").alias("av"))
-    b = corners.select(F.col("leaf").alias("bl"), F.col("n").alias("bn"), F.col("vec").alias("bv"))
-    opened = (leaves.join(a, "al").join(b, "bl").where(_may_link("av", "bv", "an", "bn"))
-              .select("al", "bl"))
-    one = placed.select(F.col("leaf").alias("al"), F.col("node").alias("u"))
-    two = placed.select(F.col("leaf").alias("bl"), F.col("node").alias("v"))
-    return keep_table(opened, "open").join(one, "al").join(two, "bl").select("u", "v").distinct()
+def _placed(buckets: DataFrame) -> DataFrame:
+    """(node, leaf) of every node in a bucket."""
+    own = buckets.groupBy("node").agg(F.max(F.struct("many", "hub")).alias("top"),
+                                      F.first("n_shingles").alias("n"))
+    own = own.select("node", "n", F.col("top.hub").alias("anchor"),
+                     F.floor(F.log(1.25, "n")).alias("step"))
+    sums = own.groupBy("anchor", "step").agg(F.ceil(F.sum("n") / LEAF_SHINGLES).alias("parts"))
+    return (own.join(sums, ["anchor", "step"])
+            .select("node", F.xxhash64("anchor", "step", F.pmod(F.xxhash64("node"), F.col("parts")))
+                    .alias("leaf")))
+
+
+def _opened(buckets: DataFrame, placed: DataFrame, grown: DataFrame) -> DataFrame:
+    """Pairs (al, bl) of leaves that share a bucket and pass the corners' bound."""
+    at = buckets.select("key", "node").join(placed, "node").select("key", "leaf").distinct()
+    several = (at.groupBy("key").agg(F.min("leaf").alias("lo"), F.max("leaf").alias("hi"))
+               .where(F.col("lo") < F.col("hi")).select("key"))
+    at = keep_table(at.join(several, "key", "left_semi"), "leaf-keys")
+    pairs = (at.select("key", F.col("leaf").alias("al"))
+             .join(at.select("key", F.col("leaf").alias("bl")), "key")
+             .where(F.col("al") < F.col("bl")).select("al", "bl").distinct())
+    pairs = keep_table(pairs, "leaf-pairs")
+    corner = grown.select("leaf", "corner", "least", "most")
+    a = corner.toDF("al", "ac", "aleast", "amost")
+    b = corner.toDF("bl", "bc", "bleast", "bmost")
+    fits = ((9 * _minima("ac", "bc") >= 4 * (F.col("aleast") + F.col("bleast")))
+            & (100 * F.col("amost") >= PERCENT * F.col("bleast"))
+            & (100 * F.col("bmost") >= PERCENT * F.col("aleast")))
+    return pairs.join(a, "al").join(b, "bl").where(fits).select("al", "bl")
 
 
 def _buckets(dealt: DataFrame) -> DataFrame:
-    """(key, hub, node) of the buckets that hold several nodes.
+    """(key, hub, many, node, n_shingles) of the buckets that hold several nodes.
 
     Keys that a Misra-Gries summary names as very frequent get their hub from
     partial aggregates and a broadcast of at most HOT * HOT rows; all others go
@@ -242,15 +300,17 @@ def _buckets(dealt: DataFrame) -> DataFrame:
              .select(F.explode("top").alias("t")).where(F.col("t.count") >= HOT_ROWS)
              .select(F.col("t.item").alias("key")))
     hot = dealt.join(F.broadcast(keep_table(named, "hot-keys")), "key", "left_semi")
-    hot = keep_table(hot.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")),
-                     "hot-buckets")
+    hot = keep_table(hot.groupBy("key").agg(
+        F.min("node").alias("hub"), F.max("node").alias("last"), F.count(F.lit(1)).alias("many")),
+        "hot-buckets")
     tagged = dealt.join(F.broadcast(hot), "key", "left")
     heavy = tagged.where(F.col("hub").isNotNull())
     w = Window.partitionBy("key")
-    light = (tagged.where(F.col("hub").isNull()).select("key", "node")
-             .withColumn("hub", F.min("node").over(w)).withColumn("last", F.max("node").over(w)))
+    light = (tagged.where(F.col("hub").isNull()).select("key", "node", "n_shingles")
+             .withColumns({"hub": F.min("node").over(w), "last": F.max("node").over(w),
+                           "many": F.count(F.lit(1)).over(w)}))
     return (heavy.unionByName(light).where(F.col("hub") < F.col("last"))
-            .select("key", "hub", "node"))
+            .select("key", "hub", "many", "node", "n_shingles"))
 
 
 def _one_set(owner: DataFrame) -> DataFrame:
@@ -279,23 +339,21 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     classes = keep_table(some.groupBy("node").agg(F.min("doc_id").alias("rep"),
                                                   F.count(F.lit(1)).alias("copies")), "classes")
 
-    dealt = raw.select(F.explode("keys").alias("key"), "node")
+    dealt = raw.select(F.explode("keys").alias("key"), "node", F.col("n_shingles").cast("int"))
     buckets = keep_table(_buckets(dealt), "buckets")
     drop_table(raw)
 
-    in_play = buckets.select("node").distinct().join(classes, "node").select("node", "rep")
-    in_play = keep_table(in_play, "in-play")
-    texts = docs.join(in_play.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    pts = keep_table(points(texts).join(in_play, "node", "left_semi").dropDuplicates(["node"]),
-                     "points")
-
-    star_pairs = (buckets.where(F.col("hub") < F.col("node"))
-                  .select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct())
-    edges = keep_table(_verified(star_pairs, pts), "links")
-    label = components(edges)
-    more = keep_table(_verified(_cross_pairs(buckets, label, pts), pts), "links")
-    if not more.isEmpty():
-        label = components(edges.unionByName(more))
+    placed = keep_table(_placed(buckets), "placed")
+    in_play = placed.join(classes, "node").select(F.col("rep").alias("doc_id"), "node", "leaf")
+    grown = keep_table(leaves(docs.join(in_play, "doc_id")), "leaves")
+    opened = keep_table(_opened(buckets, placed, grown), "opened")
+    block = F.struct("nodes", "sizes", "flat")
+    small_batches(docs.sparkSession, 4)  # a row holds two leaves
+    pairs = (opened.join(grown.select(F.col("leaf").alias("al"), block.alias("a")), "al")
+             .join(grown.select(F.col("leaf").alias("bl"), block.alias("b")), "bl").select("a", "b"))
+    across = keep_table(links_of_pairs(pairs), "links")
+    inside = grown.select(F.explode("links").alias("l")).select("l.u", "l.v")
+    label = keep_table(components(inside.unionByName(across)), "labels")
 
     # Components of nodes, named by their smallest document.
     least = (label.join(classes, "node").groupBy("component").agg(F.min("rep").alias("least")))
