@@ -135,32 +135,40 @@ class Index:
                 seen[key & np.uint64((1 << 18) - 1)] = True
                 self.keys.append((key[order], order, seen))
 
-    def hits(self, ids: np.ndarray, starts: np.ndarray) -> set[tuple[int, int]]:
-        """(item, place of its first word) that the windows at ``starts`` point to."""
-        out: set[tuple[int, int]] = set()
-        if not self.keys:
-            return out
+    def hits(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Windows (their places in ``starts``) that point to an item, the item, and
+        the offset in it."""
+        at, which = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for key, (known, order, seen) in zip(lsh_keys(ids, starts, self.samples), self.keys):
             maybe = np.flatnonzero(seen[key & np.uint64((1 << 18) - 1)])
-            if not len(maybe):
-                continue
             lo = np.searchsorted(known, key[maybe], "left")
-            hi = np.searchsorted(known, key[maybe], "right")
-            for i, a, b in zip(maybe[hi > lo], lo[hi > lo], hi[hi > lo]):
-                for j in order[a:b]:
-                    out.add((int(self.owner[j]), int(starts[i] - self.offset[j])))
-        return out
-
-    def verify(self, k: int, place: int, ids: np.ndarray, doc_words: list[bytes]) -> int | None:
-        """Characters to edit, if few enough, of the item at about ``place``."""
+            many = np.searchsorted(known, key[maybe], "right") - lo
+            at.append(np.repeat(maybe, many))
+            nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            which.append(order[np.repeat(lo, many) + nth])
+        at, which = np.concatenate(at), np.concatenate(which)
+        return at, self.owner[which], self.offset[which]
+
+    def likely(self, k: int, place: np.ndarray, first: np.ndarray, last: np.ndarray,
+               ids: np.ndarray) -> np.ndarray:
+        """Which places, each in a document of ids[first:last], have enough words of
+        the item in its window: words in common bound the edits of words."""
         _, w, h = self.items[k]
         room = int(EDITS * len(w)) + 1
-        lo, hi = max(0, place - room), max(0, min(len(doc_words), place + len(w) + room))
-        if place >= 0 and place + len(w) <= len(doc_words) and (ids[place:place + len(w)] == h).all():
-            return 0
-        # Words in common bound the edit distance of words from below.
-        if np.isin(h, ids[lo:hi]).sum() < (1 - 2 * EDITS) * len(w):
-            return None
+        span = place[:, None] + np.arange(-room, len(w) + room)
+        inside = (span >= first[:, None]) & (span < last[:, None])
+        own = np.sort(h)
+        seen = ids[np.where(inside, span, 0)]
+        hit = own[np.minimum(np.searchsorted(own, seen), len(own) - 1)] == seen
+        return (hit & inside).sum(axis=1) >= (1 - 2 * EDITS) * len(w)
+
+    def verify(self, k: int, first: int, last: int, ids: np.ndarray,
+               doc_words: list[bytes]) -> int | None:
+        """Characters to edit, if few enough, of the item that begins at about the
+        words ``first`` to ``last`` of a document."""
+        _, w, h = self.items[k]
+        room = int(EDITS * len(w)) + 1
+        lo, hi = max(0, first - room), min(len(doc_words), last + len(w) + room)
         if hi <= lo or _edit_rows(h, ids[lo:hi]) > 2 * EDITS * len(w):
             return None
         item, window = (np.frombuffer(b" ".join(x).decode("utf-8", "replace").encode("utf-32-le"),
@@ -168,6 +176,10 @@ class Index:
         edits = _edit_rows(item, window)
         return edits if edits <= EDITS * len(item) else None
 
+    def exact(self, k: int, place: int, ids: np.ndarray) -> bool:
+        h = self.items[k][2]
+        return 0 <= place and place + len(h) <= len(ids) and bool((ids[place:place + len(h)] == h).all())
+
     def find(self, doc_words: list[list[bytes]], memo: Memo) -> list[tuple[int, int, int, int]]:
         """(document's place in the list, item's place, edits, first word)."""
         sizes = np.array([len(w) for w in doc_words])
@@ -175,22 +187,39 @@ class Index:
         ids = np.fromiter(map(memo.__getitem__, (x for w in doc_words for x in w)), np.uint64, base[-1])
         best: dict[tuple[int, int], tuple[int, int]] = {}
 
-        def tried(d: int, k: int, place: int) -> None:
-            if best.get((d, k), (1, 0))[0] == 0:
-                return
-            edits = self.verify(k, place, ids[base[d]:base[d + 1]], doc_words[d])
-            if edits is not None and (edits, place) < best.get((d, k), (1 << 30, 0)):
-                best[d, k] = (edits, max(place, 0))
+        def tried(d: int, k: int, places: list[int]) -> None:
+            own = ids[base[d]:base[d + 1]]
+            for place in places:
+                if self.exact(k, place, own):
+                    best[d, k] = (0, place)
+                    return
+            # Places that lie close together are one place with more room.
+            room = int(EDITS * len(self.items[k][1])) + 1
+            while places:
+                n = 1
+                while n < len(places) and places[n] - places[n - 1] <= room:
+                    n += 1
+                edits = self.verify(k, places[0], places[n - 1], own, doc_words[d])
+                if edits is not None and edits < best.get((d, k), (1 << 30, 0))[0]:
+                    best[d, k] = (edits, max(places[0], 0))
+                places = places[n:]
 
         # Windows begin at multiples of STRIDE from each document's first word.
         starts = np.concatenate([np.arange(a, b, STRIDE) for a, b in zip(base[:-1], base[1:])]
                                 or [np.zeros(0, np.int64)])
         padded = np.concatenate([ids, np.zeros(STEPS, np.uint64)])
-        for k, place in sorted(self.hits(padded, starts)):
-            # A place before the document's first word belongs to the window's document.
-            d = int(np.searchsorted(base, max(place, 0), "right")) - 1
-            for d in {d, min(d + 1, len(doc_words) - 1)}:
-                tried(d, k, place - int(base[d]))
+        if self.keys and len(starts):
+            at, item, offset = self.hits(padded, starts)
+            place = starts[at] - offset
+            doc = np.searchsorted(base, starts[at], "right") - 1
+            item, doc, place = np.unique(np.stack([item, doc, place]), axis=1)
+            for k in np.unique(item).tolist():
+                own = item == k
+                p, d = place[own], doc[own]
+                good = self.likely(k, p, base[d], base[d + 1], ids)
+                p, d = p[good], d[good]
+                for y in np.unique(d).tolist():
+                    tried(y, k, sorted((p[d == y] - base[y]).tolist()))
         for k in self.short:
             h = self.items[k][2]
             at = np.flatnonzero(ids == h[0])
@@ -200,7 +229,7 @@ class Index:
             for place in at:
                 d = int(np.searchsorted(base, place, "right")) - 1
                 if place + len(h) <= base[d + 1]:
-                    tried(d, k, int(place - base[d]))
+                    tried(d, k, [int(place - base[d])])
         return [(d, k, edits, place) for (d, k), (edits, place) in sorted(best.items())]
 
 
