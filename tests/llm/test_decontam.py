@@ -1,0 +1,108 @@
+import random
+
+from helpers import docs
+from pyspark.sql import functions as F
+
+from tapeworks.llm import decontam as D
+
+VOCAB = [f"{a}{b}" for a in ("ba", "ko", "lu", "mi", "re", "so", "ta") for b in ("n", "r", "s", "t", "v", "x", "z")]
+
+
+def sentence(rng, n):
+    return " ".join(rng.choice(VOCAB) + rng.choice(VOCAB) for _ in range(n))
+
+
+def brute(items, texts):
+    """Least edit distance of each item to any window, words then characters."""
+    out = {}
+    for d, t in texts.items():
+        w = D.words(t)
+        for i, x in items.items():
+            item = D.words(x)
+            best = None
+            for at in range(len(w)):
+                part = w[max(0, at - 1):at + len(item) + 1]
+                if sum(a in part for a in item) >= 0.6 * len(item):
+                    e = distance(b" ".join(item).decode(), b" ".join(part).decode())
+                    best = e if best is None else min(best, e)
+            if best is not None and best <= 0.2 * len(b" ".join(item).decode()):
+                out[d, i] = best
+    return out
+
+
+def distance(a, b):
+    row = [0] * (len(b) + 1)
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return min(row)
+
+
+def table(spark, items):
+    return spark.createDataFrame(list(items.items()), "item_id long, text string").withColumn("w", F.lit(1))
+
+
+def test_recall_of_edited_passages(spark):
+    rng = random.Random(4)
+    items = {i: sentence(rng, rng.randint(12, 45)) for i in range(20)}
+    texts, planted = {}, set()
+    for d in range(120):
+        parts = [sentence(rng, rng.randint(0, 150)), sentence(rng, rng.randint(0, 150))]
+        if d % 2 == 0:
+            i = rng.randrange(20)
+            w = items[i].split()
+            for _ in range(rng.randint(0, max(1, len(w) // 12))):  # up to 8 % of the words
+                at = rng.randrange(len(w))
+                w[at:at + 1] = rng.choice([[], ["new"], [w[at], "new"], [w[at][:-1] + "q"]])
+            parts.insert(1, rng.choice([str.upper, str.title, str.lower])(", ".join(w)))
+            planted.add((d, i))
+        texts[d] = "\n".join(parts)
+    got = {(r.doc_id, r.item_id): r.edits for r in
+           D.find(docs(spark, texts, extra=True), table(spark, items)).collect()}
+    want = brute(items, {d: texts[d] for d in range(0, 60)})
+    assert set(got) <= planted
+    assert len(set(got)) >= 0.95 * len(planted)
+    assert {k for k in got if k[0] < 60} <= set(want) | set()
+    assert all(got[k] <= want[k] for k in got if k in want and k[0] < 60)
+
+
+def test_short_and_odd_items(spark):
+    items = {1: "just four plain words", 2: None, 3: "", 4: "...", 5: "one two three four five six seven eight",
+             6: "one two three four five six seven eight"}
+    texts = {1: "xx Just FOUR, plain words!", 2: "four plain words", 3: None, 4: "",
+             5: "zero one two three four five six seven eight nine", 6: "just", 7: "just four plain"}
+    got = {(r.doc_id, r.item_id): r.edits for r in D.find(docs(spark, texts), table(spark, items)).collect()}
+    assert got == {(1, 1): 0, (5, 5): 0, (5, 6): 0}
+
+
+def test_passages_at_both_ends_and_between_documents(spark):
+    rng = random.Random(9)
+    item = sentence(rng, 20)
+    w = item.split()
+    texts = {1: item, 2: item + " " + sentence(rng, 9), 3: sentence(rng, 9) + " " + item,
+             4: " ".join(w[:10]), 5: " ".join(w[10:])}  # 4 and 5 follow one another
+    got = {r.doc_id for r in D.find(docs(spark, texts).coalesce(1), table(spark, {7: item})).collect()}
+    assert got == {1, 2, 3}
+
+
+def test_dropping_keeps_clean_rows_and_columns(spark):
+    rng = random.Random(2)
+    item = sentence(rng, 20)
+    d = docs(spark, [(1, item), (1, item), (2, "clean"), (2, "clean"), (3, None), (None, "x")], extra=True)
+    kept = D.drop_contaminated(d, table(spark, {1: item}))
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect() if r.text) == [(0, "x"), (2, "clean"), (2, "clean")]
+    assert kept.columns == d.columns and kept.count() == 4
+
+
+def test_empty_tables_and_blocks(spark, monkeypatch):
+    items = {i: sentence(random.Random(i), 15) for i in range(10)}
+    texts = {i: items[i] for i in range(10)}
+    assert D.find(docs(spark, {}), table(spark, items)).count() == 0
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert D.find(docs(spark, texts), none).count() == 0
+    assert D.drop_contaminated(docs(spark, texts), none).count() == 10
+    monkeypatch.setattr(D, "BLOCK", 3)
+    got = {(r.doc_id, r.item_id) for r in D.find(docs(spark, texts), table(spark, items)).collect()}
+    assert got == {(i, i) for i in range(10)}

@@ -1,0 +1,67 @@
+import random
+
+from helpers import DOCS
+from pyspark.sql import functions as F
+
+from tapeworks.llm import langid as G
+
+SAY = {"en": "the of and to in that with for was on are this have from which", "de": "der die und nicht eine mit auf für sich dem werden über auch",
+       "fr": "le la les des que une dans pour avec sur être très où", "es": "el los las que una por con para del está según más año"}
+
+
+def table(spark, n=400, seed=1, extra=()):
+    rng, rows = random.Random(seed), []
+    for i in range(n):
+        lang = rng.choice(list(SAY))
+        text = " ".join(rng.choices(SAY[lang].split(), k=rng.randint(3, 60)))
+        rows.append((i, text, lang, f"{lang}-host{rng.randint(0, 5)}", len(text)))
+    return spark.createDataFrame(rows + list(extra), DOCS)
+
+
+def judged(d, model=None):
+    rows = G.document_rows(d)
+    return {r.id: r for r in G.identify(rows, G.fit(d) if model is None else model).collect()}
+
+
+def test_held_out_accuracy_of_the_text_alone(spark):
+    model = G.fit(table(spark))
+    other = table(spark, 300, seed=2)
+    bare = G.document_rows(other).withColumn("declared", F.lit(None).cast("string")) \
+        .withColumn("host", F.lit(None).cast("string")).withColumn("domain", F.lit(None).cast("string"))
+    got = {r.id: r.lang for r in G.identify(bare, model).collect()}
+    want = {r.doc_id: r.lang for r in other.collect()}
+    assert sum(got[i] == want[i] for i in want) >= 0.98 * len(want)
+
+
+def test_other_evidence_decides_where_the_text_is_silent(spark):
+    d = table(spark, extra=[(900, None, None, "fr-host1", 0), (901, "", "de", None, 0), (902, "12 34", None, None, 0),
+                            (903, "zqxj vvkw qqzx jjxq wvvz xkqj zzqv kwxj", None, None, 0)])
+    got = judged(d)
+    assert got[901].lang == "de" and got[901].known
+    assert got[902].lang == "und" and not got[902].known
+    assert not got[900].known and got[903].lang == "und"
+
+
+def test_clean_rows_stay_and_columns_are_kept(spark):
+    d = table(spark, extra=[(901, "", "de", None, 0), (902, "12 34", None, None, 0), (902, "12 34", None, None, 0),
+                            (None, "the of and", "en", None, 0)])
+    for c in ("id", "host", "known", "like", "declared"):
+        d = d.withColumn(c, F.lit("x"))
+    kept = G.keep_known(d)
+    assert kept.columns == d.columns and kept.count() == d.count() - 2
+    assert kept.where("doc_id = 902").count() == 0
+
+
+def test_page_evidence(spark):
+    rows = [(1, "http://Www.Example.de/x", "<html lang='FR'><p>" + SAY["fr"]), (2, "http://u@a.b.com:80/en/1", None),
+            (3, None, "<HTML LANG=es-ES>"), (4, "no scheme", ""), (5, "http://h/", "<p lang=en>")]
+    got = {r.id: r for r in G.page_rows(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i].declared for i in range(1, 6)] == ["fr", None, "es", None, None]
+    assert [got[i].suffix for i in range(1, 6)] == ["de", "/en", None, None, "h"]
+    assert [got[i].host for i in range(1, 6)] == ["www.example.de", "a.b.com", None, None, "h"]
+    assert got[1].domain == "example.de"
+
+
+def test_empty_table(spark):
+    d = spark.createDataFrame([], DOCS)
+    assert judged(d) == {} and G.keep_known(d).count() == 0
