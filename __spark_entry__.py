@@ -9,9 +9,9 @@ checkpoint folder (``spark.checkpoint.dir``) and read the result back.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapeworks import fixtures as fx
@@ -21,11 +21,13 @@ from tapeworks.operators.ingest import parse_csv, parse_json
 from tapeworks.operators.latest import keep_latest
 from tapeworks.operators.series import last_known, trailing_mean
 from tapeworks.plans import reports as R
-from tapeworks.plans.jobs import stage_lines
+from tapeworks.functions.text import lenient_timestamp
+from tapeworks.plans.jobs import ingest, run_job, run_reports, stage_lines, stage_paths
 from tapeworks.session import scratch_path
-from tapeworks.sources.lines import line_count
+from tapeworks.sources.lines import line_count, read_whole_files
 from tapeworks.sources.parquet import read_dated, read_staged, write_dated, write_staged
-from tapeworks.sources.runlog import latest_status
+from tapeworks.sources.runlog import latest_status, read_log
+from tapeworks.streaming.ingest import stage_streams
 
 try:  # the training-data operators are an optional subpackage
     import tapeworks.llm.queries as llm
@@ -42,9 +44,8 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _ticks(spark, sf_dir):
-    """The staged-shaped ticks, kept for the reports that read them several
-    times (M1: the source cached its staged table the same way)."""
-    return fx.ticks(_t(spark, sf_dir, "events")).persist(StorageLevel.MEMORY_AND_DISK)
+    """The staged-shaped ticks."""
+    return fx.ticks(_t(spark, sf_dir, "events"))
 
 
 def _staged_cols(df: DataFrame) -> DataFrame:
@@ -71,8 +72,8 @@ def _write_feed(spark, sf_dir) -> str:
     """Write CSV and JSON feed lines under <root>/<fmt>/feed_date=<day>/batch=0/."""
     root = scratch_path(spark, "feed")
     for fmt, build in (("csv", fx.csv_lines), ("json", fx.json_lines)):
-        # One task per day writes that day's folder: parallel, one file per day.
-        (_feed(spark, sf_dir, build, spread=False, with_day=True).repartition("feed_date")
+        # Each task writes its lines of each day: a day is as many files as tasks.
+        (_feed(spark, sf_dir, build, with_day=True)
            .withColumn("batch", F.lit(0))
            .write.partitionBy("feed_date", "batch").text(f"{root}/{fmt}"))
     return root
@@ -177,6 +178,84 @@ def q_run_log_latest(spark, sf_dir):
     return latest_status(fx.run_log(_t(spark, sf_dir, "orders")))
 
 
+#: The processing day of the queries of one day, as the jobs run in production.
+DAY = "2024-01-15"
+
+
+def q_dated_report_day(spark, sf_dir):
+    """Two runs for the day (the second replaces the first) beside another day."""
+    path, ticks = scratch_path(spark, "eod_quotes"), _ticks(spark, sf_dir)
+    write_dated(R.eod_quotes(ticks, "2024-01-14"), path, day="2024-01-14")
+    write_dated(R.eod_trades(ticks, DAY).limit(0), path, day=DAY)
+    write_dated(R.eod_quotes(ticks, DAY), path, day=DAY)
+    return read_dated(spark, path, DAY).select(*S.QUOTE_COLUMNS)
+
+
+def q_ingest_two_days(spark, sf_dir):
+    root, path = _write_feed(spark, sf_dir), scratch_path(spark, "staged")
+    ingest(spark, root, path, DAY, layout="{root}/{fmt}/feed_date={date}/*/*")
+    return (read_staged(spark, path).groupBy("partition", "trade_dt")
+            .agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.sum(F.col("event_seq_nb").cast("long")).alias("sum_seq")))
+
+
+def q_stage_paths(spark, sf_dir):
+    """Extension before folder: CSV files in a folder named json are read as CSV."""
+    root = scratch_path(spark, "mixed")
+    _feed(spark, sf_dir, fx.csv_lines).write.option("compression", "none").text(f"{root}/json/x.csv")
+    _feed(spark, sf_dir, fx.json_lines).write.text(f"{root}/json/plain")
+    staged = stage_paths(spark, [f"{root}/json/x.csv", f"{root}/json/plain/", f"{root}/notes.md"])
+    return staged.groupBy("partition").agg(F.count(F.lit(1)).alias("n_rows"),
+                                           F.sum(F.col("event_seq_nb").cast("long")).alias("sum_seq"))
+
+
+def q_whole_files(spark, sf_dir):
+    """Lines of whole files: their line ends, all files together."""
+    root = _write_feed(spark, sf_dir)
+    files = read_whole_files(spark, [f"{root}/csv/*/*/*", f"{root}/json/*/*/*"])
+    ends = F.length("value") - F.length(F.replace(F.col("value"), F.lit("\n"), F.lit("")))
+    return files.agg(F.sum(ends).cast("long").alias("n_lines"))
+
+
+def q_run_reports_day(spark, sf_dir):
+    """Both jobs of a day, their statuses logged; the reports read back."""
+    root = scratch_path(spark, "jobs")
+    log = f"{root}/log"
+    run_job(spark, log, "ingestion", DAY, lambda: write_staged(_ticks(spark, sf_dir), f"{root}/staged"))
+    run_job(spark, log, "reports", DAY, lambda: run_reports(
+        spark, f"{root}/staged", f"{root}/trades", f"{root}/quotes", f"{root}/analytics", DAY))
+    said = latest_status(read_log(spark, log)).select(F.col("job_id").alias("what"), F.lit(1).cast("long").alias("n_rows"),
+                                                      F.col("status").alias("note"))
+    parts = [read_dated(spark, f"{root}/{r}", DAY).agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(r).alias("what"), "n_rows", F.lit(DAY).alias("note"))
+             for r in ("trades", "quotes", "analytics")]
+    return functools.reduce(DataFrame.unionByName, parts, said)
+
+
+def q_stream_both_formats(spark, sf_dir):
+    root, path = _write_feed(spark, sf_dir), scratch_path(spark, "streamed")
+    stage_streams(spark, {f: f"{root}/{f}/*/*" for f in ("csv", "json")}, path,
+                  scratch_path(spark, "stream-state")).awaitTermination()
+    return (read_staged(spark, path).groupBy("partition")
+            .agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.sum(F.col("event_seq_nb").cast("long")).alias("sum_seq")))
+
+
+def q_null_keys(bucket):
+    """As-of and trailing mean over series with NULL keys and events without a time."""
+    def run(spark, sf_dir):
+        ev = _t(spark, sf_dir, "events").withColumn("k", F.when(
+            F.col("user_id") % 4 != 0, F.col("user_id") % 4))
+        views = ev.where(F.col("event_type") == "view").select("event_id", "k", "ts")
+        buys = ev.where(F.col("event_type") == "purchase").select(
+            "k", F.when(F.col("event_id") % 10 != 0, F.col("ts")).alias("ts"), "event_id",
+            F.col("value").cast(S.PRICE).alias("px"))
+        out = last_known(views, buys, ["k"], "ts", {"last_px": "px"}, tie=["event_id"],
+                         bucket=bucket, means={"last_mean": ("px", "30 minutes")})
+        return out.withColumn("last_mean", F.col("last_mean").cast(S.PRICE))
+    return run
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_line_count": q_text_line_count,
     "stage_csv_valid": lambda s, d: _valid(parse_csv(_feed(s, d, fx.csv_lines))),
@@ -208,14 +287,26 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_close": lambda s, d: R.daily_close(R.trades_of(_ticks(s, d))),
     "prior_close": lambda s, d: R.prior_close(R.trades_of(_ticks(s, d))),
     "quote_analytics": q_analytics(),
-    "quote_analytics_unbucketed": q_analytics(asof_bucket=None, mean_bucket=None),
-    "quote_analytics_bucketed": q_analytics(asof_bucket="1 second", mean_bucket="1 minute"),
-    "quote_analytics_ghost": q_analytics(asof_bucket="1 hour", mean_bucket="30 minutes"),
+    "quote_analytics_unbucketed": q_analytics(bucket=None),
+    "quote_analytics_bucketed": q_analytics(bucket="1 minute"),
+    "quote_analytics_ghost": q_analytics(bucket="2 hours"),
     "quote_analytics_left": q_analytics(keep_untraded=True),
     "quote_analytics_latest": q_analytics(latest_only=True),
     "analytics_all_days": lambda s, d: R.analytics_all_days(_ticks(s, d)),
     "eod_trades_tie_break": lambda s, d: R.eod_trades(_ticks(s, d), tie_break=["trade_pr"]),
     "price_movement": lambda s, d: R.price_movement(_ticks(s, d)),
+    "eod_trades_day": lambda s, d: R.eod_trades(_ticks(s, d), DAY),
+    "quote_analytics_day": lambda s, d: R.quote_analytics(_ticks(s, d), DAY),
+    "dated_report_day": q_dated_report_day,
+    "ingest_two_days": q_ingest_two_days,
+    "stage_paths": q_stage_paths,
+    "whole_files": q_whole_files,
+    "run_reports_day": q_run_reports_day,
+    "stream_both_formats": q_stream_both_formats,
+    "lenient_timestamps": lambda s, d: fx.timestamp_texts(_t(s, d, "events")).select(
+        "event_id", lenient_timestamp(F.col("value")).alias("event_tm")),
+    "null_keys": q_null_keys(None),
+    "null_keys_bucketed": q_null_keys("1 hour"),
     "report_head": lambda s, d: R.report_head(R.quote_analytics(_ticks(s, d), sort=False)),
     "run_log_latest": q_run_log_latest,
 }

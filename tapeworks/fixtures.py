@@ -9,12 +9,13 @@ expressions only, the inputs the pipeline works on:
   class of bad or unusual line per ``event_id % 50`` residue listed below.
 * ``run_log(orders)``: job status rows.
 
-Rules (mirrored by the DuckDB oracle in :mod:`tapeworks.oracle`):
-purchase -> trade, view/click -> quote, other events ignored; symbol
-``'SYM' || user_id % 10``; exchange NYSE for even ``user_id``, else NASDAQ;
-``event_tm`` = ``ts`` truncated to the hour (coarse on purpose: it makes ties);
-``arrival_tm`` = ``ts``; ``event_seq_nb`` = ``event_id``; price = ``value`` as
-decimal(10,2); bid = price, ask = price + 1.
+Rules (mirrored by the DuckDB oracle in :mod:`tapeworks.oracle`): every event is
+a tick; purchase and signup -> trade, all others -> quote, but on every fifth day
+of a month SYM3 only quotes (series-days without a trade); symbol
+``'SYM' || user_id % 10``; exchange by ``user_id / 10``, independent of the
+symbol; ``event_tm`` = ``ts`` truncated to the minute; ``arrival_tm`` = ``ts``;
+``event_seq_nb`` = ``event_id``; price = ``value`` as decimal(10,2); bid = price,
+ask = price + 1; in ``ticks`` the price is NULL for ``event_id % 13 = 5``.
 """
 
 from __future__ import annotations
@@ -39,24 +40,28 @@ JSON_ODD = {11: "numbers as strings", 12: "target key names", 13: "extra keys",
             14: "padded symbol", 15: "first price key missing", 16: "boolean size"}
 REDELIVER_EVERY = 7   # event_id % 7 == 0: delivered again 1 hour later, price + 0.50
 DUPLICATE_EVERY = 11  # event_id % 11 == 0: delivered twice, identical
+NO_PRICE = (13, 5)    # event_id % 13 == 5: a staged tick without trade price or bid
+UNTRADED = ("SYM3", 5)  # this symbol has no trade on every fifth day of a month
 # --- end of fixed values ----------------------------------------------------
 
 
 def base_ticks(events: DataFrame) -> DataFrame:
-    """One staged row per purchase / view / click event (plus ``event_id``)."""
-    e = events.where(F.col("event_type").isin("purchase", "view", "click"))
-    is_t = F.col("event_type") == "purchase"
+    """One staged row per event (plus ``event_id``)."""
+    e = events
+    symbol = F.concat(F.lit("SYM"), (F.col("user_id") % 10).cast("string"))
+    quiet = (symbol == UNTRADED[0]) & (F.dayofmonth("ts") % UNTRADED[1] == 0)
+    is_t = F.col("event_type").isin("purchase", "signup") & ~quiet
     ts = F.col("ts").cast(T.TimestampNTZType())
     price = F.col("value").cast(S.PRICE)
-    hour = F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
-                                F.lit(0), F.lit(0))
+    minute = F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
+                                  F.minute(ts), F.lit(0))
     return e.select(
         F.col("event_id"),
         ts.cast(T.DateType()).alias("trade_dt"),
         F.when(is_t, S.TRADE).otherwise(S.QUOTE).alias("rec_type"),
-        F.concat(F.lit("SYM"), (F.col("user_id") % 10).cast("string")).alias("symbol"),
-        F.when(F.col("user_id") % 2 == 0, "NYSE").otherwise("NASDAQ").alias("exchange"),
-        hour.alias("event_tm"),
+        symbol.alias("symbol"),
+        F.when(F.floor(F.col("user_id") / 10) % 2 == 0, "NYSE").otherwise("NASDAQ").alias("exchange"),
+        minute.alias("event_tm"),
         F.col("event_id").cast(T.IntegerType()).alias("event_seq_nb"),
         ts.alias("arrival_tm"),
         F.when(is_t, price).alias("trade_pr"),
@@ -78,6 +83,8 @@ def ticks(events: DataFrame) -> DataFrame:
     result is the whole table plus copies.
     """
     b = base_ticks(events)
+    priced = F.col("event_id") % NO_PRICE[0] != NO_PRICE[1]
+    b = b.withColumns({c: F.when(priced, F.col(c)) for c in ("trade_pr", "bid_pr")})
     bump = F.lit(0.5).cast(S.PRICE)
     again = b.where(F.col("event_id") % REDELIVER_EVERY == 0).select(
         *[(F.col(c) + F.expr("INTERVAL 1 HOUR")).alias(c) if c == "arrival_tm"
@@ -203,6 +210,21 @@ def json_lines(events: DataFrame, with_day: bool = False, partitions: int | None
                    .select(line.alias("value"), *_day(with_day)), partitions)
 
 
+def timestamp_texts(events: DataFrame) -> DataFrame:
+    """(event_id, value): the event's minute, written in one of twelve forms by
+    ``event_id % 12``."""
+    b = base_ticks(events)
+    tm = F.col("event_tm")
+    west = tm - F.expr("INTERVAL 4 HOURS")
+    forms = [_fmt(tm, "yyyy-MM-dd'T'HH:mm:ss'Z'"), _fmt(tm, "yyyy-MM-dd HH:mm:ss'+00:00'"),
+             _fmt(west, "yyyy-MM-dd'T'HH:mm:ss'-04:00'"), _fmt(tm, "yyyy-MM-dd hh:mm:ss a"),
+             _fmt(tm, "yyyy-M-d H:mm"), _fmt(tm, "M/d/yyyy H:mm"), _fmt(tm, "MM/dd/yy HH:mm"),
+             _fmt(tm, "d-MMM-yyyy H:mm"), _fmt(tm, "EEE MMM d HH:mm:ss yyyy"),
+             _fmt(west, "yyyyMMdd'T'HHmmss'-0400'"), _fmt(tm, "M/d/yyyy h:mm a"),
+             _fmt(tm, "yyyy-MM-dd HH:mm:ss.SSS")]
+    return b.select("event_id", F.array(*forms)[(F.col("event_id") % 12).cast("int")].alias("value"))
+
+
 def run_log(orders: DataFrame) -> DataFrame:
     """Job status rows: one per order. job id ``<job>_<day>`` with job
     ``ingestion`` or ``reports`` (by order priority), update time = order date

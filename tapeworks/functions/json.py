@@ -9,14 +9,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# A line must hold exactly one object: Spark would accept trailing text.
+# A line must hold exactly one object. Spark's parser stops after one value and
+# accepts any text behind it, so the line is parsed as the first element of an
+# array that a known second element closes: text behind the object would come
+# between the two, and a line that closes the array itself has no such element.
 _OBJECT_LINE = r"(?s)^\s*\{.*\}\s*$"
+_CLOSING = "end of line"
 
 
 def json_object(line: Column) -> Column:
     """Parse ``line`` to a VARIANT; NULL unless it is one JSON object."""
-    v = F.try_parse_json(F.when(line.rlike(_OBJECT_LINE), line))
-    return F.when(F.schema_of_variant(v).startswith("OBJECT"), v)
+    pair = F.try_parse_json(F.when(line.rlike(_OBJECT_LINE),
+                                   F.concat(F.lit("["), line, F.lit(f',"{_CLOSING}"]'))))
+    closed = F.try_variant_get(pair, "$[1]", "string") == _CLOSING
+    return F.when(closed, F.try_variant_get(pair, "$[0]", "variant"))
 
 
 def json_field(obj: Column, *keys: str) -> Column:

@@ -24,18 +24,40 @@ _DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _ISO_DATETIME = r"^\d{4}-\d{2}-\d{2}([T ]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$"
 _ISO_PREFIX = r"^\d{4}-\d{2}-\d{2}"
 
-# Lenient date-time forms accepted besides ISO 8601 (Spark datetime patterns).
+# Lenient date-time forms accepted besides ISO 8601 (Spark datetime patterns; a
+# single letter takes one digit or two, two-digit years are 2000 to 2099).
 TIMESTAMP_FORMATS = (
-    "yyyy/MM/dd HH:mm[:ss][.SSSSSS]",
-    "yyyy/MM/dd",
-    "MM/dd/yyyy HH:mm[:ss][.SSSSSS]",
-    "MM/dd/yyyy",
-    "MMM d yyyy HH:mm[:ss]",
+    "yyyy-M-d H:mm[:ss][.SSSSSS]",
+    "yyyy-M-d h:mm[:ss] a",
+    "yyyy-M-d",
+    "yyyy/M/d H:mm[:ss][.SSSSSS]",
+    "yyyy/M/d h:mm[:ss] a",
+    "yyyy/M/d",
+    "M/d/yyyy H:mm[:ss][.SSSSSS]",
+    "M/d/yyyy h:mm[:ss] a",
+    "M/d/yyyy",
+    "M/d/yy H:mm[:ss]",
+    "M/d/yy h:mm[:ss] a",
+    "M/d/yy",
+    "MMM d yyyy H:mm[:ss]",
+    "MMM d yyyy h:mm[:ss] a",
     "MMM d yyyy",
-    "d MMM yyyy HH:mm[:ss]",
+    "MMM d, yyyy H:mm[:ss]",
+    "MMM d, yyyy h:mm[:ss] a",
+    "MMM d, yyyy",
+    "MMM d H:mm:ss yyyy",
+    "d MMM yyyy H:mm[:ss]",
     "d MMM yyyy",
+    "d-MMM-yyyy H:mm[:ss]",
+    "d-MMM-yyyy",
     "yyyyMMdd'T'HHmmss",
+    "yyyyMMddHHmmss",
+    "yyyyMMdd",
 )
+# A time (never a bare date) followed by its offset from UTC.
+_OFFSET = r"^(.*:\d{2}(?:\.\d+)?(?: ?[AaPp][Mm])?|\d{8}T?\d{6}) ?(Z|z|UTC|GMT|[+-]\d{2}:?\d{2})$"
+_DAY_NAME = r"^(?i:mon|tue|wed|thu|fri|sat|sun)[a-z]*,? +"
+_NOON = r"[AaPp][Mm]$"
 
 
 def strip_ws(c: Column) -> Column:
@@ -56,22 +78,35 @@ def strict_date(text: Column, stripped: bool = False) -> Column:
 
 def lenient_timestamp(text: Column, formats=TIMESTAMP_FORMATS, stripped: bool = False) -> Column:
     """Date-time text -> TIMESTAMP_NTZ: ISO 8601 first; text that does not
-    start with an ISO date tries ``formats``.
+    start with a padded ISO date, or ends in AM / PM, tries ``formats``. A day
+    name in front is ignored.
 
-    A time without a date is rejected (it would otherwise depend on the day the
-    job runs).
+    A time with an offset (``Z``, ``+02:00``, ``-0400``) is an instant and becomes
+    its UTC wall-clock time; a time without one is taken as it is, whatever the
+    session's zone. A time without a date is rejected (it would otherwise depend
+    on the day the job runs).
     """
     t = _trimmed(text, stripped)
+    offset = F.regexp_extract(t, _OFFSET, 2)
+    core = F.regexp_replace(F.when(offset != "", F.regexp_extract(t, _OFFSET, 1)).otherwise(t),
+                            _DAY_NAME, "")
+    digits = F.regexp_replace(offset, "[^0-9]", "")
+    minutes = (F.when(F.length(digits) == 4,
+                      60 * F.substring(digits, 1, 2).try_cast("int") + F.substring(digits, 3, 2).try_cast("int"))
+               .otherwise(0) * F.when(offset.startswith("-"), -1).otherwise(1))
     # Other forms are read as UTC instants (explicit offset) and turned into
     # wall-clock time by arithmetic, so no session zone (or DST gap) applies.
-    utc = F.concat(t, F.lit(" +0000"))
+    utc = F.concat(core, F.lit(" +0000"))
     others = [F.try_to_timestamp(utc, F.lit(fmt + " xx")) for fmt in formats]
     wall = F.timestamp_add("MICROSECOND", F.unix_micros(F.coalesce(*others)),
                            F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType()))
     # Full ISO text: one regex on the common path. ISO-looking text that fails
     # the full pattern is refused; anything else tries the other formats.
-    return (F.when(t.rlike(_ISO_DATETIME), t.try_cast(T.TimestampNTZType()))
-             .when(~t.rlike(_ISO_PREFIX), wall))
+    iso = t.rlike(_ISO_DATETIME)
+    read = (F.when(core.rlike(_ISO_DATETIME), core.try_cast(T.TimestampNTZType()))
+            .when(~core.rlike(_ISO_PREFIX) | core.rlike(_NOON), wall))
+    return (F.when(iso, t.try_cast(T.TimestampNTZType()))
+             .otherwise(F.timestamp_add("MINUTE", -minutes, read)))
 
 
 def strict_int(text: Column, stripped: bool = False) -> Column:

@@ -1,31 +1,19 @@
-"""Equi-join with a small side that is broadcast only after its size is checked."""
+"""Equi-join with a side that is usually small."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's optimizer estimate of ``df``'s size. Without cost-based
-    statistics a filter, projection, window or aggregate never estimates more
-    than its input, so for plans built from scans this is an upper bound."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
-               broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join ``big`` with ``small`` on ``on``.
 
-    ``small`` is broadcast (``big`` is not shuffled) when its estimated size
-    is at most ``broadcast_max_bytes``. Otherwise the join is planned as a
-    shuffle join, and adaptive execution may still turn it into a broadcast
-    from the measured size of ``small`` at run time. ``None`` leaves the choice
-    to Spark entirely. No job runs to decide.
+    No broadcast hint: an estimate made before a job runs can be far too low (a
+    well compressed text column, an exploding step). Adaptive execution
+    broadcasts ``small`` when its *measured* size is under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and else splits the hot
+    partitions of a shuffle join. No job runs to decide.
     """
-    if broadcast_max_bytes is not None and estimated_bytes(small) <= broadcast_max_bytes:
-        return big.join(F.broadcast(small), on=list(on), how=how)
     return big.join(small, on=list(on), how=how)

@@ -11,22 +11,24 @@ from .. import schema as S
 
 def keep_latest(df: DataFrame, keys: Sequence[str] = S.EVENT_KEY,
                 version: str = S.VERSION_COL, tie_break: Sequence[str] | None = None,
-                method: str = "aggregate") -> DataFrame:
+                method: str = "window") -> DataFrame:
     """Keep the rows whose ``version`` equals the maximum for their ``keys``.
 
     Default: every row tied on the maximum is kept (the source behaviour: exact
     re-deliveries all survive). With ``tie_break`` exactly one row per key
     survives: the greatest by ``version``, then ``tie_break``, then the other
-    columns, so the choice is deterministic. NULL keys group together.
-
-    ``method="aggregate"`` (default, skew-safe): the maximum per key comes from
-    a partially aggregated ``groupBy`` (a hot key ships one row per map task),
-    and rows are matched to it with an equi-join on the key, which adaptive
-    execution broadcasts when small or splits when one key is hot.
-    ``method="window"``: one hash exchange on the key and a window, the
-    cheapest plan when no key holds a large share of the rows.
+    columns, so the choice is deterministic. NULL keys group together. Rows
+    without a version are never the latest: a key with no other rows is absent.
+
+    ``method="window"`` (default): one hash exchange on the key; right when a key
+    has few versions, as event keys do. ``method="aggregate"`` (skew-safe): the
+    maximum per key comes from a partially aggregated ``groupBy`` (a hot key
+    ships one row per map task), and rows are matched to it with an equi-join,
+    which adaptive execution broadcasts when small or splits when one key is
+    hot; for keys that may hold a large share of the rows.
     """
     keys = list(keys)
+    df = df.where(F.col(version).isNotNull())
     if method == "window":
         return _by_window(df, keys, version, tie_break)
     if method != "aggregate":
@@ -37,11 +39,12 @@ def keep_latest(df: DataFrame, keys: Sequence[str] = S.EVENT_KEY,
         return (df.groupBy(*keys).agg(best)
                   .select(*keys, *[F.col(f"__best.{c}").alias(c) for c in [version, *tie_break, *rest]])
                   .select(*df.columns))
-    latest = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(
-        F.max(version).alias("__max_version"))
-    cond = [df[k].eqNullSafe(latest[f"__k{i}"]) for i, k in enumerate(keys)]
-    joined = df.join(latest, cond, "inner")
-    return joined.where(F.col(version) == F.col("__max_version")).select(*[df[c] for c in df.columns])
+    # One struct of the keys: its equality takes NULLs as equal and keeps the
+    # aggregate's partitioning for the join.
+    keyed = df.withColumn("__key", F.struct(*keys))
+    latest = keyed.groupBy("__key").agg(F.max(version).alias("__max_version"))
+    joined = keyed.join(latest, "__key").where(F.col(version) == F.col("__max_version"))
+    return joined.select(*df.columns)
 
 
 def _by_window(df: DataFrame, keys: list[str], version: str, tie_break) -> DataFrame:

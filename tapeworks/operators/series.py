@@ -14,6 +14,11 @@ in one task; a hot symbol can hold a third of the rows. ``trailing_mean`` and
 buckets that are windowed in parallel, and what crosses a bucket edge travels
 explicitly (copied *ghost* rows for the trailing mean, a small per-bucket carry
 table for the as-of). Results are identical to the unbucketed form.
+
+NULL keys: a NULL is a key value like any other, in every form. Series are
+compared as one struct of the key columns, whose equality takes NULLs as equal;
+plain equality of the columns would lose them in joins, and null-safe equality
+of each would lose the partitioning.
 """
 
 from __future__ import annotations
@@ -28,6 +33,7 @@ from ..functions.time import epoch_micros, interval_micros, time_bucket
 _T = "__t_us"      # epoch micros of the order column
 _B = "__bucket"    # bucket start (epoch micros)
 _SIDE = "__side"   # 0 = event row, 1 = probe row
+_K = "__series"    # struct of the key columns
 
 
 def _mean_type(dtype: T.DataType) -> tuple[T.DataType, T.DataType] | None:
@@ -116,7 +122,8 @@ def _prefix_mean(df: DataFrame, value: str, keys: list[str], width_us: int, buck
     (series, time) tie group, however hot the series is.
     """
     sum_t, avg_t = _mean_type(df.schema[value].dataType)
-    kcols = [F.col(k) for k in keys]
+    df = df.withColumn(_K, F.struct(*keys))
+    keys, kcols = [_K], [F.col(_K)]
     vals = df.select(*kcols, F.col(_T), F.col(value).alias("__v")).where(F.col("__v").isNotNull())
     # Two probes per row; rows with the same (series, time) give identical
     # probes, so they are recombined with max below instead of de-duplicated
@@ -153,11 +160,9 @@ def _prefix_mean(df: DataFrame, value: str, keys: list[str], width_us: int, buck
         (F.max(F.when(hi, F.col("__P"))) - F.max(F.when(lo, F.col("__P")))).alias("__ws"),
         (F.max(F.when(hi, F.col("__N"))) - F.max(F.when(lo, F.col("__N")))).alias("__wn"))
     mean = (F.col("__ws").cast(sum_t) / F.col("__wn").cast(T.DecimalType(20, 0))).cast(avg_t)
-    per_time = per_time.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-                               "__t0", F.when(F.col("__wn") > 0, mean).alias(out))
-    cond = [df[k].eqNullSafe(per_time[f"__k{i}"]) for i, k in enumerate(keys)]
-    cond.append(df[_T] == per_time["__t0"])
-    return df.join(per_time, cond, "left").select(*[df[c] for c in df.columns if c != _T], out)
+    per_time = per_time.select(_K, "__t0", F.when(F.col("__wn") > 0, mean).alias(out))
+    joined = df.withColumnRenamed(_T, "__t0").join(per_time, [_K, "__t0"], "left")
+    return joined.select(*[c for c in df.columns if c not in (_T, _K)], out)
 
 
 def _order_struct(cols: Sequence[str]) -> Column:
@@ -182,91 +187,105 @@ def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time:
     earlier buckets. The carry table grows with the number of buckets, not rows.
     The bucketed form reads ``events`` twice (window and carry table); when
     ``events`` is costly to compute, materialize it first (``checkpoint()`` or a
-    written table), as ``quote_analytics`` does.
+    written table).
 
     ``distinct_probes``: identical probe rows come out once. The duplicates are
     dropped after the window, where rows are already hash-partitioned by the
     series (and bucket), so it costs no extra shuffle of the probe table.
 
-    ``means`` (unbucketed only): ``{out_name: (event_col, width)}``, the last
-    known *trailing mean* of an event column, i.e. ``trailing_mean`` evaluated
-    at each event and then looked up as of each probe. It is computed on the
-    same union and partitioning as the lookup, so the events are shuffled once
-    for both.
+    ``means``: ``{out_name: (event_col, width)}``, the last known *trailing mean*
+    of an event column, i.e. ``trailing_mean`` evaluated at each event and then
+    looked up as of each probe. It is computed on the same union and
+    partitioning as the lookup, so events and probes are shuffled once for
+    both. With buckets (no narrower than any width), events in the last
+    ``width`` of a bucket are copied into the next one as ghosts that complete
+    its frames and are looked up by nobody.
+
+    Events without a time are never the last known; probes without one get NULL.
     """
     keys = list(keys)
     tie = list(tie)
     probe_time = probe_time or time
     means = dict(means or {})
-    if means and bucket is not None:
-        raise ValueError("means= is for the unbucketed lookup; use trailing_mean(bucket=) first")
+    widest = max((interval_micros(w) for _, w in means.values()), default=0)
+    if bucket is not None and interval_micros(bucket) < widest:
+        raise ValueError("a bucket narrower than a mean's window; use trailing_mean(bucket=) first")
     names = list(values)
     priv = {o: f"__v{i}" for i, o in enumerate(names)}
     mean_src = {o: f"__m{i}" for i, o in enumerate(means)}
-    ev = events.select(*keys, F.col(time).alias(_T + "ts"), *tie,
+    ev = events.select(F.struct(*keys).alias(_K), F.col(time).alias(_T + "ts"), *tie,
                        *[F.col(values[o]).alias(priv[o]) for o in names],
                        *[F.col(means[o][0]).alias(mean_src[o]) for o in means])
-    ev = ev.withColumn(_T, epoch_micros(ev, _T + "ts")).drop(_T + "ts")
-    pr = probes.withColumn(_T, epoch_micros(probes, probe_time))
-    part = list(keys)
+    ev = ev.withColumn(_T, epoch_micros(ev, _T + "ts")).drop(_T + "ts").where(F.col(_T).isNotNull())
+    pr = probes.withColumn(_T, epoch_micros(probes, probe_time)).withColumn(_K, F.struct(*keys))
+    part = [_K]
+    ev = ev.withColumn("__ghost", F.lit(False))
     if bucket is not None:
         bucket_us = interval_micros(bucket)
         ev = ev.withColumn(_B, time_bucket(F.col(_T), bucket_us))
         pr = pr.withColumn(_B, time_bucket(F.col(_T), bucket_us))
-        part = keys + [_B]
+        part = [_K, _B]
+        if means:
+            near_end = F.col(_T) >= F.col(_B) + F.lit(bucket_us - widest)
+            copies = F.when(near_end, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+            ev = ev.withColumn("__ghost", F.explode(copies)).withColumn(
+                _B, F.col(_B) + F.when(F.col("__ghost"), F.lit(bucket_us)).otherwise(F.lit(0)))
+
+    def with_means(u: DataFrame) -> DataFrame:
+        # Probe rows carry no value, so the frames sum event values only.
+        for o, (_, width) in means.items():
+            u = u.select("*", _range_mean(u, mean_src[o], part, interval_micros(width),
+                                          f"__mean_{o}", "prefix"))
+            u = u.withColumn(f"__mean_{o}", F.when((F.col(_SIDE) == 0) & ~F.col("__ghost"),
+                                                   F.col(f"__mean_{o}")))
+        return u
 
     # Probe columns ride along on probe rows only; the union is by name.
     probe_cols = [c for c in pr.columns if c not in part and c != _T]
-    ev_side = ev.select(*part, _T, *[F.col(c).alias(f"__tie{i}") for i, c in enumerate(tie)],
-                        *[priv[o] for o in names], *mean_src.values(), F.lit(0).alias(_SIDE))
+    ev_side = ev.select(*part, _T, "__ghost", *[F.col(c).alias(f"__tie{i}") for i, c in enumerate(tie)],
+                        *[F.when(~F.col("__ghost"), F.col(priv[o])).alias(priv[o]) for o in names],
+                        *mean_src.values(), F.lit(0).alias(_SIDE))
     pr_side = pr.select(*part, _T, F.lit(1).alias(_SIDE),
                         *[F.col(c) for c in probe_cols])
-    u = ev_side.unionByName(pr_side, allowMissingColumns=True)
-    for o, (_, width) in means.items():
-        # Probe rows carry no value, so the frames sum event values only.
-        u = u.select("*", _range_mean(u, mean_src[o], part, interval_micros(width), f"__mean_{o}",
-                                      "prefix"))
-        u = u.withColumn(f"__mean_{o}", F.when(F.col(_SIDE) == 0, F.col(f"__mean_{o}")))
-    order = [_T, _SIDE] + [f"__tie{i}" for i in range(len(tie))] + [priv[o] for o in names]
+    u = with_means(ev_side.unionByName(pr_side, allowMissingColumns=True))
+    ties = [f"__tie{i}" for i in range(len(tie))]
+    # The order among events is the same whether a mean is looked up or a value.
+    order = [_T, _SIDE, *ties] + [priv[o] for o in names]
     w = (Window.partitionBy(*part).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    looked = {**{o: priv[o] for o in names}, **{o: f"__mean_{o}" for o in means}}
     found = u.select(*part, _T, _SIDE, *probe_cols,
-                     *[F.last(priv[o], ignorenulls=True).over(w).alias(o) for o in names],
-                     *[F.last(f"__mean_{o}", ignorenulls=True).over(w).alias(o) for o in means]
+                     *[F.last(c, ignorenulls=True).over(w).alias(o) for o, c in looked.items()]
                      ).where(F.col(_SIDE) == 1)
-    names = names + list(means)
     if distinct_probes:
         found = found.dropDuplicates()
 
     if bucket is not None:
-        carry = _bucket_carry(ev, pr, keys, tie, [priv[o] for o in names])
+        carry = _bucket_carry(with_means(ev_side), pr, [_T, *ties] + [priv[o] for o in names],
+                              list(looked.values()))
         found = found.join(carry, on=part, how="left")
-        found = found.select(*[c for c in found.columns if c not in names and not c.startswith("__carry")],
-                             *[F.coalesce(F.col(o), F.col(f"__carry{i}")).alias(o)
-                               for i, o in enumerate(names)])
-    return found.select(*[c for c in probes.columns], *names)
+        found = found.select(*probe_cols, *[F.coalesce(F.col(o), F.col(f"__carry{i}")).alias(o)
+                                            for i, o in enumerate(looked)])
+    return found.select(*probes.columns, *looked)
 
 
-def _bucket_carry(ev: DataFrame, pr: DataFrame, keys: list[str], tie: list[str],
-                  vals: list[str]) -> DataFrame:
+def _bucket_carry(ev: DataFrame, pr: DataFrame, order: list[str], vals: list[str]) -> DataFrame:
     """Per (series, probe bucket): last non-NULL value of each ``vals`` column
-    over all *earlier* buckets. Built from a per-bucket partial aggregate, so
-    its size is (series x buckets), whatever the row count."""
-    order_cols = [_T] + tie
-    # Events: last value per bucket (a struct-ordered max_by: sort-based partial
-    # aggregate, over the event rows only). Probes: the buckets they fall in (a
-    # hash distinct, so the probe table is never sorted for this).
-    per_bucket = ev.groupBy(*keys, _B).agg(*[
-        F.max_by(F.col(v), F.when(F.col(v).isNotNull(), _order_struct(order_cols + [v]))).alias(v)
+    over all *earlier* buckets. Built from a per-bucket aggregate, so its size is
+    (series x buckets), whatever the row count."""
+    # Events: last value per bucket. Probes: the buckets they fall in (a hash
+    # distinct, so the probe table is never sorted for this).
+    per_bucket = ev.where(~F.col("__ghost")).groupBy(_K, _B).agg(*[
+        F.max_by(F.col(v), F.when(F.col(v).isNotNull(), _order_struct([*order, v]))).alias(v)
         for v in vals])
-    probe_buckets = pr.select(*keys, _B).distinct()
+    probe_buckets = pr.select(_K, _B).distinct()
     u = (per_bucket.withColumn(_SIDE, F.lit(1))
          .unionByName(probe_buckets.withColumn(_SIDE, F.lit(0)), allowMissingColumns=True))
     # A probe bucket sorts before the event bucket with the same start, so its
     # frame holds strictly earlier buckets only.
-    w = (Window.partitionBy(*keys).orderBy(_B, _SIDE)
+    w = (Window.partitionBy(_K).orderBy(_B, _SIDE)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (u.select(*keys, _B, _SIDE,
+    return (u.select(_K, _B, _SIDE,
                      *[F.last(v, ignorenulls=True).over(w).alias(f"__carry{i}")
                        for i, v in enumerate(vals)])
              .where(F.col(_SIDE) == 0).drop(_SIDE))

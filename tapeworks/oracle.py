@@ -7,41 +7,50 @@ and the operator semantics with DuckDB's own tools (ASOF joins, ``arg_max``,
 from __future__ import annotations
 
 BASE = """
+kinds AS (
+  SELECT *, CASE WHEN event_type IN ('purchase', 'signup')
+                      AND NOT (user_id % 10 = 3 AND day(ts) % 5 = 0) THEN 'T' ELSE 'Q' END AS kind
+  FROM events
+),
 base AS (
   SELECT event_id,
     CAST(ts AS DATE) AS trade_dt,
-    CASE WHEN event_type = 'purchase' THEN 'T' ELSE 'Q' END AS rec_type,
+    kind AS rec_type,
     'SYM' || CAST(user_id % 10 AS VARCHAR) AS symbol,
-    CASE WHEN user_id % 2 = 0 THEN 'NYSE' ELSE 'NASDAQ' END AS exchange,
-    date_trunc('hour', ts) AS event_tm,
+    CASE WHEN (user_id // 10) % 2 = 0 THEN 'NYSE' ELSE 'NASDAQ' END AS exchange,
+    date_trunc('minute', ts) AS event_tm,
     CAST(event_id AS INTEGER) AS event_seq_nb,
     ts AS arrival_tm,
-    CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(10,2)) END AS trade_pr,
-    CASE WHEN event_type <> 'purchase' THEN CAST(value AS DECIMAL(10,2)) END AS bid_pr,
-    CASE WHEN event_type <> 'purchase' THEN CAST(100 * (1 + event_id % 5) AS INTEGER) END AS bid_size,
-    CASE WHEN event_type <> 'purchase' THEN CAST(CAST(value AS DECIMAL(10,2)) + 1 AS DECIMAL(10,2)) END AS ask_pr,
-    CASE WHEN event_type <> 'purchase' THEN CAST(100 * (1 + user_id % 5) AS INTEGER) END AS ask_size,
-    CASE WHEN event_type = 'purchase' THEN 'T' ELSE 'Q' END AS partition,
+    CASE WHEN kind = 'T' THEN CAST(value AS DECIMAL(10,2)) END AS trade_pr,
+    CASE WHEN kind = 'Q' THEN CAST(value AS DECIMAL(10,2)) END AS bid_pr,
+    CASE WHEN kind = 'Q' THEN CAST(100 * (1 + event_id % 5) AS INTEGER) END AS bid_size,
+    CASE WHEN kind = 'Q' THEN CAST(CAST(value AS DECIMAL(10,2)) + 1 AS DECIMAL(10,2)) END AS ask_pr,
+    CASE WHEN kind = 'Q' THEN CAST(100 * (1 + user_id % 5) AS INTEGER) END AS ask_size,
+    kind AS partition,
     CAST(NULL AS VARCHAR) AS line,
-    CASE WHEN event_type = 'purchase' THEN CAST(100 * (1 + event_id % 3) AS INTEGER) END AS trade_size,
+    CASE WHEN kind = 'T' THEN CAST(100 * (1 + event_id % 3) AS INTEGER) END AS trade_size,
     CAST(event_id % 50 AS INTEGER) AS c
-  FROM events WHERE event_type IN ('purchase', 'view', 'click')
+  FROM kinds
 )"""
 
 COMMON = ("trade_dt, rec_type, symbol, exchange, event_tm, event_seq_nb, arrival_tm, "
           "trade_pr, bid_pr, bid_size, ask_pr, ask_size, partition, line")
 
 TICKS = BASE + f""",
+priced AS (
+  SELECT * REPLACE (CASE WHEN event_id % 13 <> 5 THEN trade_pr END AS trade_pr,
+                    CASE WHEN event_id % 13 <> 5 THEN bid_pr END AS bid_pr) FROM base
+),
 ticks AS (
-  SELECT {COMMON} FROM base
+  SELECT {COMMON} FROM priced
   UNION ALL
   SELECT trade_dt, rec_type, symbol, exchange, event_tm, event_seq_nb,
          arrival_tm + INTERVAL 1 HOUR,
          CAST(trade_pr + 0.50 AS DECIMAL(10,2)), CAST(bid_pr + 0.50 AS DECIMAL(10,2)), bid_size,
          CAST(ask_pr + 0.50 AS DECIMAL(10,2)), ask_size, partition, line
-  FROM base WHERE event_id % 7 = 0
+  FROM priced WHERE event_id % 7 = 0
   UNION ALL
-  SELECT {COMMON} FROM base WHERE event_id % 11 = 0
+  SELECT {COMMON} FROM priced WHERE event_id % 11 = 0
 ),
 trades AS (
   SELECT trade_dt, symbol, exchange, event_tm, event_seq_nb, arrival_tm, trade_pr
@@ -299,6 +308,43 @@ def queries() -> dict[str, str]:
     q["report_head"] = (f"SELECT * FROM ({flagship}) r ORDER BY symbol, exchange, event_tm,"
                         " trade_dt NULLS FIRST, prior_trade_pr NULLS FIRST,"
                         " prior_mov_avg_trade_pr NULLS FIRST, prior_close_trade_pr NULLS FIRST LIMIT 20")
+    day = "DATE '2024-01-15'"
+    q["eod_trades_day"] = _with(TICKS) + f" SELECT {TRADE_COLS} FROM trades WHERE trade_dt = {day} {latest}"
+    q["quote_analytics_day"] = flagship + f" WHERE qa.trade_dt = {day}"
+    q["dated_report_day"] = _with(TICKS) + f" SELECT {QUOTE_COLS} FROM quotes WHERE trade_dt = {day} {latest}"
+    two_days = (_with(BASE, CSV_LINES, JSON_LINES.replace(LINE_FIELDS, ""))
+                + f", s AS (SELECT {CSV_VALID_COLS}, ts_day FROM (SELECT *, trade_dt AS ts_day FROM base)"
+                  f" WHERE c NOT IN {CSV_BAD}"
+                  f" UNION ALL SELECT {JSON_VALID_COLS}, ts_day FROM (SELECT *, trade_dt AS ts_day FROM base)"
+                  f" WHERE c NOT IN {JSON_BAD})"
+                  f", b AS (SELECT trade_dt AS ts_day FROM csv_lines WHERE c IN {CSV_BAD}"
+                  f" UNION ALL SELECT trade_dt FROM json_lines WHERE c IN {JSON_BAD})")
+    q["ingest_two_days"] = (two_days
+        + " SELECT partition, trade_dt, count(*) AS n_rows, CAST(sum(event_seq_nb) AS BIGINT) AS sum_seq FROM s"
+          f" WHERE ts_day IN ({day}, {day} - 1) GROUP BY ALL"
+          " UNION ALL SELECT 'B', DATE '2000-01-01', count(*), CAST(-count(*) AS BIGINT) FROM b"
+          f" WHERE ts_day IN ({day}, {day} - 1)")
+    q["stage_paths"] = q["stage_roundtrip"]
+    q["stream_both_formats"] = q["stage_roundtrip"]
+    q["whole_files"] = q["text_line_count"]
+    q["run_reports_day"] = (_with(TICKS, MEAN)
+        + f" SELECT 'ingestion_2024-01-15' AS what, CAST(1 AS BIGINT) AS n_rows, 'success' AS note"
+          " UNION ALL SELECT 'reports_2024-01-15', 1, 'success'"
+          f" UNION ALL SELECT 'trades', count(*), '2024-01-15' FROM (SELECT 1 FROM trades WHERE trade_dt = {day} {latest})"
+          f" UNION ALL SELECT 'quotes', count(*), '2024-01-15' FROM (SELECT 1 FROM quotes WHERE trade_dt = {day} {latest})"
+          " UNION ALL SELECT 'analytics', count(*), '2024-01-15' FROM qa JOIN pclose pc ON qa.trade_dt = pc.trade_dt"
+          f" AND qa.symbol = pc.symbol AND qa.exchange = pc.exchange WHERE qa.trade_dt = {day}")
+    q["lenient_timestamps"] = "SELECT event_id, date_trunc('minute', ts) AS event_tm FROM events"
+    null_mean = _cents_mean("k", "ts", "px")
+    q["null_keys"] = f"""WITH e AS (SELECT *, CASE WHEN user_id % 4 <> 0 THEN user_id % 4 END AS k,
+        CAST(value AS DECIMAL(10,2)) AS px FROM events),
+      p AS (SELECT *, {null_mean} AS mean FROM e WHERE event_type = 'purchase' AND event_id % 10 <> 0),
+      l AS (SELECT coalesce(k, -1) AS k, ts, arg_max(px, (event_id, px)) AS px,
+                   arg_max(mean, (event_id, px)) AS mean FROM p GROUP BY coalesce(k, -1), ts),
+      v AS (SELECT *, coalesce(k, -1) AS kk FROM e WHERE event_type = 'view')
+      SELECT v.event_id, v.k, v.ts, l.px AS last_px, l.mean AS last_mean
+      FROM v ASOF LEFT JOIN l ON v.kk = l.k AND v.ts >= l.ts"""
+    q["null_keys_bucketed"] = q["null_keys"]
     q["run_log_latest"] = """WITH rl AS (
         SELECT CASE WHEN o_orderpriority LIKE '1%' OR o_orderpriority LIKE '2%' THEN 'ingestion'
                     ELSE 'reports' END || '_' || strftime(o_orderdate, '%Y-%m-%d') AS job_id,

@@ -3,9 +3,9 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.ingest import empty_common, parse_lines
@@ -15,6 +15,8 @@ from ..sources.parquet import read_staged, write_dated, write_staged
 from ..sources.runlog import append_status
 from . import reports
 
+log = logging.getLogger(__name__)
+
 
 def stage_lines(spark: SparkSession, paths_by_format: dict[str, Sequence[str]],
                 strict_json_types: bool = True, missing_ok: bool = False) -> DataFrame:
@@ -50,26 +52,23 @@ def ingest(spark: SparkSession, input_root: str, staged_path: str, day, prior_da
     d, p = processing_days(day, prior_day)
     paths = {fmt: [input_glob(input_root, fmt, d, layout)] for fmt in FORMATS}
     staged = stage_lines(spark, paths, strict_json_types)
-    if p is not None:
-        prior = {fmt: [input_glob(input_root, fmt, p, layout)] for fmt in FORMATS}
-        staged = staged.unionByName(
-            stage_lines(spark, prior, strict_json_types, missing_ok=missing_prior_ok))
+    prior = {fmt: [input_glob(input_root, fmt, p, layout)] for fmt in FORMATS}
+    staged = staged.unionByName(
+        stage_lines(spark, prior, strict_json_types, missing_ok=missing_prior_ok))
     write_staged(staged, staged_path)
     return staged
 
 
 def run_reports(spark: SparkSession, staged_path: str, eod_trades_path: str,
                 eod_quotes_path: str, analytics_path: str, day, **analytics_kw) -> None:
-    """M3: both reports for one day. The staged scan is persisted for the
-    reports and released afterwards (M1)."""
+    """M3: both reports for one day, each replacing its day's folder. Nothing is
+    cached (M1): every report's scan reads its own partition, days and columns
+    of the staged table, which a cache of the whole table would prevent."""
     d, _ = processing_days(day)
-    staged = read_staged(spark, staged_path).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_dated(reports.eod_trades(staged, d), eod_trades_path)
-        write_dated(reports.eod_quotes(staged, d), eod_quotes_path)
-        write_dated(reports.quote_analytics(staged, d, **analytics_kw), analytics_path)
-    finally:
-        staged.unpersist()
+    staged = read_staged(spark, staged_path)
+    write_dated(reports.eod_trades(staged, d), eod_trades_path, day=d)
+    write_dated(reports.eod_quotes(staged, d), eod_quotes_path, day=d)
+    write_dated(reports.quote_analytics(staged, d, **analytics_kw), analytics_path, day=d)
 
 
 def run_job(spark: SparkSession, log_path: str, name: str, day, fn: Callable[[], object]):
@@ -78,7 +77,10 @@ def run_job(spark: SparkSession, log_path: str, name: str, day, fn: Callable[[],
     try:
         result = fn()
     except Exception:
-        append_status(spark, log_path, name, day, "failed")
+        try:
+            append_status(spark, log_path, name, day, "failed")
+        except Exception:  # the job's own error is the one to see
+            log.exception("the failure of %s_%s could not be logged", name, day)
         raise
     append_status(spark, log_path, name, day, "success")
     return result

@@ -11,10 +11,10 @@ import datetime as _dt
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schema as S
-from ..operators.joins import DEFAULT_BROADCAST_BYTES, join_small
+from ..operators.joins import join_small
 from ..operators.latest import keep_latest
+from ..functions.time import interval_micros
 from ..operators.series import last_known, period_close, prior_period, trailing_mean
-from ..session import shared_dir
 
 TIE = ("event_seq_nb", "arrival_tm")
 
@@ -68,34 +68,23 @@ def prior_close(trades: DataFrame) -> DataFrame:
 
 def _prior_close_any_day(trades: DataFrame, quotes: DataFrame) -> DataFrame:
     """Prior close for every quoted day, traded or not: close of the last
-    traded day strictly before it (as-of over days)."""
+    traded day strictly before it (as-of over days), NULL where that day's last
+    trade has no price, as on traded days."""
     closes = daily_close(trades).withColumn(
-        "__close_tm", F.to_timestamp_ntz(F.date_add("trade_dt", 1).cast("string")))
+        "__close_tm", F.to_timestamp_ntz(F.date_add("trade_dt", 1).cast("string"))).withColumn(
+        "__close", F.struct("close_trade_pr"))  # a struct is never NULL, so no day is skipped
     days = quotes.select(*S.SERIES_KEY, "trade_dt").distinct().withColumn(
         "__day_tm", F.to_timestamp_ntz(F.col("trade_dt").cast("string")))
     found = last_known(days, closes, S.SERIES_KEY, "__close_tm",
-                       {"prior_close_trade_pr": "close_trade_pr"}, tie=("trade_dt",),
-                       probe_time="__day_tm")
-    return found.drop("__day_tm")
-
-
-HOT_SERIES_ROWS = 5_000_000
-HOT_BUCKETS = {"asof": "1 second", "mean": "1 minute"}
-
-
-def largest_series(df: DataFrame, keys=S.SERIES_KEY) -> int:
-    """Row count of the largest series: one partially aggregated count per
-    key, and a single number back to the driver."""
-    top = df.groupBy(*keys).count().agg(F.max("count").alias("n")).first()
-    return int(top["n"] or 0) if top else 0
+                       {"__prior": "__close"}, tie=("trade_dt",), probe_time="__day_tm")
+    return found.select(*S.SERIES_KEY, "trade_dt",
+                        F.col("__prior.close_trade_pr").alias("prior_close_trade_pr"))
 
 
 def quote_analytics(staged: DataFrame, day=None, window="30 minutes",
                     latest_only: bool = False, keep_untraded: bool = False,
-                    asof_bucket="auto", mean_bucket="auto",
-                    hot_series_rows: int = HOT_SERIES_ROWS,
-                    with_movement: bool = False, sort: bool = True,
-                    broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                    bucket="30 minutes", with_movement: bool = False, sort: bool = True,
+                    lookback_days: int | None = None) -> DataFrame:
     """For each distinct quote: the last trade price at or before it, the
     trailing ``window`` mean price at that trade, and the previous traded day's
     close. Quotes on a day without trades are dropped unless ``keep_untraded``.
@@ -105,55 +94,53 @@ def quote_analytics(staged: DataFrame, day=None, window="30 minutes",
       semantics of the source report).
     * The as-of runs across days: the first quotes of a day see the previous
       day's last trade.
-    * ``asof_bucket`` / ``mean_bucket``: time buckets that split each series
-      for the windows, so a hot symbol spreads over many tasks; ``None``
-      windows whole series (cheapest when no symbol is hot). A mean bucket
-      narrower than ``window`` uses the prefix-sum form, a wider one the ghost
-      form. ``"auto"`` counts the rows of the largest series first and
-      buckets (1 second / 1 minute) only when it exceeds ``hot_series_rows``.
-      Every choice gives the same result.
+    * ``bucket``: the time bucket that splits each series, so a hot symbol
+      spreads over as many tasks as it has buckets. Trades and quotes are
+      shuffled once, by (series, bucket), for the mean and the as-of together;
+      what crosses buckets travels as a carry table of one row per series and
+      bucket. A bucket narrower than ``window`` (for extreme symbols) computes
+      the mean by prefix sums first; ``None`` windows whole series. The result
+      is the same at every width, and the plan does not depend on the data.
+    * ``lookback_days`` with ``day``: read trades of that many days before the
+      day only. The source job reads the processing day and the one before (1).
+      The result equals the all-days one where each quoted series traded within
+      those days; ``None`` reads all earlier days. Trades after ``day`` are
+      never read.
     * ``with_movement`` adds bid/ask and their difference to the prior close.
+
+    Building the plan runs no job.
     """
     d = _day(day)
-    if "auto" in (asof_bucket, mean_bucket):
-        ticks = staged.where(F.col("partition").isin(S.TRADE, S.QUOTE))
-        hot = largest_series(ticks) > hot_series_rows
-        asof_bucket = (HOT_BUCKETS["asof"] if hot else None) if asof_bucket == "auto" else asof_bucket
-        mean_bucket = (HOT_BUCKETS["mean"] if hot else None) if mean_bucket == "auto" else mean_bucket
+    if d is not None:
+        staged = staged.where(F.col("trade_dt") <= F.lit(d))
+        if lookback_days is not None:
+            staged = staged.where(F.col("trade_dt") >= F.lit(d - _dt.timedelta(days=lookback_days)))
     trades = trades_of(staged)
     if latest_only:
         trades = keep_latest(trades, S.EVENT_KEY, S.VERSION_COL)
     quotes = quotes_of(staged, d)
 
-    if asof_bucket is None and mean_bucket is None:
-        # One shuffle of trades and quotes together: the trailing mean and the
-        # as-of lookup share the union's partitioning.
+    if bucket is None or interval_micros(bucket) >= interval_micros(window):
         found = last_known(quotes, trades, S.SERIES_KEY, "event_tm", {"prior_trade_pr": "trade_pr"},
-                           tie=TIE, distinct_probes=True,
+                           tie=TIE, bucket=bucket, distinct_probes=True,
                            means={"prior_mov_avg_trade_pr": ("trade_pr", window)})
     else:
         with_avg = trailing_mean(trades, "trade_pr", "event_tm", S.SERIES_KEY, width=window,
-                                 out="mov_avg_trade_pr", bucket=mean_bucket)
-        if asof_bucket is not None:
-            # The bucketed as-of reads the trades twice (window and carry
-            # table): compute them once, into the shared checkpoint folder
-            # (lineage cut; the copy survives the loss of an executor).
-            shared_dir(staged.sparkSession)
-            with_avg = with_avg.checkpoint(eager=True)
+                                 out="mov_avg_trade_pr", bucket=bucket)
         found = last_known(quotes, with_avg, S.SERIES_KEY, "event_tm",
                            {"prior_trade_pr": "trade_pr",
                             "prior_mov_avg_trade_pr": "mov_avg_trade_pr"},
-                           tie=TIE, bucket=asof_bucket, distinct_probes=True)
+                           tie=TIE, bucket=bucket, distinct_probes=True)
 
     keys = ["trade_dt", *S.SERIES_KEY]
     if keep_untraded:
         close = _prior_close_any_day(trades, quotes)
-        out = join_small(found, close, keys, "left", broadcast_max_bytes)
+        out = join_small(found, close, keys, "left")
     else:
         close = prior_close(trades)
         if d is not None:
             close = close.where(F.col("trade_dt") == F.lit(d))
-        out = join_small(found, close, keys, "inner", broadcast_max_bytes)
+        out = join_small(found, close, keys, "inner")
 
     cols = [F.col("trade_dt"), F.col("symbol"), F.col("exchange"), F.col("event_tm"),
             F.col("prior_trade_pr"),

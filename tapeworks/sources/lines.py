@@ -64,12 +64,13 @@ def read_whole_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
 
 
 def split_by_format(paths: Iterable[str]) -> dict[str, list[str]]:
-    """Group paths by extension / format folder (S3); unknown ones are skipped
-    with a warning."""
+    """Group paths by extension, or by format folder where the extension says
+    nothing (S3); unknown ones are skipped with a warning."""
     out: dict[str, list[str]] = {f: [] for f in FORMATS}
     for p in paths:
         low = p.lower()
-        fmt = next((f for f in FORMATS if low.endswith("." + f) or f"/{f}/" in low), None)
+        fmt = next((f for f in FORMATS if low.endswith("." + f)),
+                   next((f for f in FORMATS if f"/{f}/" in low), None))
         if fmt is None:
             log.warning("skipping %s: unknown format", p)
             continue

@@ -34,10 +34,22 @@ def read_staged(spark: SparkSession, path: str, part: str | None = None,
     return df
 
 
-def write_dated(report: DataFrame, path: str, day_col: str = "trade_dt") -> None:
-    """K2/K3: write a report partitioned by ``report_date`` (= ``day_col``),
-    replacing only the days present in ``report`` (dynamic partition
-    overwrite); other days already in ``path`` stay."""
+def write_dated(report: DataFrame, path: str, day_col: str = "trade_dt", day=None) -> None:
+    """K2/K3: write a report partitioned by ``report_date`` (= ``day_col``).
+
+    With ``day``: the report is that day's; its folder is replaced as a whole,
+    also when the report is empty, and rows of other days are refused. Without:
+    the days present in ``report`` are replaced (dynamic partition overwrite).
+    Other days already in ``path`` stay.
+    """
+    if day is not None:
+        d = day if isinstance(day, _dt.date) else _dt.date.fromisoformat(str(day))
+        own = F.col(day_col).eqNullSafe(F.lit(d))
+        checked = report.where(F.when(own, True).otherwise(
+            F.raise_error(F.concat(F.lit(f"a row of another day than {d}: "),
+                                   F.coalesce(F.col(day_col).cast("string"), F.lit("NULL"))))))
+        checked.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{REPORT_DATE}={d.isoformat()}")
+        return
     out = report.withColumn(REPORT_DATE, F.col(day_col))
     # A write option, not a session setting: other jobs on the session keep
     # their own overwrite mode.

@@ -16,8 +16,9 @@ def job_id(name: str, day) -> str:
 
 def append_status(spark: SparkSession, path: str, name: str, day, status: str,
                   when: _dt.datetime | None = None) -> None:
-    """K4: append one (job_id, update_time, status) row."""
-    when = when or _dt.datetime.now()
+    """K4: append one (job_id, update_time, status) row; times are UTC, whatever
+    the driver's zone."""
+    when = when or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     row = [(job_id(name, day), when, status)]
     spark.createDataFrame(row, S.RUN_LOG_SCHEMA).write.mode("append").parquet(path)
 

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tapeworks import schema as S
 from tapeworks.operators.ingest import parse_csv, parse_json
@@ -119,6 +120,11 @@ BAD_JSON = {
     "string scalar": '"x"',
     "JSON null line": "null",
     "trailing text": JT + " x",
+    "two objects": JT + " " + JT,
+    "two objects, comma": JT + "," + JT,
+    "text between objects": JT + " xx " + JT,
+    "array closed and reopened": JT + "],[" + JT,
+    "an object and a key": JT + ',"b":' + JT,
     "no event_type (E2)": _j(JT, event_type=_DROP),
     "unknown type": _j(JT, event_type="X"),
     "type not a string": _j(JT, event_type=1),
@@ -200,3 +206,20 @@ def test_results_do_not_depend_on_session_zone(spark, lines):
             assert bad["event_tm"] == dt.datetime(2000, 1, 1) and bad["trade_dt"] == dt.date(2000, 1, 1)
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+@pytest.mark.parametrize("text,want", [
+    ("2020-08-06T10:22:28Z", "2020-08-06 10:22:28"), ("2020-08-06T10:22:28+00:00", "2020-08-06 10:22:28"),
+    ("2020-08-06T10:22:28-04:00", "2020-08-06 14:22:28"), ("2020-08-06 10:22:28.125 +0530", "2020-08-06 04:52:28.125"),
+    ("2020-08-06 10:22 PM", "2020-08-06 22:22:00"), ("2020-8-6 10:22", "2020-08-06 10:22:00"),
+    ("8/6/2020 10:22", "2020-08-06 10:22:00"), ("08/06/20 10:22", "2020-08-06 10:22:00"),
+    ("6-Aug-2020 10:22", "2020-08-06 10:22:00"), ("20200806", "2020-08-06 00:00:00"),
+    ("Thu Aug 6 10:22:28 2020", "2020-08-06 10:22:28"), ("Aug 6, 2020 1:05 am", "2020-08-06 01:05:00"),
+    ("Thursday, 6 Aug 2020 10:22", "2020-08-06 10:22:00"), ("20200806T102228Z", "2020-08-06 10:22:28"),
+    ("06-08-2020", None), ("10:22", None), ("10:22Z", None), ("2020-08-06 junk", None), ("", None),
+    ("2020-08-06 25:00", None), ("13/13/2020", None)])
+def test_lenient_timestamps(spark, text, want):
+    from tapeworks.functions.text import lenient_timestamp
+    got = spark.createDataFrame([(text,)], "v string").select(
+        lenient_timestamp(F.col("v")).cast("string").alias("t")).first().t
+    assert got == want

@@ -29,7 +29,7 @@ def test_report_day_filter_reaches_the_scan(spark, tmp_path):
     lines = spark.createDataFrame([(Q,), (T,)], "value string")
     write_staged(parse_csv(lines), str(tmp_path / "staged"))
     staged = read_staged(spark, str(tmp_path / "staged"))
-    plan = _plan(R.quote_analytics(staged, dt.date(2020, 8, 6), asof_bucket=None, mean_bucket=None))
+    plan = _plan(R.quote_analytics(staged, dt.date(2020, 8, 6), bucket=None))
     assert "PushedFilters: [IsNotNull(trade_dt), EqualTo(trade_dt,2020-08-06)" in plan
     assert "PartitionFilters: [isnotnull(partition" in plan
     # The quarantine text never enters the report.
@@ -45,3 +45,10 @@ def test_eod_scan_reads_only_report_columns(spark, tmp_path):
     plan = _plan(R.eod_quotes(read_staged(spark, str(tmp_path / "staged"))))
     schemas = [l.split("ReadSchema: ")[1] for l in plan.split("\n") if "ReadSchema: " in l]
     assert schemas and all("line" not in s and "trade_pr" not in s for s in schemas)
+
+
+def test_latest_version_shuffles_rows_once(spark):
+    from tapeworks.operators.latest import keep_latest
+    df = spark.range(10).selectExpr("id % 3 k", "id v", "id w")
+    assert _plan(keep_latest(df, ["k"], "v")).count("Exchange hashpartitioning") == 1
+    assert _plan(keep_latest(df, ["k"], "v", method="aggregate")).count("Exchange hashpartitioning") <= 2

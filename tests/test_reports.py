@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import types as T
 
 from tapeworks import schema as S
 from tapeworks.plans import reports as R
@@ -58,11 +59,8 @@ def test_quote_analytics_semantics(spark, tape):
     assert second["prior_close_trade_pr"] == Decimal("21.00")
 
 
-@pytest.mark.parametrize("kw", [dict(asof_bucket=None, mean_bucket=None),
-                                dict(hot_series_rows=0),
-                                dict(asof_bucket="1 second", mean_bucket="1 minute"),
-                                dict(asof_bucket="1 minute", mean_bucket="1 hour"),
-                                dict(broadcast_max_bytes=0), dict(broadcast_max_bytes=None)])
+@pytest.mark.parametrize("kw", [dict(bucket=None), dict(bucket="1 second"), dict(bucket="1 minute"),
+                                dict(bucket="2 hours"), dict(bucket="7 days")])
 def test_quote_analytics_forms_agree(spark, tape, kw):
     base = sorted(tuple(r) for r in R.quote_analytics(tape, None).collect())
     assert sorted(tuple(r) for r in R.quote_analytics(tape, None, **kw).collect()) == base
@@ -112,31 +110,72 @@ def test_bad_processing_date(spark, tape):
         R.quote_analytics(tape, "2020-8-6")
 
 
+def test_building_a_report_runs_no_job(spark, tape, tmp_path):
+    from tapeworks.sources.parquet import read_staged, write_staged
+    write_staged(tape, str(tmp_path / "staged"))
+    staged = read_staged(spark, str(tmp_path / "staged"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "building plans")
+    try:
+        for kw in (dict(), dict(day=D2), dict(bucket="1 second"), dict(keep_untraded=True)):
+            R.quote_analytics(staged, **kw)
+        assert not tracker.getJobIdsForGroup("lazy")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_plan_shape(spark, tape, tmp_path):
-    from tapeworks.operators.joins import estimated_bytes
     from tapeworks.sources.parquet import read_staged, write_staged
     write_staged(tape, str(tmp_path / "staged"))
     staged = read_staged(spark, str(tmp_path / "staged"))
-    assert estimated_bytes(R.prior_close(R.trades_of(staged))) < 64 * 1024 * 1024
-    plan = R.quote_analytics(staged, D2)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan  # the size-checked prior-close table
+    plan = R.quote_analytics(staged, D2, sort=False)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(partition" in plan
     assert "Python" not in plan
+    # Rows of trades and quotes together, trades for the carry; the rest is one
+    # row per series and bucket or day.
+    assert plan.count("Exchange hashpartitioning(__series") <= 5
+    # Later days are never read.
+    assert "LessThanOrEqual(trade_dt" in plan
 
 
-def test_unknown_size_is_not_broadcast(spark, tape):
+def test_a_small_estimate_is_no_broadcast_hint(spark, tape):
     from tapeworks.operators.joins import join_small
     small = R.prior_close(R.trades_of(tape.repartition(2)))
-    plan = join_small(R.quotes_of(tape), small, ["trade_dt", "symbol", "exchange"],
-                      broadcast_max_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" not in plan.lower()
+    plan = join_small(R.quotes_of(tape), small, ["trade_dt", "symbol", "exchange"]
+                      )._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan.lower()
+
+
+def test_day_equals_that_day_of_all(spark, tape):
+    for kw in (dict(), dict(keep_untraded=True), dict(lookback_days=1), dict(bucket="1 minute")):
+        every = R.quote_analytics(tape, None, **{k: v for k, v in kw.items() if k != "lookback_days"})
+        want = sorted(tuple(r) for r in every.where(every.trade_dt == D2).collect())
+        assert sorted(tuple(r) for r in R.quote_analytics(tape, D2, **kw).collect()) == want
+
+
+def test_null_keys_and_times_and_a_hot_series(spark):
+    import random
+    rng = random.Random(5)
+    rows = []
+    for i in range(600):
+        kind = rng.choice("TTQ")
+        r = list(row(kind, D1, tm(D1, 9 + rng.randrange(6), rng.randrange(60)), i, 10 + i % 7, bid=9))
+        names = [f.name for f in S.COMMON_SCHEMA.fields]
+        if rng.random() < 0.9:
+            r[names.index("symbol")] = None
+        rows.append(tuple(r))
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in S.COMMON_SCHEMA.fields])
+    df = spark.createDataFrame(rows, schema)
+    outs = [sorted(map(str, R.quote_analytics(df, keep_untraded=True, bucket=b).collect()))
+            for b in (None, "30 minutes", "5 minutes", "1 second")]
+    assert outs[0] == outs[1] == outs[2] == outs[3]
+    assert any("symbol=None" in r and "prior_trade_pr=Decimal" in r for r in outs[0])
 
 
 def test_trade_without_price_all_forms(spark, tape):  # E27
     extra = spark.createDataFrame([row("T", D1, tm(D1, 16, 25), 4, None)], S.COMMON_SCHEMA)
     t2 = tape.unionByName(extra)
-    forms = [dict(asof_bucket=None, mean_bucket=None), dict(asof_bucket="1 second", mean_bucket="1 minute"),
-             dict(asof_bucket="1 hour", mean_bucket="30 minutes")]
+    forms = [dict(bucket=None), dict(bucket="1 second"), dict(bucket="1 hour")]
     outs = [sorted(map(tuple, R.quote_analytics(t2, D2, **kw).collect())) for kw in forms]
     assert outs[0] == outs[1] == outs[2]
     first = R.quote_analytics(t2, D2).collect()[0]
@@ -149,7 +188,7 @@ def test_trade_without_price_all_forms(spark, tape):  # E27
 def test_input_order_does_not_matter(spark, tape):
     from pyspark.sql import functions as F
     shuffled = tape.repartition(5).orderBy(F.rand(3))
-    for kw in (dict(asof_bucket=None, mean_bucket=None), dict(asof_bucket="1 second", mean_bucket="1 minute")):
+    for kw in (dict(bucket=None), dict(bucket="1 second")):
         a = sorted(map(tuple, R.quote_analytics(tape, **kw).collect()))
         b = sorted(map(tuple, R.quote_analytics(shuffled, **kw).collect()))
         assert a == b

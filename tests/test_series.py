@@ -166,3 +166,31 @@ def test_last_known_means_equals_mean_then_lookup(spark):
     twostep = last_known(pr, with_mean, ["k"], "t", {"last_px": "px", "last_mean": "m"}, tie=["id"])
     key = lambda r: (r.id, r.last_px, r.last_mean)
     assert sorted(map(key, fused.collect())) == sorted(map(key, twostep.collect()))
+
+
+@pytest.mark.parametrize("bucket", [None, "30 minutes", "2 hours"])
+def test_looked_up_mean_equals_mean_then_lookup(spark, bucket):
+    rows = _events(250, 11, keys=("A", None, "C"))
+    ev = _df(spark, rows).withColumn("t", F.when(F.col("id") % 17 != 0, F.col("t")))
+    pr = _df(spark, _events(80, 12, keys=("A", None, "D"))).select("id", "k", "t")
+    got = last_known(pr, ev, ["k"], "t", {"px_": "px"}, tie=["id"], bucket=bucket,
+                     means={"m": ("px", "30 minutes")})
+    timed = [r for r in rows if r[0] % 17]
+    mean = _mean_brute(timed, dt.timedelta(minutes=30))
+    for r in got.collect():
+        before = sorted((t, i, p) for i, k, t, p in timed if k == r.k and t <= r.t)
+        want = next((p for _, _, p in reversed(before) if p is not None), None)
+        at = next((mean[i] for _, i, _ in reversed(before) if mean[i] is not None), None)
+        assert (r.px_, r.m) == (want, at)
+
+
+@pytest.mark.parametrize("bucket", ["5 minutes", "30 minutes", "3 hours"])
+def test_null_keys_are_a_series_in_every_form(spark, bucket):
+    rows = _events(200, 21, keys=("A", None))
+    df = _df(spark, rows)
+    plain = {r.id: r.m for r in trailing_mean(df, "px", "t", ["k"], out="m").collect()}
+    assert plain == {r.id: r.m for r in trailing_mean(df, "px", "t", ["k"], out="m", bucket=bucket).collect()}
+    probes = df.select("id", "k", "t")
+    a, b = (sorted((r.id, r.v) for r in last_known(probes, df, ["k"], "t", {"v": "px"}, tie=["id"],
+                                                   bucket=x).collect()) for x in (None, bucket))
+    assert a == b

@@ -114,3 +114,23 @@ def test_stage_paths_by_extension(spark, tmp_path):
     paths = [str(tmp_path / n) for n in ("a.csv", "b.json", "c.parquet")]
     got = sorted(r.partition for r in jobs.stage_paths(spark, paths).collect())
     assert got == ["Q", "T"]
+
+
+def test_an_empty_rerun_replaces_its_day(spark, tmp_path):
+    from tapeworks.sources.parquet import read_dated, write_dated
+    path = str(tmp_path / "report")
+    df = spark.createDataFrame([("2020-08-06", 1), ("2020-08-07", 2)], "d string, v int").selectExpr(
+        "cast(d as date) trade_dt", "v")
+    write_dated(df, path)
+    write_dated(df.limit(0), path, day="2020-08-07")
+    assert [r.v for r in read_dated(spark, path).collect()] == [1]
+    write_dated(df.where("v = 2"), path, day="2020-08-07")
+    assert sorted(r.v for r in read_dated(spark, path).collect()) == [1, 2]
+    with pytest.raises(Exception, match="another day"):
+        write_dated(df, path, day="2020-08-07")
+
+
+def test_extension_before_folder():
+    from tapeworks.sources.lines import split_by_format
+    assert split_by_format(["/feeds/csv/x.json", "/feeds/csv/y", "/feeds/z.CSV"]) == {
+        "csv": ["/feeds/csv/y", "/feeds/z.CSV"], "json": ["/feeds/csv/x.json"]}
