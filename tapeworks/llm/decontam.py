@@ -19,8 +19,9 @@ The walk is vectorised over all windows of some documents at once. Items are
 taken in blocks of at most BLOCK; a block is what a task holds and what is
 broadcast, so neither grows with the benchmark. Documents never move.
 
-Defined cases: NULL or empty texts hold no item; items with fewer than WINDOW
-words are searched by their whole word sequence; NULL or empty items are
+Defined cases: NULL or empty texts hold no item; items with fewer words than
+WINDOW + STRIDE, of which few windows lie inside, are also searched by their
+whole word sequence; NULL or empty items are
 ignored; items of equal text are all reported; texts of any length are read
 whole; an empty table on either side gives an empty result. Other columns are
 ignored by :func:`find`, carried along by :func:`drop_contaminated`.
@@ -117,15 +118,14 @@ class Index:
                 self.items.append((item_id, w, np.array([ids[x] for x in w], np.uint64)))
         owner, offset, flat, starts = [], [], [], []
         for k, (_, w, h) in enumerate(self.items):
-            if len(w) < WINDOW:
-                continue
+            # As far as a window fits, and to every place that a window may begin at.
+            n = min(len(w), max(len(w) - WINDOW + 1, STRIDE))
             base = sum(map(len, flat))
             flat.append(np.concatenate([h, np.zeros(STEPS, np.uint64)]))
-            n = len(w) - WINDOW + 1
             starts.append(base + np.arange(n))
             owner.append(np.full(n, k))
             offset.append(np.arange(n))
-        self.short = [k for k, (_, w, _) in enumerate(self.items) if len(w) < WINDOW]
+        self.short = [k for k, (_, w, _) in enumerate(self.items) if len(w) < WINDOW + STRIDE]
         self.keys = []
         if flat:
             self.owner, self.offset = np.concatenate(owner), np.concatenate(offset)

@@ -31,7 +31,7 @@ def corpus(n, rng):
         toxic[i] = int(rng.random() < 0.3)
         if toxic[i]:
             w[rng.randrange(len(w))] = rng.choice(["jerkface", "n1tw1t", "Nitwit", "jerkfaces", "blockhead"])
-        elif rng.random() < 0.1:
+        elif rng.random() < 0.008:
             at = rng.randrange(len(w))
             w[at:at + 1] = ["blockhead", "bolt"]
         texts[i] = " ".join(w)
@@ -39,13 +39,13 @@ def corpus(n, rng):
 
 
 def test_held_out_accuracy_and_no_leak_of_held_out_labels(spark):
-    texts, toxic = corpus(1500, random.Random(1))
+    texts, toxic = corpus(2400, random.Random(1))
     texts |= {2000: None, 2001: "", 2002: "x " * 50000}
     d = docs(spark, texts, extra=True)
     labels = spark.createDataFrame([(i, 1, t) for i, t in toxic.items()] + [(2000, 1, None)],
                                    "doc_id long, quality int, toxic int")
     lex = T.fit(d, labels)
-    assert any(p.startswith(" blockhead bolt") for p in lex.exceptions)
+    assert " blockhead bolt " in lex.exceptions
     got = {r.doc_id: r for r in T.score(d, lex).collect()}
     assert len(got) == len(texts) and all(0 <= r.score <= 1 for r in got.values())
     out = [i for i in toxic if got[i].held_out]
