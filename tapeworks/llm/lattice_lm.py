@@ -2,8 +2,9 @@
 
 An existing vocabulary of pieces gives every word a lattice: all its
 segmentations. The pieces' unigram scores come from the training texts (counts
-of the vocabulary's own segmentations of all distinct training words, add-one
-smoothed), and a word's subword probability is the sum over all segmentations,
+of the vocabulary's own segmentations of all distinct training words, refined by
+expectation maximisation over all segmentations of a bounded sample of them,
+add-one smoothed), and a word's subword probability is the sum over all segmentations,
 by the forward recursion in log space. A word also has arcs of its own: the
 share of the training tokens that it is, among all texts and among those of a
 class (language). The three are mixed as Witten and Bell do, with the number of
@@ -44,6 +45,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tapeworks.llm.common import columns_of, fold_of, keep_table, small_batches, words_of
 
+#: Distinct training words that the pieces' scores are refined on, about; rounds.
+REFINE_WORDS, ROUNDS = 50_000, 2
 #: Words whose counts every task holds.
 HEAD = 100_000
 #: Counts that a task gathers before it hands them on.
@@ -113,7 +116,7 @@ def piece_counts(counts: DataFrame, model_path: str) -> dict[int, int]:
 class Lattice:
     """log P of a word over all segmentations into pieces."""
 
-    def __init__(self, model_path: str, counts: dict[int, int]):
+    def __init__(self, model_path: str, counts: dict[int, float]):
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=model_path)
@@ -123,12 +126,14 @@ class Lattice:
         total = sum(counts.get(i, 0) + 1 for i in usable) + 1
         self.pieces: dict[str, float] = {}
         self.bytes_: dict[int, float] = {}
+        self.place: dict[str, int] = {}
         for i in usable:
             p = math.log((counts.get(i, 0) + 1) / total)
             if model.is_byte(i):
                 self.bytes_[int(model.id_to_piece(i)[3:5], 16)] = p
             else:
                 self.pieces[model.id_to_piece(i)] = p
+                self.place[model.id_to_piece(i)] = i
         self.longest = max(map(len, self.pieces), default=1)
         self.floor = -math.log(total)
 
@@ -159,6 +164,65 @@ class Lattice:
         return ahead[n]
 
 
+    def expected(self, word: bytes, into: np.ndarray) -> None:
+        """Adds how often each piece stands in the word's segmentations, weighted by
+        their probability (forward-backward); nothing for words that need bytes."""
+        text = MARK + word.decode("utf-8", "replace")
+        n = len(text)
+        if n > self.longest * 4:
+            return
+        ahead, arcs = [0.0] * (n + 1), []
+        ahead[0] = 1.0
+        for i in range(n):
+            if ahead[i]:
+                for j in range(i + 1, min(n, i + self.longest) + 1):
+                    p = self.pieces.get(text[i:j])
+                    if p is not None:
+                        p = math.exp(p)
+                        arcs.append((i, j, p))
+                        ahead[j] += ahead[i] * p
+        if not ahead[n]:
+            return
+        back = [0.0] * (n + 1)
+        back[n] = 1 / ahead[n]
+        for i, j, p in reversed(arcs):  # arcs go by their start, so ends are complete
+            back[i] += p * back[j]
+        for i, j, p in arcs:
+            into[self.place[text[i:j]]] += ahead[i] * p * back[j]
+
+
+def refine(counts: DataFrame, model_path: str, hard: dict[int, int]) -> dict[int, float]:
+    """The piece counts after ROUNDS of expectation maximisation over all
+    segmentations of a bounded sample of the words, drawn by a hash. What the
+    vocabulary's own segmentation counted over all words stays with a small
+    weight, for pieces that the sample doesn't show."""
+    share = min(1.0, REFINE_WORDS / max(1, counts.count()))
+    drawn = keep_table(counts.select("word").where(
+        F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int(share * (1 << 20))), "refine")
+    now: dict[int, float] = dict(hard)
+    for _ in range(ROUNDS):
+        sent = counts.sparkSession.sparkContext.broadcast(now)
+
+        def expect(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            lattice = Lattice(model_path, sent.value)
+            total = np.zeros(max(lattice.place.values(), default=0) + 1)
+            for (words,) in columns_of(batches, "word"):
+                for w in words:
+                    lattice.expected(w, total)
+            some = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some])],
+                                             ["piece", "n"])
+
+        got = (drawn.mapInArrow(expect, "piece int, n double")
+               .groupBy("piece").agg(F.sum("n").alias("n")).collect())
+        if not got:
+            break
+        now = {i: 0.02 * n for i, n in hard.items()}
+        for r in sorted(got, key=lambda r: r["piece"]):
+            now[r["piece"]] = now.get(r["piece"], 0.0) + r["n"] / share
+    return now
+
+
 def with_lattice(counts: DataFrame, lattice) -> DataFrame:
     """The rows with one more column: each word's log probability over its lattice."""
     small_batches(counts.sparkSession)
@@ -241,7 +305,7 @@ def score(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: st
     klass = F.when(klass < 0, rest).otherwise(klass)
     train = train.withColumn("class", klass)
     counts = keep_table(word_counts(train, rest + 1), "word-counts")
-    lattice = (model_path, piece_counts(counts, model_path))
+    lattice = (model_path, refine(counts, model_path, piece_counts(counts, model_path)))
     # Levels of frequency, some twenty to a factor of e: at most a thousand.
     vocab = keep_table(with_lattice(counts, lattice)
                        .withColumn("level", F.floor(20 * F.log("c")).cast("int")), "vocabulary")

@@ -4,6 +4,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import docs, words
 
@@ -30,6 +31,23 @@ def test_forward_recursion_sums_all_segmentations():
         assert lat.log_prob(word) == pytest.approx(math.log(total), rel=1e-9)
 
 
+def test_expected_counts_weight_all_segmentations():
+    lat = L.Lattice(PATH, {i: i % 89 for i in range(3, 32000)})
+    word = b"there"
+    text, weights = L.MARK + word.decode(), Counter()
+    for cuts in itertools.product([0, 1], repeat=len(text) - 1):
+        at = [0, *[i for i, c in enumerate(cuts, 1) if c], len(text)]
+        parts = [text[a:b] for a, b in zip(at, at[1:])]
+        if all(p in lat.pieces for p in parts):
+            for p in parts:
+                weights[p] += math.exp(sum(lat.pieces[x] for x in parts) - lat.log_prob(word))
+    into = np.zeros(32000)
+    lat.expected(word, into)
+    for p, w in weights.items():
+        assert into[lat.place[p]] == pytest.approx(w)
+    assert into.sum() == pytest.approx(sum(weights.values()))
+
+
 def test_characters_outside_the_vocabulary_are_bytes():
     lat = L.Lattice(PATH, {})
     assert "\U0001f9ff" not in lat.pieces
