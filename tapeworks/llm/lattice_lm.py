@@ -3,8 +3,8 @@
 An existing vocabulary of pieces gives every word a lattice: all its
 segmentations. The pieces' unigram scores come from the training texts (counts
 of the vocabulary's own segmentations of all distinct training words, refined by
-expectation maximisation over all segmentations of a bounded sample of them,
-add-one smoothed), and a word's subword probability is the sum over all segmentations,
+expectation maximisation over all segmentations of all of them, add-one
+smoothed), and a word's subword probability is the sum over all segmentations,
 by the forward recursion in log space. A word also has arcs of its own: the
 share of the training tokens that it is, among all texts and among those of a
 class (language). The three are mixed as Witten and Bell do, with the number of
@@ -45,8 +45,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tapeworks.llm.common import columns_of, fold_of, keep_table, small_batches, words_of
 
-#: Distinct training words that the pieces' scores are refined on, about; rounds.
-REFINE_WORDS, ROUNDS = 50_000, 2
+#: Rounds that refine the pieces' scores.
+ROUNDS = 2
+#: Longest word, and least probability, that the expectation takes outside log space.
+PLAIN, LEAST = 64, 1e-280
 #: Words whose counts every task holds.
 HEAD = 100_000
 #: Counts that a task gathers before it hands them on.
@@ -127,99 +129,160 @@ class Lattice:
         self.pieces: dict[str, float] = {}
         self.bytes_: dict[int, float] = {}
         self.place: dict[str, int] = {}
+        self.byte_place: dict[int, int] = {}
         for i in usable:
             p = math.log((counts.get(i, 0) + 1) / total)
             if model.is_byte(i):
                 self.bytes_[int(model.id_to_piece(i)[3:5], 16)] = p
+                self.byte_place[int(model.id_to_piece(i)[3:5], 16)] = i
             else:
                 self.pieces[model.id_to_piece(i)] = p
                 self.place[model.id_to_piece(i)] = i
         self.longest = max(map(len, self.pieces), default=1)
         self.floor = -math.log(total)
-
-    def log_prob(self, word: bytes) -> float:
-        """Forward recursion: ahead[i] is the log probability of all ways to spell
-        the first i characters."""
-        text = MARK + word.decode("utf-8", "replace")
-        n, pieces = len(text), self.pieces
+        self.size = size
+        # Piece -> (probability, place), and by a piece's first three characters the
+        # lengths of the pieces that a text beginning so may begin with.
+        self.plain = {x: (math.exp(p), self.place[x]) for x, p in self.pieces.items()}
+        ways: dict[str, set[int]] = {}
+        for x in self.pieces:
+            if len(x) > 2:
+                ways.setdefault(x[:3], {1, 2}).add(len(x))
+        self.ways = {x: tuple(sorted(k)) for x, k in ways.items()}
+
+    def _forward(self, text: str) -> list[float]:
+        """ahead[i] is the log probability of all ways to spell the first i characters."""
+        n, pieces, ways = len(text), self.pieces, self.ways
         ahead = [-math.inf] * (n + 1)
         ahead[0] = 0.0
         for i in range(n):
             here = ahead[i]
             if here == -math.inf:
                 continue
-            spelt = False
-            for j in range(i + 1, min(n, i + self.longest) + 1):
+            if text[i] not in pieces:  # a character outside the vocabulary: its bytes
+                p = here + self._spelt(text[i])
+                q = ahead[i + 1]
+                ahead[i + 1] = p if q == -math.inf else max(p, q) + math.log1p(math.exp(-abs(p - q)))
+            for k in ways.get(text[i:i + 3], (1, 2)):
+                j = i + k
+                if j > n:
+                    break
                 p = pieces.get(text[i:j])
                 if p is None:
                     continue
-                spelt |= j == i + 1
                 p += here
                 q = ahead[j]
                 ahead[j] = p if q == -math.inf else max(p, q) + math.log1p(math.exp(-abs(p - q)))
-            if not spelt:  # a character outside the vocabulary: its bytes
-                p = here + sum(self.bytes_.get(b, self.floor) for b in text[i].encode())
-                q = ahead[i + 1]
-                ahead[i + 1] = p if q == -math.inf else max(p, q) + math.log1p(math.exp(-abs(p - q)))
-        return ahead[n]
+        return ahead
 
+    def _spelt(self, char: str) -> float:
+        return sum(self.bytes_.get(b, self.floor) for b in char.encode())
 
-    def expected(self, word: bytes, into: np.ndarray) -> None:
+    def log_prob(self, word: bytes) -> float:
+        """Forward recursion over the word's lattice."""
+        text = MARK + word.decode("utf-8", "replace")
+        n, plain, ways = len(text), self.plain, self.ways
+        if n > PLAIN:
+            return self._forward(text)[n]
+        ahead = [0.0] * (n + 1)
+        ahead[0] = 1.0
+        for i in range(n):
+            here = ahead[i]
+            if not here:
+                continue
+            if text[i] not in plain:
+                return self._forward(text)[n]
+            for k in ways.get(text[i:i + 3], (1, 2)):
+                x = plain.get(text[i:i + k])
+                if x is not None and i + k <= n:
+                    ahead[i + k] += here * x[0]
+        return math.log(ahead[n]) if ahead[n] >= LEAST else self._forward(text)[n]
+
+    def expected(self, word: bytes, into) -> None:
         """Adds how often each piece stands in the word's segmentations, weighted by
-        their probability (forward-backward); nothing for words that need bytes."""
+        their probability (forward-backward)."""
         text = MARK + word.decode("utf-8", "replace")
-        n = len(text)
-        if n > self.longest * 4:
-            return
+        n, plain, ways = len(text), self.plain, self.ways
+        if n > PLAIN:
+            return self._expected_log(text, into)
         ahead, arcs = [0.0] * (n + 1), []
         ahead[0] = 1.0
         for i in range(n):
-            if ahead[i]:
-                for j in range(i + 1, min(n, i + self.longest) + 1):
-                    p = self.pieces.get(text[i:j])
-                    if p is not None:
-                        p = math.exp(p)
-                        arcs.append((i, j, p))
-                        ahead[j] += ahead[i] * p
-        if not ahead[n]:
-            return
+            here = ahead[i]
+            if not here:
+                continue
+            if text[i] not in plain:
+                return self._expected_log(text, into)
+            for k in ways.get(text[i:i + 3], (1, 2)):
+                x = plain.get(text[i:i + k])
+                if x is not None and i + k <= n:
+                    p, place = x
+                    ahead[i + k] += here * p
+                    arcs.append((i, i + k, p, place))
+        if ahead[n] < LEAST:
+            return self._expected_log(text, into)
         back = [0.0] * (n + 1)
         back[n] = 1 / ahead[n]
-        for i, j, p in reversed(arcs):  # arcs go by their start, so ends are complete
-            back[i] += p * back[j]
-        for i, j, p in arcs:
-            into[self.place[text[i:j]]] += ahead[i] * p * back[j]
+        for i, j, p, place in reversed(arcs):  # by their start, so ends are complete
+            p *= back[j]
+            back[i] += p
+            into[place] += ahead[i] * p
+
+    def _expected_log(self, text: str, into) -> None:
+        """The same in log space, for words of any length and of bytes; arcs are
+        looked up again instead of held."""
+        n, pieces, ways = len(text), self.pieces, self.ways
+        ahead = self._forward(text)
+        back = [-math.inf] * (n + 1)
+        back[n] = -ahead[n]
+        for i in range(n - 1, -1, -1):
+            here, of = ahead[i], -math.inf
+            if here == -math.inf:
+                continue
+            arcs = []
+            if text[i] not in pieces:
+                spelt = self._spelt(text[i]) + back[i + 1]
+                arcs.append(spelt)
+                share = math.exp(here + spelt)
+                for b in text[i].encode():
+                    if b in self.byte_place:
+                        into[self.byte_place[b]] += share
+            for k in ways.get(text[i:i + 3], (1, 2)):
+                j = i + k
+                if j > n:
+                    break
+                p = pieces.get(text[i:j])
+                if p is not None and back[j] != -math.inf:
+                    arcs.append(p + back[j])
+                    into[self.place[text[i:j]]] += math.exp(here + p + back[j])
+            for p in arcs:
+                of = p if of == -math.inf else max(p, of) + math.log1p(math.exp(-abs(p - of)))
+            back[i] = of
 
 
 def refine(counts: DataFrame, model_path: str, hard: dict[int, int]) -> dict[int, float]:
     """The piece counts after ROUNDS of expectation maximisation over all
-    segmentations of a bounded sample of the words, drawn by a hash. What the
-    vocabulary's own segmentation counted over all words stays with a small
-    weight, for pieces that the sample doesn't show."""
-    share = min(1.0, REFINE_WORDS / max(1, counts.count()))
-    drawn = keep_table(counts.select("word").where(
-        F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int(share * (1 << 20))), "refine")
+    segmentations of all distinct words, begun at ``hard``; one number for each
+    piece comes back from a round."""
+    small_batches(counts.sparkSession)
     now: dict[int, float] = dict(hard)
     for _ in range(ROUNDS):
         sent = counts.sparkSession.sparkContext.broadcast(now)
 
         def expect(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             lattice = Lattice(model_path, sent.value)
-            total = np.zeros(max(lattice.place.values(), default=0) + 1)
+            total = [0.0] * lattice.size
             for (words,) in columns_of(batches, "word"):
                 for w in words:
                     lattice.expected(w, total)
+            total = np.array(total)
             some = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some])],
                                              ["piece", "n"])
 
-        got = (drawn.mapInArrow(expect, "piece int, n double")
+        got = (counts.select("word").mapInArrow(expect, "piece int, n double")
                .groupBy("piece").agg(F.sum("n").alias("n")).collect())
-        if not got:
-            break
-        now = {i: 0.02 * n for i, n in hard.items()}
-        for r in sorted(got, key=lambda r: r["piece"]):
-            now[r["piece"]] = now.get(r["piece"], 0.0) + r["n"] / share
+        now = {r["piece"]: r["n"] for r in sorted(got, key=lambda r: r["piece"])}
     return now
 
 

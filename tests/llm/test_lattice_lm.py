@@ -107,3 +107,35 @@ def test_repeated_rows_and_null_class(spark):
     rows = [(1, "a b"), (1, "a b"), (None, "a")]
     got = L.score(docs(spark, rows), PATH, class_col=None).collect()
     assert sorted(r.n_tokens for r in got) == [2, 3, 3]
+
+
+def test_byte_and_long_words_count_whole():
+    lat = L.Lattice(PATH, {i: i % 89 for i in range(3, 32000)})
+    sizes = {i: len(x) for x, i in lat.place.items()}
+    eye = "\U0001f9ff"
+    into = np.zeros(32000)
+    lat.expected(("ab" + eye).encode(), into)
+    assert all(into[lat.byte_place[b]] == pytest.approx(eye.encode().count(b)) for b in eye.encode())
+    assert sum(into[i] * k for i, k in sizes.items()) == pytest.approx(3)
+    for n in (40, 300, 5000):
+        into = np.zeros(32000)
+        lat.expected(b"there" * (n // 5), into)
+        assert sum(into[i] * k for i, k in sizes.items()) == pytest.approx(n + 1)
+    plain, logs = np.zeros(32000), np.zeros(32000)
+    lat.expected(b"lattices", plain)
+    lat._expected_log(L.MARK + "lattices", logs)
+    assert plain == pytest.approx(logs)
+
+
+def test_scores_are_refined_on_all_words(spark):
+    words = [f"{a}{i:x}".encode() for i in range(8000) for a in ("th", "rain", "cat", "no", "zu", "pre", "é")]
+    counts = spark.createDataFrame([(w,) for w in words], "word binary").repartition(8)
+    hard = {i: i % 7 for i in range(3, 32000)}
+    want = hard
+    for _ in range(L.ROUNDS):
+        lat, into = L.Lattice(PATH, want), [0.0] * 32000
+        for w in words:
+            lat.expected(w, into)
+        want = {i: x for i, x in enumerate(into) if x}
+    got = L.refine(counts, PATH, hard)
+    assert {i: x for i, x in got.items() if x > 1e-6} == pytest.approx({i: x for i, x in want.items() if x > 1e-6})
