@@ -8,9 +8,12 @@ confidence, and a rule is dropped when a shorter one says the same as surely.
 The rest is an inverted index: each rule is posted under its rarest token, a URL
 looks up its own tokens only and then checks the rule's other tokens.
 
-Bounds: the index has MAX_RULES rules at most and is broadcast. For mining only,
-a URL is reduced to its ITEMS best of the TOKENS tokens that say most about the
-verdict; matching uses all tokens.
+Bounds: the least support alone bounds what is mined, so tokens, combinations and
+the broadcast index don't grow with the number of URLs. Mining leaves out only
+what can give no rule that stays: tokens without enough URLs of one verdict;
+tokens whose URLs all have one verdict, beside their own rule, as a longer one is
+never surer; and of tokens that stand in the same URLs all but the first. Support
+is a share of the URLs that have tokens.
 
 Defined cases: a NULL URL or one without ``://`` has an empty host and path, no
 tokens, no rule, and the default verdict; a NULL id is kept; repeated rows are
@@ -28,8 +31,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tapeworks.llm.common import ascii_lower, keep_table
 
 MIN_SUPPORT, MIN_CONFIDENCE = 0.005, 0.6
-#: Tokens that mining looks at; tokens of one URL among them; rules kept.
-TOKENS, ITEMS, MAX_RULES = 64, 8, 1000
 VERDICTS = ("allow", "block")
 DEFAULT = "allow"
 
@@ -96,44 +97,60 @@ def prepare(pages: DataFrame, listed: list[Listed], id_col: str = "page_id",
 
 
 def mine(prepared: DataFrame) -> DataFrame:
-    """Pruned rules (rule_id, key, tokens, verdict, confidence, support)."""
+    """Pruned rules (rule_id, key, need, verdict, confidence, support)."""
     verdict = F.col("listed.verdict")
-    # Tokens by how far they move the share of a verdict, weighted by rows.
-    seen = (prepared.select(F.explode("tokens").alias("token"), verdict.alias("v"))
-            .groupBy("token").agg(F.count(F.lit(1)).alias("n"),
-                                  *[F.count(F.when(F.col("v") == v, 1)).alias(v) for v in VERDICTS]))
-    total = prepared.agg(F.count(F.lit(1)).alias("rows"),
-                         *[F.count(F.when(verdict == v, 1)).alias("all_" + v) for v in VERDICTS])
-    says = sum(F.abs(F.col(v) - F.col("n") * F.col("all_" + v) / F.col("rows")) for v in VERDICTS)
-    best = (seen.crossJoin(F.broadcast(total)).where(F.col("n") >= MIN_SUPPORT * F.col("rows"))
-            .select("token", "n", says.alias("says"))
-            .orderBy(F.desc("says"), "token").limit(TOKENS).collect())
-    counts = {r["token"]: r["n"] for r in best}
-    ranked = F.array(*[F.lit(t) for t in counts]).cast("array<string>")
-    items = F.slice(F.filter(ranked, lambda t: F.array_contains("tokens", t)), 1, ITEMS)
-    baskets = prepared.select(F.concat(items, F.when(verdict.isNotNull(), F.array(
-        F.concat(F.lit("="), verdict))).otherwise(F.array().cast("array<string>"))).alias("items"))
-    baskets = keep_table(baskets.where(F.size("items") > 0), "url-baskets")
-    model = FPGrowth(itemsCol="items", minSupport=MIN_SUPPORT, minConfidence=MIN_CONFIDENCE).fit(baskets)
-    rules = (model.associationRules
-             .where(F.col("consequent")[0].isin(*["=" + v for v in VERDICTS])
-                    & ~F.exists("antecedent", lambda a: a.startswith("=")))
-             .select(F.array_sort("antecedent").alias("tokens"),
-                     F.substring(F.col("consequent")[0], 2, 9).alias("verdict"),
-                     "confidence", "support")
-             .orderBy(F.desc("confidence"), F.desc("support"), F.size("tokens"), F.col("tokens"))
-             .limit(MAX_RULES).collect())
-    kept: list[tuple] = []
-    for r in sorted(rules, key=lambda r: len(r["tokens"])):
-        t = set(r["tokens"])
-        if not any(set(k[1]) < t and k[2] == r["verdict"] and k[3] >= r["confidence"] for k in kept):
-            key = min(r["tokens"], key=lambda x: (counts[x], x))
-            kept.append((key, r["tokens"], r["verdict"], r["confidence"], r["support"]))
+    prepared = prepared.where(F.size("tokens") > 0)
+    rows = prepared.count()
+    # Tokens of the same URLs have the same sums of the rows' hashes.
+    same = [F.sum(F.xxhash64("row", F.lit(i)).cast("decimal(38,0)")).alias(f"h{i}") for i in range(2)]
+    seen = (prepared.select("row", F.explode("tokens").alias("token"), verdict.alias("v"))
+            .groupBy("token").agg(F.count(F.lit(1)).alias("n"), *same,
+                                  *[F.count(F.when(F.col("v") == v, 1)).alias(v) for v in VERDICTS])
+            .where(F.greatest(*VERDICTS) >= MIN_SUPPORT * rows)
+            .groupBy("n", "h0", "h1", *VERDICTS).agg(F.min("token").alias("token")).collect())
+    counts = {r["token"]: r["n"] for r in seen}
+    sure = [([r["token"]], v, 1.0, r["n"] / rows) for r in seen for v in VERDICTS if r[v] == r["n"]]
+    mixed = sorted(counts.keys() - {t for (t,), *_ in sure})
+    rules = _combinations(prepared, mixed) if mixed else []
+    kept = sorted(sure + rules, key=lambda r: (len(r[0]), -r[2], -r[3], r[0]))
     return prepared.sparkSession.createDataFrame(
-        [(i, *k) for i, k in enumerate(kept)],
+        [(i, min(r[0], key=lambda x: (counts[x], x)), *r) for i, r in enumerate(kept)],
         "rule_id long, key string, need array<string>, verdict string, confidence double, support double")
 
 
+def _combinations(prepared: DataFrame, tokens: list[str]) -> list[tuple]:
+    """(tokens, verdict, confidence, support) of the rules over these tokens that no
+    shorter one says as surely."""
+    verdict = F.col("listed.verdict")
+    known = F.array(*[F.lit(t) for t in tokens]).cast("array<string>")
+    baskets = prepared.select(F.concat(F.array_intersect("tokens", known), F.when(
+        verdict.isNotNull(), F.array(F.concat(F.lit("="), verdict)))
+        .otherwise(F.array().cast("array<string>"))).alias("items"))
+    baskets = keep_table(baskets, "url-baskets")
+    rows = baskets.count()
+    model = FPGrowth(itemsCol="items", minSupport=MIN_SUPPORT, minConfidence=MIN_CONFIDENCE).fit(baskets)
+    says = F.filter("items", lambda x: x.startswith("="))
+    sets = keep_table(model.freqItemsets.select(
+        F.array_sort(F.array_except("items", says)).alias("tokens"),
+        F.substring(F.get(says, F.lit(0)), 2, 9).alias("verdict"), "freq").where(F.size("tokens") > 0), "url-sets")
+    rules = keep_table(
+        sets.where(F.col("verdict").isNotNull()).withColumnRenamed("freq", "both")
+        .join(sets.where(F.col("verdict").isNull()).select("tokens", "freq"), "tokens")
+        .select("tokens", "verdict", (F.col("both") / F.col("freq")).alias("confidence"),
+                (F.col("both") / F.lit(rows)).alias("support"))
+        .where(F.col("confidence") >= MIN_CONFIDENCE), "url-rules")
+    # A shorter rule is met under its first token.
+    short = rules.select(F.col("tokens")[0].alias("at"), F.col("tokens").alias("fewer"),
+                         F.col("verdict").alias("says"), F.col("confidence").alias("surely"))
+    longer = rules.where(F.size("tokens") > 1).select("*", F.explode("tokens").alias("at"))
+    gone = (longer.join(short, "at").where(
+        (F.size("fewer") < F.size("tokens")) & (F.col("says") == F.col("verdict"))
+        & (F.col("surely") >= F.col("confidence")) & (F.size(F.array_except("fewer", "tokens")) == 0))
+        .select("tokens", "verdict").distinct())
+    return [(r["tokens"], r["verdict"], r["confidence"], r["support"])
+            for r in rules.join(gone, ["tokens", "verdict"], "left_anti").collect()]
+
+
 def match(prepared: DataFrame, rules: DataFrame) -> DataFrame:
     """(row, mined): the surest mined rule's verdict of the rows that have one."""
     return (prepared.select("row", "tokens", F.explode("tokens").alias("key"))

@@ -1,3 +1,7 @@
+import itertools
+import random
+from collections import Counter
+
 import pytest
 
 from tapeworks.llm import url_rules as U
@@ -61,3 +65,32 @@ def test_a_url_of_many_tokens_is_mined_in_bounds(spark):
     long = "http://" + ".".join(f"h{c}" for c in "abcdefghijklmnop") + ".net/" + "/".join("qrstuvwxyz" * 3)
     got = judged(spark, [long] * 40 + ["http://example.org/en/"] * 20)
     assert got[0][2:] == ("net/", "block")
+
+
+def test_mining_equals_brute_force_beyond_64_tokens_and_8_of_a_url(spark):
+    rng, rows = random.Random(5), []
+    for i in range(700):
+        tokens = rng.sample([f"t{k}" for k in range(90)], rng.randint(3, 11))
+        odds = 0.9 if {"t88", "t89"} & set(tokens) else 0.4
+        says = rng.choice(["block" if rng.random() < odds else "allow", None])
+        if says == "block":
+            tokens += ["z sure", "z same"][:rng.choice([0, 2])]
+        rows.append((i, tokens, (("rule", says) if says else None)))
+    with_set, with_verdict = Counter(), Counter()
+    for _, tokens, listed in rows:
+        for k in range(1, 5):
+            for x in itertools.combinations(sorted(tokens), k):
+                with_set[x] += 1
+                if listed:
+                    with_verdict[x, listed[1]] += 1
+    least = U.MIN_SUPPORT * len(rows)
+    assert not any(n >= least and len(x) == 4 and "z same" not in x and "z sure" not in x
+                   for (x, _), n in with_verdict.items())
+    rules = {(x, v): n / with_set[x] for (x, v), n in with_verdict.items()
+             if n >= least and n / with_set[x] >= U.MIN_CONFIDENCE and "z sure" not in x}
+    want = {(x, v): c for (x, v), c in rules.items()
+            if not any(rules.get((y, v), 0) >= c for k in range(1, len(x)) for y in itertools.combinations(x, k))}
+    prepared = spark.createDataFrame(rows, "row long, tokens array<string>, "
+                                           "listed struct<rule:string,verdict:string>")
+    got = {(tuple(r.need), r.verdict): r.confidence for r in U.mine(prepared).collect()}
+    assert got == pytest.approx(want)
