@@ -1,7 +1,10 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, edit verification.
 
-Texts are read as words (runs of ASCII letters and digits and of non-ASCII
-characters, A-Z lower-cased). The CGK random walk copies the word under a
+Texts are read as words: A-Z lower-cased, split at white space, punctuation and
+control characters of all Unicode and at all ASCII characters but letters and
+digits. Characters of scripts written without spaces (Chinese, Japanese, Thai, Lao,
+Burmese, Khmer and others) and non-ASCII symbols are words of one character each;
+no space is put between them when characters are compared. The CGK random walk copies the word under a
 pointer at every step and moves the pointer on by a random bit of (step, word);
 two sequences at a small edit distance then agree in most of their copied words,
 so edit distance becomes Hamming distance. Sampling SAMPLED of the copied words
@@ -29,6 +32,8 @@ ignored by :func:`find`, carried along by :func:`drop_contaminated`.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,10 +60,44 @@ _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: ASCII bytes that separate words.
 _SEPARATORS = bytes(c for c in range(128) if not chr(c).isalnum())
 _TO_SPACE = bytes.maketrans(_SEPARATORS, b" " * len(_SEPARATORS))
+#: Blocks of scripts written without spaces between words.
+_UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF),
+             (0x1B00, 0x1B7F), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x3029), (0x3031, 0x312F),
+             (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF),
+             (0xAA00, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF))
+
+
+def _classes() -> tuple[str, str]:
+    """Non-ASCII characters that separate words, and those that are words, as parts
+    of a regular expression. No planes after these have separators or symbols."""
+    apart, alone = [], []
+    for c in range(0x80, 0x20000):
+        kind = unicodedata.category(chr(c))
+        if kind[0] in "ZP" or kind == "Cc" or c in (0x200B, 0x2060, 0xFEFF):
+            apart.append(chr(c))
+        elif kind[0] == "S":
+            alone.append(chr(c))
+    return "".join(apart), "".join(alone) + "".join(f"{chr(a)}-{chr(b)}" for a, b in _UNSPACED)
+
+
+_APART, _ALONE = _classes()
+_SPLIT, _UNIT = re.compile(f"[{_APART}]+"), re.compile(f"[{_ALONE}]")
+_BETWEEN = re.compile(f"(?<=[{_ALONE}]) (?=[{_ALONE}])")
 
 
 def words(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").lower().translate(_TO_SPACE).split() if text else []
+    if not text:
+        return []
+    if not text.isascii():
+        text = _UNIT.sub(r" \g<0> ", _SPLIT.sub(" ", text))
+    return text.encode("utf-8", "surrogatepass").lower().translate(_TO_SPACE).split()
+
+
+def _characters(some: list[bytes]) -> np.ndarray:
+    text = b" ".join(some).decode("utf-8", "replace")
+    if not text.isascii():
+        text = _BETWEEN.sub("", text)
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
 def word_ids() -> Memo:
@@ -171,8 +210,7 @@ class Index:
         lo, hi = max(0, first - room), min(len(doc_words), last + len(w) + room)
         if hi <= lo or _edit_rows(h, ids[lo:hi]) > 2 * EDITS * len(w):
             return None
-        item, window = (np.frombuffer(b" ".join(x).decode("utf-8", "replace").encode("utf-32-le"),
-                                      np.uint32) for x in (w, doc_words[lo:hi]))
+        item, window = _characters(w), _characters(doc_words[lo:hi])
         edits = _edit_rows(item, window)
         return edits if edits <= EDITS * len(item) else None
 

@@ -106,3 +106,19 @@ def test_empty_tables_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(D, "BLOCK", 3)
     got = {(r.doc_id, r.item_id) for r in D.find(docs(spark, texts), table(spark, items)).collect()}
     assert got == {(i, i) for i in range(10)}
+
+
+def test_scripts_without_spaces_and_unicode_separators(spark):
+    chinese, thai = "水的沸点在海拔高的地方会降低因为气压较低", "น้ำเดือดที่อุณหภูมิต่ำกว่าบนภูเขาสูง"
+    japanese = "富士山は何県にありますか"
+    items = {1: chinese, 2: thai, 3: "the boiling point of water falls", 4: japanese, 5: chinese[:6]}
+    texts = {1: f"我们今天学习物理{chinese}所以煮饭需要更长时间。", 2: f"เราเรียนว่า{thai}เสมอ",
+             3: "so—the boiling point—of “water”　falls…there", 4: f"問題「{japanese}？」答え",
+             5: chinese[:3] + "其他" + chinese[3:6], 6: chinese[:9] + "山" + chinese[10:] + "了"}
+    got = {(r.doc_id, r.item_id): r.edits for r in D.find(docs(spark, texts), table(spark, items)).collect()}
+    assert got == {(1, 1): 0, (1, 5): 0, (2, 2): 0, (3, 3): 0, (4, 4): 0, (6, 1): 1, (6, 5): 0}
+
+
+def test_words_of_many_scripts():
+    assert D.words("Été_d’un हिन्दी 中文a1") == [x.encode() for x in ("Été", "d", "un", "हिन्दी", "中", "文", "a1")]
+    assert len(D._characters(D.words("中文字 ab cd"))) == len("中文字 ab cd")
