@@ -8,8 +8,14 @@ no space is put between them when characters are compared. The CGK random walk c
 pointer at every step and moves the pointer on by a random bit of (step, word);
 two sequences at a small edit distance then agree in most of their copied words,
 so edit distance becomes Hamming distance. Sampling SAMPLED of the copied words
-is an LSH for it; WALKS walks with DRAWS samples each are repeated until the
-target recall is reached.
+is an LSH for it, with WALKS walks of DRAWS samples each. Windows are of a fixed
+width and not the item's, so recall grows with an item's length:
+:func:`least_words` computes, by trials on made items with 2 * EDITS of their words
+altered, the length from which RECALL is reached. Shorter items are not left to
+the LSH: an occurrence that verification accepts keeps all but 2 * EDITS of an
+item's words, so of any so many words and NEED more it holds NEED. Those rarest in
+the block are looked up word by word, and none is missed whose words are shifted by
+EDITS of them at most.
 
 Windows of a document begin at every STRIDE-th word. An item's copy may begin
 anywhere, so the item is indexed from each of its first words on, through the
@@ -32,9 +38,10 @@ ignored by :func:`find`, carried along by :func:`drop_contaminated`.
 
 from __future__ import annotations
 
-import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +54,9 @@ from tapeworks.llm.common import Memo, columns_of, small_batches
 EDITS = 0.2
 #: Words that a walk starts over; steps of a walk; windows begin so many words apart.
 WINDOW, STEPS, STRIDE = 8, 12, 4
+#: Share of the items at the accepted threshold that the LSH has to find by itself;
+#: made items that decide it; hits that an item searched by its words has to have.
+RECALL, TRIALS, NEED = 0.95, 400, 3
 #: Copied words sampled for a key (one of each stretch of STEPS / SAMPLED steps),
 #: samples of a walk, walks.
 SAMPLED, DRAWS, WALKS = 4, 2, 4
@@ -67,36 +77,40 @@ _UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19
              (0xAA00, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF))
 
 
-def _classes() -> tuple[str, str]:
-    """Non-ASCII characters that separate words, and those that are words, as parts
-    of a regular expression. No planes after these have separators or symbols."""
-    apart, alone = [], []
-    for c in range(0x80, 0x20000):
+class _Alone(dict):
+    """For str.translate: separators become a space, characters that are words get
+    spaces around them. Holds the characters met."""
+
+    def __missing__(self, c: int) -> int | str:
         kind = unicodedata.category(chr(c))
-        if kind[0] in "ZP" or kind == "Cc" or c in (0x200B, 0x2060, 0xFEFF):
-            apart.append(chr(c))
-        elif kind[0] == "S":
-            alone.append(chr(c))
-    return "".join(apart), "".join(alone) + "".join(f"{chr(a)}-{chr(b)}" for a, b in _UNSPACED)
+        if c > 127 and (kind[0] in "ZP" or kind == "Cc" or c in (0x200B, 0x2060, 0xFEFF)):
+            self[c] = " "
+        elif c > 127 and (kind[0] == "S" or any(a <= c <= b for a, b in _UNSPACED)):
+            self[c] = f" {chr(c)} "
+        else:
+            self[c] = c
+        return self[c]
 
 
-_APART, _ALONE = _classes()
-_SPLIT, _UNIT = re.compile(f"[{_APART}]+"), re.compile(f"[{_ALONE}]")
-_BETWEEN = re.compile(f"(?<=[{_ALONE}]) (?=[{_ALONE}])")
+_ALONE = _Alone()
 
 
 def words(text: str | None) -> list[bytes]:
     if not text:
         return []
     if not text.isascii():
-        text = _UNIT.sub(r" \g<0> ", _SPLIT.sub(" ", text))
+        text = text.translate(_ALONE)
     return text.encode("utf-8", "surrogatepass").lower().translate(_TO_SPACE).split()
 
 
 def _characters(some: list[bytes]) -> np.ndarray:
     text = b" ".join(some).decode("utf-8", "replace")
     if not text.isascii():
-        text = _BETWEEN.sub("", text)
+        parts, alone = [], False
+        for w in text.split(" "):
+            before, alone = alone, len(w) == 1 and isinstance(_ALONE[ord(w)], str)
+            parts += [w] if before and alone or not parts else [" ", w]
+        text = "".join(parts)
     return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
@@ -132,6 +146,37 @@ def lsh_keys(ids: np.ndarray, starts: np.ndarray, samples) -> Iterator[np.ndarra
         yield from keys
 
 
+def lsh_recall(n: int, seed: int = SEED) -> float:
+    """Share of made items of n words that the LSH finds when as many words are
+    altered as verification accepts."""
+    rng = np.random.default_rng(seed + n)
+    size = STRIDE + n + STRIDE + STEPS
+    item, doc = rng.integers(0, 1 << 63, (2, TRIALS, size)).astype(np.uint64)
+    altered = rng.permuted(np.arange(n) < int(2 * EDITS * n) + np.zeros((TRIALS, 1)), axis=1)
+    phase = rng.integers(0, STRIDE, TRIALS)
+    row = np.arange(TRIALS)
+    for i in range(n):
+        doc[row, phase + i] = np.where(altered[:, i], doc[row, phase + i], item[:, i])
+    item[:, n:] = 0
+    first = row[:, None] * size
+    own = lsh_keys(item.ravel(), (first + np.arange(max(n - WINDOW + 1, STRIDE))).ravel(), draws())
+    seen = lsh_keys(doc.ravel(), (first + np.arange(0, n + STRIDE, STRIDE)).ravel(), draws())
+    found = np.zeros(TRIALS, bool)
+    for a, b in zip(own, seen):
+        a, b = a.reshape(TRIALS, -1), b.reshape(TRIALS, -1)
+        found |= (a[:, :, None] == b[:, None, :]).any(axis=(1, 2))
+    return float(found.mean())
+
+
+@cache
+def least_words() -> int:
+    """Words of an item from which the LSH reaches RECALL."""
+    n = 16
+    while lsh_recall(n) < RECALL:
+        n = n * 5 // 4
+    return n
+
+
 def _edit_rows(a, b: np.ndarray) -> int:
     """Least edit distance of ``a`` to any part of ``b``."""
     row = np.zeros(len(b) + 1, np.int64)
@@ -164,6 +209,7 @@ class Index:
             starts.append(base + np.arange(n))
             owner.append(np.full(n, k))
             offset.append(np.arange(n))
+        self._by_words()
         self.short = [k for k, (_, w, _) in enumerate(self.items) if len(w) < WINDOW + STRIDE]
         self.keys = []
         if flat:
@@ -174,6 +220,48 @@ class Index:
                 seen[key & np.uint64((1 << 18) - 1)] = True
                 self.keys.append((key[order], order, seen))
 
+    def _by_words(self) -> None:
+        """Postings of the rarest words of the items too short for the LSH."""
+        often = Counter(x for _, _, h in self.items for x in h.tolist())
+        word, which, offset = [], [], []
+        self.need, self.drift = (np.zeros(len(self.items), np.int64) for _ in range(2))
+        for k, (_, w, h) in enumerate(self.items):
+            if len(w) < least_words():
+                spare = int(2 * EDITS * len(w))
+                rare = sorted(range(len(w)), key=lambda i: (often[int(h[i])], int(h[i]), i))[:spare + NEED]
+                self.need[k], self.drift[k] = len(rare) - spare, spare
+                word += h[rare].tolist()
+                which += [k] * len(rare)
+                offset += rare
+        word = np.array(word, np.uint64)
+        order = np.argsort(word, kind="stable")
+        self.word, self.word_item = word[order], np.array(which, np.int64)[order]
+        self.word_offset, self.word_seen = np.array(offset, np.int64)[order], np.zeros(1 << 18, bool)
+        self.word_seen[word & np.uint64((1 << 18) - 1)] = True
+
+    def word_hits(self, ids: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Items, documents and places at which NEED of an item's rare words (all, if
+        it has fewer) stand on diagonals as near as its edits allow."""
+        maybe = np.flatnonzero(self.word_seen[ids & np.uint64((1 << 18) - 1)])
+        lo = np.searchsorted(self.word, ids[maybe], "left")
+        many = np.searchsorted(self.word, ids[maybe], "right") - lo
+        at = np.repeat(maybe, many)
+        which = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        item, place = self.word_item[which], at - self.word_offset[which]
+        doc = np.searchsorted(base, at, "right") - 1
+        order = np.lexsort((place, doc, item))
+        item, doc, place = item[order], doc[order], place[order]
+        good = np.zeros(len(item), bool)
+        for need in range(1, NEED + 1):
+            last = np.arange(len(item)) + need - 1
+            ok = np.flatnonzero((self.need[item] == need) & (last < len(item)))
+            end = last[ok]
+            ok = ok[(item[end] == item[ok]) & (doc[end] == doc[ok])
+                    & (place[end] - place[ok] <= self.drift[item[ok]])]
+            for i in range(need):
+                good[ok + i] = True
+        return item[good], doc[good], place[good]
+
     def hits(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Windows (their places in ``starts``) that point to an item, the item, and
         the offset in it."""
@@ -250,6 +338,9 @@ class Index:
             at, item, offset = self.hits(padded, starts)
             place = starts[at] - offset
             doc = np.searchsorted(base, starts[at], "right") - 1
+            if len(self.word):
+                item, doc, place = (np.concatenate(x) for x in
+                                    zip((item, doc, place), self.word_hits(ids, base)))
             item, doc, place = np.unique(np.stack([item, doc, place]), axis=1)
             for k in np.unique(item).tolist():
                 own = item == k

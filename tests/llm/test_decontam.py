@@ -122,3 +122,20 @@ def test_scripts_without_spaces_and_unicode_separators(spark):
 def test_words_of_many_scripts():
     assert D.words("Été_d’un हिन्दी 中文a1") == [x.encode() for x in ("Été", "d", "un", "हिन्दी", "中", "文", "a1")]
     assert len(D._characters(D.words("中文字 ab cd"))) == len("中文字 ab cd")
+
+
+def test_recall_at_the_threshold_by_length():
+    """Two words in five altered in one letter each: accepted, so to be found."""
+    rng = random.Random(11)
+    for n in (5, 8, 14, 20, 30, D.least_words() - 1, D.least_words(), 2 * D.least_words()):
+        found, tries = 0, 40
+        items = [(i, sentence(rng, n)) for i in range(tries)]
+        index, memo, docs_ = D.Index(items), D.word_ids(), []
+        for _, t in items:
+            w = t.split()
+            for at in rng.sample(range(n), int(0.4 * n)):
+                w[at] = w[at][:-1] + "q"
+            docs_.append(D.words(" ".join([sentence(rng, rng.randint(0, 60)), *w, sentence(rng, 30)])))
+        found = len({(d, k) for d, k, *_ in index.find(docs_, memo) if d == k})
+        assert found >= (tries if n < D.least_words() else 0.9 * tries), (n, found)
+    assert D.lsh_recall(D.least_words()) >= D.RECALL > D.lsh_recall(14)
