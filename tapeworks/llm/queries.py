@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapeworks.llm import (chat, decontam, exact_dedup, langid, lattice_lm, ngram_join, packing,
-                           toxicity, url_rules, warc)
+from tapeworks.llm import (chat, collocations, decontam, exact_dedup, hard_negatives, langid, lattice_lm,
+                           ngram_join, packing, pieces, toxicity, url_rules, warc)
 from tapeworks.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,22 @@ def q_warc(spark, sf_dir):
     return warc.read(manifest, root).drop("url", "payload")
 
 
+def q_collocations(spark, sf_dir):
+    return collocations.mine(table(spark, sf_dir, "documents")).drop("k")
+
+
+def q_hard_negatives(spark, sf_dir):
+    rows, vec_id = table(spark, sf_dir, "embeddings"), F.col("vec_id")
+    label = F.when(vec_id % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), vec_id % 100 == 0)
+
+
+def q_sentencepiece(spark, sf_dir):
+    model = tokenizer_path("piece_bpe_32k.model")
+    encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    return pieces.digests(pieces.decode(encoded.drop("text"), model))
+
+
 def q_pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -112,6 +128,9 @@ def queries() -> dict[str, Query]:
         "op8_warc": q_warc,
         "op9_decontamination": q_decontamination,
         "op10_url_filter": q_url_filter,
+        "op11_collocations": q_collocations,
+        "op12_hard_negatives": q_hard_negatives,
+        "op13_sentencepiece": q_sentencepiece,
     }
 
 
@@ -159,5 +178,64 @@ FROM p WINDOW w AS (PARTITION BY h)
 """
 
 
+#: Phrases as lists of words; parts and longer candidates by joins on the list.
+_COLLOCATIONS = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents),
+run AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+total AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM run GROUP BY lang),
+place AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM run WHERE len(w) > 0),
+gram AS (SELECT lang, w, i, unnest(range(1, least(5, len(w) - i + 1) + 1)) AS size FROM place),
+f AS (SELECT lang, list_slice(w, i, i + size - 1) AS g, any_value(size) AS size, count(*)::HUGEINT AS f
+      FROM gram GROUP BY 1, 2 HAVING count(*) >= 100),
+cand AS (SELECT * FROM f WHERE size >= 2),
+inside AS (SELECT c.lang, list_slice(c.g, i, i + m - 1) AS g, max(c.f) AS longer
+           FROM cand c, range(1, 5) AS a(i), range(2, 5) AS b(m)
+           WHERE m < c.size AND i + m - 1 <= c.size GROUP BY 1, 2),
+kept AS (SELECT c.* FROM cand c LEFT JOIN inside i ON c.lang = i.lang AND c.g = i.g
+         WHERE i.longer IS NULL OR 100 * i.longer < 100 * c.f),
+cut AS (
+  SELECT c.lang, c.g, c.f AS a, k, l.f AS l, r.f AS r, t.n, (1000 * c.f * t.n) // (l.f * r.f) AS score
+  FROM kept c JOIN range(1, 5) AS s(k) ON k < c.size
+  JOIN f l ON l.lang = c.lang AND l.g = list_slice(c.g, 1, k)
+  JOIN f r ON r.lang = c.lang AND r.g = list_slice(c.g, k + 1, c.size)
+  JOIN total t ON t.lang = c.lang),
+low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC,
+                               encode(array_to_string(g, ' '))) AS rank FROM low)
+SELECT lang, rank, array_to_string(g, ' ') AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+  n::BIGINT AS n, score::BIGINT AS score
+FROM best WHERE rank <= 2000
+"""
+
+_HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+         list_inner_product(a.q, r.q)::BIGINT AS score
+  FROM v a JOIN v r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+pos AS (SELECT * FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+neg AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+         p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM pos p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+   AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score
+FROM neg WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": _EXACT_DEDUP, "op7_chat_format": _CHAT_FORMAT, "op8_warc": _WARC}
+    return {"op3_exact_dedup": _EXACT_DEDUP, "op7_chat_format": _CHAT_FORMAT, "op8_warc": _WARC,
+            "op11_collocations": _COLLOCATIONS, "op12_hard_negatives": _HARD_NEGATIVES}
