@@ -12,7 +12,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tapeworks import fixtures as fx
 from tapeworks import oracle
@@ -31,9 +31,7 @@ from tapeworks.streaming.ingest import stage_streams
 
 try:  # the training-data operators are an optional subpackage
     import tapeworks.llm.queries as llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("tapeworks.llm", "tapeworks.llm.queries"):
-        raise
+except ImportError:  # deleted, or one of its libraries is missing
     llm = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -140,11 +138,11 @@ def q_trades_union_quotes(spark, sf_dir):
     return u.withColumn("mov_avg_trade_pr", F.col("mov_avg_trade_pr").cast(S.PRICE))
 
 
-def q_last_trade_asof(bucket):
+def q_last_trade_asof(bucket, **kw):
     def run(spark, sf_dir):
         staged = _ticks(spark, sf_dir)
         return last_known(R.quotes_of(staged), R.trades_of(staged), S.SERIES_KEY, "event_tm",
-                          {"prior_trade_pr": "trade_pr"}, tie=R.TIE, bucket=bucket)
+                          {"prior_trade_pr": "trade_pr"}, tie=R.TIE, bucket=bucket, **kw)
     return run
 
 
@@ -256,6 +254,19 @@ def q_null_keys(bucket):
     return run
 
 
+def q_report_sorted_files(spark, sf_dir):
+    """The sorted report written to files; its order read back from the files'
+    names and the rows' places in them."""
+    path = scratch_path(spark, "sorted")
+    R.quote_analytics(_ticks(spark, sf_dir)).write.parquet(path)
+    rows = spark.read.parquet(path).select(*R.REPORT_ORDER, F.col("_metadata.file_name").alias("file"),
+                                           F.col("_metadata.row_index").alias("row"))
+    # Rows of earlier files: a running sum over one row per file.
+    sizes = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))
+    return rows.join(before, "file").select((F.col("before") + F.col("row") + 1).alias("place"), *R.REPORT_ORDER)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_line_count": q_text_line_count,
     "stage_csv_valid": lambda s, d: _valid(parse_csv(_feed(s, d, fx.csv_lines))),
@@ -281,6 +292,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trades_union_quotes": q_trades_union_quotes,
     "last_trade_asof": q_last_trade_asof(None),
     "last_trade_asof_bucketed": q_last_trade_asof("1 hour"),
+    "last_trade_asof_two_level": q_last_trade_asof("1 minute", block=16),
     "last_avg_asof": q_last_avg_asof,
     "last_known_events": q_last_known_events(None),
     "last_known_events_bucketed": q_last_known_events("6 hours"),
@@ -307,6 +319,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "event_id", lenient_timestamp(F.col("value")).alias("event_tm")),
     "null_keys": q_null_keys(None),
     "null_keys_bucketed": q_null_keys("1 hour"),
+    "report_sorted_files": q_report_sorted_files,
     "report_head": lambda s, d: R.report_head(R.quote_analytics(_ticks(s, d), sort=False)),
     "run_log_latest": q_run_log_latest,
 }

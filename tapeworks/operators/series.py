@@ -12,8 +12,8 @@ Scale notes. A window partitioned by the series key alone puts a whole series
 in one task; a hot symbol can hold a third of the rows. ``trailing_mean`` and
 ``last_known`` therefore take ``bucket=``: the series is cut into fixed time
 buckets that are windowed in parallel, and what crosses a bucket edge travels
-explicitly (copied *ghost* rows for the trailing mean, a small per-bucket carry
-table for the as-of). Results are identical to the unbucketed form.
+explicitly (copied *ghost* rows for the trailing mean, one carried row per bucket
+for the as-of, from a parallel prefix scan over buckets). Results are identical to the unbucketed form.
 
 NULL keys: a NULL is a key value like any other, in every form. Series are
 compared as one struct of the key columns, whose equality takes NULLs as equal;
@@ -169,10 +169,15 @@ def _order_struct(cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in cols])
 
 
+#: Buckets of a block of the carry's prefix scan.
+BLOCK = 1024
+
+
 def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time: str,
                values: Mapping[str, str], tie: Sequence[str] = (), bucket=None,
                probe_time: str | None = None, distinct_probes: bool = False,
-               means: Mapping[str, tuple[str, object]] | None = None) -> DataFrame:
+               means: Mapping[str, tuple[str, object]] | None = None,
+               block: int = BLOCK) -> DataFrame:
     """As-of lookup: add, to each probe row, the last non-NULL value of each
     event column in ``values`` (``{out_name: event_col}``) among events of the
     same ``keys`` with ``time <= probe time`` (inclusive).
@@ -182,12 +187,12 @@ def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time:
     NULLs on its own (``last(..., ignorenulls)``).
 
     Unbucketed: probes and events are unioned and one window per series does
-    the work. ``bucket=``: the window runs per (series, time bucket); a carry
-    table with one row per (series, bucket) brings in the last value from
-    earlier buckets. The carry table grows with the number of buckets, not rows.
-    The bucketed form reads ``events`` twice (window and carry table); when
-    ``events`` is costly to compute, materialize it first (``checkpoint()`` or a
-    written table).
+    the work. ``bucket=``: the window runs per (series, time bucket), and one
+    more row at the start of a bucket carries in the last values of earlier
+    ones. These rows come from a parallel prefix scan (:func:`_prefix_last`) over
+    the buckets' own last values, with ``block`` buckets a task. Events are
+    scanned and shuffled once: the windows and the buckets' values read the same exchange,
+    and probes, events and carried rows meet without a further one.
 
     ``distinct_probes``: identical probe rows come out once. The duplicates are
     dropped after the window, where rows are already hash-partitioned by the
@@ -195,11 +200,10 @@ def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time:
 
     ``means``: ``{out_name: (event_col, width)}``, the last known *trailing mean*
     of an event column, i.e. ``trailing_mean`` evaluated at each event and then
-    looked up as of each probe. It is computed on the same union and
-    partitioning as the lookup, so events and probes are shuffled once for
-    both. With buckets (no narrower than any width), events in the last
-    ``width`` of a bucket are copied into the next one as ghosts that complete
-    its frames and are looked up by nobody.
+    looked up as of each probe, on the same partitioning as the lookup. With
+    buckets (no narrower than any width), events in the last ``width`` of a bucket
+    are copied into the next one as ghosts that complete its frames and are looked
+    up by nobody.
 
     Events without a time are never the last known; probes without one get NULL.
     """
@@ -231,64 +235,90 @@ def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time:
             ev = ev.withColumn("__ghost", F.explode(copies)).withColumn(
                 _B, F.col(_B) + F.when(F.col("__ghost"), F.lit(bucket_us)).otherwise(F.lit(0)))
 
+    # Probe columns ride along on probe rows only; the union is by name.
+    probe_cols = [c for c in pr.columns if c not in part and c != _T]
+    ties = [f"__tie{i}" for i in range(len(tie))]
+    ev_side = ev.select(*part, _T, "__ghost", *[F.col(c).alias(t) for c, t in zip(tie, ties)],
+                        *priv.values(), *mean_src.values())
+    if bucket is not None:
+        ev_side = ev_side.repartition(*part)
+    ev_side = ev_side.withColumn(_SIDE, F.lit(0))
+    pr_side = pr.select(*part, _T, F.lit(1).alias(_SIDE),
+                        *[F.col(c) for c in probe_cols])
+    looked = {**{o: priv[o] for o in names}, **{o: f"__mean_{o}" for o in means}}
+
     def with_means(u: DataFrame) -> DataFrame:
         # Probe rows carry no value, so the frames sum event values only.
         for o, (_, width) in means.items():
             u = u.select("*", _range_mean(u, mean_src[o], part, interval_micros(width),
                                           f"__mean_{o}", "prefix"))
-            u = u.withColumn(f"__mean_{o}", F.when((F.col(_SIDE) == 0) & ~F.col("__ghost"),
-                                                   F.col(f"__mean_{o}")))
-        return u
+        return u.withColumns({f"__mean_{o}": F.when(F.col(_SIDE) == 0, F.col(f"__mean_{o}")) for o in means})
 
-    # Probe columns ride along on probe rows only; the union is by name.
-    probe_cols = [c for c in pr.columns if c not in part and c != _T]
-    ev_side = ev.select(*part, _T, "__ghost", *[F.col(c).alias(f"__tie{i}") for i, c in enumerate(tie)],
-                        *[F.when(~F.col("__ghost"), F.col(priv[o])).alias(priv[o]) for o in names],
-                        *mean_src.values(), F.lit(0).alias(_SIDE))
-    pr_side = pr.select(*part, _T, F.lit(1).alias(_SIDE),
-                        *[F.col(c) for c in probe_cols])
-    u = with_means(ev_side.unionByName(pr_side, allowMissingColumns=True))
-    ties = [f"__tie{i}" for i in range(len(tie))]
     # The order among events is the same whether a mean is looked up or a value.
     order = [_T, _SIDE, *ties] + [priv[o] for o in names]
+    if bucket is None:
+        u = with_means(ev_side.drop("__ghost").unionByName(pr_side, allowMissingColumns=True))
+    else:
+        own = with_means(ev_side).where(~F.col("__ghost")).drop("__ghost", *mean_src.values())
+        carried = _bucket_carry(own, pr, [_T, *ties] + [priv[o] for o in names], list(looked.values()),
+                                bucket_us, block)
+        carried = carried.select(*part, F.col(_B).alias(_T), F.lit(-1).alias(_SIDE), *looked.values())
+        # All three are partitioned alike, and so is their union.
+        u = (own.unionByName(pr_side.repartition(*part), allowMissingColumns=True)
+             .unionByName(carried.repartition(*part), allowMissingColumns=True))
     w = (Window.partitionBy(*part).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    looked = {**{o: priv[o] for o in names}, **{o: f"__mean_{o}" for o in means}}
     found = u.select(*part, _T, _SIDE, *probe_cols,
                      *[F.last(c, ignorenulls=True).over(w).alias(o) for o, c in looked.items()]
                      ).where(F.col(_SIDE) == 1)
     if distinct_probes:
         found = found.dropDuplicates()
-
-    if bucket is not None:
-        carry = _bucket_carry(with_means(ev_side), pr, [_T, *ties] + [priv[o] for o in names],
-                              list(looked.values()))
-        found = found.join(carry, on=part, how="left")
-        found = found.select(*probe_cols, *[F.coalesce(F.col(o), F.col(f"__carry{i}")).alias(o)
-                                            for i, o in enumerate(looked)])
     return found.select(*probes.columns, *looked)
 
 
-def _bucket_carry(ev: DataFrame, pr: DataFrame, order: list[str], vals: list[str]) -> DataFrame:
+def _bucket_carry(ev: DataFrame, pr: DataFrame, order: list[str], vals: list[str], bucket_us: int,
+                  block: int) -> DataFrame:
     """Per (series, probe bucket): last non-NULL value of each ``vals`` column
     over all *earlier* buckets. Built from a per-bucket aggregate, so its size is
-    (series x buckets), whatever the row count."""
-    # Events: last value per bucket. Probes: the buckets they fall in (a hash
-    # distinct, so the probe table is never sorted for this).
-    per_bucket = ev.where(~F.col("__ghost")).groupBy(_K, _B).agg(*[
+    (series x buckets), whatever the row count. Events are partitioned by (series, bucket)
+    already, so theirs needs no shuffle; probe buckets are a hash distinct."""
+    per_bucket = ev.groupBy(_K, _B).agg(*[
         F.max_by(F.col(v), F.when(F.col(v).isNotNull(), _order_struct([*order, v]))).alias(v)
         for v in vals])
-    probe_buckets = pr.select(_K, _B).distinct()
-    u = (per_bucket.withColumn(_SIDE, F.lit(1))
-         .unionByName(probe_buckets.withColumn(_SIDE, F.lit(0)), allowMissingColumns=True))
-    # A probe bucket sorts before the event bucket with the same start, so its
-    # frame holds strictly earlier buckets only.
-    w = (Window.partitionBy(_K).orderBy(_B, _SIDE)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (u.select(_K, _B, _SIDE,
-                     *[F.last(v, ignorenulls=True).over(w).alias(f"__carry{i}")
-                       for i, v in enumerate(vals)])
-             .where(F.col(_SIDE) == 0).drop(_SIDE))
+    asked = pr.where(F.col(_B).isNotNull()).select(_K, _B).distinct()
+    at = (F.col(_B) / F.lit(bucket_us)).cast("long").alias("__at")  # starts are whole multiples
+    rows = (per_bucket.select(_K, at, F.lit(False).alias("__asked"), *vals)
+            .unionByName(asked.select(_K, at, F.lit(True).alias("__asked")), allowMissingColumns=True))
+    return (_prefix_last(rows, vals, block)
+            .select(_K, (F.col("__at") * F.lit(bucket_us)).alias(_B), *vals))
+
+
+def _prefix_last(rows: DataFrame, vals: list[str], block: int, levels: int = 2) -> DataFrame:
+    """For each (series, ``__at``) row that has ``__asked``: the last non-NULL value of
+    each of ``vals`` at places strictly before it.
+
+    A blocked prefix scan: ``block`` neighbouring places are one task's window, the
+    last values of whole blocks are scanned in the same way one level up, and what
+    comes from earlier blocks fills what the own block leaves NULL. A series of n places
+    needs no task of more than ``block`` and ``n / block`` places (at two levels). Both
+    uses of the rows read one exchange.
+    """
+    def last(part: list[str]) -> list[Column]:
+        earlier = Window.partitionBy(*part).orderBy("__at").rangeBetween(Window.unboundedPreceding, -1)
+        return [F.last(v, ignorenulls=True).over(earlier).alias(v) for v in vals]
+
+    if levels <= 1:
+        return rows.select(_K, "__at", "__asked", *last([_K])).where("__asked").drop("__asked")
+    blk = f"__block{levels}"
+    rows = rows.withColumn(blk, F.floor(F.col("__at") / F.lit(block))).repartition(_K, blk)
+    inside = rows.select(_K, "__at", blk, "__asked", *last([_K, blk])).where("__asked")
+    blocks = rows.groupBy(_K, F.col(blk).alias("__at")).agg(
+        F.max("__asked").alias("__asked"),
+        *[F.max_by(v, F.when(F.col(v).isNotNull(), F.col("__at"))).alias(v) for v in vals])
+    before = _prefix_last(blocks, vals, block, levels - 1).select(
+        _K, F.col("__at").alias(blk), *[F.col(v).alias(f"{v}__before") for v in vals])
+    return (inside.join(before, [_K, blk], "left")
+            .select(_K, "__at", *[F.coalesce(v, f"{v}__before").alias(v) for v in vals]))
 
 
 def period_close(events: DataFrame, keys: Sequence[str], period: str, time: str, value: str,

@@ -265,6 +265,7 @@ def queries() -> dict[str, str]:
                             " ASOF LEFT JOIN last_px lp ON q.symbol = lp.symbol AND q.exchange = lp.exchange"
                             " AND q.event_tm >= lp.event_tm")
     q["last_trade_asof_bucketed"] = q["last_trade_asof"]
+    q["last_trade_asof_two_level"] = q["last_trade_asof"]
     q["last_avg_asof"] = (_with(TICKS, MEAN) + f" SELECT q.*, la.mavg AS prior_mov_avg_trade_pr FROM quotes q"
                           " ASOF LEFT JOIN last_avg la ON q.symbol = la.symbol AND q.exchange = la.exchange"
                           " AND q.event_tm >= la.event_tm")
@@ -308,6 +309,8 @@ def queries() -> dict[str, str]:
     q["report_head"] = (f"SELECT * FROM ({flagship}) r ORDER BY symbol, exchange, event_tm,"
                         " trade_dt NULLS FIRST, prior_trade_pr NULLS FIRST,"
                         " prior_mov_avg_trade_pr NULLS FIRST, prior_close_trade_pr NULLS FIRST LIMIT 20")
+    q["report_sorted_files"] = ("SELECT row_number() OVER (ORDER BY symbol, exchange, event_tm) AS place,"
+                                f" symbol, exchange, event_tm FROM ({flagship}) r")
     day = "DATE '2024-01-15'"
     q["eod_trades_day"] = _with(TICKS) + f" SELECT {TRADE_COLS} FROM trades WHERE trade_dt = {day} {latest}"
     q["quote_analytics_day"] = flagship + f" WHERE qa.trade_dt = {day}"

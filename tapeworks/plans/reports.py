@@ -14,6 +14,7 @@ from .. import schema as S
 from ..operators.joins import join_small
 from ..operators.latest import keep_latest
 from ..functions.time import interval_micros
+from ..operators.ordered import range_ordered
 from ..operators.series import last_known, period_close, prior_period, trailing_mean
 
 TIE = ("event_seq_nb", "arrival_tm")
@@ -152,10 +153,20 @@ def quote_analytics(staged: DataFrame, day=None, window="30 minutes",
                  (F.col("ask_pr") - F.col("prior_close_trade_pr")).alias("ask_pr_move")]
     out = out.select(*cols)
     if sort:
-        out = out.orderBy("symbol", "exchange", "event_tm")
+        out = _sorted(out, quotes)
     return out
 
 
+#: The order of the report (O1).
+REPORT_ORDER = ("symbol", "exchange", "event_tm")
+
+
+def _sorted(report: DataFrame, quotes: DataFrame) -> DataFrame:
+    """The report in its order over all files. The ranges come from a sketch of
+    the quotes, so nothing of the report is evaluated for them; a hot series is cut by time."""
+    return range_ordered(report, REPORT_ORDER, sketched=quotes, tell_apart=TIE)
+
+
 def price_movement(staged: DataFrame, day=None, **kw) -> DataFrame:
     """X12: the analytics plus bid/ask movement against the prior close."""
     return quote_analytics(staged, day, with_movement=True, **kw)
@@ -172,4 +183,4 @@ def report_head(report: DataFrame, n: int = 20) -> DataFrame:
 def analytics_all_days(staged: DataFrame, **kw) -> DataFrame:
     """M6: the analytics over every day, without the ``trade_dt`` column."""
     rep = quote_analytics(staged, None, sort=False, **kw)
-    return rep.drop("trade_dt").orderBy("symbol", "exchange", "event_tm")
+    return _sorted(rep.drop("trade_dt"), quotes_of(staged))
