@@ -11,11 +11,12 @@ counts are per language (NULL: ``und``).
   subtrees leave it whole as runs sorted by phrase. Runs are dealt by the
   phrases' first words (and a spread of their endings, so that one very common
   beginning is not one task's) and merged there.
-* **Levels.** A phrase stands at most as often as each phrase inside it, so words
-  are counted first, then pairs of frequent words, then phrases of three to five
-  words whose pairs are all frequent. What is frequent is told to the tasks as a
-  bitmap of hashes of a fixed size (``BITS``); a clash only makes a task count a phrase
-  in vain, so the counts of all phrases at or above ``least`` are exact.
+* **Levels.** A phrase stands at most as often as each phrase inside it. So words
+  are counted first; then pairs of frequent words by the hash of the pair, in packed
+  arrays of (slot, count) that are summed by ranges of slots; the tries then count the phrases
+  all of whose pairs lie in slots with ``least`` occurrences. What is frequent is told to the
+  tasks as bitmaps of hashes of a fixed size (``BITS``). A clash of hashes only makes a task count
+  a phrase in vain, so the counts of all phrases at or above ``least`` are exact.
 * **Scores.** Cutting a phrase after k words gives the counts l and r of its parts,
   found by joins on the phrase; ``floor(1000*a*n/(l*r))`` is computed in decimals of
   38 digits (exact while ``1000*a*n`` has that many), and the lowest cut counts.
@@ -36,6 +37,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
@@ -56,23 +58,20 @@ BURST, SHALLOW = 4096, 2
 ENTRIES = 400_000
 #: Words whose number a task remembers.
 WORDS = 400_000
+#: Pairs counted at once, and in one range of slots.
+PAIRS = 1 << 20
 #: Shares of phrases with one beginning, and of a language in the ranking.
 SPREAD = 64
 
-_CUT = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
+_CUT = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 _RUNS = "lang string, phrase string, n long"
+_SLOTS = "chunk int, offsets binary, times binary"
 
 
-def pieces_of(text: str | None) -> Iterator[list[bytes]]:
-    """The words of each piece of a text, as lower-cased UTF-8.
-
-    After the translation the only white space of ``bytes.split`` in a piece is the
-    space and the tab.
-    """
-    for piece in (text or "").encode("utf-8", "surrogatepass").lower().translate(_CUT).split(b"\n"):
-        words = piece.split()
-        if words:
-            yield words
+def words_of(text: str | None) -> list[bytes]:
+    """The words of a text as lower-cased UTF-8, in order, with ``b"\\n"`` where a piece ends."""
+    flat = (text or "").encode("utf-8", "surrogatepass").lower().translate(_CUT)
+    return list(filter(None, flat.replace(b"\n", b" \n ").split(b" ")))
 
 
 class _Node(dict):
@@ -144,11 +143,12 @@ class HatTrie:
 
 
 def _batch(rows: list[tuple[str, bytes, int]]) -> pa.RecordBatch:
+    """A sorted run."""
     rows.sort()
+    langs, phrases, times = zip(*rows) if rows else ((), (), ())
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.string()),
-         pa.array([r[1].decode("utf-8", "replace") for r in rows], pa.string()),
-         pa.array([r[2] for r in rows], pa.int64())], ["lang", "phrase", "n"])
+        [pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
+         pa.array(times, pa.int64())], ["lang", "phrase", "n"])
 
 
 def _merged(runs: DataFrame) -> DataFrame:
@@ -178,13 +178,14 @@ def _word_runs(entries: int):
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                words = seen.setdefault(lang, Counter())
-                for piece in pieces_of(text):
-                    words.update(piece)
-                    total[lang] += len(piece)
-                    if len(words) > entries:
+                words = words_of(text)
+                total[lang] += len(words) - words.count(b"\n")
+                for at in range(0, len(words), entries):
+                    own = seen.setdefault(lang, Counter())
+                    own.update(words[at:at + entries])
+                    del own[b"\n"]
+                    if len(own) > entries:
                         yield out()
-                        words = seen.setdefault(lang, Counter())
             if sum(map(len, seen.values())) > entries:
                 yield out()
         yield out()
@@ -195,39 +196,136 @@ def _word_runs(entries: int):
     return run
 
 
-def _slot(lang: str, phrase: bytes, bits: int) -> int:
-    """Place of a phrase in the bitmap, as :func:`_bitmap` has it."""
-    seed = xxhash.xxh64_intdigest(lang.encode(), seed=42)
-    return xxhash.xxh64_intdigest(phrase, seed=seed) % bits
+def _bitmap(places: DataFrame, bits: int) -> np.ndarray:
+    """Bytes of a bitmap with the bits ``s`` set; at most ``bits / 64`` numbers reach the driver."""
+    words = places.selectExpr("shiftright(s, 6) AS at", "shiftleft(1L, cast(s & 63 AS int)) AS bit")
+    got = words.groupBy("at").agg(F.bit_or("bit").alias("bit")).toArrow()
+    out = np.zeros(bits // 64, dtype="<i8")
+    out[got.column("at").to_numpy()] = got.column("bit").to_numpy()
+    return out.view(np.uint8)
 
 
-def _bitmap(frequent: DataFrame, bits: int) -> bytes:
-    """A bitmap with the hashes of (lang, phrase): at most ``bits / 64`` numbers reach the driver."""
-    import numpy as np
+class _Numbers(dict):
+    """Word -> number in this task, for the words of one language; 0 for a word that is not frequent."""
 
-    slot = F.xxhash64("lang", "phrase").bitwiseAND(F.lit(bits - 1))
-    words = frequent.select(slot.alias("s")).selectExpr(
-        "shiftright(s, 6) AS at", "shiftleft(1L, cast(s & 63 AS int)) AS bit")
-    got = words.groupBy("at").agg(F.bit_or("bit").alias("bit")).toArrow()
-    out = np.zeros(bits // 64, dtype=np.int64)
-    out[got.column("at").to_numpy()] = got.column("bit").to_numpy()
-    return out.astype("<i8").tobytes()
+    def __init__(self, lang: str, frequent: np.ndarray, bits: int, names: list, hashes: list):
+        super().__init__({b"\n": 0})
+        self.lang, self.frequent, self.bits, self.names, self.hashes = lang, frequent.tobytes(), bits, names, hashes
+        self.seed = xxhash.xxh64_intdigest(lang.encode(), seed=42)  # as Spark's xxhash64(lang, word)
 
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh64_intdigest(word, seed=self.seed)
+        s = h % self.bits
+        i = 0
+        if self.frequent[s >> 3] >> (s & 7) & 1:
+            i = len(self.names)
+            self.names.append((self.lang, word))
+            self.hashes.append(h)
+        self[word] = i
+        return i
+
+
+class _Numbered:
+    """Texts as numbers of frequent words; 0 stands for other words and ends of pieces."""
+
+    def __init__(self, frequent: np.ndarray, bits: int):
+        self.frequent, self.bits = frequent, bits
+        self.forget()
+
+    def forget(self) -> None:
+        """Numbers begin anew; what was numbered before must be out of use."""
+        self.names, self.hashes, self.langs = [None], [0], {}
+
+    def known(self) -> int:
+        return sum(map(len, self.langs.values()))
+
+    def ids(self, lang: str, text: str | None) -> list[int]:
+        own = self.langs.get(lang)
+        if own is None:
+            own = self.langs[lang] = _Numbers(lang, self.frequent, self.bits, self.names, self.hashes)
+        return [*map(own.__getitem__, words_of(text)), 0]
+
+    def slots(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of pairs of frequent words, and the pairs' 40-bit slots."""
+        at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+        h = np.array(self.hashes, dtype=np.uint64)
+        pair = h[ids[at]] * _M1 + h[ids[at + 1]]
+        pair = (pair ^ (pair >> np.uint64(31))) * _M2
+        return at, pair >> np.uint64(24)
+
+
+_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _slot_counts(words_map, bits: int, chunks: int, least: int):
+    """Packed (slot, count) arrays of a task's pairs, one for each range of slots."""
+    kind = np.dtype("u1" if least < 256 else "<u4")
 
-def _phrase_runs(words_map, pairs_map, bits: int, entries: int, longest: int):
-    """Phrases whose words (and pairs, if a bitmap of them is given) may be frequent:
-    pairs without it, else phrases of three words and more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = words_map.value
-        pairs = pairs_map.value if pairs_map else None
-        trie, number, names, known_pairs = HatTrie(), {}, [], {}
+        texts, held = _Numbered(words_map.value, bits), []
+
+        def out() -> pa.RecordBatch:
+            _, slot = texts.slots(np.array(held, dtype=np.int64))
+            n = np.uint64(chunks)
+            slot, times = np.unique(slot % n << np.uint64(32) | slot // n, return_counts=True)
+            times = np.minimum(times, least).astype(kind)
+            chunk = (slot >> np.uint64(32)).astype(np.int64)
+            offset = slot.astype("<u4")  # the low half
+            cuts = np.searchsorted(chunk, np.arange(chunks + 1)).tolist()
+            own = [c for c in range(chunks) if cuts[c] < cuts[c + 1]]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(own, pa.int32()),
+                 pa.array([offset[cuts[c]:cuts[c + 1]].tobytes() for c in own], pa.binary()),
+                 pa.array([times[cuts[c]:cuts[c + 1]].tobytes() for c in own], pa.binary())],
+                ["chunk", "offsets", "times"])
 
-        def has(bitmap: bytes, lang: str, phrase: bytes) -> bool:
-            s = _slot(lang, phrase, bits)
-            return bool(bitmap[s >> 3] >> (s & 7) & 1)
+        for b in batches:
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                held += texts.ids(lang, text)
+                if len(held) > PAIRS:
+                    yield out()
+                    held.clear()
+            if texts.known() > WORDS:
+                yield out()
+                held.clear()
+                texts.forget()
+        yield out()
+
+    return run
+
+
+def _frequent_slots(packed: DataFrame, chunks: int, least: int, bits: int) -> DataFrame:
+    """Bits (s) of the slots whose counts reach ``least`` together."""
+    kind = np.dtype("u1" if least < 256 else "<u4")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, parts = None, []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if parts:
+                slots, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+                n = np.bincount(where, weights=np.concatenate([p[1] for p in parts]))
+                slots = slots[n >= least].astype(np.int64) * chunks + current
+                yield pa.RecordBatch.from_arrays([pa.array(slots % bits, pa.int64())], ["s"])
+
+        for b in batches:
+            for chunk, offsets, times in zip(*(b.column(c).to_pylist() for c in ("chunk", "offsets", "times"))):
+                if chunk != current:
+                    yield from out()
+                    current, parts = chunk, []
+                parts.append((np.frombuffer(offsets, "<u4"), np.frombuffer(times, kind)))
+        yield from out()
+
+    return packed.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(run, "s long")
+
+
+def _phrase_runs(words_map, pairs_map, bits: int, entries: int, longest: int):
+    """Phrases of two words and more whose words and pairs may all be frequent."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, pairs, trie = _Numbered(words_map.value, bits), pairs_map.value, HatTrie()
 
         def runs(keep: int) -> Iterator[pa.RecordBatch]:
-            rows = []
+            rows, names = [], texts.names
             for subtree in trie.spill(keep):
                 rows += [(names[p[0]][0], b" ".join([names[w][1] for w in p]), n) for p, n in subtree]
                 if len(rows) > 50_000:
@@ -236,56 +334,28 @@ def _phrase_runs(words_map, pairs_map, bits: int, entries: int, longest: int):
             yield _batch(rows)
 
         def count(ids: list) -> None:
-            if pairs is None:
-                for pair in zip(ids, ids[1:]):
-                    if None not in pair:
-                        trie.add(pair)
+            at, slot = texts.slots(np.array(ids, dtype=np.int64))
+            slot = (slot % np.uint64(bits)).astype(np.int64)
+            at = at[pairs[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 > 0]
+            if not len(at):
                 return
-            far = 0  # ids[at:far] is a run of frequent pairs
-            for at in range(len(ids) - 2):
-                far = max(far, at + 1)
-                while far < min(len(ids), at + longest):
-                    pair = (ids[far - 1], ids[far])
-                    if None in pair:
-                        break
-                    good = known_pairs.get(pair)
-                    if good is None:
-                        lang, first = names[pair[0]]
-                        good = known_pairs[pair] = has(pairs, lang, first + b" " + names[pair[1]][1])
-                    if not good:
-                        break
-                    far += 1
-                for end in range(at + 3, far + 1):
-                    trie.add(tuple(ids[at:end]))
+            breaks = np.flatnonzero(np.diff(at) != 1)
+            for first, last in zip(at[np.append(0, breaks + 1)].tolist(), at[np.append(breaks, -1)].tolist()):
+                stop = last + 2  # ids[first:stop] is a run of frequent pairs
+                for i in range(first, stop - 1):
+                    for end in range(i + 2, min(stop, i + longest) + 1):
+                        trie.add(tuple(ids[i:end]))
 
         for b in batches:
+            held = []
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = number.setdefault(lang, {})
-                for piece in pieces_of(text):
-                    ids = []
-                    for w in piece:
-                        i = own.get(w, -1)
-                        if i == -1:
-                            i = None
-                            if has(frequent, lang, w):
-                                i = len(names)
-                                names.append((lang, w))
-                            own[w] = i
-                        ids.append(i)
-                    count(ids)
-                    if trie.size > entries:
-                        yield from runs(entries // 2)
-            if sum(map(len, number.values())) > WORDS:  # forget all but the words in the trie's numbers
-                if len(names) > WORDS // 2:
-                    yield from runs(0)
-                    names, number = [], {}
-                    known_pairs.clear()
-                else:
-                    number = {}
-                    for i, (lang, w) in enumerate(names):
-                        number.setdefault(lang, {})[w] = i
-            if len(known_pairs) > 2 * entries:
-                known_pairs.clear()
+                held += texts.ids(lang, text)
+            count(held)
+            if trie.size > entries:
+                yield from runs(entries // 2)
+            if texts.known() > WORDS:
+                yield from runs(0)
+                texts.forget()
         yield from runs(0)
 
     return run
@@ -300,15 +370,17 @@ def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col
     words = keep_table(_merged(said.mapInArrow(_word_runs(entries), _RUNS))
                        .where(F.col("phrase").isNull() | (F.col("n") >= least)), "words")
     total = words.where(F.col("phrase").isNull()).select("lang", "n")
-    found = words.where(F.col("phrase").isNotNull())
-    maps, levels = [sc.broadcast(_bitmap(found, bits)), None], [found.withColumn("size", F.lit(1))]
-    for level in ("pairs", "phrases"):
-        runs = said.mapInArrow(_phrase_runs(*maps, bits, entries, longest), _RUNS)
-        found = keep_table(_merged(runs).where(F.col("n") >= least)
-                           .withColumn("size", F.size(F.split("phrase", " ", -1))), level)
-        levels.append(found)
-        maps[1] = sc.broadcast(_bitmap(found, bits))
-    return levels[0].unionByName(levels[1]).unionByName(levels[2]).select("lang", "phrase", "size", "n"), total
+    words = words.where(F.col("phrase").isNotNull())
+    place = F.xxhash64("lang", "phrase").bitwiseAND(F.lit(bits - 1)).alias("s")
+    words_map = sc.broadcast(_bitmap(words.select(place), bits))
+    # A range of slots holds about PAIRS pairs of words at most.
+    chunks = max(256, (total.agg(F.sum("n")).first()[0] or 0) // PAIRS)
+    packed = said.mapInArrow(_slot_counts(words_map, bits, chunks, least), _SLOTS)
+    pairs_map = sc.broadcast(_bitmap(_frequent_slots(packed, chunks, least, bits), bits))
+    runs = said.mapInArrow(_phrase_runs(words_map, pairs_map, bits, entries, longest), _RUNS)
+    found = keep_table(_merged(runs).where(F.col("n") >= least)
+                       .withColumn("size", F.size(F.split("phrase", " ", -1))), "phrases")
+    return words.withColumn("size", F.lit(1)).unionByName(found).select("lang", "phrase", "size", "n"), total
 
 
 def _part(first, length):
