@@ -19,6 +19,7 @@ from tapeworks import oracle
 from tapeworks import schema as S
 from tapeworks.operators.ingest import parse_csv, parse_json
 from tapeworks.operators.latest import keep_latest
+from tapeworks.operators.merge import merge_latest, read_latest
 from tapeworks.operators.series import last_known, trailing_mean
 from tapeworks.plans import reports as R
 from tapeworks.functions.text import lenient_timestamp
@@ -128,6 +129,24 @@ def q_trailing_mean_events(bucket):
     return run
 
 
+def q_trailing_mean_double(bucket):
+    """A mean of binary fractions, which no decimal holds exactly."""
+    def run(spark, sf_dir):
+        ev = _t(spark, sf_dir, "events").select("event_id", "event_type", "ts", (F.col("value") / 7).alias("x"))
+        out = trailing_mean(ev, "x", "ts", ["event_type"], "30 minutes", out="mean_x", bucket=bucket)
+        return out.select("event_id", F.round("mean_x", 6).cast("decimal(18,6)").alias("mean_x"))
+    return run
+
+
+def q_eod_trades_merged(spark, sf_dir):
+    """Three batches of arrivals, each merged into the days and buckets it touches."""
+    root, trades = scratch_path(spark, "latest"), R.trades_of(_ticks(spark, sf_dir))
+    batch = F.pmod(F.crc32(F.concat_ws("|", "event_seq_nb", "arrival_tm").cast("binary")), F.lit(3))
+    for i in range(3):
+        merge_latest(trades.where(batch == i), root, buckets=2)
+    return read_latest(spark, root).select(*S.TRADE_COLUMNS)
+
+
 def q_trades_union_quotes(spark, sf_dir):
     staged = _ticks(spark, sf_dir)
     t = trailing_mean(staged.where(F.col("partition") == S.TRADE), "trade_pr", "event_tm",
@@ -289,6 +308,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trailing_mean_events": q_trailing_mean_events(None),
     "trailing_mean_events_bucketed": q_trailing_mean_events("2 hours"),
     "trailing_mean_events_fine": q_trailing_mean_events("5 minutes"),
+    "trailing_mean_double": q_trailing_mean_double("1 minute"),
+    "eod_trades_merged": q_eod_trades_merged,
     "trades_union_quotes": q_trades_union_quotes,
     "last_trade_asof": q_last_trade_asof(None),
     "last_trade_asof_bucketed": q_last_trade_asof("1 hour"),

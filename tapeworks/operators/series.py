@@ -85,6 +85,11 @@ def trailing_mean(df: DataFrame, value: str, time: str, keys: Sequence[str],
     ``bucket`` < ``width`` (decimals): prefix sums with a carry table, see
     ``_prefix_mean``; more shuffles, but no task holds more than one bucket of
     one series, whatever the window width.
+
+    Floating-point values with a ``bucket``: sums of panes of that width (of ``width``
+    at most), see ``_pane_mean``. Nothing is subtracted, so no digits are lost and an
+    infinite or NaN value touches only the frames that hold it; the cost is linear.
+    Without a bucket Spark's sliding frame is used, which re-aggregates it on every row.
     """
     width_us = interval_micros(width)
     keys = list(keys)
@@ -92,9 +97,12 @@ def trailing_mean(df: DataFrame, value: str, time: str, keys: Sequence[str],
     if bucket is None:
         return with_t.select("*", _range_mean(with_t, value, keys, width_us, out, method)).drop(_T)
     bucket_us = interval_micros(bucket)
+    floating = isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType))
+    if method == "prefix" and floating:
+        return _pane_mean(with_t, value, keys, width_us, min(bucket_us, width_us), out)
     if bucket_us < width_us:
         if method != "prefix" or _mean_type(df.schema[value].dataType) is None:
-            raise ValueError("a bucket narrower than the window needs method='prefix' on a decimal")
+            raise ValueError("a bucket narrower than the window needs method='prefix' on a decimal or floating value")
         return _prefix_mean(with_t, value, keys, width_us, bucket_us, out)
     b = time_bucket(F.col(_T), bucket_us)
     # One pass: each row is emitted in its own bucket, and again (as a ghost)
@@ -165,6 +173,98 @@ def _prefix_mean(df: DataFrame, value: str, keys: list[str], width_us: int, buck
     return joined.select(*[c for c in df.columns if c not in (_T, _K)], out)
 
 
+#: Bits of the leading part of a value that sums keep without rounding: its sums of up to
+#: 2 ** (53 - LEAD_BITS) values are exact.
+LEAD_BITS = 26
+
+
+def _two_parts(df: DataFrame, value: str) -> tuple[Column, Column]:
+    """A double as the sum of two: a multiple of a quantum fitted to the column's largest
+    value (sums of such multiples are exact) and the small rest (whose sums round at
+    2 ** -53 of the quantum's size). Not finite values are the first part."""
+    x = F.col(value).cast("double")
+    huge = F.lit(2.0 ** 900)
+    size = F.when(F.abs(x) <= huge, F.abs(x))
+    top = df.agg(F.max(size).alias("top")).scalar()
+    # Adding and taking away 1.5 * 2 ** 52 quanta rounds to whole quanta.
+    quantum = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(top, F.lit(2.0 ** -900)))) - F.lit(LEAD_BITS))
+    lift = F.coalesce(quantum, F.lit(0.0)) * F.lit(1.5 * 2.0 ** 52)
+    lead = F.when(F.abs(x) <= huge, (x + lift) - lift).otherwise(x)
+    return lead, F.when(F.abs(x) <= huge, x - lead).otherwise(F.when(x.isNotNull(), F.lit(0.0)))
+
+
+def _dyadic(first: Column, stop: Column, levels: int) -> Column:
+    """[first, stop) as an array of (level, node): node i of level j covers panes
+    [i * 2^j, (i + 1) * 2^j). At most two nodes of a level."""
+    start = F.struct(first.alias("l"), stop.alias("r"), F.array().cast("array<struct<level:int,node:long>>").alias("nodes"))
+
+    def step(s: Column, level: Column) -> Column:
+        l, r = s["l"], s["r"]
+        take_l, take_r = (l < r) & (l % 2 != 0), (l < r) & (r % 2 != 0)
+        none = F.array().cast("array<struct<level:int,node:long>>")
+        node = lambda i: F.array(F.struct(level.cast("int").alias("level"), i.cast("long").alias("node")))
+        left = F.when(take_l, node(l)).otherwise(none)
+        right = F.when(take_r & ((l + 1 < r) | ~take_l), node(r - 1)).otherwise(none)
+        up_l = F.shiftright(l + F.when(take_l, 1).otherwise(0), 1)
+        up_r = F.shiftright(r - F.when(take_r, 1).otherwise(0), 1)
+        return F.struct(up_l.alias("l"), up_r.alias("r"), F.concat(s["nodes"], left, right).alias("nodes"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(levels)), start, step, lambda s: s["nodes"])
+
+
+def _pane_mean(df: DataFrame, value: str, keys: list[str], width_us: int, pane_us: int, out: str) -> DataFrame:
+    """Trailing mean of a floating value from sums of panes, nothing subtracted.
+
+    The frame [t - width, t] is the end of one pane, whole panes, and the beginning of
+    t's own pane (panes are no wider than the frame). Two probe rows per row bring in the
+    ends: growing frames within (series, pane), one in order of time and one against it. Whole
+    panes come from a dyadic tree: sums of 1, 2, 4, ... neighbouring panes, one grouped
+    aggregate over panes; a range of panes is a few nodes, found by an equi-join. Values are summed in two
+    parts (:func:`_two_parts`). A task holds one pane of one series, one tie
+    group or one node's rows, however hot the series is.
+    """
+    df = df.withColumn(_K, F.struct(*keys))
+    lead, rest = _two_parts(df, value)
+    pane = F.floor(F.col(_T) / F.lit(pane_us)).cast("long")  # doubles of micros are whole numbers
+    vals = (df.where(F.col(value).isNotNull() & F.col(_T).isNotNull())
+            .select(_K, _T, lead.alias("__hi"), rest.alias("__lo"), F.lit(1).cast("long").alias("__n")))
+    points = df.where(F.col(_T).isNotNull()).select(_K, F.col(_T).alias("__t0"))
+    probes = points.select(_K, "__t0", F.explode(F.array(
+        F.struct(F.lit(1).alias("end"), F.col("__t0").alias("x")),
+        F.struct(F.lit(-1).alias("end"), (F.col("__t0") - F.lit(width_us)).alias("x")))).alias("__p"))
+    probes = probes.select(_K, "__t0", F.col("__p.end").alias("__end"), F.col("__p.x").alias(_T))
+    u = vals.unionByName(probes, allowMissingColumns=True).withColumn(_B, pane)
+    upto = (Window.partitionBy(_K, _B).orderBy(_T).rangeBetween(Window.unboundedPreceding, 0))
+    since = (Window.partitionBy(_K, _B).orderBy(F.col(_T).desc()).rangeBetween(Window.unboundedPreceding, 0))
+    sums = ["__hi", "__lo", "__n"]
+    ends = u.select(_K, _B, "__t0", "__end", *[
+        F.when(F.col("__end") == 1, F.sum(c).over(upto)).otherwise(F.sum(c).over(since)).alias(c) for c in sums]
+        ).where(F.col("__end").isNotNull())
+    frames = ends.groupBy(_K, "__t0").agg(
+        *[F.max(F.when(F.col("__end") == e, F.col(_B))).alias(f"__pane{i}") for i, e in enumerate((-1, 1))],
+        *[F.max(F.when(F.col("__end") == e, F.col(c))).alias(f"{c}{i}") for c in sums for i, e in enumerate((-1, 1))])
+
+    levels = max(0, (width_us // pane_us + 1).bit_length())
+    panes = vals.withColumn(_B, pane).groupBy(_K, _B).agg(*[F.sum(c).alias(c) for c in sums])
+    tree = (panes.withColumn("__level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+            .groupBy(_K, "__level", F.expr(f"shiftright({_B}, __level)").alias("__node"))
+            .agg(*[F.sum(c).alias(c) for c in sums]))
+    spans = frames.select(_K, "__pane0", "__pane1").distinct()
+    nodes = spans.withColumn("__x", F.explode(_dyadic(F.col("__pane0") + 1, F.col("__pane1"), levels)))
+    nodes = nodes.select(_K, "__pane0", "__pane1", F.col("__x.level").alias("__level"), F.col("__x.node").alias("__node"))
+    whole = (nodes.join(tree, [_K, "__level", "__node"]).groupBy(_K, "__pane0", "__pane1")
+             .agg(*[F.sum(c).alias(f"{c}2") for c in sums]))
+    frames = frames.join(whole, [_K, "__pane0", "__pane1"], "left")
+
+    def total(c: str) -> Column:
+        return F.coalesce(f"{c}0", F.lit(0)) + F.coalesce(f"{c}1", F.lit(0)) + F.coalesce(f"{c}2", F.lit(0))
+
+    mean = F.when(total("__n") > 0, (total("__hi") + total("__lo")) / total("__n"))
+    means = frames.select(_K, F.col("__t0").alias(_T), mean.alias(out))
+    rows = df.join(means, [_K, _T], "left")
+    return rows.select(*[c for c in df.columns if c not in (_T, _K)], out)
+
+
 def _order_struct(cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in cols])
 

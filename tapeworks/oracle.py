@@ -257,6 +257,10 @@ def queries() -> dict[str, str]:
                                  f"{ev_mean} AS mean_px FROM events")
     q["trailing_mean_events_bucketed"] = q["trailing_mean_events"]
     q["trailing_mean_events_fine"] = q["trailing_mean_events"]
+    q["trailing_mean_double"] = (
+        "SELECT event_id, CAST(round(avg(value / 7) OVER (PARTITION BY event_type ORDER BY ts RANGE BETWEEN"
+        " INTERVAL 30 MINUTES PRECEDING AND CURRENT ROW), 6) AS DECIMAL(18,6)) AS mean_x FROM events")
+    q["eod_trades_merged"] = q["eod_trades"]
     q["trades_union_quotes"] = (_with(TICKS, MEAN)
         + f" SELECT {COMMON}, CAST({_cents_mean('symbol, exchange', 'event_tm', 'trade_pr')} AS DECIMAL(10,2))"
           " AS mov_avg_trade_pr FROM ticks WHERE partition = 'T'"
