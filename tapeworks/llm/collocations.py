@@ -43,6 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tapeworks.llm.common import keep_table, small_batches
+from tapeworks.llm.slots import KEYS, SLOTS, bitmap, chunks_for, frequent, has, packed, slots_of
 
 #: Words of the longest phrase.
 LONGEST = 5
@@ -58,14 +59,11 @@ BURST, SHALLOW = 4096, 2
 ENTRIES = 400_000
 #: Words whose number a task remembers.
 WORDS = 400_000
-#: Pairs counted at once, and in one range of slots.
-PAIRS = 1 << 20
 #: Shares of phrases with one beginning, and of a language in the ranking.
 SPREAD = 64
 
 _CUT = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 _RUNS = "lang string, phrase string, n long"
-_SLOTS = "chunk int, offsets binary, times binary"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -196,15 +194,6 @@ def _word_runs(entries: int):
     return run
 
 
-def _bitmap(places: DataFrame, bits: int) -> np.ndarray:
-    """Bytes of a bitmap with the bits ``s`` set; at most ``bits / 64`` numbers reach the driver."""
-    words = places.selectExpr("shiftright(s, 6) AS at", "shiftleft(1L, cast(s & 63 AS int)) AS bit")
-    got = words.groupBy("at").agg(F.bit_or("bit").alias("bit")).toArrow()
-    out = np.zeros(bits // 64, dtype="<i8")
-    out[got.column("at").to_numpy()] = got.column("bit").to_numpy()
-    return out.view(np.uint8)
-
-
 class _Numbers(dict):
     """Word -> number in this task, for the words of one language; 0 for a word that is not frequent."""
 
@@ -251,7 +240,7 @@ class _Numbered:
         h = np.array(self.hashes, dtype=np.uint64)
         pair = h[ids[at]] * _M1 + h[ids[at + 1]]
         pair = (pair ^ (pair >> np.uint64(31))) * _M2
-        return at, pair >> np.uint64(24)
+        return at, slots_of(pair)
 
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -259,30 +248,16 @@ _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 def _slot_counts(words_map, bits: int, chunks: int, least: int):
     """Packed (slot, count) arrays of a task's pairs, one for each range of slots."""
-    kind = np.dtype("u1" if least < 256 else "<u4")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, held = _Numbered(words_map.value, bits), []
 
         def out() -> pa.RecordBatch:
-            _, slot = texts.slots(np.array(held, dtype=np.int64))
-            n = np.uint64(chunks)
-            slot, times = np.unique(slot % n << np.uint64(32) | slot // n, return_counts=True)
-            times = np.minimum(times, least).astype(kind)
-            chunk = (slot >> np.uint64(32)).astype(np.int64)
-            offset = slot.astype("<u4")  # the low half
-            cuts = np.searchsorted(chunk, np.arange(chunks + 1)).tolist()
-            own = [c for c in range(chunks) if cuts[c] < cuts[c + 1]]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(own, pa.int32()),
-                 pa.array([offset[cuts[c]:cuts[c + 1]].tobytes() for c in own], pa.binary()),
-                 pa.array([times[cuts[c]:cuts[c + 1]].tobytes() for c in own], pa.binary())],
-                ["chunk", "offsets", "times"])
+            return packed(texts.slots(np.array(held, dtype=np.int64))[1], chunks, least)
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 held += texts.ids(lang, text)
-                if len(held) > PAIRS:
+                if len(held) > KEYS:
                     yield out()
                     held.clear()
             if texts.known() > WORDS:
@@ -294,31 +269,6 @@ def _slot_counts(words_map, bits: int, chunks: int, least: int):
     return run
 
 
-def _frequent_slots(packed: DataFrame, chunks: int, least: int, bits: int) -> DataFrame:
-    """Bits (s) of the slots whose counts reach ``least`` together."""
-    kind = np.dtype("u1" if least < 256 else "<u4")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, parts = None, []
-
-        def out() -> Iterator[pa.RecordBatch]:
-            if parts:
-                slots, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-                n = np.bincount(where, weights=np.concatenate([p[1] for p in parts]))
-                slots = slots[n >= least].astype(np.int64) * chunks + current
-                yield pa.RecordBatch.from_arrays([pa.array(slots % bits, pa.int64())], ["s"])
-
-        for b in batches:
-            for chunk, offsets, times in zip(*(b.column(c).to_pylist() for c in ("chunk", "offsets", "times"))):
-                if chunk != current:
-                    yield from out()
-                    current, parts = chunk, []
-                parts.append((np.frombuffer(offsets, "<u4"), np.frombuffer(times, kind)))
-        yield from out()
-
-    return packed.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(run, "s long")
-
-
 def _phrase_runs(words_map, pairs_map, bits: int, entries: int, longest: int):
     """Phrases of two words and more whose words and pairs may all be frequent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,8 +285,7 @@ def _phrase_runs(words_map, pairs_map, bits: int, entries: int, longest: int):
 
         def count(ids: list) -> None:
             at, slot = texts.slots(np.array(ids, dtype=np.int64))
-            slot = (slot % np.uint64(bits)).astype(np.int64)
-            at = at[pairs[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 > 0]
+            at = at[has(pairs, slot % np.uint64(bits))]
             if not len(at):
                 return
             breaks = np.flatnonzero(np.diff(at) != 1)
@@ -372,11 +321,10 @@ def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col
     total = words.where(F.col("phrase").isNull()).select("lang", "n")
     words = words.where(F.col("phrase").isNotNull())
     place = F.xxhash64("lang", "phrase").bitwiseAND(F.lit(bits - 1)).alias("s")
-    words_map = sc.broadcast(_bitmap(words.select(place), bits))
-    # A range of slots holds about PAIRS pairs of words at most.
-    chunks = max(256, (total.agg(F.sum("n")).first()[0] or 0) // PAIRS)
-    packed = said.mapInArrow(_slot_counts(words_map, bits, chunks, least), _SLOTS)
-    pairs_map = sc.broadcast(_bitmap(_frequent_slots(packed, chunks, least, bits), bits))
+    words_map = sc.broadcast(bitmap(words.select(place), bits))
+    chunks = chunks_for(total.agg(F.sum("n")).first()[0] or 0)
+    pairs = said.mapInArrow(_slot_counts(words_map, bits, chunks, least), SLOTS)
+    pairs_map = sc.broadcast(bitmap(frequent(pairs, chunks, least, bits), bits))
     runs = said.mapInArrow(_phrase_runs(words_map, pairs_map, bits, entries, longest), _RUNS)
     found = keep_table(_merged(runs).where(F.col("n") >= least)
                        .withColumn("size", F.size(F.split("phrase", " ", -1))), "phrases")

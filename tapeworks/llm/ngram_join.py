@@ -48,6 +48,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tapeworks.llm.common import (Memo, columns_of, drop_table, keep_table, small_batches,
                                   without_ids, word_hashes, words_of)
 from tapeworks.llm.components import components
+from tapeworks.llm.slots import KEYS, SLOTS, bitmap, chunks_for, frequent, has, packed, slots_of
 
 WORDS, PERCENT = 5, 80
 #: Coordinates of the points that the tree's bounds use.
@@ -55,6 +56,9 @@ DIMS = 64
 #: Shingles of a leaf's sets together, about.
 LEAF_SHINGLES = 32_768
 
+#: Bits of the bitmap of keys that several sets may share, and of that of documents in play: 32 and 8 MB.
+KEY_BITS, DOC_BITS = 1 << 28, 1 << 26
+
 #: Hot keys named of each of HOT parts of the keys, and the rows that make one hot.
 HOT, HOT_ROWS = 32, 1000
 
@@ -209,21 +213,27 @@ _LEAF = ("leaf long, nodes binary, sizes binary, flat binary, corner array<int>,
          "links array<struct<u:long,v:long>>")
 
 
-def leaves(texts: DataFrame) -> DataFrame:
-    """One row per leaf of rows (leaf, node, text), with the links inside it."""
-    small_batches(texts.sparkSession)
+def _sets_in_play(docs: DataFrame, in_play: DataFrame) -> DataFrame:
+    """(node, sh) of the documents that stand for sets in play, and of the few whose
+    ids clash with theirs in a bitmap. Texts are not shuffled."""
+    small_batches(docs.sparkSession)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(DOC_BITS)).alias("s")
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(in_play.select(place), DOC_BITS))
 
     def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
-        for leaf, nodes, texts in columns_of(batches, "leaf", "node", "text"):
-            sets = [shingles(words_of(t), hashes) for t in texts]
-            # An id on rows of several texts brings sets that are not in play.
-            own = [i for i, s in enumerate(sets) if node_of(s) == nodes[i]]
+        for b in batches:
+            b = b.filter(pa.array(has(wanted.value, b.column("s").to_numpy())))
+            sets = [shingles(words_of(t), hashes) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([leaf[i] for i in own], pa.int64()),
-                 pa.array([nodes[i] for i in own], pa.int64()),
-                 pa.array([sets[i].tobytes() for i in own], pa.binary())], ["leaf", "node", "sh"])
+                [pa.array([node_of(s) for s in sets], pa.int64()),
+                 pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "sh"])
+
+    return docs.select(place, "text").mapInArrow(point, "node long, sh binary")
 
+
+def leaves(sets: DataFrame) -> DataFrame:
+    """One row per leaf of rows (leaf, node, sh), with the links inside it."""
     def gather(key, rows):
         import pandas as pd
 
@@ -234,8 +244,7 @@ def leaves(texts: DataFrame) -> DataFrame:
         links = [{"u": u, "v": v} for u, v in links_between(leaf, leaf, {})]
         return pd.DataFrame([{"leaf": key[0], **leaf.row(), "links": links}])
 
-    return (texts.select("leaf", "node", "text").mapInArrow(point, "leaf long, node long, sh binary")
-            .groupBy("leaf").applyInPandas(gather, _LEAF))
+    return sets.select("leaf", "node", "sh").groupBy("leaf").applyInPandas(gather, _LEAF)
 
 
 def links_of_pairs(pairs: DataFrame) -> DataFrame:
@@ -258,15 +267,15 @@ def _minima(a: str, b: str) -> Column:
 
 
 def _placed(buckets: DataFrame) -> DataFrame:
-    """(node, leaf) of every node in a bucket."""
+    """(node, leaf) of every node in a bucket: leaves of nodes with one most popular
+    bucket and about one size, as many as their shingles fill at most."""
     own = buckets.groupBy("node").agg(F.max(F.struct("many", "hub")).alias("top"),
                                       F.first("n_shingles").alias("n"))
-    own = own.select("node", "n", F.col("top.hub").alias("anchor"),
-                     F.floor(F.log(1.25, "n")).alias("step"))
-    sums = own.groupBy("anchor", "step").agg(F.ceil(F.sum("n") / LEAF_SHINGLES).alias("parts"))
-    return (own.join(sums, ["anchor", "step"])
-            .select("node", F.xxhash64("anchor", "step", F.pmod(F.xxhash64("node"), F.col("parts")))
-                    .alias("leaf")))
+    step = F.floor(F.log(1.25, "n"))
+    own = own.select("node", F.col("top.hub").alias("anchor"), step.alias("step"), F.ceil(
+        F.col("top.many") * F.pow(F.lit(1.25), step + 1) / LEAF_SHINGLES).cast("long").alias("parts"))
+    return own.select("node", F.xxhash64("anchor", "step", "parts", F.pmod(F.xxhash64("node"), F.col("parts")))
+                      .alias("leaf"))
 
 
 def _opened(buckets: DataFrame, placed: DataFrame, grown: DataFrame) -> DataFrame:
@@ -288,6 +297,42 @@ def _opened(buckets: DataFrame, placed: DataFrame, grown: DataFrame) -> DataFram
     return pairs.join(a, "al").join(b, "bl").where(fits).select("al", "bl")
 
 
+def _in_company(raw: DataFrame) -> DataFrame:
+    """(key, node, n_shingles) of the keys that several rows may have: most keys stand
+    alone and are not shuffled."""
+    sc = raw.sparkSession.sparkContext
+    small_batches(raw.sparkSession)
+    chunks = chunks_for(raw.agg(F.sum(F.size("keys"))).first()[0] or 0)
+
+    def flat(b: pa.RecordBatch) -> np.ndarray:
+        return b.column("keys").flatten().to_numpy().view(np.uint64)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for b in batches:
+            held.append(slots_of(flat(b)))
+            n += len(held[-1])
+            if n > KEYS:
+                yield packed(np.concatenate(held), chunks, 2)
+                held, n = [], 0
+        if held:
+            yield packed(np.concatenate(held), chunks, 2)
+
+    shared = sc.broadcast(bitmap(frequent(raw.select("keys").mapInArrow(pack, SLOTS), chunks, 2, KEY_BITS), KEY_BITS))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = flat(b)
+            row = np.repeat(np.arange(b.num_rows), b.column("keys").value_lengths().to_numpy())
+            own = has(shared.value, slots_of(keys) % np.uint64(KEY_BITS))
+            row = row[own]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[own].view(np.int64)), pa.array(b.column("node").to_numpy()[row]),
+                 pa.array(b.column("n_shingles").to_numpy()[row].astype(np.int32))], ["key", "node", "n_shingles"])
+
+    return raw.select("keys", "node", "n_shingles").mapInArrow(deal, "key long, node long, n_shingles int")
+
+
 def _buckets(dealt: DataFrame) -> DataFrame:
     """(key, hub, many, node, n_shingles) of the buckets that hold several nodes.
 
@@ -339,13 +384,14 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     classes = keep_table(some.groupBy("node").agg(F.min("doc_id").alias("rep"),
                                                   F.count(F.lit(1)).alias("copies")), "classes")
 
-    dealt = raw.select(F.explode("keys").alias("key"), "node", F.col("n_shingles").cast("int"))
-    buckets = keep_table(_buckets(dealt), "buckets")
+    dealt = keep_table(_in_company(raw), "dealt")
     drop_table(raw)
+    buckets = keep_table(_buckets(dealt), "buckets")
+    drop_table(dealt)
 
     placed = keep_table(_placed(buckets), "placed")
-    in_play = placed.join(classes, "node").select(F.col("rep").alias("doc_id"), "node", "leaf")
-    grown = keep_table(leaves(docs.join(in_play, "doc_id")), "leaves")
+    in_play = placed.join(classes, "node").select(F.col("rep").alias("doc_id"))
+    grown = keep_table(leaves(_sets_in_play(docs, in_play).join(placed, "node")), "leaves")
     opened = keep_table(_opened(buckets, placed, grown), "opened")
     block = F.struct("nodes", "sizes", "flat")
     small_batches(docs.sparkSession, 4)  # a row holds two leaves
