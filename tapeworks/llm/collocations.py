@@ -11,12 +11,13 @@ counts are per language (NULL: ``und``).
   subtrees leave it whole as runs sorted by phrase. Runs are dealt by the
   phrases' first words (and a spread of their endings, so that one very common
   beginning is not one task's) and merged there.
-* **Levels.** A phrase stands at most as often as each phrase inside it. So words
-  are counted first; then pairs of frequent words by the hash of the pair, in packed
-  arrays of (slot, count) that are summed by ranges of slots; the tries then count the phrases
-  all of whose pairs lie in slots with ``least`` occurrences. What is frequent is told to the
-  tasks as bitmaps of hashes of a fixed size (``BITS``). A clash of hashes only makes a task count
-  a phrase in vain, so the counts of all phrases at or above ``least`` are exact.
+* **Levels.** A phrase stands at most as often as each phrase inside it. So what may
+  reach ``least`` is found first, by hashes in packed arrays of (slot, count) that are summed
+  by ranges of slots (:mod:`tapeworks.llm.slots`): words, then pairs of such words, then phrases of three
+  to five words all of whose pairs are such. The tries then count the words and phrases whose
+  slots reach ``least``. The tasks are told by bitmaps of a fixed size (``BITS``). A clash of
+  hashes only makes a task count a phrase in vain, so the counts of all phrases at or
+  above ``least`` are exact.
 * **Scores.** Cutting a phrase after k words gives the counts l and r of its parts,
   found by joins on the phrase; ``floor(1000*a*n/(l*r))`` is computed in decimals of
   38 digits (exact while ``1000*a*n`` has that many), and the lowest cut counts.
@@ -34,12 +35,14 @@ gives an empty result.
 
 from __future__ import annotations
 
+import functools
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tapeworks.llm.common import keep_table, small_batches
@@ -163,48 +166,51 @@ def _said(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                        F.col(text_col).alias("text"))
 
 
-def _word_runs(entries: int):
-    """Words and their counts, in runs. The total of a language has a NULL phrase."""
+def _word_slots(chunks: int, least: int):
+    """Packed (slot, count) arrays of a task's words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, Counter] = {}
-        total: Counter = Counter()
 
-        def out():
-            rows = [(lang, w, n) for lang, words in seen.items() for w, n in words.items()]
+        def out() -> pa.RecordBatch:
+            hashes, times = [], []
+            for lang, words in seen.items():
+                hash_word = functools.partial(xxhash.xxh64_intdigest, seed=_seed(lang))
+                hashes += map(hash_word, words)
+                times += words.values()
             seen.clear()
-            return _batch(rows)
+            return packed(slots_of(np.array(hashes, dtype=np.uint64)), chunks, least, np.array(times, dtype=np.int64))
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 words = words_of(text)
-                total[lang] += len(words) - words.count(b"\n")
-                for at in range(0, len(words), entries):
+                for at in range(0, len(words), WORDS):
                     own = seen.setdefault(lang, Counter())
-                    own.update(words[at:at + entries])
+                    own.update(words[at:at + WORDS])
                     del own[b"\n"]
-                    if len(own) > entries:
+                    if len(own) > WORDS:
                         yield out()
-            if sum(map(len, seen.values())) > entries:
+            if sum(map(len, seen.values())) > WORDS:
                 yield out()
         yield out()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.string()), pa.nulls(len(total), pa.string()),
-             pa.array(list(total.values()), pa.int64())], ["lang", "phrase", "n"])
 
     return run
 
 
+def _seed(lang: str) -> int:
+    return xxhash.xxh64_intdigest(lang.encode(), seed=42)
+
+
 class _Numbers(dict):
     """Word -> number in this task, for the words of one language; 0 for a word that is not frequent."""
 
     def __init__(self, lang: str, frequent: np.ndarray, bits: int, names: list, hashes: list):
         super().__init__({b"\n": 0})
         self.lang, self.frequent, self.bits, self.names, self.hashes = lang, frequent.tobytes(), bits, names, hashes
-        self.seed = xxhash.xxh64_intdigest(lang.encode(), seed=42)  # as Spark's xxhash64(lang, word)
+        self.seed = _seed(lang)
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh64_intdigest(word, seed=self.seed)
-        s = h % self.bits
+        s = (h >> 24) % self.bits
         i = 0
         if self.frequent[s >> 3] >> (s & 7) & 1:
             i = len(self.names)
@@ -221,6 +227,9 @@ class _Numbered:
         self.frequent, self.bits = frequent, bits
         self.forget()
 
+    #: Words of the text numbered last.
+    last = 0
+
     def forget(self) -> None:
         """Numbers begin anew; what was numbered before must be out of use."""
         self.names, self.hashes, self.langs = [None], [0], {}
@@ -232,27 +241,54 @@ class _Numbered:
         own = self.langs.get(lang)
         if own is None:
             own = self.langs[lang] = _Numbers(lang, self.frequent, self.bits, self.names, self.hashes)
-        return [*map(own.__getitem__, words_of(text)), 0]
-
-    def slots(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of pairs of frequent words, and the pairs' 40-bit slots."""
-        at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-        h = np.array(self.hashes, dtype=np.uint64)
-        pair = h[ids[at]] * _M1 + h[ids[at + 1]]
-        pair = (pair ^ (pair >> np.uint64(31))) * _M2
-        return at, slots_of(pair)
+        words = words_of(text)
+        self.last = len(words) - words.count(b"\n")
+        return [*map(own.__getitem__, words), 0]
+
+    def pairs(self, ids: np.ndarray, good: np.ndarray | None = None) -> np.ndarray:
+        """Whether a pair of numbered words (in the bitmap ``good``) begins at each place."""
+        ok = (ids[:-1] > 0) & (ids[1:] > 0)
+        if good is not None:
+            at = np.flatnonzero(ok)
+            ok[at] = has(good, self.slots(ids, at, 2) % np.uint64(self.bits))
+        return ok
+
+    def slots(self, ids: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+        """40-bit slots of the phrases of ``size`` words at the places ``at``."""
+        hashes = np.array(self.hashes, dtype=np.uint64)
+        h = np.full(len(at), size, dtype=np.uint64)
+        for j in range(size):
+            h = (h ^ hashes[ids[at + j]]) * _M1
+            h = (h ^ (h >> np.uint64(31))) * _M2
+        return slots_of(h)
 
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def _slot_counts(words_map, bits: int, chunks: int, least: int):
-    """Packed (slot, count) arrays of a task's pairs, one for each range of slots."""
+def _places(pair: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each size from two: the places where a phrase of good pairs begins."""
+    run = pair
+    for size in range(2, longest + 1):
+        if size > 2:
+            run = run[:-1] & pair[size - 2:]
+        yield size, np.flatnonzero(run)
+
+
+def _phrase_slots(words_map, pairs_map, bits: int, chunks: int, least: int, longest: int):
+    """Packed (slot, count) arrays of a task's pairs of words; with a bitmap of pairs, of its
+    longer phrases of such pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, held = _Numbered(words_map.value, bits), []
 
         def out() -> pa.RecordBatch:
-            return packed(texts.slots(np.array(held, dtype=np.int64))[1], chunks, least)
+            ids = np.array(held, dtype=np.int64)
+            if pairs_map is None:
+                slots = texts.slots(ids, np.flatnonzero(texts.pairs(ids)), 2)
+            else:
+                pair = texts.pairs(ids, pairs_map.value)
+                slots = np.concatenate([texts.slots(ids, at, size) for size, at in _places(pair, longest) if size > 2])
+            return packed(slots, chunks, least)
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -269,10 +305,11 @@ def _slot_counts(words_map, bits: int, chunks: int, least: int):
     return run
 
 
-def _phrase_runs(words_map, pairs_map, bits: int, entries: int, longest: int):
-    """Phrases of two words and more whose words and pairs may all be frequent."""
+def _phrase_runs(words_map, pairs_map, longer_map, bits: int, entries: int, longest: int):
+    """Words and phrases that may be frequent, counted in a trie; and, with a NULL phrase,
+    how many words the languages have."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, pairs, trie = _Numbered(words_map.value, bits), pairs_map.value, HatTrie()
+        texts, trie, total = _Numbered(words_map.value, bits), HatTrie(), Counter()
 
         def runs(keep: int) -> Iterator[pa.RecordBatch]:
             rows, names = [], texts.names
@@ -283,22 +320,25 @@ def _phrase_runs(words_map, pairs_map, bits: int, entries: int, longest: int):
                     rows = []
             yield _batch(rows)
 
-        def count(ids: list) -> None:
-            at, slot = texts.slots(np.array(ids, dtype=np.int64))
-            at = at[has(pairs, slot % np.uint64(bits))]
-            if not len(at):
-                return
-            breaks = np.flatnonzero(np.diff(at) != 1)
-            for first, last in zip(at[np.append(0, breaks + 1)].tolist(), at[np.append(breaks, -1)].tolist()):
-                stop = last + 2  # ids[first:stop] is a run of frequent pairs
-                for i in range(first, stop - 1):
-                    for end in range(i + 2, min(stop, i + longest) + 1):
-                        trie.add(tuple(ids[i:end]))
+        def count(listed: list) -> None:
+            ids = np.array(listed, dtype=np.int64)
+            times = np.bincount(ids)
+            for word in np.flatnonzero(times).tolist():
+                if word:
+                    trie.add((word,), int(times[word]))
+            pair = texts.pairs(ids, pairs_map.value)
+            for size, at in _places(pair, longest):
+                if size > 2:
+                    at = at[has(longer_map.value, texts.slots(ids, at, size) % np.uint64(bits))]
+                for i in at.tolist():
+                    trie.add(tuple(listed[i:i + size]))
 
         for b in batches:
             held = []
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                held += texts.ids(lang, text)
+                ids = texts.ids(lang, text)
+                total[lang] += texts.last
+                held += ids
             count(held)
             if trie.size > entries:
                 yield from runs(entries // 2)
@@ -306,6 +346,9 @@ def _phrase_runs(words_map, pairs_map, bits: int, entries: int, longest: int):
                 yield from runs(0)
                 texts.forget()
         yield from runs(0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.string()), pa.nulls(len(total), pa.string()),
+             pa.array(list(total.values()), pa.int64())], ["lang", "phrase", "n"])
 
     return run
 
@@ -316,19 +359,20 @@ def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col
     ``least`` times or more, and (lang, n) of all words of a language."""
     spark, said = docs.sparkSession, _said(docs, text_col, lang_col)
     sc = spark.sparkContext
-    words = keep_table(_merged(said.mapInArrow(_word_runs(entries), _RUNS))
-                       .where(F.col("phrase").isNull() | (F.col("n") >= least)), "words")
-    total = words.where(F.col("phrase").isNull()).select("lang", "n")
-    words = words.where(F.col("phrase").isNotNull())
-    place = F.xxhash64("lang", "phrase").bitwiseAND(F.lit(bits - 1)).alias("s")
-    words_map = sc.broadcast(bitmap(words.select(place), bits))
-    chunks = chunks_for(total.agg(F.sum("n")).first()[0] or 0)
-    pairs = said.mapInArrow(_slot_counts(words_map, bits, chunks, least), SLOTS)
-    pairs_map = sc.broadcast(bitmap(frequent(pairs, chunks, least, bits), bits))
-    runs = said.mapInArrow(_phrase_runs(words_map, pairs_map, bits, entries, longest), _RUNS)
-    found = keep_table(_merged(runs).where(F.col("n") >= least)
+    # A word of average length has some eight bytes; ranges of slots need no more than that.
+    chunks = chunks_for((said.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 8)
+
+    def told(rows) -> Broadcast:
+        return sc.broadcast(bitmap(frequent(said.mapInArrow(rows, SLOTS), chunks, least, bits), bits))
+
+    words_map = told(_word_slots(chunks, least))
+    pairs_map = told(_phrase_slots(words_map, None, bits, chunks, least, longest))
+    longer_map = told(_phrase_slots(words_map, pairs_map, bits, chunks, least, longest))
+    runs = said.mapInArrow(_phrase_runs(words_map, pairs_map, longer_map, bits, entries, longest), _RUNS)
+    found = keep_table(_merged(runs).where(F.col("phrase").isNull() | (F.col("n") >= least))
                        .withColumn("size", F.size(F.split("phrase", " ", -1))), "phrases")
-    return words.withColumn("size", F.lit(1)).unionByName(found).select("lang", "phrase", "size", "n"), total
+    return (found.where(F.col("phrase").isNotNull()).select("lang", "phrase", "size", "n"),
+            found.where(F.col("phrase").isNull()).select("lang", "n"))
 
 
 def _part(first, length):

@@ -34,10 +34,15 @@ def _kind(least: int) -> np.dtype:
     return np.dtype("u1" if least < 256 else "<u4")
 
 
-def packed(slots: np.ndarray, chunks: int, least: int) -> pa.RecordBatch:
-    """Slots (repeats counted, up to ``least``) as one row for each range."""
+def packed(slots: np.ndarray, chunks: int, least: int, times: np.ndarray | None = None) -> pa.RecordBatch:
+    """Slots and how often each occurs (repeats counted, up to ``least``), one row for each range."""
     n = np.uint64(chunks)
-    place, times = np.unique(slots % n << np.uint64(32) | slots // n, return_counts=True)
+    place = slots % n << np.uint64(32) | slots // n
+    if times is None:
+        place, times = np.unique(place, return_counts=True)
+    else:
+        order = np.argsort(place, kind="stable")
+        place, times = place[order], times[order]
     times = np.minimum(times, least).astype(_kind(least))
     offset = place.astype("<u4")  # the low half
     cuts = np.searchsorted(place >> np.uint64(32), np.arange(chunks + 1, dtype=np.uint64)).tolist()
