@@ -1,17 +1,18 @@
 """LM scoring over subword lattices.
 
 An existing vocabulary of pieces gives every word a lattice: all its
-segmentations. The pieces' unigram scores come from the training texts (counts
-of the vocabulary's own segmentations of all distinct training words, refined by
-expectation maximisation over all segmentations of all of them, add-one
-smoothed), and a word's subword probability is the sum over all segmentations,
-by the forward recursion in log space. A word also has arcs of its own: the
-share of the training tokens that it is, among all texts and among those of a
-class (language). The three are mixed as Witten and Bell do, with the number of
-distinct training words as the weight of the level behind:
-
-    P(token)         = (c + V * P_lattice(token)) / (N + V)
-    P(token | class) = (c_class + V_class * P(token)) / (N_class + V_class)
+segmentations. A class of texts (a language) has its own unigram scores of the
+pieces: their counts over all segmentations of all distinct words of its training
+texts, by expectation maximisation begun at the vocabulary's own segmentations,
+smoothed with the counts of all classes. A word's subword probability is the
+sum over all segmentations, by the forward recursion in log space, which runs on arrays of
+words of one length. A word also has arcs of its own: the share of the training
+tokens that it is, among all texts and among those of the class. The three are
+mixed as Witten and Bell do, with the number of distinct training words as the weight
+of the level behind:
+
+    P(token, spelt by a class) = (c + V * P_lattice(token | class)) / (N + V)
+    P(token | class) = (c_class + V_class * P(token, spelt by the class)) / (N_class + V_class)
 
 A text's probability given a class is the product over its words and its end
 (the lattice of a text factorises at words, as no piece crosses white space).
@@ -28,7 +29,7 @@ the head's edge has occurrences, and sums come back by one shuffle on the text.
 Defined cases: a NULL or empty text is the end alone; repeated rows are scored
 (and counted) each; characters outside the vocabulary are spelt in bytes; texts
 of any length are read whole; NULL classes, and those beyond the CLASSES - 1
-largest, are one class; without training texts every count is 0 and all pieces
+largest, are one class (of which texts need no name to be scored, as classes are summed over); without training texts every count is 0 and all pieces
 are equally likely. Other columns are ignored.
 """
 
@@ -47,8 +48,11 @@ from tapeworks.llm.common import columns_of, fold_of, keep_table, small_batches,
 
 #: Rounds that refine the pieces' scores.
 ROUNDS = 2
-#: Longest word, and least probability, that the expectation takes outside log space.
-PLAIN, LEAST = 64, 1e-280
+#: Pieces' worth of the counts of all classes that a class is given; the count of a piece
+#: that no word has.
+PRIOR, LEAST = 2000, 1e-3
+#: Words worked on as arrays: so many at once, up to so many characters.
+WORDS, ARRAYS = 8192, 48
 #: Words whose counts every task holds.
 HEAD = 100_000
 #: Counts that a task gathers before it hands them on.
@@ -115,23 +119,51 @@ def piece_counts(counts: DataFrame, model_path: str) -> dict[int, int]:
     return {r["piece"]: r["n"] for r in rows.collect()}
 
 
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _codes(texts: list[str], n: int) -> np.ndarray:
+    """Character codes of texts of ``n`` characters, a row each."""
+    flat = "".join(texts).encode("utf-32-le", "surrogatepass")
+    return np.frombuffer(flat, "<u4").reshape(len(texts), n).astype(np.uint64)
+
+
+def _step(h: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """The hash of a string with one more character."""
+    h = (h ^ code) * _MIX
+    return h ^ (h >> np.uint64(29))
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches together, up to WORDS rows."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= WORDS:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 class Lattice:
     """log P of a word over all segmentations into pieces."""
 
-    def __init__(self, model_path: str, counts: dict[int, float]):
+    def __init__(self, model_path: str, counts: dict[int, float], add: float = 1.0):
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=model_path)
         size = model.get_piece_size()
         usable = [i for i in range(size) if not (model.is_control(i) or model.is_unknown(i))]
         # One more event beside the pieces: the text's end.
-        total = sum(counts.get(i, 0) + 1 for i in usable) + 1
+        total = sum(counts.get(i, 0) + add for i in usable) + 1
         self.pieces: dict[str, float] = {}
         self.bytes_: dict[int, float] = {}
         self.place: dict[str, int] = {}
         self.byte_place: dict[int, int] = {}
         for i in usable:
-            p = math.log((counts.get(i, 0) + 1) / total)
+            p = math.log((counts.get(i, 0) + add) / total)
             if model.is_byte(i):
                 self.bytes_[int(model.id_to_piece(i)[3:5], 16)] = p
                 self.byte_place[int(model.id_to_piece(i)[3:5], 16)] = i
@@ -141,14 +173,67 @@ class Lattice:
         self.longest = max(map(len, self.pieces), default=1)
         self.floor = -math.log(total)
         self.size = size
-        # Piece -> (probability, place), and by a piece's first three characters the
-        # lengths of the pieces that a text beginning so may begin with.
-        self.plain = {x: (math.exp(p), self.place[x]) for x, p in self.pieces.items()}
+        # By a piece's first three characters the lengths of the pieces that a text
+        # beginning so may begin with.
         ways: dict[str, set[int]] = {}
         for x in self.pieces:
             if len(x) > 2:
                 ways.setdefault(x[:3], {1, 2}).add(len(x))
         self.ways = {x: tuple(sorted(k)) for x, k in ways.items()}
+        self._hash_pieces()
+
+    def _hash_pieces(self) -> None:
+        """Pieces by 64-bit hashes of their characters, for arrays of words."""
+        names = sorted(self.pieces)
+        groups: dict[int, list[str]] = {}
+        for x in names:
+            groups.setdefault(len(x), []).append(x)
+        hashes, scores, places = [], [], []
+        for k, xs in groups.items():
+            codes = _codes(xs, k)
+            h = np.zeros(len(xs), np.uint64)
+            for j in range(k):
+                h = _step(h, codes[:, j])
+            hashes.append(h)
+            scores += [self.pieces[x] for x in xs]
+            places += [self.place[x] for x in xs]
+        flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        order = np.argsort(flat)
+        self.hashes, self.scores = flat[order], np.array(scores, float)[order]
+        self.places = np.array(places, np.int64)[order]
+        self.maybe = np.zeros(1 << 18, bool)  # by a hash's upper bits: most substrings are no piece
+        self.maybe[self.hashes >> np.uint64(46)] = True
+
+    def _arcs(self, codes: np.ndarray) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+        """(i, j) -> the words (rows of character codes) in which characters i to j are a
+        piece, and which."""
+        arcs, (many, n) = {}, codes.shape
+        for i in range(n):
+            h = np.zeros(many, np.uint64)
+            for j in range(i + 1, min(n, i + self.longest) + 1):
+                h = _step(h, codes[:, j - 1])
+                at = np.flatnonzero(self.maybe[h >> np.uint64(46)])
+                if not len(at):
+                    continue
+                found = np.minimum(np.searchsorted(self.hashes, h[at]), len(self.hashes) - 1)
+                own = self.hashes[found] == h[at]
+                if own.any():
+                    arcs[i, j] = at[own], found[own]
+        return arcs
+
+    def _by_length(self, words: list[bytes]):
+        """Words in arrays of one length: (places in ``words``, character codes); and the
+        places of those too long, or with a character that only bytes spell."""
+        groups, odd = {}, []
+        for at, w in enumerate(words):
+            text = MARK + w.decode("utf-8", "replace")
+            if len(text) > ARRAYS:
+                odd.append(at)
+            else:
+                groups.setdefault(len(text), ([], []))
+                groups[len(text)][0].append(at)
+                groups[len(text)][1].append(text)
+        return [(np.array(at), _codes(texts, n)) for n, (at, texts) in groups.items()], odd
 
     def _forward(self, text: str) -> list[float]:
         """ahead[i] is the log probability of all ways to spell the first i characters."""
@@ -179,54 +264,13 @@ class Lattice:
         return sum(self.bytes_.get(b, self.floor) for b in char.encode())
 
     def log_prob(self, word: bytes) -> float:
-        """Forward recursion over the word's lattice."""
-        text = MARK + word.decode("utf-8", "replace")
-        n, plain, ways = len(text), self.plain, self.ways
-        if n > PLAIN:
-            return self._forward(text)[n]
-        ahead = [0.0] * (n + 1)
-        ahead[0] = 1.0
-        for i in range(n):
-            here = ahead[i]
-            if not here:
-                continue
-            if text[i] not in plain:
-                return self._forward(text)[n]
-            for k in ways.get(text[i:i + 3], (1, 2)):
-                x = plain.get(text[i:i + k])
-                if x is not None and i + k <= n:
-                    ahead[i + k] += here * x[0]
-        return math.log(ahead[n]) if ahead[n] >= LEAST else self._forward(text)[n]
+        """Forward recursion over the word's lattice, of any length."""
+        return self._forward(MARK + word.decode("utf-8", "replace"))[-1]
 
     def expected(self, word: bytes, into) -> None:
         """Adds how often each piece stands in the word's segmentations, weighted by
         their probability (forward-backward)."""
-        text = MARK + word.decode("utf-8", "replace")
-        n, plain, ways = len(text), self.plain, self.ways
-        if n > PLAIN:
-            return self._expected_log(text, into)
-        ahead, arcs = [0.0] * (n + 1), []
-        ahead[0] = 1.0
-        for i in range(n):
-            here = ahead[i]
-            if not here:
-                continue
-            if text[i] not in plain:
-                return self._expected_log(text, into)
-            for k in ways.get(text[i:i + 3], (1, 2)):
-                x = plain.get(text[i:i + k])
-                if x is not None and i + k <= n:
-                    p, place = x
-                    ahead[i + k] += here * p
-                    arcs.append((i, i + k, p, place))
-        if ahead[n] < LEAST:
-            return self._expected_log(text, into)
-        back = [0.0] * (n + 1)
-        back[n] = 1 / ahead[n]
-        for i, j, p, place in reversed(arcs):  # by their start, so ends are complete
-            p *= back[j]
-            back[i] += p
-            into[place] += ahead[i] * p
+        self._expected_log(MARK + word.decode("utf-8", "replace"), into)
 
     def _expected_log(self, text: str, into) -> None:
         """The same in log space, for words of any length and of bytes; arcs are
@@ -260,46 +304,115 @@ class Lattice:
             back[i] = of
 
 
-def refine(counts: DataFrame, model_path: str, hard: dict[int, int]) -> dict[int, float]:
-    """The piece counts after ROUNDS of expectation maximisation over all
-    segmentations of all distinct words, begun at ``hard``; one number for each
-    piece comes back from a round."""
+class Lattices:
+    """Lattices of the same pieces with a class's scores each; words in arrays, log space."""
+
+    def __init__(self, model_path: str, counts: list[dict[int, float]], add: float = 1.0):
+        self.each = [Lattice(model_path, c, add) for c in counts]
+        self.scores = np.stack([x.scores for x in self.each], axis=1)
+        self.places, self.size = self.each[0].places, self.each[0].size
+
+    def _ahead(self, arcs: dict, many: int, n: int) -> np.ndarray:
+        """The forward recursion for many words of one length: (character, word, class)."""
+        ahead = np.full((n + 1, many, len(self.each)), -math.inf)
+        ahead[0] = 0.0
+        for (i, j), (at, piece) in sorted(arcs.items()):
+            ahead[j, at] = np.logaddexp(ahead[j, at], ahead[i, at] + self.scores[piece])
+        return ahead
+
+    def log_probs(self, words: list[bytes]) -> np.ndarray:
+        """:meth:`Lattice.log_prob` of each word and class; equal words are computed once."""
+        once = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        own = list(once)
+        out = np.full((len(own), len(self.each)), -math.inf)
+        arrays, odd = self.each[0]._by_length(own)
+        for at, codes in arrays:
+            out[at] = self._ahead(self.each[0]._arcs(codes), *codes.shape)[codes.shape[1]]
+        # A character without a piece leaves a word without a path.
+        for at in [*odd, *np.flatnonzero(out[:, 0] == -math.inf).tolist()]:
+            out[at] = [x.log_prob(own[at]) for x in self.each]
+        return out[[once[w] for w in words]] if words else out
+
+    def expected_all(self, words: list[bytes], weights: np.ndarray, into: np.ndarray) -> None:
+        """:meth:`Lattice.expected` of all words, times their weight in each class, into
+        (class, piece)."""
+        arrays, odd = self.each[0]._by_length(words)
+        for at, codes in arrays:
+            many, n = codes.shape
+            arcs = self.each[0]._arcs(codes)
+            ahead = self._ahead(arcs, many, n)
+            whole = ahead[n, :, 0] > -math.inf
+            odd += at[~whole].tolist()
+            back = np.full(ahead.shape, -math.inf)
+            back[n, whole] = -ahead[n, whole]
+            for (i, j), (own, piece) in sorted(arcs.items(), reverse=True):
+                step = self.scores[piece] + back[j, own]
+                back[i, own] = np.logaddexp(back[i, own], step)
+                share = np.exp(ahead[i, own] + step) * weights[at[own]]
+                for k in range(len(self.each)):
+                    into[k] += np.bincount(self.places[piece], weights=share[:, k], minlength=self.size)
+        for at in odd:
+            for k in np.flatnonzero(weights[at]):
+                self.each[k].expected(words[at], into[k])
+
+
+def _smoothed(counts: np.ndarray) -> list[dict[int, float]]:
+    """Piece counts of each class, with those of all classes as PRIOR further pieces."""
+    every = counts.sum(axis=0) + 1
+    blended = counts + PRIOR * every / every.sum()
+    return [dict(enumerate(x)) for x in blended.tolist()]
+
+
+def refine(counts: DataFrame, model_path: str, hard: dict[int, int], classes: int = 1) -> list[dict[int, float]]:
+    """The piece counts of each class after ROUNDS of expectation maximisation over all
+    segmentations of all its distinct words (column ``by``; without it, of all words), begun at
+    ``hard``; one number for each piece and class comes back from a round."""
     small_batches(counts.sparkSession)
-    now: dict[int, float] = dict(hard)
+    of = F.col("by") if "by" in counts.columns else F.array(F.lit(1).cast("long"))
+    rows = counts.select("word", of.alias("by"))
+    size = max(hard, default=0) + 1
+    now = None
     for _ in range(ROUNDS):
-        sent = counts.sparkSession.sparkContext.broadcast(now)
-
-        def expect(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            lattice = Lattice(model_path, sent.value)
-            total = [0.0] * lattice.size
-            for (words,) in columns_of(batches, "word"):
-                for w in words:
-                    lattice.expected(w, total)
-            total = np.array(total)
-            some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some])],
-                                             ["piece", "n"])
-
-        got = (counts.select("word").mapInArrow(expect, "piece int, n double")
-               .groupBy("piece").agg(F.sum("n").alias("n")).collect())
-        now = {r["piece"]: r["n"] for r in sorted(got, key=lambda r: r["piece"])}
+        start = [hard] * classes if now is None else now
+        sent = counts.sparkSession.sparkContext.broadcast(start)
+        first = now is None
+
+        def expect(batches: Iterator[pa.RecordBatch], sent=sent, first=first) -> Iterator[pa.RecordBatch]:
+            lattices = Lattices(model_path, sent.value, 1.0 if first else LEAST)
+            total = np.zeros((classes, lattices.size))
+            for t in _gathered(batches):
+                by = np.array(t.column("by").to_pylist(), np.int64).reshape(t.num_rows, classes)
+                lattices.expected_all(t.column("word").to_pylist(), (by > 0).astype(float), total)
+            k, piece = np.nonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(piece, pa.int32()),
+                                              pa.array(total[k, piece])], ["class", "piece", "n"])
+
+        got = (rows.mapInArrow(expect, "class int, piece int, n double")
+               .groupBy("class", "piece").agg(F.sum("n").alias("n")).collect())
+        size = max([size, *[r["piece"] + 1 for r in got]])
+        raw = np.zeros((classes, size))
+        for r in got:
+            raw[r["class"], r["piece"]] = r["n"]
+        now = _smoothed(raw)
     return now
 
 
 def with_lattice(counts: DataFrame, lattice) -> DataFrame:
-    """The rows with one more column: each word's log probability over its lattice."""
+    """The rows with one more column: each word's log probability over the lattice of
+    each class."""
     small_batches(counts.sparkSession)
     model_path, pieces = lattice
     sent = counts.sparkSession.sparkContext.broadcast(pieces)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        log_prob = Lattice(model_path, sent.value).log_prob
-        for b in batches:
-            p = [log_prob(w) for w in b.column("word").to_pylist()]
-            yield b.append_column("lattice", pa.array(p, pa.float64()))
+        lattices = Lattices(model_path, sent.value, LEAST)
+        for t in _gathered(batches):
+            p = lattices.log_probs(t.column("word").to_pylist())
+            column = pa.array(list(p), pa.list_(pa.float64()))
+            yield from t.append_column("lattice", column).to_batches()
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in counts.schema.fields)
-    return counts.mapInArrow(add, f"{fields}, lattice double")
+    return counts.mapInArrow(add, f"{fields}, lattice array<double>")
 
 
 def _head(vocab: DataFrame) -> tuple[list, int]:
@@ -329,22 +442,28 @@ class Mixture:
     def base(self, c: int, v: int) -> float:
         return math.log10((c + 1) / (self.n + v + 1))
 
-    def log10(self, c: int, by: list[int], lattice: float) -> list[float]:
+    def log10(self, c: int, by: list[int], lattice: list[float]) -> list[float]:
         n, v = self.n, self.v
-        if c == 0:
-            every = math.log10(v) + lattice / math.log(10) - math.log10(n + v)
-            return [math.log10(b) + every - math.log10(a + b) for a, b, _ in self.by]
-        every = (c + v * math.exp(lattice)) / (n + v)
-        return [math.log10((own + b * every) / (a + b)) for own, (a, b, _) in zip(by, self.by)]
+        out = []
+        for own, p, (a, b, _) in zip(by, lattice, self.by):
+            if c:
+                out.append(math.log10((own + b * (c + v * math.exp(p)) / (n + v)) / (a + b)))
+            else:
+                out.append(math.log10(b) + math.log10(v) + p / math.log(10) - math.log10(n + v) - math.log10(a + b))
+        return out
 
     def columns(self, c: str, by: str, lattice: str) -> list[Column]:
         """The same in Spark."""
         n, v = self.n, self.v
-        every = (F.col(c) + v * F.exp(lattice)) / F.lit(float(n + v))
-        unseen = math.log10(v) - math.log10(n + v) + F.col(lattice) / math.log(10)
-        return [F.when(F.col(c) > 0, F.log10((F.col(by)[k] + b * every) / F.lit(float(a + b))))
-                .otherwise(unseen + (math.log10(b) - math.log10(a + b)))
-                for k, (a, b, _) in enumerate(self.by)]
+
+        def of(k: int, a: int, b: int) -> Column:
+            p = F.col(lattice)[k]
+            unseen = math.log10(v) - math.log10(n + v) + math.log10(b) - math.log10(a + b)
+            every = (F.col(c) + v * F.exp(p)) / F.lit(float(n + v))
+            return (F.when(F.col(c) > 0, F.log10((F.col(by)[k] + b * every) / F.lit(float(a + b))))
+                    .otherwise(F.lit(unseen) + p / math.log(10)))
+
+        return [of(k, a, b) for k, (a, b, _) in enumerate(self.by)]
 
 
 def score(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -368,7 +487,7 @@ def score(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: st
     klass = F.when(klass < 0, rest).otherwise(klass)
     train = train.withColumn("class", klass)
     counts = keep_table(word_counts(train, rest + 1), "word-counts")
-    lattice = (model_path, refine(counts, model_path, piece_counts(counts, model_path)))
+    lattice = (model_path, refine(counts, model_path, piece_counts(counts, model_path), rest + 1))
     # Levels of frequency, some twenty to a factor of e: at most a thousand.
     vocab = keep_table(with_lattice(counts, lattice)
                        .withColumn("level", F.floor(20 * F.log("c")).cast("int")), "vocabulary")
@@ -389,7 +508,8 @@ def score(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: st
     place = {bytes(r["word"]): i for i, r in enumerate(head)}
     table = np.array([[mix.base(r["c"], v), *mix.log10(r["c"], r["by"], r["lattice"])] for r in head],
                      float).reshape(len(head), rest + 2)
-    finish = np.array([mix.base(end, v), *mix.log10(end, end_by, Lattice(*lattice).floor)])
+    floors = [x.floor for x in Lattices(*lattice, LEAST).each]
+    finish = np.array([mix.base(end, v), *mix.log10(end, end_by, floors)])
     sent = spark.sparkContext.broadcast((place, table, finish, end > 0))
     schema = ("row long, doc_id long, held_out boolean, tokens long, sure long, sums array<double>, "
               "words array<binary>, times array<int>")

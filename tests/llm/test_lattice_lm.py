@@ -128,14 +128,44 @@ def test_byte_and_long_words_count_whole():
 
 
 def test_scores_are_refined_on_all_words(spark):
-    words = [f"{a}{i:x}".encode() for i in range(8000) for a in ("th", "rain", "cat", "no", "zu", "pre", "é")]
-    counts = spark.createDataFrame([(w,) for w in words], "word binary").repartition(8)
+    words = [f"{a}{i:x}".encode() for i in range(3000) for a in ("th", "rain", "cat", "no", "zu", "pre", "é")]
+    rows = [(w, [i % 3, int(i % 5 == 0)]) for i, w in enumerate(words)]
+    counts = spark.createDataFrame(rows, "word binary, by array<long>").repartition(8)
     hard = {i: i % 7 for i in range(3, 32000)}
-    want = hard
+    want = None
     for _ in range(L.ROUNDS):
-        lat, into = L.Lattice(PATH, want), [0.0] * 32000
-        for w in words:
-            lat.expected(w, into)
-        want = {i: x for i, x in enumerate(into) if x}
-    got = L.refine(counts, PATH, hard)
-    assert {i: x for i, x in got.items() if x > 1e-6} == pytest.approx({i: x for i, x in want.items() if x > 1e-6})
+        into = np.zeros((2, 32000))
+        for k in range(2):
+            lat = L.Lattice(PATH, hard, 1.0) if want is None else L.Lattice(PATH, want[k], L.LEAST)
+            for w, by in rows:
+                if by[k]:
+                    lat.expected(w, into[k])
+        want = L._smoothed(into)
+    got = L.refine(counts, PATH, hard, 2)
+    for k in range(2):
+        assert [got[k].get(i, 0.0) for i in range(32000)] == pytest.approx([want[k][i] for i in range(32000)])
+
+
+def test_arrays_equal_the_plain_recursion():
+    rng = random.Random(5)
+    counts = [{i: rng.randrange(50) for i in range(3, 32000)} for _ in range(3)]
+    lats = L.Lattices(PATH, counts)
+    words = ["".join(rng.choice("aeinrst é中q.") for _ in range(rng.randint(0, 30))).encode() for _ in range(400)]
+    words += [b"", "\U0001f9ff".encode(), b"\xff", b"q" * 100, words[0]]
+    got = lats.log_probs(words)
+    for w, line in zip(words, got):
+        assert line == pytest.approx([x.log_prob(w) for x in lats.each])
+    weights = np.array([[1.0, i % 2, 0.0] for i in range(len(words))])
+    into, want = np.zeros((3, 32000)), np.zeros((3, 32000))
+    lats.expected_all(words, weights, into)
+    for w, ks in zip(words, weights):
+        for k in np.flatnonzero(ks):
+            lats.each[k].expected(w, want[k])
+    assert into == pytest.approx(want) and not into[2].any()
+    assert lats.log_probs([]).shape == (0, 3)
+
+
+def test_held_out_documents_are_likelier_than_under_the_base(spark):
+    got = L.score(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), PATH).where("held_out")
+    score, base = got.selectExpr("sum(score)", "sum(base_score)").first()
+    assert score > 0.98 * base  # log probabilities: 2 % nearer to zero
