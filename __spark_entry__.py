@@ -25,6 +25,7 @@ from tapeworks.plans import reports as R
 from tapeworks.functions.text import lenient_timestamp
 from tapeworks.plans.jobs import ingest, run_job, run_reports, stage_lines, stage_paths
 from tapeworks.session import scratch_path
+from tapeworks.sources.calendar import prior_sessions
 from tapeworks.sources.lines import line_count, read_whole_files
 from tapeworks.sources.parquet import read_dated, read_staged, write_dated, write_staged
 from tapeworks.sources.runlog import latest_status, read_log
@@ -216,6 +217,22 @@ def q_ingest_two_days(spark, sf_dir):
                  F.sum(F.col("event_seq_nb").cast("long")).alias("sum_seq")))
 
 
+def _calendar(spark, sf_dir) -> DataFrame:
+    """Weekdays with a trade are sessions."""
+    days = R.trades_of(_ticks(spark, sf_dir)).select(F.col("trade_dt").alias("day")).distinct()
+    return days.withColumn("is_open", F.dayofweek("day").between(2, 6))
+
+
+def q_ingest_prior_session(spark, sf_dir):
+    """A Monday's run: the feed of the weekend lies there, the session before is Friday's."""
+    root, path = _write_feed(spark, sf_dir), scratch_path(spark, "staged")
+    ingest(spark, root, path, DAY, prior_day="session", calendar=_calendar(spark, sf_dir),
+           layout="{root}/{fmt}/feed_date={date}/*/*")
+    return (read_staged(spark, path).groupBy("partition", "trade_dt")
+            .agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.sum(F.col("event_seq_nb").cast("long")).alias("sum_seq")))
+
+
 def q_stage_paths(spark, sf_dir):
     """Extension before folder: CSV files in a folder named json are read as CSV."""
     root = scratch_path(spark, "mixed")
@@ -332,6 +349,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quote_analytics_day": lambda s, d: R.quote_analytics(_ticks(s, d), DAY),
     "dated_report_day": q_dated_report_day,
     "ingest_two_days": q_ingest_two_days,
+    "prior_sessions": lambda s, d: prior_sessions(_calendar(s, d)),
+    "ingest_prior_session": q_ingest_prior_session,
     "stage_paths": q_stage_paths,
     "whole_files": q_whole_files,
     "run_reports_day": q_run_reports_day,

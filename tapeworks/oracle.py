@@ -331,6 +331,9 @@ def queries() -> dict[str, str]:
           f" WHERE ts_day IN ({day}, {day} - 1) GROUP BY ALL"
           " UNION ALL SELECT 'B', DATE '2000-01-01', count(*), CAST(-count(*) AS BIGINT) FROM b"
           f" WHERE ts_day IN ({day}, {day} - 1)")
+    q["ingest_prior_session"] = q["ingest_two_days"].replace(f"{day} - 1", f"{day} - 3")
+    q["prior_sessions"] = (_with(TICKS) + ", d AS (SELECT DISTINCT trade_dt AS day FROM trades)"
+        " SELECT day, (SELECT max(e.day) FROM d e WHERE e.day < d.day AND isodow(e.day) < 6) AS prior_day FROM d")
     q["stage_paths"] = q["stage_roundtrip"]
     q["stream_both_formats"] = q["stage_roundtrip"]
     q["whole_files"] = q["text_line_count"]

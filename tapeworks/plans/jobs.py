@@ -9,6 +9,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.ingest import empty_common, parse_lines
+from ..sources.calendar import prior_day_with_input
 from ..sources.lines import (FORMATS, INPUT_LAYOUT, input_glob, processing_days, read_lines,
                              split_by_format)
 from ..sources.parquet import read_staged, write_dated, write_staged
@@ -45,10 +46,17 @@ def stage_paths(spark: SparkSession, paths: Sequence[str], **kw) -> DataFrame:
 
 def ingest(spark: SparkSession, input_root: str, staged_path: str, day, prior_day=None,
            layout: str = INPUT_LAYOUT, missing_prior_ok: bool = False,
-           strict_json_types: bool = True) -> DataFrame:
+           strict_json_types: bool = True, calendar: DataFrame | None = None) -> DataFrame:
     """S2: read the processing day and the prior day, both formats, parse, and
     write the staged table partitioned by T / Q / B. Returns the staged rows
-    (lazy) that were written."""
+    (lazy) that were written.
+
+    ``prior_day``: a date; by default the day before; ``"session"`` the last day before with
+    input, looked for back over weekends and holidays, on the open days of ``calendar``
+    if one is given."""
+    if prior_day == "session":
+        prior_day = prior_day_with_input(spark, input_root, day, calendar, layout)
+        missing_prior_ok = True  # a session may come in one format only
     d, p = processing_days(day, prior_day)
     paths = {fmt: [input_glob(input_root, fmt, d, layout)] for fmt in FORMATS}
     staged = stage_lines(spark, paths, strict_json_types)
