@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tapeworks.llm.common import keep_table
+from tapeworks.llm.common import drop_table, keep_table
 
 
 def _directed(edges: DataFrame) -> DataFrame:
@@ -48,6 +48,7 @@ def components(edges: DataFrame) -> DataFrame:
         chain = now.select(F.col("u").alias("v")).join(parents, "v", "left_semi").limit(1)
         if many.isEmpty() and chain.isEmpty():
             break
-        now = keep_table(_directed(_small_star(_directed(_large_star(now)))), "edges")
+        last, now = now, keep_table(_directed(_small_star(_directed(_large_star(now)))), "edges")
+        drop_table(last)
     roots = now.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct()
     return now.select(F.col("v").alias("node"), F.col("u").alias("component")).unionByName(roots)

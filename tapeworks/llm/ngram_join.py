@@ -59,6 +59,9 @@ LEAF_SHINGLES = 32_768
 #: Bits of the bitmap of keys that several sets may share, and of that of documents in play: 32 and 8 MB.
 KEY_BITS, DOC_BITS = 1 << 28, 1 << 26
 
+#: Rows (of two or three numbers) that a join with shingle sets broadcasts at most.
+BROADCAST_ROWS = 4_000_000
+
 #: Hot keys named of each of HOT parts of the keys, and the rows that make one hot.
 HOT, HOT_ROWS = 32, 1000
 
@@ -333,6 +336,12 @@ def _in_company(raw: DataFrame) -> DataFrame:
     return raw.select("keys", "node", "n_shingles").mapInArrow(deal, "key long, node long, n_shingles int")
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if it has BROADCAST_ROWS at most; a larger one is
+    joined as the planner sees fit."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def _buckets(dealt: DataFrame) -> DataFrame:
     """(key, hub, many, node, n_shingles) of the buckets that hold several nodes.
 
@@ -351,9 +360,16 @@ def _buckets(dealt: DataFrame) -> DataFrame:
     tagged = dealt.join(F.broadcast(hot), "key", "left")
     heavy = tagged.where(F.col("hub").isNotNull())
     w = Window.partitionBy("key")
+    # Linked sets differ by a quarter in size at most, so a set whose neighbours by size in a
+    # bucket are farther off has no partner there.
+    by_size = w.orderBy("n_shingles", "node")
+    size = F.col("n_shingles")
+    near = ((100 * F.lag("n_shingles").over(by_size) >= PERCENT * size)
+            | (100 * size >= PERCENT * F.lead("n_shingles").over(by_size)))
     light = (tagged.where(F.col("hub").isNull()).select("key", "node", "n_shingles")
              .withColumns({"hub": F.min("node").over(w), "last": F.max("node").over(w),
-                           "many": F.count(F.lit(1)).over(w)}))
+                           "many": F.count(F.lit(1)).over(w), "near": F.coalesce(near, F.lit(False))})
+             .where("near").drop("near"))
     return (heavy.unionByName(light).where(F.col("hub") < F.col("last"))
             .select("key", "hub", "many", "node", "n_shingles"))
 
@@ -391,15 +407,19 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     placed = keep_table(_placed(buckets), "placed")
     in_play = placed.join(classes, "node").select(F.col("rep").alias("doc_id"))
-    grown = keep_table(leaves(_sets_in_play(docs, in_play).join(placed, "node")), "leaves")
+    grown = keep_table(leaves(_sets_in_play(docs, in_play).join(_small(placed), "node")), "leaves")
     opened = keep_table(_opened(buckets, placed, grown), "opened")
     block = F.struct("nodes", "sizes", "flat")
     small_batches(docs.sparkSession, 4)  # a row holds two leaves
-    pairs = (opened.join(grown.select(F.col("leaf").alias("al"), block.alias("a")), "al")
-             .join(grown.select(F.col("leaf").alias("bl"), block.alias("b")), "bl").select("a", "b"))
+    a = grown.select(F.col("leaf").alias("al"), block.alias("a"))
+    b = grown.select(F.col("leaf").alias("bl"), block.alias("b"))
+    b = b.join(_small(keep_table(opened.select("bl").distinct(), "opened-b")), "bl", "left_semi")
+    pairs = a.join(_small(opened), "al").join(b, "bl").select("a", "b")
     across = keep_table(links_of_pairs(pairs), "links")
     inside = grown.select(F.explode("links").alias("l")).select("l.u", "l.v")
     label = keep_table(components(inside.unionByName(across)), "labels")
+    for done in (buckets, placed, grown, opened, across):
+        drop_table(done)
 
     # Components of nodes, named by their smallest document.
     least = (label.join(classes, "node").groupBy("component").agg(F.min("rep").alias("least")))
