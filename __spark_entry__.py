@@ -27,6 +27,7 @@ from tapeworks.plans.jobs import ingest, run_job, run_reports, stage_lines, stag
 from tapeworks.session import scratch_path
 from tapeworks.sources.calendar import prior_sessions
 from tapeworks.sources.lines import line_count, read_whole_files
+from tapeworks.sources.layout import read_clustered, write_clustered
 from tapeworks.sources.parquet import read_dated, read_staged, write_dated, write_staged
 from tapeworks.sources.runlog import latest_status, read_log
 from tapeworks.streaming.ingest import stage_streams
@@ -251,13 +252,26 @@ def q_whole_files(spark, sf_dir):
     return files.agg(F.sum(ends).cast("long").alias("n_lines"))
 
 
-def q_run_reports_day(spark, sf_dir):
-    """Both jobs of a day, their statuses logged; the reports read back."""
+def _clustered(spark, sf_dir):
+    """The ticks clustered in eight buckets, read back."""
+    root = scratch_path(spark, "clustered")
+    write_clustered(_ticks(spark, sf_dir), root, buckets=8)
+    return read_clustered(spark, root)
+
+
+def q_run_reports(shared: bool):
+    """Both jobs of a day, their statuses logged; the reports read back. ``shared``: from
+    ticks that are scanned and exchanged once."""
+    return lambda spark, sf_dir: _run_reports(spark, sf_dir, shared)
+
+
+def _run_reports(spark, sf_dir, shared):
     root = scratch_path(spark, "jobs")
+    kw = {"clustered_path": f"{root}/clustered", "buckets": 8} if shared else {}
     log = f"{root}/log"
     run_job(spark, log, "ingestion", DAY, lambda: write_staged(_ticks(spark, sf_dir), f"{root}/staged"))
     run_job(spark, log, "reports", DAY, lambda: run_reports(
-        spark, f"{root}/staged", f"{root}/trades", f"{root}/quotes", f"{root}/analytics", DAY))
+        spark, f"{root}/staged", f"{root}/trades", f"{root}/quotes", f"{root}/analytics", DAY, **kw))
     said = latest_status(read_log(spark, log)).select(F.col("job_id").alias("what"), F.lit(1).cast("long").alias("n_rows"),
                                                       F.col("status").alias("note"))
     parts = [read_dated(spark, f"{root}/{r}", DAY).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -353,7 +367,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_prior_session": q_ingest_prior_session,
     "stage_paths": q_stage_paths,
     "whole_files": q_whole_files,
-    "run_reports_day": q_run_reports_day,
+    "run_reports_day": q_run_reports(False),
+    "run_reports_shared": q_run_reports(True),
+    "eod_quotes_clustered": lambda s, d: R.eod_quotes(_clustered(s, d)),
+    "quote_analytics_clustered": lambda s, d: R.quote_analytics(_clustered(s, d)),
     "stream_both_formats": q_stream_both_formats,
     "lenient_timestamps": lambda s, d: fx.timestamp_texts(_t(s, d, "events")).select(
         "event_id", lenient_timestamp(F.col("value")).alias("event_tm")),

@@ -24,8 +24,9 @@ of each would lose the partitioning.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, Window, functions as F
 from pyspark.sql import types as T
 
 from ..functions.time import epoch_micros, interval_micros, time_bucket
@@ -269,6 +270,18 @@ def _order_struct(cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in cols])
 
 
+@dataclass(frozen=True)
+class Slots:
+    """Tables bucketed by (keys, slot): the slot column (epoch micros of its start), its width,
+    the number of buckets, and the kind (column, value) of stored ghosts."""
+
+    column: str
+    width: int
+    buckets: int
+    kind: str
+    ghost: str
+
+
 #: Buckets of a block of the carry's prefix scan.
 BLOCK = 1024
 
@@ -277,7 +290,7 @@ def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time:
                values: Mapping[str, str], tie: Sequence[str] = (), bucket=None,
                probe_time: str | None = None, distinct_probes: bool = False,
                means: Mapping[str, tuple[str, object]] | None = None,
-               block: int = BLOCK) -> DataFrame:
+               block: int = BLOCK, slots: Slots | None = None) -> DataFrame:
     """As-of lookup: add, to each probe row, the last non-NULL value of each
     event column in ``values`` (``{out_name: event_col}``) among events of the
     same ``keys`` with ``time <= probe time`` (inclusive).
@@ -305,8 +318,13 @@ def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time:
     are copied into the next one as ghosts that complete its frames and are looked
     up by nobody.
 
+    ``slots``: events and probes come from tables that are bucketed by the keys and a
+    slot column, with the ghosts stored (:class:`Slots`); then they are not exchanged at all.
+
     Events without a time are never the last known; probes without one get NULL.
     """
+    if slots is not None:
+        bucket = slots.width
     keys = list(keys)
     tie = list(tie)
     probe_time = probe_time or time
@@ -317,18 +335,26 @@ def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time:
     names = list(values)
     priv = {o: f"__v{i}" for i, o in enumerate(names)}
     mean_src = {o: f"__m{i}" for i, o in enumerate(means)}
-    ev = events.select(F.struct(*keys).alias(_K), F.col(time).alias(_T + "ts"), *tie,
+    part = [f"__k{i}" for i in range(len(keys))]
+    own_keys = [F.col(k).alias(c) for k, c in zip(keys, part)]
+    stored = [F.col(slots.column).alias(_B), (F.col(slots.kind) == slots.ghost).alias("__ghost")] if slots else []
+    ev = events.select(*own_keys, F.col(time).alias(_T + "ts"), *tie, *stored,
                        *[F.col(values[o]).alias(priv[o]) for o in names],
                        *[F.col(means[o][0]).alias(mean_src[o]) for o in means])
     ev = ev.withColumn(_T, epoch_micros(ev, _T + "ts")).drop(_T + "ts").where(F.col(_T).isNotNull())
-    pr = probes.withColumn(_T, epoch_micros(probes, probe_time)).withColumn(_K, F.struct(*keys))
-    part = [_K]
-    ev = ev.withColumn("__ghost", F.lit(False))
+    # The keys (and a slot) travel under one name each: Spark then sees that all sides are
+    # partitioned alike.
+    renamed = {**dict(zip(keys, part)), **({slots.column: _B} if slots else {})}
+    pr = probes.select(*[c for c in probes.columns if c not in renamed],
+                       epoch_micros(probes, probe_time).alias(_T), *own_keys, *stored[:1])
+    if slots is None:
+        ev = ev.withColumn("__ghost", F.lit(False))
     if bucket is not None:
         bucket_us = interval_micros(bucket)
+        part = [*part, _B]
+    if bucket is not None and slots is None:
         ev = ev.withColumn(_B, time_bucket(F.col(_T), bucket_us))
         pr = pr.withColumn(_B, time_bucket(F.col(_T), bucket_us))
-        part = [_K, _B]
         if means:
             near_end = F.col(_T) >= F.col(_B) + F.lit(bucket_us - widest)
             copies = F.when(near_end, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
@@ -340,7 +366,7 @@ def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time:
     ties = [f"__tie{i}" for i in range(len(tie))]
     ev_side = ev.select(*part, _T, "__ghost", *[F.col(c).alias(t) for c, t in zip(tie, ties)],
                         *priv.values(), *mean_src.values())
-    if bucket is not None:
+    if bucket is not None and slots is None:
         ev_side = ev_side.repartition(*part)
     ev_side = ev_side.withColumn(_SIDE, F.lit(0))
     pr_side = pr.select(*part, _T, F.lit(1).alias(_SIDE),
@@ -360,12 +386,17 @@ def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time:
         u = with_means(ev_side.drop("__ghost").unionByName(pr_side, allowMissingColumns=True))
     else:
         own = with_means(ev_side).where(~F.col("__ghost")).drop("__ghost", *mean_src.values())
-        carried = _bucket_carry(own, pr, [_T, *ties] + [priv[o] for o in names], list(looked.values()),
-                                bucket_us, block)
-        carried = carried.select(*part, F.col(_B).alias(_T), F.lit(-1).alias(_SIDE), *looked.values())
+        series = F.struct(*part[:-1]).alias(_K)
+        carried = _bucket_carry(own.groupBy(*part), pr.select(series, _B), series,
+                                [_T, *ties] + [priv[o] for o in names], list(looked.values()), bucket_us, block)
+        carried = carried.select(*[F.col(_K)[c].alias(c) for c in part[:-1]], _B, F.col(_B).alias(_T),
+                                 F.lit(-1).alias(_SIDE), *looked.values())
         # All three are partitioned alike, and so is their union.
-        u = (own.unionByName(pr_side.repartition(*part), allowMissingColumns=True)
-             .unionByName(carried.repartition(*part), allowMissingColumns=True))
+        if slots is None:
+            pr_side, carried = pr_side.repartition(*part), carried.repartition(*part)
+        else:
+            carried = carried.repartition(slots.buckets, *part)
+        u = own.unionByName(pr_side, allowMissingColumns=True).unionByName(carried, allowMissingColumns=True)
     w = (Window.partitionBy(*part).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     found = u.select(*part, _T, _SIDE, *probe_cols,
@@ -373,19 +404,19 @@ def last_known(probes: DataFrame, events: DataFrame, keys: Sequence[str], time:
                      ).where(F.col(_SIDE) == 1)
     if distinct_probes:
         found = found.dropDuplicates()
-    return found.select(*probes.columns, *looked)
+    return found.select(*[F.col(renamed[c]).alias(c) if c in renamed else F.col(c) for c in probes.columns], *looked)
 
 
-def _bucket_carry(ev: DataFrame, pr: DataFrame, order: list[str], vals: list[str], bucket_us: int,
-                  block: int) -> DataFrame:
+def _bucket_carry(buckets: GroupedData, probes: DataFrame, series: Column, order: list[str], vals: list[str],
+                  bucket_us: int, block: int) -> DataFrame:
     """Per (series, probe bucket): last non-NULL value of each ``vals`` column
     over all *earlier* buckets. Built from a per-bucket aggregate, so its size is
     (series x buckets), whatever the row count. Events are partitioned by (series, bucket)
     already, so theirs needs no shuffle; probe buckets are a hash distinct."""
-    per_bucket = ev.groupBy(_K, _B).agg(*[
+    per_bucket = buckets.agg(*[
         F.max_by(F.col(v), F.when(F.col(v).isNotNull(), _order_struct([*order, v]))).alias(v)
-        for v in vals])
-    asked = pr.where(F.col(_B).isNotNull()).select(_K, _B).distinct()
+        for v in vals]).withColumn(_K, series)
+    asked = probes.where(F.col(_B).isNotNull()).distinct()
     at = (F.col(_B) / F.lit(bucket_us)).cast("long").alias("__at")  # starts are whole multiples
     rows = (per_bucket.select(_K, at, F.lit(False).alias("__asked"), *vals)
             .unionByName(asked.select(_K, at, F.lit(True).alias("__asked")), allowMissingColumns=True))

@@ -344,6 +344,9 @@ def queries() -> dict[str, str]:
           f" UNION ALL SELECT 'quotes', count(*), '2024-01-15' FROM (SELECT 1 FROM quotes WHERE trade_dt = {day} {latest})"
           " UNION ALL SELECT 'analytics', count(*), '2024-01-15' FROM qa JOIN pclose pc ON qa.trade_dt = pc.trade_dt"
           f" AND qa.symbol = pc.symbol AND qa.exchange = pc.exchange WHERE qa.trade_dt = {day}")
+    q["run_reports_shared"] = q["run_reports_day"]
+    q["eod_quotes_clustered"] = q["eod_quotes"]
+    q["quote_analytics_clustered"] = flagship
     q["lenient_timestamps"] = "SELECT event_id, date_trunc('minute', ts) AS event_tm FROM events"
     null_mean = _cents_mean("k", "ts", "px")
     q["null_keys"] = f"""WITH e AS (SELECT *, CASE WHEN user_id % 4 <> 0 THEN user_id % 4 END AS k,

@@ -1,7 +1,9 @@
 """The reports: end-of-day trades and quotes, and the quote analytics.
 
 All take the staged common table (``partition`` = T / Q / B) and return a
-DataFrame; writing is left to :mod:`tapeworks.sources.parquet`.
+DataFrame; writing is left to :mod:`tapeworks.sources.parquet`. The end-of-day reports and
+the analytics also take the clustered ticks (:mod:`tapeworks.sources.layout`), from which they
+read without an exchange of ticks.
 """
 
 from __future__ import annotations
@@ -15,7 +17,8 @@ from ..operators.joins import join_small
 from ..operators.latest import keep_latest
 from ..functions.time import interval_micros
 from ..operators.ordered import range_ordered
-from ..operators.series import last_known, period_close, prior_period, trailing_mean
+from ..operators.series import Slots, last_known, period_close, prior_period, trailing_mean
+from ..sources.layout import GHOST, SLOT, Clustered
 
 TIE = ("event_seq_nb", "arrival_tm")
 
@@ -44,13 +47,31 @@ def quotes_of(staged: DataFrame, day=None) -> DataFrame:
     return q.select(*S.QUOTE_COLUMNS)
 
 
-def eod_trades(staged: DataFrame, day=None, tie_break=None) -> DataFrame:
+def _clustered_of(ticks: Clustered, kind: str, columns, day=None) -> DataFrame:
+    rows = ticks.kind(kind)
+    if (d := _day(day)) is not None:
+        rows = rows.where(F.col("trade_dt") == F.lit(d))
+    return rows.select(*columns, SLOT)
+
+
+def _eod(staged: DataFrame | Clustered, kind: str, columns, day, tie_break) -> DataFrame:
+    if isinstance(staged, Clustered):
+        # An event's slot follows from its time, so it changes no group; with it the groups lie
+        # in one bucket each.
+        rows = _clustered_of(staged, kind, columns, day)
+        return keep_latest(rows, [*S.EVENT_KEY, SLOT], S.VERSION_COL, tie_break).drop(SLOT)
+    rows = trades_of(staged, day) if kind == S.TRADE else quotes_of(staged, day)
+    return keep_latest(rows, S.EVENT_KEY, S.VERSION_COL, tie_break)
+
+
+def eod_trades(staged: DataFrame | Clustered, day=None, tie_break=None) -> DataFrame:
     """Latest-arriving version of every trade of ``day`` (all days if None)."""
-    return keep_latest(trades_of(staged, day), S.EVENT_KEY, S.VERSION_COL, tie_break)
+    return _eod(staged, S.TRADE, S.TRADE_COLUMNS, day, tie_break)
 
 
-def eod_quotes(staged: DataFrame, day=None, tie_break=None) -> DataFrame:
-    return keep_latest(quotes_of(staged, day), S.EVENT_KEY, S.VERSION_COL, tie_break)
+def eod_quotes(staged: DataFrame | Clustered, day=None, tie_break=None) -> DataFrame:
+    """Latest-arriving version of every quote of ``day`` (all days if None)."""
+    return _eod(staged, S.QUOTE, S.QUOTE_COLUMNS, day, tie_break)
 
 
 def daily_close(trades: DataFrame) -> DataFrame:
@@ -82,7 +103,30 @@ def _prior_close_any_day(trades: DataFrame, quotes: DataFrame) -> DataFrame:
                         F.col("__prior.close_trade_pr").alias("prior_close_trade_pr"))
 
 
-def quote_analytics(staged: DataFrame, day=None, window="30 minutes",
+def _days_read(ticks: DataFrame, d, lookback_days) -> DataFrame:
+    if d is None:
+        return ticks
+    ticks = ticks.where(F.col("trade_dt") <= F.lit(d))
+    if lookback_days is not None:
+        ticks = ticks.where(F.col("trade_dt") >= F.lit(d - _dt.timedelta(days=lookback_days)))
+    return ticks
+
+
+def _clustered_lookup(ticks: Clustered, d, window, latest_only: bool, lookback_days) -> tuple:
+    """(quotes with what was known, trades, quotes) of the clustered ticks."""
+    if interval_micros(window) > ticks.window:
+        raise ValueError("the window is wider than the one whose trades were copied")
+    rows = _days_read(ticks.kind(S.TRADE, GHOST), d, lookback_days).select(*S.TRADE_COLUMNS, "partition", SLOT)
+    if latest_only:
+        rows = keep_latest(rows, [*S.EVENT_KEY, SLOT, "partition"], S.VERSION_COL)
+    quotes = _clustered_of(ticks, S.QUOTE, S.QUOTE_COLUMNS, d)
+    found = last_known(quotes, rows, S.SERIES_KEY, "event_tm", {"prior_trade_pr": "trade_pr"}, tie=TIE,
+                       distinct_probes=True, means={"prior_mov_avg_trade_pr": ("trade_pr", window)},
+                       slots=Slots(SLOT, ticks.slot, ticks.buckets, "partition", GHOST))
+    return found, rows.where(F.col("partition") == S.TRADE).drop("partition", SLOT), quotes
+
+
+def quote_analytics(staged: DataFrame | Clustered, day=None, window="30 minutes",
                     latest_only: bool = False, keep_untraded: bool = False,
                     bucket="30 minutes", with_movement: bool = False, sort: bool = True,
                     lookback_days: int | None = None) -> DataFrame:
@@ -107,21 +151,23 @@ def quote_analytics(staged: DataFrame, day=None, window="30 minutes",
       The result equals the all-days one where each quoted series traded within
       those days; ``None`` reads all earlier days. Trades after ``day`` are
       never read.
+    * Clustered ticks: their slots take the place of ``bucket``, and neither trades nor
+      quotes are exchanged.
     * ``with_movement`` adds bid/ask and their difference to the prior close.
 
     Building the plan runs no job.
     """
     d = _day(day)
-    if d is not None:
-        staged = staged.where(F.col("trade_dt") <= F.lit(d))
-        if lookback_days is not None:
-            staged = staged.where(F.col("trade_dt") >= F.lit(d - _dt.timedelta(days=lookback_days)))
-    trades = trades_of(staged)
-    if latest_only:
-        trades = keep_latest(trades, S.EVENT_KEY, S.VERSION_COL)
-    quotes = quotes_of(staged, d)
-
-    if bucket is None or interval_micros(bucket) >= interval_micros(window):
+    if not isinstance(staged, Clustered):
+        staged = _days_read(staged, d, lookback_days)
+        trades = trades_of(staged)
+        if latest_only:
+            trades = keep_latest(trades, S.EVENT_KEY, S.VERSION_COL)
+        quotes = quotes_of(staged, d)
+
+    if isinstance(staged, Clustered):
+        found, trades, quotes = _clustered_lookup(staged, d, window, latest_only, lookback_days)
+    elif bucket is None or interval_micros(bucket) >= interval_micros(window):
         found = last_known(quotes, trades, S.SERIES_KEY, "event_tm", {"prior_trade_pr": "trade_pr"},
                            tie=TIE, bucket=bucket, distinct_probes=True,
                            means={"prior_mov_avg_trade_pr": ("trade_pr", window)})
