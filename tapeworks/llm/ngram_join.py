@@ -12,10 +12,13 @@ A document is the set of its distinct 5-word shingles. Two documents link when
    what a linked pair must share. Sets that link differ in at most
    D = (|A| + |B|) / 9 shingles, so in at most D groups: each must share one
    of its D + 1 first nonempty groups, in any order common to all, content
-   included. Fullest groups come first, as they are rarest. A set with too few
+   included. Groups that no other set has come first (told by a bitmap of fixed
+   size, so a set that merely shares a passage with others has D + 1 of them and
+   leaves), then the fullest, as they are rarest. A set with too few
    nonempty groups for that adds its |A| - ceil(0.8 |A|) + 1 smallest shingle
    hashes, the prefix that serves the same end. Nothing is lost, and no group
-   or bucket is capped.
+   or bucket is capped. This routing, and not boxes over boxes, is the index's upper
+   part: see the README.
 4. Leaves. Every set that shares a bucket with another is put in one leaf, with
    sets of its most popular bucket and of about its size; large groups are
    split into leaves of about LEAF_SHINGLES shingles together. A leaf has a
@@ -94,8 +97,9 @@ def groups_of(top: int) -> int:
     return max(4, top * 9 // 32)
 
 
-def _first_groups(sh: np.ndarray, top: int) -> tuple[np.ndarray, bool]:
-    """Keys of the first D + 1 nonempty groups, and whether there were that many."""
+def _groups(sh: np.ndarray, top: int) -> tuple[np.ndarray, int]:
+    """Keys of the nonempty groups, fullest first, and how many of them (D + 1) a set
+    must deal so that it shares one with every partner."""
     g = groups_of(top)
     most = len(sh) // 4  # |A sym. diff. B| <= (|A| + |B|) / 9 and |B| <= |A| / 0.8
     mixed = _mix(sh ^ np.uint64(g))
@@ -108,26 +112,23 @@ def _first_groups(sh: np.ndarray, top: int) -> tuple[np.ndarray, bool]:
     total = np.add.reduceat(_mix(mixed), starts)
     salt = np.uint64(g * int(_M2) % (1 << 64))
     key = _mix(total + at[starts].astype(np.uint64) * _M1 + salt)
-    first = np.lexsort((key, -count))[:most + 1]
-    return key[first], len(starts) > most
+    return key[np.lexsort((key, -count))], most + 1
 
 
-def keys_of(sh: np.ndarray) -> np.ndarray:
-    """Buckets of a set: linked sets share one at least."""
+def keys_of(sh: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    """Families of keys, each in an order common to all sets, and how many keys of
+    a family must be dealt: linked sets then share one at least."""
     n = len(sh)
     if n == 0:
-        return sh
+        return []
     top = 1 << int(n).bit_length()  # band [top / 2, top)
-    parts, enough = [], True
     # A partner may be larger by a quarter, and then in the next band.
-    for t in (top, 2 * top) if n * 5 // 4 >= top else (top,):
-        keys, ok = _first_groups(sh, t)
-        parts.append(keys)
-        enough &= ok
-    if not enough:
+    parts = [_groups(sh, t) for t in ((top, 2 * top) if n * 5 // 4 >= top else (top,))]
+    if any(len(keys) < need for keys, need in parts):
         # Prefix of the set in hash order.
-        parts.append(_mix(sh[:n - (PERCENT * n + 99) // 100 + 1] ^ _M1))
-    return np.concatenate(parts)
+        prefix = _mix(sh[:n - (PERCENT * n + 99) // 100 + 1] ^ _M1)
+        parts.append((prefix, len(prefix)))
+    return parts
 
 
 def node_of(sh: np.ndarray) -> int:
@@ -142,8 +143,9 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, node, keys): ``node`` names the shingle set; there are
-    no keys where the task has already given them for an equal set."""
+    """(doc_id, n_shingles, node, keys, sizes, needs): ``node`` names the shingle set; its
+    families of keys follow one another in ``keys``. There are none where the task has
+    already given them for an equal set."""
     small_batches(docs.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,13 +154,16 @@ def signatures(docs: DataFrame) -> DataFrame:
             sets = [shingles(words_of(t), hashes) for t in texts]
             nodes = [node_of(s) for s in sets]
             fresh = [n not in given and given[n] for n in nodes]
-            keys = [keys_of(s) if new else s[:0] for s, new in zip(sets, fresh)]
+            keys = [keys_of(s) if new else [] for s, new in zip(sets, fresh)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array(nodes, pa.int64()), _lists(keys)],
-                ["doc_id", "n_shingles", "node", "keys"])
+                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()),
+                 _lists([np.concatenate([k for k, _ in ks]) if ks else s[:0] for ks, s in zip(keys, sets)]),
+                 pa.array([[len(k) for k, _ in ks] for ks in keys], pa.list_(pa.int32())),
+                 pa.array([[need for _, need in ks] for ks in keys], pa.list_(pa.int32()))],
+                ["doc_id", "n_shingles", "node", "keys", "sizes", "needs"])
 
-    return docs.mapInArrow(sign, "doc_id long, n_shingles long, node long, keys array<long>")
+    return docs.mapInArrow(sign, "doc_id long, n_shingles long, node long, keys array<long>, sizes array<int>, "
+                           "needs array<int>")
 
 
 def counts_of(sh: np.ndarray) -> np.ndarray:
@@ -301,8 +306,12 @@ def _opened(buckets: DataFrame, placed: DataFrame, grown: DataFrame) -> DataFram
 
 
 def _in_company(raw: DataFrame) -> DataFrame:
-    """(key, node, n_shingles) of the keys that several rows may have: most keys stand
-    alone and are not shuffled."""
+    """(key, node, n_shingles) of the keys that must be dealt.
+
+    Keys that no other row has come first in the common order: they are in lone slots of a
+    bitmap, alike for all sets. A set with as many lone keys as it must deal has no
+    partner and leaves; the others deal what they need beyond them.
+    """
     sc = raw.sparkSession.sparkContext
     small_batches(raw.sparkSession)
     chunks = chunks_for(raw.agg(F.sum(F.size("keys"))).first()[0] or 0)
@@ -326,14 +335,22 @@ def _in_company(raw: DataFrame) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = flat(b)
-            row = np.repeat(np.arange(b.num_rows), b.column("keys").value_lengths().to_numpy())
+            sizes = b.column("sizes").flatten().to_numpy().astype(np.int64)  # of families
+            needs = b.column("needs").flatten().to_numpy().astype(np.int64)
+            row = np.repeat(np.arange(b.num_rows), b.column("sizes").value_lengths().to_numpy())
             own = has(shared.value, slots_of(keys) % np.uint64(KEY_BITS))
-            row = row[own]
+            before = np.concatenate(([0], np.cumsum(own)))  # shared keys before each place
+            start = np.cumsum(sizes) - sizes
+            lone = sizes - (before[start + sizes] - before[start])
+            nth = before[1:] - np.repeat(before[start], sizes)  # from 1, of the shared ones of its family
+            own &= nth <= np.repeat(needs - lone, sizes)
+            row = np.repeat(row, sizes)[own]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys[own].view(np.int64)), pa.array(b.column("node").to_numpy()[row]),
                  pa.array(b.column("n_shingles").to_numpy()[row].astype(np.int32))], ["key", "node", "n_shingles"])
 
-    return raw.select("keys", "node", "n_shingles").mapInArrow(deal, "key long, node long, n_shingles int")
+    return raw.select("keys", "sizes", "needs", "node", "n_shingles").mapInArrow(
+        deal, "key long, node long, n_shingles int")
 
 
 def _small(df: DataFrame) -> DataFrame:
