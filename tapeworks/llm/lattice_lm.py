@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tapeworks.llm.common import columns_of, fold_of, keep_table, small_batches, words_of
+from tapeworks.llm.common import columns_of, drop_table, fold_of, keep_table, small_batches, words_of
 
 #: Rounds that refine the pieces' scores.
 ROUNDS = 2
@@ -52,7 +52,7 @@ ROUNDS = 2
 #: that no word has.
 PRIOR, LEAST = 2000, 1e-3
 #: Words worked on as arrays: so many at once, up to so many characters.
-WORDS, ARRAYS = 8192, 48
+WORDS, ARRAYS = 32_768, 48
 #: Words whose counts every task holds.
 HEAD = 100_000
 #: Counts that a task gathers before it hands them on.
@@ -312,14 +312,32 @@ class Lattices:
         self.scores = np.stack([x.scores for x in self.each], axis=1)
         self.places, self.size = self.each[0].places, self.each[0].size
 
-    def _ahead(self, arcs: dict, many: int, n: int) -> np.ndarray:
+    @staticmethod
+    def _ahead(arcs: dict, many: int, n: int, scores: np.ndarray) -> np.ndarray:
         """The forward recursion for many words of one length: (character, word, class)."""
-        ahead = np.full((n + 1, many, len(self.each)), -math.inf)
+        ahead = np.full((n + 1, many, *scores.shape[1:]), -math.inf)
         ahead[0] = 0.0
         for (i, j), (at, piece) in sorted(arcs.items()):
-            ahead[j, at] = np.logaddexp(ahead[j, at], ahead[i, at] + self.scores[piece])
+            ahead[j, at] = np.logaddexp(ahead[j, at], ahead[i, at] + scores[piece])
         return ahead
 
+    def _expected_of(self, codes: np.ndarray, k: int, weights: np.ndarray, into: np.ndarray) -> np.ndarray:
+        """Forward and backward for words of one length in class ``k``; says which words have no path."""
+        many, n = codes.shape
+        arcs, scores = self.each[0]._arcs(codes), self.scores[:, k]
+        ahead = self._ahead(arcs, many, n, scores)
+        whole = ahead[n] > -math.inf
+        back = np.full(ahead.shape, -math.inf)
+        back[n, whole] = -ahead[n, whole]
+        places, shares = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for (i, j), (own, piece) in sorted(arcs.items(), reverse=True):
+            step = scores[piece] + back[j, own]
+            back[i, own] = np.logaddexp(back[i, own], step)
+            places.append(self.places[piece])
+            shares.append(np.exp(ahead[i, own] + step) * weights[own])
+        into += np.bincount(np.concatenate(places), weights=np.concatenate(shares), minlength=self.size)
+        return ~whole
+
     def log_probs(self, words: list[bytes]) -> np.ndarray:
         """:meth:`Lattice.log_prob` of each word and class; equal words are computed once."""
         once = {w: i for i, w in enumerate(dict.fromkeys(words))}
@@ -327,7 +345,7 @@ class Lattices:
         out = np.full((len(own), len(self.each)), -math.inf)
         arrays, odd = self.each[0]._by_length(own)
         for at, codes in arrays:
-            out[at] = self._ahead(self.each[0]._arcs(codes), *codes.shape)[codes.shape[1]]
+            out[at] = self._ahead(self.each[0]._arcs(codes), *codes.shape, self.scores)[codes.shape[1]]
         # A character without a piece leaves a word without a path.
         for at in [*odd, *np.flatnonzero(out[:, 0] == -math.inf).tolist()]:
             out[at] = [x.log_prob(own[at]) for x in self.each]
@@ -338,19 +356,12 @@ class Lattices:
         (class, piece)."""
         arrays, odd = self.each[0]._by_length(words)
         for at, codes in arrays:
-            many, n = codes.shape
-            arcs = self.each[0]._arcs(codes)
-            ahead = self._ahead(arcs, many, n)
-            whole = ahead[n, :, 0] > -math.inf
-            odd += at[~whole].tolist()
-            back = np.full(ahead.shape, -math.inf)
-            back[n, whole] = -ahead[n, whole]
-            for (i, j), (own, piece) in sorted(arcs.items(), reverse=True):
-                step = self.scores[piece] + back[j, own]
-                back[i, own] = np.logaddexp(back[i, own], step)
-                share = np.exp(ahead[i, own] + step) * weights[at[own]]
-                for k in range(len(self.each)):
-                    into[k] += np.bincount(self.places[piece], weights=share[:, k], minlength=self.size)
+            lost = np.zeros(len(at), bool)
+            for k in range(len(self.each)):  # most words are of one class
+                own = np.flatnonzero(weights[at, k])
+                if len(own):
+                    lost[own] |= self._expected_of(codes[own], k, weights[at[own], k], into[k])
+            odd += at[lost].tolist()
         for at in odd:
             for k in np.flatnonzero(weights[at]):
                 self.each[k].expected(words[at], into[k])
@@ -488,14 +499,11 @@ def score(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: st
     train = train.withColumn("class", klass)
     counts = keep_table(word_counts(train, rest + 1), "word-counts")
     lattice = (model_path, refine(counts, model_path, piece_counts(counts, model_path), rest + 1))
-    # Levels of frequency, some twenty to a factor of e: at most a thousand.
-    vocab = keep_table(with_lattice(counts, lattice)
-                       .withColumn("level", F.floor(20 * F.log("c")).cast("int")), "vocabulary")
     ends = {r["class"]: r["n"] for r in
             train.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()}
     end_by = [ends.get(k, 0) for k in range(rest + 1)]
     end = sum(end_by)
-    whole = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"), *[
+    whole = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"), *[
         x for k in range(rest + 1) for x in
         (F.coalesce(F.sum(F.col("by")[k]), F.lit(0)).alias(f"n{k}"),
          F.count(F.when(F.col("by")[k] > 0, 1)).alias(f"v{k}"))]).first()
@@ -504,10 +512,16 @@ def score(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: st
     mix = Mixture(n, v, [(whole[f"n{k}"] + e, whole[f"v{k}"] + (e > 0), e)
                          for k, e in enumerate(end_by)])
 
+    # A word's base and its shares in the classes, once for each distinct word.
+    shares = F.array(F.log10((F.col("c") + 1) / F.lit(float(n + v + 1))), *mix.columns("c", "by", "lattice"))
+    # Levels of frequency, some twenty to a factor of e: at most a thousand.
+    vocab = keep_table(with_lattice(counts, lattice).select(
+        "word", "c", shares.alias("s"), F.floor(20 * F.log("c")).cast("int").alias("level")), "vocabulary")
+    drop_table(counts)
+
     head, least = _head(vocab)
     place = {bytes(r["word"]): i for i, r in enumerate(head)}
-    table = np.array([[mix.base(r["c"], v), *mix.log10(r["c"], r["by"], r["lattice"])] for r in head],
-                     float).reshape(len(head), rest + 2)
+    table = np.array([r["s"] for r in head], float).reshape(len(head), rest + 2)
     floors = [x.floor for x in Lattices(*lattice, LEAST).each]
     finish = np.array([mix.base(end, v), *mix.log10(end, end_by, floors)])
     sent = spark.sparkContext.broadcast((place, table, finish, end > 0))
@@ -545,17 +559,15 @@ def score(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: st
     # Words outside the head meet their counts; those never seen get their lattice.
     rare = (texts.select("row", F.explode(F.arrays_zip("words", "times")).alias("r"))
             .select(F.col("r.words").alias("word"), "row", F.col("r.times").alias("times")))
-    tail = vocab.where(F.col("level") < least).select("word", "c", "by", "lattice")
+    tail = vocab.where(F.col("level") < least).select("word", "c", "s")
     seen = rare.join(tail, "word")
-    new = with_lattice(rare.join(tail, "word", "left_anti"), lattice).select(
-        "row", "times", F.lit(0).cast("long").alias("c"),
-        F.array(*[F.lit(0).cast("long")] * (rest + 1)).alias("by"), "lattice")
-    every = seen.select("row", "times", "c", "by", "lattice").unionByName(new)
-    share = [F.log10((F.col("c") + 1) / F.lit(float(n + v + 1))), *mix.columns("c", "by", "lattice")]
-    per_text = every.select("row", "times", "c", *[s.alias(f"s{i}") for i, s in enumerate(share)]).groupBy("row").agg(
+    new = with_lattice(rare.join(tail, "word", "left_anti"), lattice).withColumns({
+        "c": F.lit(0).cast("long"), "by": F.array(*[F.lit(0).cast("long")] * (rest + 1))})
+    every = seen.select("row", "times", "c", "s").unionByName(new.select("row", "times", "c", shares.alias("s")))
+    per_text = every.groupBy("row").agg(
         F.sum("times").alias("t_tokens"),
         F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("t_sure"),
-        *[F.sum(F.col("times") * F.col(f"s{i}")).alias(f"t{i}") for i in range(rest + 2)])
+        *[F.sum(F.col("times") * F.col("s")[i]).alias(f"t{i}") for i in range(rest + 2)])
 
     def plus(a: Column, b: str) -> Column:
         return a + F.coalesce(F.col(b), F.lit(0))
