@@ -8,9 +8,9 @@ counts are per language (NULL: ``und``).
   (:class:`HatTrie`): a shallow trie over word ids whose leaves are hash containers
   of phrase endings; a container that outgrows ``BURST`` becomes a node with a
   container for each next word. When the trie holds ``ENTRIES`` phrases, its largest
-  subtrees leave it whole as runs sorted by phrase. Runs are dealt by the
-  phrases' first words (and a spread of their endings, so that one very common
-  beginning is not one task's) and merged there.
+  subtrees leave it whole as sorted runs, cut by prefix partition (a hash of the first
+  three words, so that one very common word or pair is not one task's). Runs travel packed
+  and are merged in their prefix partition.
 * **Levels.** A phrase stands at most as often as each phrase inside it. So what may
   reach ``least`` is found first, by hashes in packed arrays of (slot, count) that are summed
   by ranges of slots (:mod:`tapeworks.llm.slots`): words, then pairs of such words, then phrases of three
@@ -62,11 +62,11 @@ BURST, SHALLOW = 4096, 2
 ENTRIES = 400_000
 #: Words whose number a task remembers.
 WORDS = 400_000
-#: Shares of phrases with one beginning, and of a language in the ranking.
+#: Shares of a language in the ranking.
 SPREAD = 64
 
 _CUT = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
-_RUNS = "lang string, phrase string, n long"
+_RUNS = "part int, lang string, phrases binary, times binary"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -143,21 +143,46 @@ class HatTrie:
             yield run
 
 
-def _batch(rows: list[tuple[str, bytes, int]]) -> pa.RecordBatch:
-    """A sorted run."""
-    rows.sort()
-    langs, phrases, times = zip(*rows) if rows else ((), (), ())
+def _packed_runs(rows: list[tuple[str, bytes, int]], parts: int) -> pa.RecordBatch:
+    """Sorted runs of (lang, phrase, count), one row for each prefix partition: phrases
+    joined by line ends (no word holds one) and their counts."""
+    runs: dict[tuple[int, str], tuple[list, list]] = {}
+    for lang, phrase, n in sorted(rows):
+        prefix = phrase if phrase.count(b" ") < 3 else b" ".join(phrase.split(b" ", 3)[:3])
+        run = runs.setdefault((xxhash.xxh32_intdigest(prefix) % parts, lang), ([], []))
+        run[0].append(phrase)
+        run[1].append(n)
     return pa.RecordBatch.from_arrays(
-        [pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
-         pa.array(times, pa.int64())], ["lang", "phrase", "n"])
+        [pa.array([k[0] for k in runs], pa.int32()), pa.array([k[1] for k in runs], pa.string()),
+         pa.array([b"\n".join(p) for p, _ in runs.values()], pa.binary()),
+         pa.array([np.array(n, "<i8").tobytes() for _, n in runs.values()], pa.binary())],
+        ["part", "lang", "phrases", "times"])
 
 
-def _merged(runs: DataFrame) -> DataFrame:
-    """Runs of sorted phrases dealt by their beginnings and merged there."""
-    head = F.substring_index("phrase", " ", 2)
-    spread = F.pmod(F.xxhash64("phrase"), F.lit(SPREAD))
-    return (runs.withColumn("head", head).withColumn("spread", spread).repartition("lang", "head", "spread")
-            .groupBy("lang", "head", "spread", "phrase").agg(F.sum("n").alias("n")).select("lang", "phrase", "n"))
+def _merged(runs: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, n) of the phrases that stand ``least`` times; the runs of a prefix partition are
+    merged in one task. The empty phrase, whose count is that of a language's words, gets NULL."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, Counter()
+
+        def out() -> pa.RecordBatch:
+            own = [(p, n) for p, n in held.items() if n >= least or not p]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([current[1]] * len(own) if own else [], pa.string()),
+                 pa.array([p or None for p, _ in own], pa.binary()).cast(pa.string()),
+                 pa.array([n for _, n in own], pa.int64())], ["lang", "phrase", "n"])
+
+        for b in batches:
+            for part, lang, phrases, times in zip(*(b.column(c).to_pylist() for c in ("part", "lang", "phrases", "times"))):
+                if (part, lang) != current:
+                    yield out()
+                    current, held = (part, lang), Counter()
+                for p, n in zip(phrases.split(b"\n"), np.frombuffer(times, "<i8").tolist()):
+                    held[p] += n
+        yield out()
+
+    return (runs.repartition("part").sortWithinPartitions("part", "lang")
+            .mapInArrow(run, "lang string, phrase string, n long"))
 
 
 def _said(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -305,9 +330,9 @@ def _phrase_slots(words_map, pairs_map, bits: int, chunks: int, least: int, long
     return run
 
 
-def _phrase_runs(words_map, pairs_map, longer_map, bits: int, entries: int, longest: int):
-    """Words and phrases that may be frequent, counted in a trie; and, with a NULL phrase,
-    how many words the languages have."""
+def _phrase_runs(words_map, pairs_map, longer_map, bits: int, parts: int, entries: int, longest: int):
+    """Runs of words and phrases that may be frequent, counted in a trie; and, as the empty
+    phrase, how many words the languages have."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, trie, total = _Numbered(words_map.value, bits), HatTrie(), Counter()
 
@@ -315,10 +340,7 @@ def _phrase_runs(words_map, pairs_map, longer_map, bits: int, entries: int, long
             rows, names = [], texts.names
             for subtree in trie.spill(keep):
                 rows += [(names[p[0]][0], b" ".join([names[w][1] for w in p]), n) for p, n in subtree]
-                if len(rows) > 50_000:
-                    yield _batch(rows)
-                    rows = []
-            yield _batch(rows)
+            yield _packed_runs(rows, parts)
 
         def count(listed: list) -> None:
             ids = np.array(listed, dtype=np.int64)
@@ -330,8 +352,8 @@ def _phrase_runs(words_map, pairs_map, longer_map, bits: int, entries: int, long
             for size, at in _places(pair, longest):
                 if size > 2:
                     at = at[has(longer_map.value, texts.slots(ids, at, size) % np.uint64(bits))]
-                for i in at.tolist():
-                    trie.add(tuple(listed[i:i + size]))
+                for phrase, n in Counter(zip(*(ids[at + j].tolist() for j in range(size)))).items():
+                    trie.add(phrase, n)
 
         for b in batches:
             held = []
@@ -346,9 +368,7 @@ def _phrase_runs(words_map, pairs_map, longer_map, bits: int, entries: int, long
                 yield from runs(0)
                 texts.forget()
         yield from runs(0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.string()), pa.nulls(len(total), pa.string()),
-             pa.array(list(total.values()), pa.int64())], ["lang", "phrase", "n"])
+        yield _packed_runs([(lang, b"", n) for lang, n in total.items()], parts)
 
     return run
 
@@ -368,9 +388,8 @@ def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col
     words_map = told(_word_slots(chunks, least))
     pairs_map = told(_phrase_slots(words_map, None, bits, chunks, least, longest))
     longer_map = told(_phrase_slots(words_map, pairs_map, bits, chunks, least, longest))
-    runs = said.mapInArrow(_phrase_runs(words_map, pairs_map, longer_map, bits, entries, longest), _RUNS)
-    found = keep_table(_merged(runs).where(F.col("phrase").isNull() | (F.col("n") >= least))
-                       .withColumn("size", F.size(F.split("phrase", " ", -1))), "phrases")
+    runs = said.mapInArrow(_phrase_runs(words_map, pairs_map, longer_map, bits, chunks, entries, longest), _RUNS)
+    found = keep_table(_merged(runs, least).withColumn("size", F.size(F.split("phrase", " ", -1))), "phrases")
     return (found.where(F.col("phrase").isNotNull()).select("lang", "phrase", "size", "n"),
             found.where(F.col("phrase").isNull()).select("lang", "n"))
 
