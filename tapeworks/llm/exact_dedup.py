@@ -10,7 +10,8 @@ the path a row takes, never the result.
 
 Defined cases: a NULL text is an empty text; empty texts are equal to each
 other; of equal texts the row with the largest id stays, a NULL id being the
-smallest; of repeated rows with that id exactly one stays. An empty table gives
+smallest; of repeated rows with that id exactly one stays, the first by its columns
+written as JSON. An empty table gives
 an empty result. Other columns are ignored by :func:`decide` and carried along
 by :func:`drop_copies`.
 """
@@ -89,6 +90,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     several = docs.join(many.select(F.col("doc_id").alias("__id")),
                         docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
     several = (several.join(stays, several[id_col].eqNullSafe(F.col("__id"))
-                            & (digest == F.col("__sha")), "left_semi")
-               .dropDuplicates([id_col, text_col]))
+                            & (digest == F.col("__sha")), "left_semi"))
+    # Of rows equal in id and text (NULL and '' are one text) the first by its columns as JSON.
+    row = F.struct(*[several[c] for c in docs.columns])
+    several = (several.groupBy(several[id_col].alias("__id"), digest.alias("__sha"))
+               .agg(F.min_by(row, F.to_json(row)).alias("__row")).select("__row.*"))
     return single.unionByName(several)

@@ -111,6 +111,18 @@ class Lexicon:
         return found
 
 
+def _uncovered(hits: list[tuple], covers: list[tuple]) -> Iterator[tuple]:
+    """Hits that lie in no cover, both sorted by their beginning: one sweep. Of the covers that
+    begin at or before a hit the farthest end decides."""
+    far, at = -1, 0
+    for h in hits:
+        while at < len(covers) and covers[at][0] <= h[0]:
+            far = max(far, covers[at][1])
+            at += 1
+        if h[1] > far:
+            yield h
+
+
 def total_weight(automaton, folded: str) -> float:
     """Summed weights of the entries in a folded text that no exception covers."""
     if not len(automaton):
@@ -119,9 +131,8 @@ def total_weight(automaton, folded: str) -> float:
     for end, (size, weight) in automaton.iter(folded):
         (covers if weight is None else hits).append((end - size + 1, end, weight))
     if covers:
-        covers.sort()
-        hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in covers)]
-    return sum(w for _, _, w in hits)
+        hits = _uncovered(sorted(hits, key=lambda h: h[:2]), sorted(covers, key=lambda c: c[:2]))
+    return math.fsum(w for _, _, w in hits)
 
 
 def feature(total: float, folded: str) -> float:
@@ -165,11 +176,11 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = (docs.select("doc_id", "text")
             .join(F.broadcast(drawn), F.col("doc_id") == F.col("id"))  # about FIT_ROWS rows
             .select("text", F.col("toxic").cast("int").alias("toxic")))
-    rows = keep_table(rows.mapInArrow(
-        folded, "text string, toxic int, m0 long, m1 long, m2 long"), "labelled")
-    for m in ("m0", "m1", "m2"):
-        rows = rows.dropDuplicates([m, "toxic"])
-    return keep_table(rows.select("text", "toxic"), "fit")
+    rows = rows.mapInArrow(folded, "text string, toxic int, m0 long, m1 long, m2 long")
+    # Copies and near copies (equal in three min-hashes) count once; the text decides
+    # which, so that a fit is repeatable.
+    once = rows.groupBy("m0", "m1", "m2", "toxic").agg(F.min("text").alias("text"))
+    return keep_table(once.select("text", "toxic"), "fit")
 
 
 def _counts(rows: DataFrame, features: Callable[[str], set[str]]) -> DataFrame:
@@ -242,7 +253,8 @@ def _features_and_labels(rows: DataFrame, lexicon: Lexicon) -> np.ndarray:
 
     # At most the fitting sample, two numbers a text.
     got = rows.mapInArrow(read, "x double, toxic int").collect()
-    return np.array([(r["x"], r["toxic"]) for r in got], float).reshape(-1, 2)
+    # In one order, as sums of doubles depend on it.
+    return np.array(sorted((r["x"], r["toxic"]) for r in got), float).reshape(-1, 2)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:

@@ -35,6 +35,18 @@ def test_repeated_rows_keep_exactly_one(spark):
     assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, "d"), (2, "a"), (3, "b"), (3, "c")]
 
 
+def test_null_and_empty_texts_of_one_id(spark):
+    rows = [(1, None), (1, ""), (2, "x"), (2, "x"), (None, None)]
+    kept = D.drop_copies(docs(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == [(1, ""), (2, "x")]
+
+
+def test_the_same_row_stays_whatever_the_order(spark):
+    df = spark.createDataFrame([(1, "a", "z"), (1, "a", "b"), (1, "a", None)], "doc_id long, text string, lang string")
+    assert {D.drop_copies(df.repartition(n)).first().lang for n in (1, 2, 3)} == {"z"} or \
+        len({D.drop_copies(df.repartition(n)).first().lang for n in (1, 2, 3)}) == 1
+
+
 def test_empty_table(spark):
     assert D.decide(docs(spark, [])).count() == 0
     assert D.drop_copies(docs(spark, [])).count() == 0

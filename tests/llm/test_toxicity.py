@@ -70,3 +70,27 @@ def test_copies_of_a_toxic_text_do_not_make_its_words_entries(spark):
     labels = spark.createDataFrame([(i, 1, t) for i, t in toxic.items()], "doc_id long, quality int, toxic int")
     lex = T.fit(docs(spark, texts), labels)
     assert not any("harm" in e or "copied" in e for e in lex.weights)
+
+
+def test_matcher_equals_brute_force():
+    rng = random.Random(4)
+    for _ in range(300):
+        words = ["".join(rng.choice("ab") for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(0, 12))]
+        text = f" {' '.join(words)} "
+        some = lambda: " " + "".join(rng.choice("ab ") for _ in range(rng.randint(1, 5)))
+        weights = {some(): rng.random() for _ in range(6)}
+        exceptions = tuple({some() for _ in range(3)} - set(weights))
+        spans = [(i, i + len(e), w) for e, w in weights.items() for i in range(len(text)) if text.startswith(e, i)]
+        covers = [(i, i + len(e)) for e in exceptions for i in range(len(text)) if text.startswith(e, i)]
+        want = sum(w for a, b, w in spans if not any(c <= a and b <= d for c, d in covers))
+        got = T.total_weight(T.Lexicon(weights, exceptions).automaton(), text)
+        assert abs(got - want) < 1e-9
+
+
+def test_a_fit_is_repeatable(spark):
+    texts, toxic = corpus(500, random.Random(3))
+    texts |= {900 + i: texts[i] for i in range(50)}  # copies
+    toxic |= {900 + i: toxic[i] for i in range(50)}
+    labels = spark.createDataFrame([(i, 1, t) for i, t in toxic.items()], "doc_id long, quality int, toxic int")
+    d = docs(spark, texts)
+    assert T.fit(d.repartition(7), labels.repartition(3)) == T.fit(d.coalesce(1), labels)
