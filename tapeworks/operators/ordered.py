@@ -39,19 +39,22 @@ def _bounds_below(bounds: Column, key: Column, partitions: int) -> Column:
 
 
 def range_ordered(df: DataFrame, keys: Sequence[str], sketched: DataFrame | None = None,
-                  tell_apart: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+                  tell_apart: Sequence[str] = (), partitions: int | None = None,
+                  order: Sequence[str] | None = None) -> DataFrame:
     """``df`` in the order of ``keys`` (ascending, NULLs first) over its partitions.
 
     ``sketched`` (default: ``df``) has the key columns, and is scanned once for the
     bounds; it decides how even the partitions are and never what they hold. A long
     run of one leading key is cut by the following ones. Rows equal in all ``keys`` stay in
     one partition. ``partitions``: by default the session's ``spark.sql.shuffle.partitions``.
+    ``order``: the order inside a partition, which begins with the keys (default: the keys).
     """
+    order = list(order or keys)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if n < 2:
-        return df.coalesce(1).sortWithinPartitions(*keys)
+        return df.coalesce(1).sortWithinPartitions(*order)
     bounds = key_bounds(df if sketched is None else sketched, keys, n, tell_apart).scalar()
     place = df.withColumn("__bounds", bounds).withColumn(
         "__place", _bounds_below(F.col("__bounds"), F.struct(*keys), n)).drop("__bounds")
-    return place.repartitionById(n, F.col("__place")).sortWithinPartitions(*keys).drop("__place")
+    return place.repartitionById(n, F.col("__place")).sortWithinPartitions(*order).drop("__place")
