@@ -1,21 +1,25 @@
 """Deterministic sharded WARC archives: writer and reader.
 
-Records are dealt by ranges of the page id and sorted by it in each shard, and a
-shard is written by one task as a row of ``.warc.gz`` files, a new one begun as
-soon as the compressed size reaches ``roll_bytes``. Every record is its own gzip
-member with a fixed time stamp, its headers and digests made from its content,
-so the same rows give the same bytes whatever the cluster. Of records of equal
-payload the one with the smallest page id is a response, the others are
-revisits that refer to it and carry no payload.
-
-Commit: a task writes files under temporary names of its own and renames each to
-its final name when it is complete; a repeated or speculative task renames the
-same bytes to the same name. The manifest (file, records, bytes, SHA-1) is a
-table written last; a reader opens only what the manifest lists and checks size
-and digest. Files go through ``pyarrow.fs``, which takes the folder's scheme.
-
-Payloads travel once: decisions, which hold no payload, join their rows inside
-the writing task, where both are sorted by shard and page id. Equal payloads are
+Records are range-sorted by page id and payload digest: the ranges come from a sketch of
+these keys (:func:`tapeworks.operators.ordered.key_bounds`), as many as the payloads'
+bytes fill, so sparse, repeated and missing ids make no shard of their own. A range is
+written by one task as a row of ``.warc.gz`` files, a new one begun as soon as the
+compressed size reaches ``roll_bytes``. Every record is its own gzip member with a fixed
+time stamp, its headers and digests made from its content, so the same rows give the
+same bytes whatever the cluster. Of records of equal payload the one with the smallest
+page id is a response, the others are revisits that refer to it and carry no payload.
+A record's id is made from page id, digest and the row's number among equal ones, so no two
+records share one.
+
+Commit: a task writes files under temporary names of its own and gives each its final
+name, which holds the digest of its bytes, when it is complete; a repeated or speculative
+task finds the name taken by the same bytes and drops its own. The manifest (file,
+records, bytes, SHA-1) is a table written last; a reader opens only what the manifest
+lists and checks size and digest; temporary files of lost tasks are deleted then. Files
+go through ``pyarrow.fs``; a folder whose scheme it does not take fails before the job.
+
+Payloads travel once: decisions, which hold no payload, meet their rows inside
+the writing task, where both are sorted by page id and digest. Equal payloads are
 found by partial aggregates over digests, so a payload that a third of all pages
 share is counted where it is read.
 
@@ -38,12 +42,14 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tapeworks.llm.common import columns_of, keep_table, small_batches
+from tapeworks.operators.ordered import range_ordered
 
-#: Page ids of one shard, compressed bytes of one file, smallest payload revisited.
-SHARD_IDS, ROLL_BYTES, LEAST_BYTES = 4096, 32 << 20, 0
+#: Payload bytes of one range (about), compressed bytes of one file, smallest payload revisited.
+SHARD_BYTES, ROLL_BYTES, LEAST_BYTES = 64 << 20, 32 << 20, 0
 #: Records have no capture time; all bear this one.
 DATE = "1970-01-01T00:00:00Z"
 #: Stands for a NULL page id.
@@ -57,9 +63,9 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(page_id: int, digest: str) -> str:
-    """A UUID whose low half is the page id."""
-    high = int.from_bytes(hashlib.sha1(f"{page_id}/{digest}".encode()).digest()[:8], "big")
+def record_id(page_id: int, digest: str, nth: int = 0) -> str:
+    """A UUID whose low half is the page id; ``nth`` numbers rows of equal page and payload."""
+    high = int.from_bytes(hashlib.sha1(f"{page_id}/{digest}/{nth}".encode()).digest()[:8], "big")
     return f"<urn:uuid:{uuid.UUID(int=high << 64 | page_id & (1 << 64) - 1)}>"
 
 
@@ -69,14 +75,13 @@ def page_of(warc_id: str) -> int | None:
     return None if low == NO_ID else low
 
 
-def record(page_id: int, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
+def record(page_id: int, url: str | None, payload: bytes, refers_to: int | None, nth: int = 0) -> bytes:
     """One gzip member; a revisit if ``refers_to`` is a page id."""
     digest = base32_sha1(payload)
     target = quote(url, safe="!#$%&'()*+,/:;=?@[]~-._") if url else "about:blank"
     block = _HTTP + (payload if refers_to is None else b"")
-    # The place of a revisit's own id is its own; repeated rows share one.
     headers = [("WARC-Type", "response" if refers_to is None else "revisit"),
-               ("WARC-Record-ID", record_id(page_id, digest)), ("WARC-Date", DATE),
+               ("WARC-Record-ID", record_id(page_id, digest, nth)), ("WARC-Date", DATE),
                ("WARC-Target-URI", target),
                ("WARC-Payload-Digest", f"sha1:{digest}"),
                ("WARC-Block-Digest", f"sha1:{base32_sha1(block)}"),
@@ -94,13 +99,23 @@ def record(page_id: int, url: str | None, payload: bytes, refers_to: int | None)
     return out.getvalue()
 
 
+#: Hadoop's names of schemes that pyarrow has under others.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def _folder(root: str):
+    """(file system, path) of a folder named as Hadoop does."""
+    from pyarrow import fs
+
+    scheme, found, rest = root.partition(":")
+    return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}" if found else root)
+
+
 class _Shard:
-    """The files of one shard, written one after another."""
+    """The files of one range, written one after another."""
 
     def __init__(self, root: str, shard: int, roll_bytes: int):
-        from pyarrow import fs
-
-        self.fs, self.root = fs.FileSystem.from_uri(root)
+        self.fs, self.root = _folder(root)
         self.shard, self.roll, self.n, self.done = shard, roll_bytes, 0, []
         self.out = None
 
@@ -121,76 +136,78 @@ class _Shard:
             return
         self.out.close()
         self.out = None
-        name = f"pages-{self.shard + (1 << 52):016x}-{self.n:05d}.warc.gz"
-        self.fs.move(self.temp, f"{self.root}/{name}")
+        name = f"pages-{self.shard:07d}-{self.n:05d}-{self.sha.hexdigest()[:16]}.warc.gz"
+        if self.fs.get_file_info(f"{self.root}/{name}").is_file:
+            self.fs.delete_file(self.temp)  # another attempt gave the same bytes this name
+        else:
+            self.fs.move(self.temp, f"{self.root}/{name}")
         self.done.append((name, self.records, self.bytes, self.sha.hexdigest()))
         self.n += 1
 
 
-def decide(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """(page, digest, refers_to) of the rows that are not the response of their
-    payload: one row for each page id and payload that several rows share."""
+def payloads(pages: DataFrame) -> DataFrame:
+    """(page, digest, size, n): the distinct payloads of each page and how many rows have them."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = keep_table(pages.select("page", F.sha1(payload).alias("digest"))
-                      .where(F.length(payload) >= least_bytes)
-                      .groupBy("page", "digest").agg(F.count(F.lit(1)).alias("n")), "payloads")
+    return (pages.select("page", F.sha1(payload).alias("digest"), F.length(payload).alias("size"))
+            .groupBy("page", "digest", "size").agg(F.count(F.lit(1)).alias("n")))
+
+
+def decide(rows: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
+    """(page, digest, refers_to) of :func:`payloads` that several rows share."""
+    rows = rows.where(F.col("size") >= least_bytes)
     first = (rows.groupBy("digest").agg(F.min("page").alias("first"), F.sum("n").alias("all"))
              .where((F.col("all") > 1)))
     return rows.join(first, "digest").select("page", "digest", F.col("first").alias("refers_to"))
 
 
 def write(pages: DataFrame, root: str, id_col: str = "page_id", url_col: str = "url",
-          html_col: str = "html", shard_ids: int = SHARD_IDS, roll_bytes: int = ROLL_BYTES,
+          html_col: str = "html", shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES,
           least_bytes: int = LEAST_BYTES) -> DataFrame:
     """Write the archives to ``root`` (a folder all executors reach, with its
     scheme) and the manifest to ``root/manifest``; returns the manifest."""
     spark = pages.sparkSession
     small_batches(spark)
+    _folder(root)  # fails here if pyarrow does not know the scheme
     jvm, sc = spark.sparkContext._jvm, spark.sparkContext
     folder = jvm.org.apache.hadoop.fs.Path(root)
-    folder.getFileSystem(sc._jsc.hadoopConfiguration()).mkdirs(folder)
+    files = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
     rows = pages.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("page"),
                         F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    shard = F.floor(F.col("page") / shard_ids).alias("shard")
-    told = decide(rows, least_bytes).select(
-        shard, "page", F.lit(0).alias("kind"), "digest", "refers_to",
+    known = keep_table(payloads(rows), "payloads")
+    size = known.agg(F.sum(F.col("size") * F.col("n"))).first()[0] or 0
+    ranges = int(-(-size // shard_bytes)) or 1
+    told = decide(known, least_bytes).select(
+        "page", "digest", F.lit(0).alias("kind"), "refers_to",
         F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"))
-    own = rows.select(shard, "page", F.lit(1).alias("kind"),
-                      F.sha1(F.coalesce(F.col("html"), F.lit("")).cast("binary")).alias("digest"),
-                      F.lit(None).cast("long").alias("refers_to"), "url", "html")
+    own = rows.select("page", F.sha1(F.coalesce(F.col("html"), F.lit("")).cast("binary")).alias("digest"),
+                      F.lit(1).alias("kind"), F.lit(None).cast("long").alias("refers_to"), "url", "html")
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, refers, at, given = None, {}, None, set()
-        done = []
-        for cols in columns_of(batches, "shard", "page", "kind", "digest", "refers_to", "url", "html"):
-            for shard, page, kind, digest, first, url, html in zip(*cols):
-                if files is None or files.shard != shard:
-                    if files:
-                        files.commit()
-                        done += files.done
-                    files = _Shard(root, shard, roll_bytes)
-                if page != at:
-                    refers, at, given = {}, page, set()
+        shard = _Shard(root, TaskContext.get().partitionId(), roll_bytes)
+        at, first, nth = None, None, 0
+        for cols in columns_of(batches, "page", "digest", "kind", "refers_to", "url", "html"):
+            for page, digest, kind, refers_to, url, html in zip(*cols):
+                if (page, digest) != at:
+                    at, first, nth = (page, digest), None, 0
                 if kind == 0:
-                    refers[digest] = first
+                    first = refers_to
                     continue
-                first = refers.get(digest)
-                if first == page and digest not in given:
-                    given.add(digest)
-                    first = None
-                files.add(record(page, url, (html or "").encode("utf-8", "surrogatepass"), first))
-        if files:
-            files.commit()
-            done += files.done
-        columns = list(zip(*done)) or [()] * 4
+                response = first is None or (first == page and nth == 0)
+                payload = (html or "").encode("utf-8", "surrogatepass")
+                shard.add(record(page, url, payload, None if response else first, nth))
+                nth += 1
+        shard.commit()
+        columns = list(zip(*shard.done)) or [()] * 4
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.string()))],
             ["file", "records", "bytes", "sha1"])
 
-    # A hash of the shard keeps each in one task; the sort makes its order the ids'.
-    dealt = (told.unionByName(own).repartition(F.col("shard"))
-             .sortWithinPartitions("shard", "page", "kind", "digest", "url"))
+    dealt = range_ordered(told.unionByName(own), ["page", "digest"], sketched=known, partitions=ranges,
+                          order=["page", "digest", "kind", "url"])
     dealt.mapInArrow(put, _MANIFEST).write.mode("overwrite").parquet(f"{root}/manifest")
+    for left in files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/_temporary-*")) or []:
+        files.delete(left.getPath(), False)
     return spark.read.schema(_MANIFEST).parquet(f"{root}/manifest")
 
 

@@ -24,7 +24,7 @@ ROWS = [(1, "http://a/\r\nX: 1", "same"), (2, None, "same"), (3, "http://ü/", N
 
 
 def test_round_trip_and_revisits(spark):
-    _, _, got = written(spark, ROWS, shard_ids=3)
+    _, _, got = written(spark, ROWS, shard_bytes=50)
     by = defaultdict(list)
     for i, u, h in ROWS:
         by[h or ""].append(i if i is not None else W.NO_ID)
@@ -40,8 +40,8 @@ def test_round_trip_and_revisits(spark):
 
 
 def test_same_bytes_however_the_rows_are_dealt(spark):
-    a = written(spark, ROWS[:5], shard_ids=3)[1]
-    b = written(spark, ROWS[:5][::-1], shard_ids=3)[1]
+    a = written(spark, ROWS[:5], shard_bytes=50)[1]
+    b = written(spark, ROWS[:5][::-1], shard_bytes=50)[1]
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
@@ -73,3 +73,42 @@ def test_repeated_rows_and_empty_table(spark):
     assert sorted((r.page_id, r.record_type, r.refers_to or 0) for r in got) == [
         (1, "response", 0), (1, "response", 0), (1, "revisit", 1), (2, "revisit", 1)]
     assert written(spark, [])[2] == []
+
+
+def test_record_ids_are_unique_and_no_record_refers_to_itself(spark):
+    rows = [(1, "u", "a")] * 4 + [(2, "u", "a")] * 2 + [(None, "u", "a"), (None, "u", "b"), (None, "u", "b")]
+    root, manifest, _ = written(spark, rows)
+    folder = root.removeprefix("file:").replace("///", "/")
+    heads = []
+    for f in manifest.collect():
+        with open(f"{folder}/{f.file}", "rb") as h:
+            heads += [h for h, _ in W.records_of(h.read())]
+    ids = [h["WARC-Record-ID"] for h in heads]
+    assert len(ids) == len(rows) == len(set(ids))
+    responses = {h["WARC-Record-ID"] for h in heads if h["WARC-Type"] == "response"}
+    refers = [h["WARC-Refers-To"] for h in heads if h["WARC-Type"] == "revisit"]
+    assert len(responses) == 2 and set(refers) <= responses
+
+
+def test_ranges_follow_bytes_and_not_ids(spark):
+    import random
+    rng = random.Random(1)
+    sparse = [(rng.randrange(1 << 60), "u", "x" * 100 + str(i)) for i in range(200)]
+    root, manifest, got = written(spark, sparse, shard_bytes=6000)
+    files = sorted(manifest.collect())
+    assert 3 <= len(files) <= 4 and sum(f.records for f in files) == 200
+    missing = [(None, "u", f"page {i} " + "x" * 100) for i in range(200)]
+    assert len(written(spark, missing, shard_bytes=6000)[1].collect()) >= 3
+    # Files in the order of their names hold records in the order of their ids.
+    folder, seen = root.removeprefix("file:").replace("///", "/"), []
+    for f in files:
+        with open(f"{folder}/{f.file}", "rb") as h:
+            seen += [W.page_of(h["WARC-Record-ID"]) for h, _ in W.records_of(h.read())]
+    assert seen == sorted(i for i, _, _ in sparse)
+
+
+def test_schemes():
+    import pytest
+    with pytest.raises(Exception):
+        W._folder("nosuchscheme://bucket/x")
+    assert W._SCHEMES["s3a"] == "s3"
