@@ -34,8 +34,9 @@ A document is the set of its distinct 5-word shingles. Two documents link when
 Defined cases: a document with one to four words has its whole word sequence as
 its only shingle; NULL or empty texts have none and link with nothing; texts of
 any length are read whole; repeated rows are in the same class; an id on rows
-of different texts is one document, with the set whose hash is the smallest;
-NULL ids are left out, as they can't name a component. An empty table gives an empty result.
+of different texts is one document, with the set whose hash is the smallest; a
+row with a NULL id is a document of its own, which is named by the smallest id it
+reaches (NULL if it reaches none). An empty table gives an empty result.
 Other columns are ignored.
 """
 
@@ -410,7 +411,6 @@ def _one_set(owner: DataFrame) -> DataFrame:
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    docs = docs.where(F.col("doc_id").isNotNull())
     raw = keep_table(signatures(docs), "signatures")
     owner = keep_table(_one_set(raw.select("doc_id", "n_shingles", "node")), "owner")
     some = owner.where(F.col("n_shingles") > 0)

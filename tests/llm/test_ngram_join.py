@@ -80,8 +80,10 @@ def test_large_group_needs_no_pairs(spark):
 def test_repeated_rows_and_empty_table(spark):
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (7, "a b c d e f"), (None, "a b c d e f"),
             (9, "p q r s t u"), (9, "k l m n o p")]
-    got = sorted(tuple(r)[:3] for r in N.link(docs(spark, rows)).collect())
-    assert got[:3] == [(5, 2, 5), (5, 2, 5), (7, 2, 5)] and [g[2] for g in got[3:]] == [9, 9]
+    rows += [(None, "g h i j k l m"), (None, "g h i j k l m"), (None, None)]
+    got = sorted((tuple(r)[:3] for r in N.link(docs(spark, rows)).collect()), key=lambda g: (g[0] is None, str(g)))
+    assert got[:3] == [(5, 2, 5), (5, 2, 5), (7, 2, 5)] and [g[2] for g in got[3:5]] == [9, 9]
+    assert got[5:] == [(None, 0, None), (None, 2, 5), (None, 3, None), (None, 3, None)]
     assert N.link(docs(spark, [])).count() == 0
     kept = N.keep_one(docs(spark, {1: "a b c d e f", 2: "a b c d e f", 3: None}, extra=True))
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3] and "kept" in kept.columns
