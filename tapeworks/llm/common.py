@@ -12,6 +12,9 @@ from tapeworks.session import scratch_path
 #: Rows of one Arrow batch. Texts have no length bound, so batches hold few.
 BATCH_ROWS = 256
 
+#: Rows (of one to three numbers) that a join broadcasts at most.
+BROADCAST_ROWS = 4_000_000
+
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Arrow batches of few rows, so that a worker's memory is bounded by a few
@@ -88,7 +91,14 @@ def columns_of(batches: Iterator, *names: str) -> Iterator[list[list]]:
         yield [b.column(n).to_pylist() for n in names]
 
 
+def small(df: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if it has BROADCAST_ROWS at most; a larger one is
+    joined as the planner sees fit."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def without_ids(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose id is not in ``gone`` (one column); NULL ids stay."""
-    gone = gone.toDF("__gone_id").where(F.col("__gone_id").isNotNull())
+    """Rows of ``docs`` whose id is not in ``gone`` (one column of a written table); NULL ids
+    stay. Texts are not shuffled for up to BROADCAST_ROWS ids."""
+    gone = small(gone.toDF("__gone_id").where(F.col("__gone_id").isNotNull()))
     return docs.join(gone, docs[id_col] == gone["__gone_id"], "left_anti")

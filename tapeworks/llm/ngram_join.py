@@ -49,7 +49,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tapeworks.llm.common import (Memo, columns_of, drop_table, keep_table, small_batches,
+from tapeworks.llm.common import (Memo, columns_of, drop_table, keep_table, small, small_batches,
                                   without_ids, word_hashes, words_of)
 from tapeworks.llm.components import components
 from tapeworks.llm.slots import KEYS, SLOTS, bitmap, chunks_for, frequent, has, packed, slots_of
@@ -63,9 +63,6 @@ LEAF_SHINGLES = 32_768
 #: Bits of the bitmap of keys that several sets may share, and of that of documents in play: 32 and 8 MB.
 KEY_BITS, DOC_BITS = 1 << 28, 1 << 26
 
-#: Rows (of two or three numbers) that a join with shingle sets broadcasts at most.
-BROADCAST_ROWS = 4_000_000
-
 #: Hot keys named of each of HOT parts of the keys, and the rows that make one hot.
 HOT, HOT_ROWS = 32, 1000
 
@@ -289,7 +286,7 @@ def _placed(buckets: DataFrame) -> DataFrame:
 
 def _opened(buckets: DataFrame, placed: DataFrame, grown: DataFrame) -> DataFrame:
     """Pairs (al, bl) of leaves that share a bucket and pass the corners' bound."""
-    at = buckets.select("key", "node").join(placed, "node").select("key", "leaf").distinct()
+    at = buckets.select("key", "node").join(small(placed), "node").select("key", "leaf").distinct()
     several = (at.groupBy("key").agg(F.min("leaf").alias("lo"), F.max("leaf").alias("hi"))
                .where(F.col("lo") < F.col("hi")).select("key"))
     at = keep_table(at.join(several, "key", "left_semi"), "leaf-keys")
@@ -354,12 +351,6 @@ def _in_company(raw: DataFrame) -> DataFrame:
         deal, "key long, node long, n_shingles int")
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """A written table, to be broadcast if it has BROADCAST_ROWS at most; a larger one is
-    joined as the planner sees fit."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def _buckets(dealt: DataFrame) -> DataFrame:
     """(key, hub, many, node, n_shingles) of the buckets that hold several nodes.
 
@@ -424,14 +415,14 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     placed = keep_table(_placed(buckets), "placed")
     in_play = placed.join(classes, "node").select(F.col("rep").alias("doc_id"))
-    grown = keep_table(leaves(_sets_in_play(docs, in_play).join(_small(placed), "node")), "leaves")
+    grown = keep_table(leaves(_sets_in_play(docs, in_play).join(small(placed), "node")), "leaves")
     opened = keep_table(_opened(buckets, placed, grown), "opened")
     block = F.struct("nodes", "sizes", "flat")
     small_batches(docs.sparkSession, 4)  # a row holds two leaves
     a = grown.select(F.col("leaf").alias("al"), block.alias("a"))
     b = grown.select(F.col("leaf").alias("bl"), block.alias("b"))
-    b = b.join(_small(keep_table(opened.select("bl").distinct(), "opened-b")), "bl", "left_semi")
-    pairs = a.join(_small(opened), "al").join(b, "bl").select("a", "b")
+    b = b.join(small(keep_table(opened.select("bl").distinct(), "opened-b")), "bl", "left_semi")
+    pairs = a.join(small(opened), "al").join(b, "bl").select("a", "b")
     across = keep_table(links_of_pairs(pairs), "links")
     inside = grown.select(F.explode("links").alias("l")).select("l.u", "l.v")
     label = keep_table(components(inside.unionByName(across)), "labels")
@@ -453,4 +444,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``docs`` with the row of the smallest id of each component, all columns."""
     linked = keep_table(link(docs, id_col, text_col), "linked")
     gone = linked.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return without_ids(docs, gone, id_col)
+    return without_ids(docs, keep_table(gone, "near-copies"), id_col)
