@@ -32,6 +32,28 @@ def test_any_latin_text_has_the_tokenizers_ids(text):
     assert got == _TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+_ODD_TEXTS = ["they're you've we'll I'm he'd it's can't", "'see 'rex ''s a!'s 's's 'll'l 're'r 1't ½'s x''t '", "a\t\nb  c\r",
+              "x" * 99 + " " + "y" * 100, "naïve — ‘quoted’ 日本 end", "İ Ⱥ Ⱦ ŉ ǅ'S", "$$$% 42nd,,b", "\x01 \x02 a\x02b", "",
+              None, "<|endoftext|>s 'D", "a\u00a0b"]
+
+
+def _ids(text):
+    return np.array(_TOKENIZER.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_texts_merged_together_have_the_tokenizers_ids(monkeypatch):
+    want = [_ids(" ".join((t or "").split(" "))) for t in _ODD_TEXTS]
+    for chars in (P.RUN_CHARS, 10):
+        monkeypatch.setattr(P, "RUN_CHARS", chars)
+        assert list(P.token_bytes(PATH).of_texts(_ODD_TEXTS)) == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("'strevmldSİ!$1² aé\n<—", max_size=30), max_size=4))
+def test_any_texts_merged_together_have_the_tokenizers_ids(texts):
+    assert list(P.token_bytes(PATH).of_texts(texts)) == [_ids(t) for t in texts]
+
+
 def test_plan_fills_sequences_without_overlap():
     rng = random.Random(1)
     for cap in (7, 16, 64):
